@@ -23,10 +23,22 @@ def count_if(cond: Column) -> Column:
     return F.count_if(F.coalesce(cond, F.lit(False)))
 
 
-def rows_from(stats: DataFrame, rows: Sequence[Mapping[str, Column]]) -> DataFrame:
-    """One output row per mapping, computed from the single row of ``stats``."""
-    structs = [F.struct(*[value.alias(name) for name, value in row.items()]) for row in rows]
-    return stats.select(F.inline(F.array(*structs)))
+def text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def ratio_sql(num: str, den: str) -> str:
+    return f"try_divide(CAST({num} AS DOUBLE), CAST({den} AS DOUBLE))"
+
+
+def rows_from(stats: DataFrame, rows: Sequence[Mapping[str, str]]) -> DataFrame:
+    """One output row per mapping of names to SQL expressions over the single row of ``stats``.
+
+    Wide statistics are stated as SQL text: one parsed list instead of a Python call per node.
+    """
+    structs = [", ".join(f"{text(name)}, {sql}" for name, sql in row.items()) for row in rows]
+    return stats.selectExpr("inline(array(" + ", ".join(f"named_struct({s})" for s in structs) + "))")
 
 
 def long_values(df: DataFrame, columns: Sequence[str], keep: Sequence[Column] = ()) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlens.dictionary import CONTACTS, Config, DatasetError, FieldDictionary
-from leadlens.functions.shapes import rows_from
+from leadlens.functions.shapes import rows_from, text
 from leadlens.operators.features import feature_lists, feature_stage
 from leadlens.operators.filters import require_target
 from leadlens.operators.ranking import at_or_below, hash_order, smallest_cuts
@@ -128,15 +128,19 @@ class ClassWeights:
 def class_weights(df: DataFrame, fd: FieldDictionary) -> DataFrame:
     """(label, n, balanced_weight, positive_weight)"""
     require_target(df, fd)
-    target = F.col(f"`{fd.target}`")
-    stats = df.agg(F.count_if(target == fd.negative).alias("neg"), F.count_if(target == fd.positive).alias("pos"))
-    neg, pos = F.col("neg").cast("double"), F.col("pos").cast("double")
-    rows = []
-    for label, own, up in ((fd.negative, neg, F.lit(1.0)), (fd.positive, pos, neg / F.greatest(pos, F.lit(1.0)))):
-        balanced = F.try_divide(neg + pos, own * 2)
-        rows.append(
-            {"label": F.lit(label), "n": own.cast("long"), "balanced_weight": balanced, "positive_weight": up}
-        )
+    stats = df.selectExpr(
+        f"count_if(`{fd.target}` = {text(fd.negative)}) AS neg", f"count_if(`{fd.target}` = {text(fd.positive)}) AS pos"
+    )
+    upweight = "CAST(neg AS DOUBLE) / CAST(greatest(pos, 1) AS DOUBLE)"
+    rows = [
+        {
+            "label": text(label),
+            "n": own,
+            "balanced_weight": f"try_divide(CAST(neg + pos AS DOUBLE), CAST({own} * 2 AS DOUBLE))",
+            "positive_weight": upweight if own == "pos" else "1D",
+        }
+        for label, own in ((fd.negative, "neg"), (fd.positive, "pos"))
+    ]
     return rows_from(stats, rows)
 
 
@@ -157,10 +161,10 @@ class PopulationScaler(Estimator):
         names, suffix = self.getOrDefault("inputCols"), self.getOrDefault("suffix")
         aggs = []
         for c in names:
-            x = F.col(f"`{c}`").cast("double")
-            spread = F.when(F.min(x) < F.max(x), F.stddev_pop(x)).otherwise(1.0)
-            aggs += [F.coalesce(F.avg(x), F.lit(0.0)), spread]
-        row = dataset.agg(*[a.alias(f"s{i}") for i, a in enumerate(aggs)]).first()
+            x = f"CAST(`{c}` AS DOUBLE)"
+            aggs.append(f"coalesce(avg({x}), 0D)")
+            aggs.append(f"CASE WHEN min({x}) < max({x}) THEN stddev_pop({x}) ELSE 1D END")
+        row = dataset.selectExpr(*aggs).first()
         scaled = [
             f"coalesce((CAST(`{c}` AS DOUBLE) - double('{row[2 * i]!r}')) / double('{row[2 * i + 1]!r}'), 0D)"
             f" AS `{c}{suffix}`"

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadlens.functions.shapes import count_if, ratio, ratio_or_zero
+from leadlens.functions.shapes import count_if, ratio, ratio_or_zero, ratio_sql
 from leadlens.operators.ranking import ROWS_PER_BUCKET, running_totals, value_range
 
 
@@ -61,9 +61,9 @@ def average_precision(hist: DataFrame) -> DataFrame:
     return ranked_summary(hist).select("average_precision")
 
 
-def pr_curve(hist: DataFrame) -> DataFrame:
+def pr_curve(hist: DataFrame, scored: DataFrame | None = None) -> DataFrame:
     """(threshold, precision, recall) per distinct score, plus the end point (1, 0) without threshold."""
-    curve = _with_positives(hist).select(
+    curve = _with_positives(hist, scored).select(
         F.col("score").alias("threshold"),
         ratio(F.col("cum_tp"), F.col("cum_tp") + F.col("cum_fp")).alias("precision"),
         ratio_or_zero(F.col("cum_tp"), F.col("p")).alias("recall"),
@@ -74,22 +74,22 @@ def pr_curve(hist: DataFrame) -> DataFrame:
     return curve.unionByName(end)
 
 
-def _with_positives(hist: DataFrame) -> DataFrame:
-    positives = hist.agg(F.sum("tp")).first()[0] or 0
+def _with_positives(hist: DataFrame, scored: DataFrame | None = None) -> DataFrame:
+    """Adds the number of positives, counted on the scored rows where those are at hand."""
+    if scored is None:
+        positives = hist.agg(F.sum("tp")).first()[0] or 0
+    else:
+        positives = scored.agg(F.count_if(F.col("label") == 1)).first()[0]
     return hist.withColumn("p", F.lit(positives).cast("long"))
 
 
-def _best_f1_row(hist: DataFrame) -> DataFrame:
+def best_f1(hist: DataFrame, scored: DataFrame | None = None) -> DataFrame:
+    """One row (threshold, f1): the smallest of the scores with the highest F1."""
     f1 = ratio_or_zero(F.col("cum_tp") * 2, F.col("cum_tp") + F.col("cum_fp") + F.col("p"))
-    ranked = hist.select(F.col("score").alias("threshold"), f1.alias("f1"), "cum_tp", "cum_fp")
+    ranked = _with_positives(hist, scored).select(F.col("score").alias("threshold"), f1.alias("f1"))
     return ranked.orderBy(F.round("f1", 12).desc(), "threshold").limit(1)
 
 
-def best_f1(hist: DataFrame) -> DataFrame:
-    """One row (threshold, f1): the smallest of the scores with the highest F1."""
-    return _best_f1_row(_with_positives(hist)).select("threshold", "f1")
-
-
 def confusion(scored: DataFrame, threshold: float) -> DataFrame:
     """One row (tn, fp, fn, tp) at score >= threshold."""
     called, positive = F.col("score") >= F.lit(float(threshold)), F.col("label") == 1
@@ -101,9 +101,10 @@ def confusion(scored: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def _rates(counts: DataFrame, threshold: Column) -> DataFrame:
+def _rates(counts: DataFrame, threshold: Column, *keep: str) -> DataFrame:
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
     return counts.select(
+        *keep,
         threshold.alias("threshold"),
         ratio_or_zero(tp, tp + fp).alias("precision"),
         ratio_or_zero(tp, tp + fn).alias("recall"),
@@ -125,24 +126,34 @@ def evaluate(
     themselves, whose histogram then holds the confusion matrix too, unless another scored frame
     is given for it."""
     hist = score_histogram(scored, rows_per_bucket)
-    ranked = ranked_summary(hist).first()
-    if threshold_from is None:
-        best = _best_f1_row(hist.withColumn("p", F.lit(ranked["n_pos"]))).select(
-            "threshold",
-            (F.lit(ranked["n_neg"]) - F.col("cum_fp")).alias("tn"),
-            F.col("cum_fp").alias("fp"),
-            (F.lit(ranked["n_pos"]) - F.col("cum_tp")).alias("fn"),
-            F.col("cum_tp").alias("tp"),
-        )
-        metrics = _rates(best, F.col("threshold"))
-    else:
-        metrics = threshold_metrics(scored, best_f1(score_histogram(threshold_from, rows_per_bucket)).first()[0])
-    return metrics.select(
-        F.lit(name).alias("model"),
-        F.lit(ranked["roc_auc"]).cast("double").alias("roc_auc"),
-        F.lit(ranked["average_precision"]).cast("double").alias("average_precision"),
-        "*",
+    if threshold_from is not None:
+        threshold = best_f1(score_histogram(threshold_from, rows_per_bucket)).first()[0]
+        ranked = ranked_summary(hist).first()
+        auc, precise = (F.lit(ranked[c]).cast("double").alias(c) for c in ("roc_auc", "average_precision"))
+        return threshold_metrics(scored, threshold).select(F.lit(name).alias("model"), auc, precise, "*")
+    found = _with_positives(hist, scored).selectExpr(
+        "sum(tp) AS n_pos",
+        "sum(fp) AS n_neg",
+        "sum(CAST(tp AS DOUBLE) * (CAST(cum_fp AS DOUBLE) - CAST(fp AS DOUBLE) / 2D)) AS behind",
+        "sum(CAST(tp AS DOUBLE) * CAST(cum_tp AS DOUBLE) / CAST(cum_tp + cum_fp AS DOUBLE)) AS precise",
+        "max_by(named_struct('score', score, 'tp', cum_tp, 'fp', cum_fp), named_struct('f1',"
+        f" round(coalesce({ratio_sql('cum_tp * 2', 'cum_tp + cum_fp + p')}, 0D), 12), 'low', -score)) AS best",
+    ).where("n_pos + n_neg > 0")
+    metrics = _rates(
+        found.selectExpr(
+            "1D - try_divide(behind, CAST(n_pos AS DOUBLE) * CAST(n_neg AS DOUBLE)) AS roc_auc",
+            f"{ratio_sql('precise', 'n_pos')} AS average_precision",
+            "best.score AS threshold",
+            "n_neg - best.fp AS tn",
+            "best.fp AS fp",
+            "n_pos - best.tp AS fn",
+            "best.tp AS tp",
+        ),
+        F.col("threshold"),
+        "roc_auc",
+        "average_precision",
     )
+    return metrics.select(F.lit(name).alias("model"), "*")
 
 
 def gain_table(hist: DataFrame, parts: int = 10) -> DataFrame:

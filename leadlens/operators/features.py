@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadlens.dictionary import CONTACTS, Config, DatasetError, FieldDictionary
-from leadlens.functions.shapes import count_if, rows_from
+from leadlens.functions.shapes import rows_from, text
 
 # Age edges (right-closed) and the level of an age outside them.
 AGE_EDGES = (0, 30, 45, 60, 200)
@@ -111,30 +111,25 @@ def field_mapping(
     out += [("model_categorical", c, fd.title(c), "one-hot, unseen ignored", True) for c in categorical]
     out += [("model_numeric", c, fd.title(c), "standardised", True) for c in numeric]
 
-    derived = derived_sql(config)
-    wide = df.withColumns({name: F.expr(sql) for name, sql in derived.items()})
+    wide = df.withColumns({name: F.expr(sql) for name, sql in derived_sql(config).items()})
     gaps = {}
-    for field in {f for _, f, *_ in out}:
-        if field not in wide.columns:
-            continue
-        col = F.col(f"`{field}`")
-        gap = col.isNull()
+    for field in {f for _, f, *_ in out} & set(wide.columns):
+        gap = f"`{field}` IS NULL"
         if field in fd.categoricals:
-            gap = gap | (col == fd.unknown)
+            gap += f" OR `{field}` = {text(fd.unknown)}"
         elif field == "age_bucket":
-            gap = col == AGE_NONE
-        gaps[field] = count_if(gap).alias(f"gap_{field}")
-    stats = wide.agg(*gaps.values())
+            gap = f"age_bucket = {text(AGE_NONE)}"
+        gaps[field] = f"count_if({gap}) AS `gap_{field}`"
     rows = [
         {
-            "section": F.lit(section),
-            "position": F.lit(i).cast("long"),
-            "field": F.lit(field),
-            "title": F.lit(title),
-            "treatment": F.lit(treatment),
-            "in_model": F.lit(used),
-            "n_missing": F.col(f"`gap_{field}`") if field in gaps else F.lit(None).cast("long"),
+            "section": text(section),
+            "position": f"{i}L",
+            "field": text(field),
+            "title": text(title),
+            "treatment": text(treatment),
+            "in_model": str(used).lower(),
+            "n_missing": f"`gap_{field}`" if field in gaps else "CAST(NULL AS BIGINT)",
         }
         for i, (section, field, title, treatment, used) in enumerate(out)
     ]
-    return rows_from(stats, rows)
+    return rows_from(wide.selectExpr(*gaps.values()), rows)

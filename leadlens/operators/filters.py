@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadlens.dictionary import DatasetError, FieldDictionary, FilterCriteria
-from leadlens.functions.shapes import count_if, declared_position, has_order, long_values, ratio, ratio_or_zero, rows_from
+from leadlens.functions.shapes import count_if, declared_position, has_order, long_values, ratio, ratio_or_zero, rows_from, text
 
 
 def predicate(criteria: FilterCriteria) -> Column:
@@ -74,18 +74,11 @@ def category_domain(df: DataFrame, fd: FieldDictionary, max_values: int = 10_000
 def numeric_bounds(df: DataFrame, fd: FieldDictionary) -> DataFrame:
     """(column, lo, hi) per numeric column and id; columns without any value are left out."""
     names = [c for c in (fd.id, *fd.numerics) if c in df.columns]
-    aggs = []
-    for c in names:
-        aggs += [F.min(F.col(f"`{c}`")).alias(f"lo_{c}"), F.max(F.col(f"`{c}`")).alias(f"hi_{c}")]
+    stats = df.selectExpr(*[f"min(`{c}`) AS `lo_{c}`" for c in names], *[f"max(`{c}`) AS `hi_{c}`" for c in names])
     rows = [
-        {
-            "column": F.lit(c),
-            "lo": F.col(f"`lo_{c}`").cast("double"),
-            "hi": F.col(f"`hi_{c}`").cast("double"),
-        }
-        for c in names
+        {"column": text(c), "lo": f"CAST(`lo_{c}` AS DOUBLE)", "hi": f"CAST(`hi_{c}` AS DOUBLE)"} for c in names
     ]
-    return rows_from(df.agg(*aggs), rows).where(F.col("lo").isNotNull())
+    return rows_from(stats, rows).where("lo IS NOT NULL")
 
 
 def default_criteria(df: DataFrame, fd: FieldDictionary) -> FilterCriteria:

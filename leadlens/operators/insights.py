@@ -12,53 +12,42 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadlens.dictionary import INSIGHT_COLUMNS, MIN_SAMPLE, UNKNOWN_WARN_SHARE, Config, FieldDictionary
-from leadlens.functions.shapes import count_if, ratio, rows_from
-from leadlens.operators.profile import correlation_with_flag, segment_rates
+from leadlens.functions.shapes import ratio, ratio_sql, rows_from, text
+from leadlens.operators.profile import correlation_with_flag_sql, segment_rates
 
 # Levels and categories of a finding.
 INFO, SUGGEST, WARN = "info", "suggest", "warn"
 BUSINESS, QUALITY, FEATURE, MODELING = "business", "quality", "feature", "modeling"
 
 
-def _positive(fd: FieldDictionary) -> Column:
-    return F.coalesce(F.col(f"`{fd.target}`") == fd.positive, F.lit(False))
-
-
 def shared_stats(df: DataFrame, fd: FieldDictionary, config: Config = Config()) -> DataFrame:
     """The one aggregate row behind the overall, unknown, sentinel, leakage, correlation and
     over-contact findings. Rate denominators hold labelled rows only."""
     have = set(df.columns)
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
-    for c in fd.categoricals:
-        if c in have:
-            aggs.append(count_if(F.col(f"`{c}`") == fd.unknown).alias(f"unknown_{c}"))
+    aggs = ["count(*) AS n_rows"]
+    aggs += [f"count_if(`{c}` = {text(fd.unknown)}) AS `unknown_{c}`" for c in fd.categoricals if c in have]
     if "pdays" in have:
-        aggs.append(count_if(F.col("pdays") == config.never_contacted).alias("n_never"))
+        aggs.append(f"count_if(pdays = {config.never_contacted}) AS n_never")
     if fd.target in have:
-        target = F.col(f"`{fd.target}`")
-        labelled, positive = target.isNotNull(), _positive(fd)
-        aggs += [count_if(labelled).alias("n_labelled"), count_if(positive).alias("n_pos")]
+        positive = f"`{fd.target}` = {text(fd.positive)}"  # NULL without a label
+        aggs += [f"count(`{fd.target}`) AS n_labelled", f"count_if({positive}) AS n_pos"]
         if "duration" in have:
             aggs += [
-                F.avg(F.when(positive, F.col("duration"))).alias("duration_pos"),
-                F.avg(F.when(labelled & ~positive, F.col("duration"))).alias("duration_rest"),
+                f"avg(CASE WHEN {positive} THEN duration END) AS duration_pos",
+                f"avg(CASE WHEN NOT ({positive}) THEN duration END) AS duration_rest",
             ]
         if "campaign" in have:
-            high = F.coalesce(F.col("campaign") >= config.high_frequency_threshold, F.lit(False))
-            aggs += [
-                count_if(high).alias("n_high"),
-                ratio(count_if(high & positive), count_if(high & labelled)).alias("rate_high"),
-                ratio(count_if(~high & positive), count_if(~high & labelled)).alias("rate_low"),
-            ]
-        flag = F.when(labelled, positive)
+            high = f"coalesce(campaign >= {config.high_frequency_threshold}, false)"
+            aggs.append(f"count_if({high}) AS n_high")
+            for name, cond in (("rate_high", high), ("rate_low", f"NOT {high}")):
+                labelled = f"count_if({cond} AND `{fd.target}` IS NOT NULL)"
+                aggs.append(f"{ratio_sql(f'count_if({cond} AND {positive})', labelled)} AS {name}")
         for c in fd.numerics:
             if c in have:
-                x = F.col(f"`{c}`").cast("double")
-                aggs += [
-                    count_if(x.isNotNull() & labelled).alias(f"valid_{c}"),
-                    correlation_with_flag(x, flag).alias(f"r_{c}"),
-                ]
-    return df.agg(*aggs)
+                x = f"CAST(`{c}` AS DOUBLE)"
+                aggs.append(f"count_if({x} IS NOT NULL AND `{fd.target}` IS NOT NULL) AS `valid_{c}`")
+                aggs.append(f"{correlation_with_flag_sql(x, positive)} AS `r_{c}`")
+    return df.selectExpr(*aggs)
 
 
 def insight_overall(stats: DataFrame) -> DataFrame:
@@ -76,15 +65,12 @@ def insight_unknown(stats: DataFrame, fd: FieldDictionary) -> DataFrame:
         return stats.select(
             F.lit("").alias("column"), F.lit(0.0).alias("share"), F.lit(INFO).alias("level")
         ).where(F.lit(False))
-    # struct order: larger count first, then the smaller dictionary position
-    best = F.greatest(
-        *[F.struct(F.col(f"unknown_{c}").alias("n"), F.lit(-i).alias("p"), F.lit(c).alias("c")) for i, c in enumerate(names)],
-        F.struct(F.lit(-1).cast("long").alias("n"), F.lit(-len(names)).alias("p"), F.lit("").alias("c")),
-    )
-    worst = stats.select("n_rows", best.alias("best")).where("best.n > 0")
+    # struct order: the larger count first, then the smaller dictionary position
+    places = [f"named_struct('n', `unknown_{c}`, 'place', {-i}, 'column', {text(c)})" for i, c in enumerate(names)]
+    worst = stats.selectExpr("n_rows", f"array_max(array({', '.join(places)})) AS best").where("best.n > 0")
     share = ratio(F.col("best.n"), F.col("n_rows"))
     return worst.select(
-        F.col("best.c").alias("column"),
+        F.col("best.column").alias("column"),
         share.alias("share"),
         F.when(share > UNKNOWN_WARN_SHARE, WARN).otherwise(INFO).alias("level"),
     )
@@ -107,7 +93,7 @@ def insight_correlation(stats: DataFrame, fd: FieldDictionary, top: int = 3) ->
     values that vary. Ties go to the first column of the dictionary."""
     names = [c for c in fd.numerics if f"r_{c}" in stats.columns]
     rows = [
-        {"column": F.lit(c), "place": F.lit(i), "n": F.col(f"valid_{c}"), "r": F.col(f"r_{c}")}
+        {"column": text(c), "place": str(i), "n": f"`valid_{c}`", "r": f"`r_{c}`"}
         for i, c in enumerate(names)
     ]
     ranked = rows_from(stats, rows).where((F.col("n") >= MIN_SAMPLE) & F.col("r").isNotNull())
@@ -278,8 +264,11 @@ def insight_items(
 
 def _computed(stats: DataFrame) -> DataFrame:
     row = stats.first()
-    values = [F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in stats.schema]
-    return stats.sparkSession.range(0, 1, 1, 1).select(*values)
+    values = []
+    for field in stats.schema:
+        value = "NULL" if row[field.name] is None else text(str(row[field.name]))
+        values.append(f"CAST({value} AS {field.dataType.simpleString()}) AS `{field.name}`")
+    return stats.sparkSession.range(0, 1, 1, 1).selectExpr(*values)
 
 
 def insight_report(df: DataFrame, fd: FieldDictionary, name: str = "train", config: Config = Config()) -> DataFrame:

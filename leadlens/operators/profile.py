@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from leadlens.dictionary import MIN_SAMPLE, FieldDictionary
 from leadlens.functions.shapes import (
-    count_if, declared_position, has_order, long_values, ratio, ratio_or_zero, rows_from,
+    count_if, declared_position, has_order, long_values, ratio, ratio_sql, rows_from, text,
 )
 from leadlens.operators.filters import require_target
 from leadlens.operators.ranking import ValueRange, quantiles, value_range
@@ -18,14 +18,15 @@ from leadlens.operators.ranking import ValueRange, quantiles, value_range
 def target_distribution(df: DataFrame, fd: FieldDictionary) -> DataFrame:
     """(label, n, rate): both labels are always present; rate is the positive share of the two."""
     require_target(df, fd)
-    target = F.col(f"`{fd.target}`")
-    stats = df.agg(count_if(target == fd.negative).alias("neg"), count_if(target == fd.positive).alias("pos"))
-    rate = ratio_or_zero(F.col("pos"), F.col("neg") + F.col("pos"))
+    stats = df.selectExpr(
+        f"count_if(`{fd.target}` = {text(fd.negative)}) AS neg", f"count_if(`{fd.target}` = {text(fd.positive)}) AS pos"
+    )
+    rate = f"coalesce({ratio_sql('pos', 'neg + pos')}, 0D)"
     return rows_from(
         stats,
         [
-            {"label": F.lit(fd.negative), "n": F.col("neg"), "rate": rate},
-            {"label": F.lit(fd.positive), "n": F.col("pos"), "rate": rate},
+            {"label": text(fd.negative), "n": "neg", "rate": rate},
+            {"label": text(fd.positive), "n": "pos", "rate": rate},
         ],
     )
 
@@ -180,67 +181,58 @@ def correlation_matrix(df: DataFrame, fd: FieldDictionary, extra: Sequence[str]
     centred values: one sum per pair, two per column, and only columns with gaps need sums of
     their own for each partner.
     """
-    columns = {c: F.col(f"`{c}`").cast("double") for c in (*fd.numerics, *extra) if c in df.columns}
+    values = {c: f"CAST(`{c}` AS DOUBLE)" for c in (*fd.numerics, *extra) if c in df.columns}
     if fd.target in df.columns:
-        columns[fd.target] = F.when(F.col(f"`{fd.target}`") == fd.positive, 1.0).otherwise(0.0)
-    names = list(columns)
+        values[fd.target] = f"CASE WHEN `{fd.target}` = {text(fd.positive)} THEN 1D ELSE 0D END"
+    names = list(values)
     if len(names) < 2:
         return df.sparkSession.createDataFrame([], "x string, y string, r double")
-    facts = []
-    for i, c in enumerate(names):
-        x = columns[c]
-        facts += [F.count(x).alias(f"n_{i}"), F.avg(x).alias(f"mean_{i}"), (F.min(x) < F.max(x)).alias(f"varies_{i}")]
-    known = df.agg(F.count(F.lit(1)).alias("n_rows"), *facts).first()
-    varying = [i for i in range(len(names)) if known[f"varies_{i}"]]
-    gaps = {i for i in varying if known[f"n_{i}"] < known["n_rows"]}
-    centred = df.select(*[(columns[names[i]] - F.lit(known[f"mean_{i}"])).alias(f"d_{i}") for i in varying])
-    d = {i: F.col(f"d_{i}") for i in varying}
-
-    def beside(i: int, j: int) -> Column:
-        return F.when(d[j].isNotNull(), d[i]) if j in gaps and i != j else d[i]
-
-    pairs = [(i, j) for i in varying for j in varying if i <= j]
-    sums = {"n_rows": F.count(F.lit(1))}
-    for i, j in pairs:
-        sums[f"ab_{i}_{j}"] = F.sum(d[i] * d[j])
-        sums[f"n_{i}_{j}"] = F.count(beside(i, j)) if i in gaps else F.count(beside(j, i))
-        for a, b in ((i, j), (j, i)):
-            own = beside(a, b)
-            key = f"{a}_{b}" if b in gaps and a != b else f"{a}"
-            sums[f"a_{key}"], sums[f"aa_{key}"] = F.sum(own), F.sum(own * own)
-            if b in gaps and a != b:
-                sums[f"varies_{key}"] = F.min(own) < F.max(own)
-    totals = centred.agg(*[expr.alias(name) for name, expr in sums.items()])
-
-    def cell(i: int, j: int) -> Column:
-        n = F.col(f"n_{i}_{j}").cast("double")
-        side = []
-        for a, b in ((i, j), (j, i)):
-            key = f"{a}_{b}" if b in gaps and a != b else f"{a}"
-            spread = F.col(f"aa_{key}") - F.try_divide(F.col(f"a_{key}") * F.col(f"a_{key}"), n)
-            if f"varies_{key}" in sums:
-                spread = F.when(F.col(f"varies_{key}"), spread)
-            side.append((F.col(f"a_{key}"), spread))
-        (sum_a, var_a), (sum_b, var_b) = side
-        shared = F.col(f"ab_{i}_{j}") - F.try_divide(sum_a * sum_b, n)
-        return F.round(F.try_divide(shared, F.sqrt(var_a) * F.sqrt(var_b)), 3)
-
-    known_pairs = set(pairs)
-    rows = []
-    for i, a in enumerate(names):
-        for j in range(i, len(names)):
-            r = cell(i, j) if (i, j) in known_pairs else F.lit(None).cast("double")
-            rows.append({"x": F.lit(a), "y": F.lit(names[j]), "r": r})
-            if i != j:
-                rows.append({"x": F.lit(names[j]), "y": F.lit(a), "r": r})
+    table = df.selectExpr(*[f"{sql} AS x{i}" for i, sql in enumerate(values.values())])
+    index = range(len(names))
+    known = table.selectExpr(
+        "count(*) AS n_rows",
+        *[f"count(x{i}) AS n{i}" for i in index],
+        *[f"avg(x{i}) AS mean{i}" for i in index],
+        *[f"min(x{i}) < max(x{i}) AS varies{i}" for i in index],
+    ).first()
+    varying = [i for i in index if known[f"varies{i}"]]
+    gaps = {i for i in varying if known[f"n{i}"] < known["n_rows"]}
+    centred = table.selectExpr(*[f"x{i} - double('{known[f'mean{i}']!r}') AS d{i}" for i in varying])
+
+    def side(a: int, b: int) -> str:
+        """Name of the sums over column a beside column b; shared by all complete partners."""
+        return f"{a}_{b}" if b in gaps and a != b else f"{a}"
+
+    sums, rows = {"n_rows": "count(*)"}, []
+    for i in index:
+        for j in index:
+            if not (i in varying and j in varying):
+                r = "CAST(NULL AS DOUBLE)"
+            else:
+                low, high = min(i, j), max(i, j)
+                sums[f"ab_{low}_{high}"] = f"sum(d{low} * d{high})"
+                sums[f"n_{low}_{high}"] = f"count(d{low} + d{high})" if {low, high} & gaps else "count(*)"
+                n, parts = f"n_{low}_{high}", []
+                for a, b in ((low, high), (high, low)):
+                    s = side(a, b)
+                    own = f"CASE WHEN d{b} IS NOT NULL THEN d{a} END" if s != f"{a}" else f"d{a}"
+                    sums[f"a_{s}"], sums[f"aa_{s}"] = f"sum({own})", f"sum({own} * {own})"
+                    spread = f"aa_{s} - {ratio_sql(f'a_{s} * a_{s}', n)}"
+                    if s != f"{a}":
+                        sums[f"varies_{s}"] = f"min({own}) < max({own})"
+                        spread = f"CASE WHEN varies_{s} THEN {spread} END"
+                    parts.append((f"a_{s}", spread))
+                shared = f"ab_{low}_{high} - {ratio_sql(f'{parts[0][0]} * {parts[1][0]}', n)}"
+                r = f"round(try_divide({shared}, sqrt({parts[0][1]}) * sqrt({parts[1][1]})), 3)"
+            rows.append({"x": text(names[i]), "y": text(names[j]), "r": r})
+    totals = centred.selectExpr(*[f"{sql} AS {name}" for name, sql in sums.items()])
     return rows_from(totals.where("n_rows > 0"), rows)
 
 
-def correlation_with_flag(x: Column, flag: Column) -> Column:
+def correlation_with_flag_sql(x: str, flag: str) -> str:
     """Correlation of a number with a yes/no flag over the rows that have both, from the two group
     means and the overall deviation; NULL when either side is constant."""
-    both = F.when(flag.isNotNull(), x)
-    yes, no = F.when(flag, x), F.when(~flag, x)
-    n_yes, n_no = F.count(yes).cast("double"), F.count(no).cast("double")
-    r = F.try_divide((F.avg(yes) - F.avg(no)) * F.sqrt(n_yes * n_no), (n_yes + n_no) * F.stddev_pop(both))
-    return F.when(F.min(both) < F.max(both), r)
+    both, yes, no = (f"CASE WHEN {c} THEN {x} END" for c in (f"({flag}) IS NOT NULL", flag, f"NOT ({flag})"))
+    n_yes, n_no = f"CAST(count({yes}) AS DOUBLE)", f"CAST(count({no}) AS DOUBLE)"
+    r = f"try_divide((avg({yes}) - avg({no})) * sqrt({n_yes} * {n_no}), ({n_yes} + {n_no}) * stddev_pop({both}))"
+    return f"CASE WHEN min({both}) < max({both}) THEN {r} END"

@@ -8,33 +8,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlens.dictionary import CONTACTS, FieldDictionary
-from leadlens.functions.shapes import count_if, ratio_or_zero, rows_from
+from leadlens.functions.shapes import count_if, ratio_sql, rows_from, text
 
 
 def missing_overview(df: DataFrame, fd: FieldDictionary) -> DataFrame:
     """(column, kind, n_missing, share, n_null): unknown tokens per categorical, missing values per
     numeric, over all rows. ``n_null`` counts empty cells of either kind."""
     names = [c for c in (*fd.categoricals, *fd.numerics) if c in df.columns]
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
-    for c in names:
-        col = F.col(f"`{c}`")
-        if c in fd.categoricals:
-            gap = col == fd.unknown
-        else:
-            gap = col.isNull() | F.isnan(col.cast("double"))
-        aggs += [count_if(gap).alias(f"gap_{c}"), count_if(col.isNull()).alias(f"null_{c}")]
-    rows = [
-        {
-            "column": F.lit(c),
-            "kind": F.lit("categorical" if c in fd.categoricals else "numeric"),
-            "n_missing": F.col(f"`gap_{c}`"),
-            "share": ratio_or_zero(F.col(f"`gap_{c}`"), F.col("n_rows")),
-            "n_null": F.col(f"`null_{c}`"),
-            "dictionary_position": F.lit(i).cast("long"),
-        }
-        for i, c in enumerate(names)
-    ]
-    return rows_from(df.agg(*aggs).where("n_rows > 0"), rows)
+    aggs, rows = ["count(*) AS n_rows"], []
+    for i, c in enumerate(names):
+        category = c in fd.categoricals
+        gap = f"`{c}` = {text(fd.unknown)}" if category else f"`{c}` IS NULL OR isnan(CAST(`{c}` AS DOUBLE))"
+        aggs += [f"count_if({gap}) AS `gap_{c}`", f"count_if(`{c}` IS NULL) AS `null_{c}`"]
+        rows.append(
+            {
+                "column": text(c),
+                "kind": text("categorical" if category else "numeric"),
+                "n_missing": f"`gap_{c}`",
+                "share": ratio_sql(f"`gap_{c}`", "n_rows"),
+                "n_null": f"`null_{c}`",
+                "dictionary_position": f"{i}L",
+            }
+        )
+    return rows_from(df.selectExpr(*aggs).where("n_rows > 0"), rows)
 
 
 def contact_rules(fd: FieldDictionary = CONTACTS) -> dict[str, Column]:
@@ -57,7 +53,7 @@ def constraint_audit(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     rules report the missing value itself."""
     names = list(rules)
     stats = df.agg(*[count_if(~rules[r]).alias(r) for r in names])
-    return rows_from(stats, [{"rule": F.lit(r), "n_violations": F.col(f"`{r}`")} for r in names])
+    return rows_from(stats, [{"rule": text(r), "n_violations": f"`{r}`"} for r in names])
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 50_000
 MAX_BUCKETS = 16_384
-_FRACTIONS = [i / 256 for i in range(1, 256)]
+_PARTS = 256
 
 
 @dataclass(frozen=True)
@@ -32,22 +32,23 @@ class ValueRange:
 
 def value_range(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> ValueRange:
     """One mergeable aggregate (two for very large tables); the edges come from a quantile sketch."""
-    col = F.col(f"`{column}`").cast("double")
-    row = df.agg(
-        F.count(col).alias("n"),
-        F.approx_count_distinct(col).alias("n_distinct"),
-        F.percentile_approx(col, _FRACTIONS, 10_000).alias("at"),
+    x = f"CAST(`{column}` AS DOUBLE)"
+    row = df.selectExpr(
+        f"count({x}) AS n", f"approx_count_distinct({x}) AS n_distinct", f"{_sketch(x, _PARTS, 10_000)} AS at"
     ).first()
     buckets = min(max(math.ceil(row["n"] / rows_per_bucket), 1), MAX_BUCKETS)
-    if buckets <= len(_FRACTIONS) + 1:
-        step = (len(_FRACTIONS) + 1) / buckets
-        edges = [row["at"][round(i * step) - 1] for i in range(1, buckets)]
+    if buckets <= _PARTS:
+        edges = [row["at"][round(i * _PARTS / buckets) - 1] for i in range(1, buckets)]
     else:
-        fractions = [i / buckets for i in range(1, buckets)]
-        edges = df.agg(F.percentile_approx(col, fractions, 20 * buckets)).first()[0]
+        edges = df.selectExpr(_sketch(x, buckets, 20 * buckets)).first()[0]
     return ValueRange(row["n"], row["n_distinct"], tuple(sorted(set(edges))))
 
 
+def _sketch(x: str, parts: int, accuracy: int) -> str:
+    fractions = ", ".join(repr(i / parts) + "D" for i in range(1, parts))
+    return f"percentile_approx({x}, array({fractions}), {accuracy})"
+
+
 def with_bucket(df: DataFrame, column: str, edges: Sequence[float], name: str = "bucket") -> DataFrame:
     """Adds the bucket of the value: 0 below the first edge, growing with the value."""
     if not edges:

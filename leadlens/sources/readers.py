@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from leadlens.dictionary import DatasetError, FieldDictionary
 from leadlens.functions.cleaning import finite, number, present, stripped
-from leadlens.functions.shapes import count_if, ratio, rows_from
+from leadlens.functions.shapes import count_if, ratio_sql, rows_from, text
 
 DATASETS = ("train", "test")
 
@@ -96,45 +96,40 @@ def coercion_failures(df: DataFrame, fd: FieldDictionary) -> DataFrame:
         there = present(raw) if _is_text(df, c) else raw
         checks.append(count_if(there.isNotNull() & _clean_number(df, c).isNull()).alias(c))
     stats = df.agg(*checks)
-    return rows_from(stats, [{"column": F.lit(c), "n_failed": F.col(f"`{c}`")} for c in names])
+    return rows_from(stats, [{"column": text(c), "n_failed": f"`{c}`"} for c in names])
 
 
 def describe(df: DataFrame, fd: FieldDictionary) -> DataFrame:
     """One row: size, whether a target exists, label counts and the positive rate of labelled rows."""
-    labelled = fd.target in df.columns
-    target = F.col(f"`{fd.target}`") if labelled else F.lit(None).cast("string")
-    stats = df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        count_if(target == fd.positive).alias("n_pos"),
-        count_if(target == fd.negative).alias("n_neg"),
-    )
-    count = lambda c: F.col(c) if labelled else F.lit(None).cast("long")
-    return stats.select(
+    if fd.target in df.columns:
+        pos, neg = f"count_if(`{fd.target}` = {text(fd.positive)})", f"count_if(`{fd.target}` = {text(fd.negative)})"
+    else:
+        pos = neg = "CAST(NULL AS BIGINT)"
+    stats = df.selectExpr("count(*) AS n_rows", f"{pos} AS n_pos", f"{neg} AS n_neg")
+    return stats.selectExpr(
         "n_rows",
-        F.lit(len(df.columns)).cast("long").alias("n_columns"),
-        F.lit(labelled).alias("has_target"),
-        count("n_pos").alias("n_pos"),
-        count("n_neg").alias("n_neg"),
-        F.round(ratio(F.col("n_pos"), F.col("n_pos") + F.col("n_neg")), 4).alias("positive_rate"),
+        f"{len(df.columns)}L AS n_columns",
+        f"{str(fd.target in df.columns).lower()} AS has_target",
+        "n_pos",
+        "n_neg",
+        f"round({ratio_sql('n_pos', 'n_pos + n_neg')}, 4) AS positive_rate",
     )
 
 
 def dictionary_table(df: DataFrame, fd: FieldDictionary) -> DataFrame:
     """(position, column, title, meaning, n_rows, n_null) for the described columns the table has."""
     names = [c for c in fd.columns if c in df.columns and c in fd.descriptions]
-    stats = df.agg(
-        F.count(F.lit(1)).alias("n_rows"), *[count_if(F.col(f"`{c}`").isNull()).alias(f"null_{c}") for c in names]
-    )
+    stats = df.selectExpr("count(*) AS n_rows", *[f"count_if(`{c}` IS NULL) AS `null_{c}`" for c in names])
     return rows_from(
         stats,
         [
             {
-                "position": F.lit(i).cast("long"),
-                "column": F.lit(c),
-                "title": F.lit(fd.descriptions[c][0]),
-                "meaning": F.lit(fd.descriptions[c][1]),
-                "n_rows": F.col("n_rows"),
-                "n_null": F.col(f"null_{c}"),
+                "position": f"{i}L",
+                "column": text(c),
+                "title": text(fd.descriptions[c][0]),
+                "meaning": text(fd.descriptions[c][1]),
+                "n_rows": "n_rows",
+                "n_null": f"`null_{c}`",
             }
             for i, c in enumerate(names)
         ],
