@@ -68,7 +68,7 @@ class Config:
     forest_trees: int = 200
     boosted_a_rounds: int = 200
     boosted_b_rounds: int = 300
-    parallel_fits: int = 2
+    parallel_fits: int = 4
 
 
 # Labels, tokens, column roles and declared orders of the contact table.

@@ -173,6 +173,15 @@ class PopulationScaler(Estimator):
         return SQLTransformer(statement=f"SELECT *, {', '.join(scaled)} FROM __THIS__")
 
 
+def check_levels(df: DataFrame, columns: Sequence[str], limit: int = 10_000) -> None:
+    """Level lists are held by the driver, so a column that is no categorical one is refused. Well
+    above the error of the sketch, the estimate is enough."""
+    counts = df.selectExpr(*[f"approx_count_distinct(`{c}`) AS `{c}`" for c in columns]).first().asDict()
+    wide = [c for c, n in counts.items() if n > limit]
+    if wide:
+        raise DatasetError(f"too many levels for one-hot: {', '.join(wide)}")
+
+
 def one_hot_stages(columns: Sequence[str]) -> list:
     """Levels sorted by name, none dropped; an unseen or missing level gives the zero vector."""
     index, hot = [f"{c}_ix" for c in columns], [f"{c}_hot" for c in columns]
@@ -203,6 +212,7 @@ def build_pipeline(
 
 def one_hot_slots(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
     """(key, <column>_slot ..): the position of the 1 in each fitted one-hot vector, -1 for the zero vector."""
+    check_levels(df, columns)
     model = Pipeline(stages=one_hot_stages(columns)).fit(df)
     slots = [
         (F.array_position(vector_to_array(F.col(f"{c}_hot")), F.lit(1.0)) - 1).cast("long").alias(f"{c}_slot")

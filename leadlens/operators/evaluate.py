@@ -23,10 +23,14 @@ def score_counts(scored: DataFrame) -> DataFrame:
     )
 
 
-def score_histogram(scored: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """(score, tp, fp, cum_tp, cum_fp): cumulative counts from the highest score down."""
-    span = value_range(scored, "score", rows_per_bucket)
-    return running_totals(score_counts(scored), "score", {"cum_tp": "tp", "cum_fp": "fp"}, span.edges)
+def score_histogram(
+    scored: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET, n_rows: int | None = None
+) -> DataFrame:
+    """(score, tp, fp, cum_tp, cum_fp): cumulative counts from the highest score down. A caller that
+    knows the rows fit one bucket passes ``n_rows`` and saves the pass that finds the edges."""
+    one_bucket = n_rows is not None and n_rows <= rows_per_bucket
+    edges = () if one_bucket else value_range(scored, "score", rows_per_bucket).edges
+    return running_totals(score_counts(scored), "score", {"cum_tp": "tp", "cum_fp": "fp"}, edges)
 
 
 def ranked_summary(hist: DataFrame) -> DataFrame:
@@ -120,12 +124,16 @@ def threshold_metrics(scored: DataFrame, threshold: float) -> DataFrame:
 
 
 def evaluate(
-    scored: DataFrame, name: str, threshold_from: DataFrame | None = None, rows_per_bucket: int = ROWS_PER_BUCKET
+    scored: DataFrame,
+    name: str,
+    threshold_from: DataFrame | None = None,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """One row of metrics at the best-F1 threshold. The threshold is chosen on the scored rows
     themselves, whose histogram then holds the confusion matrix too, unless another scored frame
     is given for it."""
-    hist = score_histogram(scored, rows_per_bucket)
+    hist = score_histogram(scored, rows_per_bucket, n_rows)
     if threshold_from is not None:
         threshold = best_f1(score_histogram(threshold_from, rows_per_bucket)).first()[0]
         ranked = ranked_summary(hist).first()

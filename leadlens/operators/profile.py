@@ -223,7 +223,7 @@ def correlation_matrix(df: DataFrame, fd: FieldDictionary, extra: Sequence[str]
                         spread = f"CASE WHEN varies_{s} THEN {spread} END"
                     parts.append((f"a_{s}", spread))
                 shared = f"ab_{low}_{high} - {ratio_sql(f'{parts[0][0]} * {parts[1][0]}', n)}"
-                r = f"round(try_divide({shared}, sqrt({parts[0][1]}) * sqrt({parts[1][1]})), 3)"
+                r = f"round(try_divide({shared}, sqrt({parts[0][1]}) * sqrt({parts[1][1]})), 3) + 0D"
             rows.append({"x": text(names[i]), "y": text(names[j]), "r": r})
     totals = centred.selectExpr(*[f"{sql} AS {name}" for name, sql in sums.items()])
     return rows_from(totals.where("n_rows > 0"), rows)

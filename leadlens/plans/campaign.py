@@ -25,7 +25,9 @@ def build_contacts(orders: DataFrame, customer: DataFrame, lineitem: DataFrame,
     partitioning their history needs anyway; the orders of hot customers, if any, are cut by day
     and meet only those customers' rows, which are broadcast (at most 1000 keys).
     """
-    orders = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    orders = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority").where(
+        F.col("o_custkey").isNotNull()
+    )
     customer = customer.select("c_custkey", "c_nationkey", "c_mktsegment")
     hot = hot_keys(orders, "o_custkey", hot_rows)
     history = with_history(

@@ -23,9 +23,14 @@ CRITERIA = FilterCriteria(categorical={"contact": ["cellular"]}, numeric={"age":
 RATE_COLUMNS = ["poutcome", "education", "day_of_week"]
 DISTRIBUTION_COLUMNS = ["month", "day_of_week", "job"]
 
-# Fewer trees and rounds than the defaults, so that a registered fit ends within a minute; the
-# rows are the whole labelled table.
+# Fewer trees and rounds than the defaults and one point of each grid, so that a registered fit
+# ends within a minute; the rows are the whole labelled table.
 FITS = Config(forest_trees=20, boosted_a_rounds=10, boosted_b_rounds=10, logistic_iterations=100)
+POINTS = {
+    "random_forest": {"depth": 12, "leaf": 5},
+    "boosted_a": {"depth": 4, "rate": 0.1},
+    "boosted_b": {"leaves": 31, "rate": 0.1},
+}
 
 LINES = FieldDictionary(
     target="l_returnflag",
@@ -479,7 +484,7 @@ def best_benefit(spark, folder):
 def _fitted_metrics(name: str) -> Query:
     def run(spark, folder):
         df = labelled(contacts(spark, folder))
-        return training.train_and_compare(df, [name], config=FITS, quick=True).comparison
+        return training.train_and_compare(df, [name], config=FITS, quick=True, settings=POINTS).comparison
 
     return run
 
@@ -494,8 +499,10 @@ QUERIES["fit_boosted_b"] = _fitted_metrics("boosted_b")
 def grid_search(spark, folder):
     """(settings, cv_score, is_best) of the logistic grid over three stratified folds."""
     df = labelled(contacts(spark, folder))
-    train, _ = encode.stratified_split(df, CONTACTS, FITS)
+    train, test = training.split_frames(df, CONTACTS, FITS)
     tuned = models.tune("logistic_regression", train, encode.label_counts(train, CONTACTS), config=FITS)
+    train.unpersist()
+    test.unpersist()
     rows = [(str(dict(point)), score, point == tuned.settings) for point, score in tuned.points]
     return spark.createDataFrame(rows, "settings string, cv_score double, is_best boolean")
 
@@ -503,7 +510,8 @@ def grid_search(spark, folder):
 @query
 def model_comparison(spark, folder):
     df = labelled(contacts(spark, folder))
-    return training.train_and_compare(df, ["logistic_regression", "random_forest"], config=FITS, quick=True).comparison
+    names = ["logistic_regression", "random_forest"]
+    return training.train_and_compare(df, names, config=FITS, quick=True, settings=POINTS).comparison
 
 
 @query

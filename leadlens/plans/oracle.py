@@ -142,7 +142,7 @@ def _correlations() -> str:
             if "one" in (a, b):
                 r = "CASE WHEN count(*) < 0 THEN 0::DOUBLE END"
             else:
-                r = f"round(corr({values[a]}, {values[b]}), 3)"
+                r = f"round(corr({values[a]}, {values[b]}), 3) + CAST(0 AS DOUBLE)"
             parts.append(f"SELECT {_s(a)} AS x, {_s(b)} AS y, {r} AS r FROM contacts")
     return _union(parts)
 

@@ -18,11 +18,15 @@ def open_oracle(folder: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
 def _cell(value):
-    if isinstance(value, float):
-        if math.isnan(value):
-            return "nan"
-        return 0.0 if value == 0 else float(f"{value:.12g}")
+    if isinstance(value, float) and math.isnan(value):
+        return "nan"
     return value
 
 
@@ -34,9 +38,13 @@ def differences(frame, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """None when both results agree, else a short description of the first difference."""
     result = con.execute(sql)
     names = [d[0] for d in result.description]
+    types = {d[0]: SPARK_TYPES.get(str(d[1]), str(d[1])) for d in result.description}
     expected = result.fetchall()
     if sorted(names) != sorted(frame.columns):
         return f"columns {sorted(frame.columns)} != {sorted(names)}"
+    other = {c: (t, types[c]) for c, t in frame.dtypes if t != types[c]}
+    if other:
+        return f"types {other}"
     order = sorted(names)
     got = _sorted([[r[c] for c in order] for r in frame.collect()])
     want = _sorted([[r[names.index(c)] for c in order] for r in expected])
