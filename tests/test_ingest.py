@@ -1,0 +1,95 @@
+import csv
+
+import pytest
+from conftest import EIGHT, contact_frame
+
+from leadlens.dictionary import CONTACTS, DatasetError, FieldDictionary
+from leadlens.sources import readers
+
+SMALL_FD = FieldDictionary(id="id", categoricals=("job",), numerics=("age",))
+
+
+def write_csv(path, columns, rows):
+    with open(path, "w", newline="") as f:
+        writer = csv.writer(f)
+        writer.writerow(columns)
+        writer.writerows(rows)
+
+
+@pytest.fixture()
+def folder(tmp_path):
+    rows = list(zip(*EIGHT.values()))
+    write_csv(tmp_path / "train.csv", list(EIGHT), rows)
+    write_csv(tmp_path / "test.csv", list(EIGHT)[:-1], [r[:-1] for r in rows])
+    return str(tmp_path)
+
+
+def test_reads_both_datasets_with_types(spark, folder):
+    train = readers.read_dataset(spark, folder, "train", CONTACTS)
+    test = readers.read_dataset(spark, folder, "TEST", CONTACTS, persist=True)
+    assert tuple(train.columns) == CONTACTS.columns
+    assert tuple(test.columns) == CONTACTS.columns[:-1]
+    kinds = dict(train.dtypes)
+    assert kinds["id"] == "bigint" and kinds["age"] == "double" and kinds["job"] == "string"
+    assert sorted(r["age"] for r in train.collect()) == sorted(map(float, EIGHT["age"]))
+    assert test.storageLevel.useMemory
+    test.unpersist()
+
+
+def test_description(spark, eight):
+    row = readers.describe(eight, CONTACTS).first()
+    assert (row["n_rows"], row["n_columns"], row["n_pos"], row["n_neg"], row["positive_rate"]) == (8, 22, 3, 5, 0.375)
+    plain = readers.describe(eight.drop("subscribe"), CONTACTS).first()
+    assert (plain["has_target"], plain["n_pos"], plain["positive_rate"]) == (False, None, None)
+    none = readers.describe(eight.limit(0), CONTACTS).first()
+    assert (none["n_rows"], none["positive_rate"]) == (0, None)
+
+
+def test_errors_name_what_is_wrong(spark, folder, eight):
+    with pytest.raises(DatasetError, match="valid"):
+        readers.resolve_dataset("valid")
+    with pytest.raises(DatasetError, match="nowhere"):
+        readers.read_dataset(spark, folder + "/nowhere", "train", CONTACTS)
+    with pytest.raises(DatasetError, match="age, subscribe"):
+        readers.conform(eight.drop("age", "subscribe"), CONTACTS, labelled=True)
+    assert "subscribe" not in readers.conform(eight.drop("subscribe"), CONTACTS, labelled=False).columns
+
+
+def test_reordered_and_extra_columns(eight):
+    shuffled = eight.selectExpr("'x' AS note", *[f"`{c}`" for c in reversed(eight.columns)])
+    assert readers.conform(shuffled, CONTACTS, True).collect() == readers.conform(eight, CONTACTS, True).collect()
+
+
+def test_awkward_cells(spark, tmp_path):
+    cells = [
+        ("1", "NA", "12"), ("2", " admin. ", "x"), ("3", "", "NaN"), ("4", "null", ""), ("5", "  ", "1e2"),
+        ("6", "None", "12d"), ("7", "nan", " 7 "), ("8", " admin.\t", "1e400"), ("9", "Retired", "-.5"),
+        ("10", "n/a", "inf"),
+    ]
+    write_csv(tmp_path / "train.csv", ["id", "job", "age"], cells)
+    raw = readers.scan(spark, str(tmp_path / "train.csv"))
+    got = {r["id"]: (r["job"], r["age"]) for r in readers.conform(raw, SMALL_FD, True).collect()}
+    assert got == {
+        1: ("unknown", 12.0), 2: ("admin.", None), 3: ("unknown", None), 4: ("unknown", None), 5: ("", 100.0),
+        6: ("unknown", None), 7: ("unknown", 7.0), 8: ("admin.", None), 9: ("Retired", -0.5), 10: ("unknown", None),
+    }
+    # x, 12d, 1e400 and inf hold something that is no finite number; the NA tokens hold nothing
+    assert readers.coercion_failures(raw, SMALL_FD).collect()[0].asDict() == {"column": "age", "n_failed": 4}
+
+
+def test_nan_becomes_null(spark):
+    df = spark.createDataFrame([(1, "a", float("nan")), (2, None, 3.0)], "id long, job string, age double")
+    assert [tuple(r) for r in readers.conform(df, SMALL_FD, True).collect()] == [(1, None, "a"), (2, 3.0, "unknown")]
+
+
+def test_target_is_lowered_and_stays_null(spark, eight):
+    table = {c: list(v) for c, v in EIGHT.items()}
+    table["subscribe"] = [" YES ", "No", None, "yes", "no", "NA", "no", "yes"]
+    got = readers.conform(contact_frame(spark, table), CONTACTS, True).orderBy("id")
+    assert [r["subscribe"] for r in got.collect()] == ["yes", "no", None, "yes", "no", None, "no", "yes"]
+
+
+def test_dictionary_and_preview(eight):
+    rows = readers.dictionary_table(eight.drop("job"), CONTACTS).collect()
+    assert len(rows) == 21 and all(r["title"] and r["meaning"] and r["n_rows"] == 8 for r in rows)
+    assert [r["id"] for r in readers.preview(eight, CONTACTS, 3).collect()] == [1, 2, 3]
