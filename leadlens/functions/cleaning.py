@@ -1,9 +1,8 @@
-"""Text and number cleaning as built-in expressions."""
+"""Text and number cleaning as SQL expressions over built-in functions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from leadlens.functions.shapes import text
 
 # Tokens a CSV cell may hold instead of a value.
 NA_TOKENS = (
@@ -11,25 +10,27 @@ NA_TOKENS = (
     "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-_EDGES = r"(?U)^\s+|\s+$"
+# The characters that count as white space, beyond the blank that ``trim`` takes.
+_SPACES = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 _NUMBER = r"^\s*([+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?)\s*$"
 
 
-def present(col: Column) -> Column:
+def present(cell: str) -> str:
     """NULL for a cell that holds one of the NA tokens (compared before any stripping)."""
-    return F.when(~col.isin(*NA_TOKENS), col)
+    return f"CASE WHEN {cell} NOT IN ({', '.join(map(text, NA_TOKENS))}) THEN {cell} END"
 
 
-def stripped(col: Column) -> Column:
-    """Without white space of any kind at either end; ``trim`` would take blanks only."""
-    return F.regexp_replace(col, _EDGES, "")
+def stripped(cell: str) -> str:
+    """Without white space of any kind at either end."""
+    return f"btrim({cell}, {text(_SPACES)})"
 
 
-def finite(col: Column) -> Column:
-    """NULL for NaN and infinities: NaN compares above every number and equal to itself in Spark."""
-    return F.when(~F.isnan(col) & (F.abs(col) < F.lit(float("inf"))), col)
+def finite(column: str) -> str:
+    """NULL for NaN and infinities; NaN compares above every number in Spark. Give it a column, not
+    a computation, which it would repeat."""
+    return f"CASE WHEN abs({column}) < double('inf') THEN {column} END"
 
 
-def number(col: Column) -> Column:
-    """The text as a double, NULL unless the whole text is a finite number."""
-    return finite(F.regexp_extract(col, _NUMBER, 1).try_cast("double"))
+def parsed(cell: str) -> str:
+    """The text as a double, NULL unless the whole text is a number; an overflow gives infinity."""
+    return f"try_cast(regexp_extract({cell}, r'{_NUMBER}', 1) AS DOUBLE)"

@@ -26,11 +26,13 @@ def score_counts(scored: DataFrame) -> DataFrame:
 def score_histogram(
     scored: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET, n_rows: int | None = None
 ) -> DataFrame:
-    """(score, tp, fp, cum_tp, cum_fp): cumulative counts from the highest score down. A caller that
-    knows the rows fit one bucket passes ``n_rows`` and saves the pass that finds the edges."""
+    """(score, tp, fp, cum_tp, cum_fp, n_pos, n_neg): counts per score, cumulative from the highest
+    score down, and over all. A caller that knows the rows fit one bucket passes ``n_rows`` and
+    saves the pass that finds the edges."""
     one_bucket = n_rows is not None and n_rows <= rows_per_bucket
-    edges = () if one_bucket else value_range(scored, "score", rows_per_bucket).edges
-    return running_totals(score_counts(scored), "score", {"cum_tp": "tp", "cum_fp": "fp"}, edges)
+    edges = () if one_bucket else value_range(scored, "score", rows_per_bucket, distinct=False).edges
+    hist = running_totals(score_counts(scored), "score", {"cum_tp": "tp", "cum_fp": "fp"}, edges)
+    return hist.withColumnsRenamed({"all_cum_tp": "n_pos", "all_cum_fp": "n_neg"})
 
 
 def ranked_summary(hist: DataFrame) -> DataFrame:
@@ -65,32 +67,25 @@ def average_precision(hist: DataFrame) -> DataFrame:
     return ranked_summary(hist).select("average_precision")
 
 
-def pr_curve(hist: DataFrame, scored: DataFrame | None = None) -> DataFrame:
+def pr_curve(hist: DataFrame) -> DataFrame:
     """(threshold, precision, recall) per distinct score, plus the end point (1, 0) without threshold."""
-    curve = _with_positives(hist, scored).select(
+    curve = hist.select(
         F.col("score").alias("threshold"),
         ratio(F.col("cum_tp"), F.col("cum_tp") + F.col("cum_fp")).alias("precision"),
-        ratio_or_zero(F.col("cum_tp"), F.col("p")).alias("recall"),
+        ratio_or_zero(F.col("cum_tp"), F.col("n_pos")).alias("recall"),
     )
-    end = hist.sparkSession.range(1).select(
+    end = hist.sparkSession.range(0, 1, 1, 1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
     )
     return curve.unionByName(end)
 
 
-def _with_positives(hist: DataFrame, scored: DataFrame | None = None) -> DataFrame:
-    """Adds the number of positives, counted on the scored rows where those are at hand."""
-    if scored is None:
-        positives = hist.agg(F.sum("tp")).first()[0] or 0
-    else:
-        positives = scored.agg(F.count_if(F.col("label") == 1)).first()[0]
-    return hist.withColumn("p", F.lit(positives).cast("long"))
+_F1 = f"coalesce({ratio_sql('cum_tp * 2', 'cum_tp + cum_fp + n_pos')}, 0D)"
 
 
-def best_f1(hist: DataFrame, scored: DataFrame | None = None) -> DataFrame:
+def best_f1(hist: DataFrame) -> DataFrame:
     """One row (threshold, f1): the smallest of the scores with the highest F1."""
-    f1 = ratio_or_zero(F.col("cum_tp") * 2, F.col("cum_tp") + F.col("cum_fp") + F.col("p"))
-    ranked = _with_positives(hist, scored).select(F.col("score").alias("threshold"), f1.alias("f1"))
+    ranked = hist.selectExpr("score AS threshold", f"{_F1} AS f1")
     return ranked.orderBy(F.round("f1", 12).desc(), "threshold").limit(1)
 
 
@@ -139,13 +134,13 @@ def evaluate(
         ranked = ranked_summary(hist).first()
         auc, precise = (F.lit(ranked[c]).cast("double").alias(c) for c in ("roc_auc", "average_precision"))
         return threshold_metrics(scored, threshold).select(F.lit(name).alias("model"), auc, precise, "*")
-    found = _with_positives(hist, scored).selectExpr(
+    found = hist.selectExpr(
         "sum(tp) AS n_pos",
         "sum(fp) AS n_neg",
         "sum(CAST(tp AS DOUBLE) * (CAST(cum_fp AS DOUBLE) - CAST(fp AS DOUBLE) / 2D)) AS behind",
         "sum(CAST(tp AS DOUBLE) * CAST(cum_tp AS DOUBLE) / CAST(cum_tp + cum_fp AS DOUBLE)) AS precise",
-        "max_by(named_struct('score', score, 'tp', cum_tp, 'fp', cum_fp), named_struct('f1',"
-        f" round(coalesce({ratio_sql('cum_tp * 2', 'cum_tp + cum_fp + p')}, 0D), 12), 'low', -score)) AS best",
+        "max_by(named_struct('score', score, 'tp', cum_tp, 'fp', cum_fp),"
+        f" named_struct('f1', round({_F1}, 12), 'low', -score)) AS best",
     ).where("n_pos + n_neg > 0")
     metrics = _rates(
         found.selectExpr(
@@ -170,19 +165,22 @@ def gain_table(hist: DataFrame, parts: int = 10) -> DataFrame:
     A tied score belongs to the part of its best rank as a whole; parts swallowed by a tie are
     left out.
     """
-    size = F.col("tp") + F.col("fp")
-    total = hist.agg(F.sum(size), F.sum("tp")).first()
-    n, p = total[0] or 0, total[1] or 0
-    first = F.col("cum_tp") + F.col("cum_fp") - size
-    part = F.floor(first * parts / F.lit(n)).cast("long") + 1
-    grouped = hist.groupBy(part.alias("part")).agg(F.sum(size).alias("n"), F.sum("tp").alias("n_pos"))
+    cells = hist.selectExpr(
+        f"floor((cum_tp + cum_fp - tp - fp) * {parts} / (n_pos + n_neg)) + 1 AS part", "tp", "tp + fp AS size", "n_pos", "n_neg"
+    )
+    grouped = cells.groupBy("part").agg(
+        F.sum("size").alias("n"),
+        F.sum("tp").alias("n_pos"),
+        F.first("n_pos").alias("all_pos"),
+        F.first(F.col("n_pos") + F.col("n_neg")).alias("all_rows"),
+    )
     upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
-    gain = ratio(F.col("cum_pos"), F.lit(p))
+    gain = ratio(F.col("cum_pos"), F.col("all_pos"))
     return (
         grouped.withColumn("cum_n", F.sum("n").over(upto))
         .withColumn("cum_pos", F.sum("n_pos").over(upto))
         .select(
             "part", "n", "n_pos", ratio(F.col("n_pos"), F.col("n")).alias("rate"), "cum_n", "cum_pos",
-            gain.alias("gain"), F.try_divide(gain, ratio(F.col("cum_n"), F.lit(n))).alias("lift"),
+            gain.alias("gain"), F.try_divide(gain, ratio(F.col("cum_n"), F.col("all_rows"))).alias("lift"),
         )
     )

@@ -26,16 +26,17 @@ class ValueRange:
     """Size of a column and the edges that cut it into buckets of about equal row counts."""
 
     n: int
-    n_distinct_approx: int
+    n_distinct_approx: int | None
     edges: tuple[float, ...]
 
 
-def value_range(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> ValueRange:
+def value_range(
+    df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET, distinct: bool = True
+) -> ValueRange:
     """One mergeable aggregate (two for very large tables); the edges come from a quantile sketch."""
     x = f"CAST(`{column}` AS DOUBLE)"
-    row = df.selectExpr(
-        f"count({x}) AS n", f"approx_count_distinct({x}) AS n_distinct", f"{_sketch(x, _PARTS, 10_000)} AS at"
-    ).first()
+    values = f"approx_count_distinct({x})" if distinct else "CAST(NULL AS BIGINT)"
+    row = df.selectExpr(f"count({x}) AS n", f"{values} AS n_distinct", f"{_sketch(x, _PARTS, 10_000)} AS at").first()
     buckets = min(max(math.ceil(row["n"] / rows_per_bucket), 1), MAX_BUCKETS)
     if buckets <= _PARTS:
         edges = [row["at"][round(i * _PARTS / buckets) - 1] for i in range(1, buckets)]
@@ -61,7 +62,8 @@ def with_bucket(df: DataFrame, column: str, edges: Sequence[float], name: str =
 def running_totals(
     df: DataFrame, column: str, totals: Mapping[str, str], edges: Sequence[float], descending: bool = True
 ) -> DataFrame:
-    """Adds cumulative sums in the order of ``column``, whose values must be distinct.
+    """Adds cumulative sums in the order of ``column``, whose values must be distinct, and the grand
+    total of each as ``all_<name>``.
 
     ``totals`` maps a new column to the column summed. One row per bucket gives the offsets
     (at most ``MAX_BUCKETS`` rows, so that side is broadcast); the ordered window runs per bucket.
@@ -71,15 +73,19 @@ def running_totals(
     inside = Window.partitionBy("bucket").orderBy(direction(column)).rowsBetween(Window.unboundedPreceding, 0)
     local = bucketed.select("*", *[F.sum(src).over(inside).alias(f"in_{new}") for new, src in totals.items()])
     before = Window.orderBy(direction("bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.orderBy(direction("bucket")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = (
         bucketed.groupBy("bucket")
         .agg(*[F.sum(src).alias(f"sum_{new}") for new, src in totals.items()])
         .select(
-            "bucket", *[F.coalesce(F.sum(f"sum_{new}").over(before), F.lit(0)).alias(f"off_{new}") for new in totals]
+            "bucket",
+            *[F.coalesce(F.sum(f"sum_{new}").over(before), F.lit(0)).alias(f"off_{new}") for new in totals],
+            *[F.sum(f"sum_{new}").over(whole).alias(f"all_{new}") for new in totals],
         )
     )
     joined = local.join(F.broadcast(offsets), "bucket")
-    return joined.select(*df.columns, *[(F.col(f"in_{new}") + F.col(f"off_{new}")).alias(new) for new in totals])
+    sums = [(F.col(f"in_{new}") + F.col(f"off_{new}")).alias(new) for new in totals]
+    return joined.select(*df.columns, *sums, *[f"all_{new}" for new in totals])
 
 
 def values_at_ranks(df: DataFrame, column: str, ranks: Sequence[int], span: ValueRange) -> list[float]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadlens.operators.history import HOT_ROWS, hot_keys, with_history
-from leadlens.sources.shared import shared_folder, written
+from leadlens.sources.shared import shared_folder, spread, written
 
 SOURCES = ("orders", "customer", "lineitem")
 
@@ -99,7 +99,8 @@ def contacts(spark: SparkSession, folder: str) -> DataFrame:
         return build_contacts(*[table(spark, folder, name) for name in SOURCES])
     key = (spark.sparkContext.applicationId, _fingerprint(spark, folder))
     if key not in _written:
-        df = build_contacts(*[table(spark, folder, name) for name in SOURCES])
+        tables = [table(spark, folder, name) for name in SOURCES]
+        df = spread(build_contacts(*tables), tables[0].count())
         _written[key] = written(df, f"contacts-{key[1]}")
     return _written[key]
 

@@ -385,12 +385,12 @@ def fine_scores(spark, folder) -> DataFrame:
 
 @query
 def score_histogram(spark, folder):
-    return evaluate.score_histogram(tied_scores(spark, folder))
+    return evaluate.score_histogram(tied_scores(spark, folder)).drop("n_pos", "n_neg")
 
 
 @query
 def score_histogram_fine(spark, folder):
-    return evaluate.score_histogram(fine_scores(spark, folder))
+    return evaluate.score_histogram(fine_scores(spark, folder)).drop("n_pos", "n_neg")
 
 
 @query
@@ -414,26 +414,22 @@ def ranked_summary_fine(spark, folder):
 
 @query
 def pr_curve(spark, folder):
-    scores = tied_scores(spark, folder)
-    return evaluate.pr_curve(evaluate.score_histogram(scores), scores)
+    return evaluate.pr_curve(evaluate.score_histogram(tied_scores(spark, folder)))
 
 
 @query
 def pr_curve_fine(spark, folder):
-    scores = fine_scores(spark, folder)
-    return evaluate.pr_curve(evaluate.score_histogram(scores), scores)
+    return evaluate.pr_curve(evaluate.score_histogram(fine_scores(spark, folder)))
 
 
 @query
 def best_f1(spark, folder):
-    scores = tied_scores(spark, folder)
-    return evaluate.best_f1(evaluate.score_histogram(scores), scores)
+    return evaluate.best_f1(evaluate.score_histogram(tied_scores(spark, folder)))
 
 
 @query
 def best_f1_fine(spark, folder):
-    scores = fine_scores(spark, folder)
-    return evaluate.best_f1(evaluate.score_histogram(scores), scores)
+    return evaluate.best_f1(evaluate.score_histogram(fine_scores(spark, folder)))
 
 
 @query

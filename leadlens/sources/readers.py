@@ -6,12 +6,12 @@ from collections.abc import Iterable
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadlens.dictionary import DatasetError, FieldDictionary
-from leadlens.functions.cleaning import finite, number, present, stripped
-from leadlens.functions.shapes import count_if, ratio_sql, rows_from, text
+from leadlens.functions.cleaning import finite, parsed, present, stripped
+from leadlens.functions.shapes import ratio_sql, rows_from, text
 
 DATASETS = ("train", "test")
 
@@ -55,47 +55,51 @@ def check_columns(columns: Iterable[str], fd: FieldDictionary, labelled: bool) -
         raise DatasetError(f"missing columns: {', '.join(missing)}")
 
 
-def clean_category(col: Column, fd: FieldDictionary) -> Column:
+def clean_category(cell: str, fd: FieldDictionary) -> str:
     """NA tokens count as missing before stripping; a blank cell strips to '' and stays."""
-    return F.coalesce(stripped(present(col.cast("string"))), F.lit(fd.unknown))
+    return f"coalesce({stripped(present(f'CAST({cell} AS STRING)'))}, {text(fd.unknown)})"
 
 
-def clean_target(col: Column) -> Column:
-    return F.lower(stripped(present(col.cast("string"))))
+def clean_target(cell: str) -> str:
+    return f"lower({stripped(present(f'CAST({cell} AS STRING)'))})"
 
 
-def _clean_number(df: DataFrame, column: str) -> Column:
-    col = F.col(f"`{column}`")
-    return number(present(col)) if _is_text(df, column) else finite(col.cast("double"))
+def _number(df: DataFrame, column: str) -> str:
+    return parsed(present(f"`{column}`")) if _is_text(df, column) else f"CAST(`{column}` AS DOUBLE)"
 
 
 def conform(df: DataFrame, fd: FieldDictionary, labelled: bool) -> DataFrame:
-    """The dictionary's columns in order, cleaned, in one projection; other columns are dropped."""
+    """The dictionary's columns in order, cleaned row by row; other columns are dropped.
+
+    Numbers take two projections, so that a parsed value is tested without parsing it again.
+    """
     check_columns(df.columns, fd, labelled)
-    out = []
-    for name in fd.required(labelled):
-        col = F.col(f"`{name}`")
+    names = fd.required(labelled)
+    read = []
+    for name in names:
+        cell = f"`{name}`"
         if name == fd.target:
-            col = clean_target(col)
+            cell = clean_target(cell)
         elif name in fd.categoricals:
-            col = clean_category(col, fd)
+            cell = clean_category(cell, fd)
         elif name in fd.numerics:
-            col = _clean_number(df, name)
+            cell = _number(df, name)
         elif name == fd.id:
-            col = (stripped(col) if _is_text(df, name) else col).try_cast("bigint")
-        out.append(col.alias(name))
-    return df.select(*out)
+            cell = f"try_cast({stripped(cell) if _is_text(df, name) else cell} AS BIGINT)"
+        read.append(f"{cell} AS `{name}`")
+    checked = [f"{finite(f'`{c}`')} AS `{c}`" if c in fd.numerics else f"`{c}`" for c in names]
+    return df.selectExpr(*read).selectExpr(*checked)
 
 
 def coercion_failures(df: DataFrame, fd: FieldDictionary) -> DataFrame:
     """(column, n_failed): cells of the raw table that hold something other than a number."""
     names = [c for c in fd.numerics if c in df.columns]
-    checks = []
+    read = []
     for c in names:
-        raw = F.col(f"`{c}`")
-        there = present(raw) if _is_text(df, c) else raw
-        checks.append(count_if(there.isNotNull() & _clean_number(df, c).isNull()).alias(c))
-    stats = df.agg(*checks)
+        cell = present(f"`{c}`") if _is_text(df, c) else f"`{c}`"
+        read += [f"({cell}) IS NOT NULL AS `there_{c}`", f"{_number(df, c)} AS `{c}`"]
+    failed = [f"count_if(`there_{c}` AND ({finite(f'`{c}`')}) IS NULL) AS `{c}`" for c in names]
+    stats = df.selectExpr(*read).selectExpr(*failed)
     return rows_from(stats, [{"column": text(c), "n_failed": f"`{c}`"} for c in names])
 
 

@@ -33,6 +33,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
             context.setCheckpointDir(folder)
 
 
+ROWS_PER_TASK = 20_000
+
+
+def spread(df: DataFrame, n_rows: int) -> DataFrame:
+    """Gives a small table, which many passes will read, one partition per 20,000 rows, up to the
+    cores. A table with work for every core is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if n_rows >= 2 * cores * ROWS_PER_TASK:
+        return df
+    return df.repartition(min(cores, max(1, n_rows // ROWS_PER_TASK)))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back; unchanged where there is none."""
     spark = df.sparkSession
