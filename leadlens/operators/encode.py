@@ -19,7 +19,7 @@ from leadlens.dictionary import CONTACTS, Config, DatasetError, FieldDictionary
 from leadlens.functions.shapes import rows_from, text
 from leadlens.operators.features import feature_lists, feature_stage
 from leadlens.operators.filters import require_target
-from leadlens.operators.ranking import at_or_below, hash_order, smallest_cuts
+from leadlens.operators.ranking import at_or_below, hash_order, smallest_cuts, sort_key
 
 
 def label_counts(df: DataFrame, fd: FieldDictionary) -> dict[str, int]:
@@ -60,9 +60,9 @@ def test_sizes(counts: Mapping[str, int], share: float) -> dict[str, int]:
     return sizes
 
 
-def _side(fd: FieldDictionary, seed: int, cuts: Mapping[str, list[tuple[str, int]]]) -> Column:
+def _side(df: DataFrame, fd: FieldDictionary, seed: int, cuts: Mapping[str, list[tuple[str, int]]]) -> Column:
     """Number of cuts of its label that lie before the row in hash order."""
-    key = F.col(f"`{fd.id}`")
+    key = sort_key(df, fd.id)
     hashed = hash_order(key, seed)
     out = F.lit(0)
     for label, points in cuts.items():
@@ -80,7 +80,7 @@ def stratified_split(df: DataFrame, fd: FieldDictionary, config: Config = Config
     counts = label_counts(df, fd)
     sizes = test_sizes(counts, config.test_size)
     cuts = smallest_cuts(df, fd.target, fd.id, config.seed, counts, {label: [k] for label, k in sizes.items()})
-    key = F.col(f"`{fd.id}`")
+    key = sort_key(df, fd.id)
     hashed = hash_order(key, config.seed)
     is_test = F.lit(False)
     for label, points in cuts.items():
@@ -99,7 +99,7 @@ def with_folds(df: DataFrame, fd: FieldDictionary, config: Config = Config(), ou
         label: [-(-n * i // config.folds) for i in range(1, config.folds)] if n else [] for label, n in counts.items()
     }
     cuts = smallest_cuts(df, fd.target, fd.id, config.seed + 1, counts, ranks)
-    return df.withColumn(output, _side(fd, config.seed + 1, cuts))
+    return df.withColumn(output, _side(df, fd, config.seed + 1, cuts))
 
 
 @dataclass(frozen=True)

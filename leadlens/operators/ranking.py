@@ -144,6 +144,14 @@ _DIGITS = 3
 _BOUNDARY_ROWS = 20_000
 
 
+def sort_key(df: DataFrame, column: str) -> Column:
+    """The key with a value of its own for missing keys, so that every row has a place."""
+    col = F.col(f"`{column}`")
+    if df.schema[column].dataType.typeName() == "string":
+        return F.coalesce(col, F.lit(""))
+    return F.coalesce(col.cast("bigint"), F.lit(-(1 << 63)))
+
+
 def hash_order(key: Column, seed: int) -> Column:
     """A fixed pseudo-random order of the rows: the same on any partitioning and any engine."""
     return F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")))
@@ -159,9 +167,8 @@ def smallest_cuts(
     returns 4096 counts per cut; about ``_BOUNDARY_ROWS`` rows remain for the last step, where
     copies of a key are counted, not listed.
     """
-    rows = df.select(
-        F.col(f"`{group}`").alias("grp"), F.col(f"`{key}`").alias("key"), hash_order(F.col(f"`{key}`"), seed).alias("h")
-    )
+    place = sort_key(df, key)
+    rows = df.select(F.col(f"`{group}`").alias("grp"), place.alias("key"), hash_order(place, seed).alias("h"))
     todo = {(g, k): ("", k) for g, ks in ranks.items() for k in ks if 0 < k <= counts[g]}
     depth, left = 0, max(counts.values(), default=0)
     while left > _BOUNDARY_ROWS and todo:

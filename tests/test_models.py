@@ -73,6 +73,12 @@ def test_vector_holds_exactly_the_features(planted):
     assert vectors.first()[0].size == levels + len(numeric)
 
 
+def test_pipeline_on_ready_features(planted):
+    view = features.model_view(planted).withColumn("label", encode.target_code(CONTACTS)).withColumn("w_balanced", F.lit(1.0))
+    model = encode.build_pipeline(models.estimator("logistic_regression", config=QUICK), raw_input=False).fit(view)
+    assert len(model.stages) == 5 and models.scored(model, view).count() == 600
+
+
 def test_factory():
     with pytest.raises(DatasetError, match="stacking"):
         models.estimator("stacking")

@@ -89,6 +89,16 @@ def test_copies_of_a_hot_id_stay_together(spark, monkeypatch):
     assert not a & b and train.count() + test.count() == 2000
 
 
+def test_rows_without_an_id_keep_a_place(spark):
+    df = labelled_ids(spark, 500).withColumn("id", F.when(F.col("id") % 50 > 0, F.col("id")))
+    train, test = encode.stratified_split(df, FD)
+    assert train.count() + test.count() == 500
+    assert encode.with_folds(df, FD).where("fold IS NULL").count() == 0
+    named = df.withColumn("id", F.concat(F.lit("c"), F.col("id")))
+    train, test = encode.stratified_split(named, FD)
+    assert train.count() + test.count() == 500 and 90 <= test.count() <= 115
+
+
 def test_split_of_tiny_tables(spark):
     for n in (0, 1, 2, 6):
         train, test = encode.stratified_split(labelled_ids(spark, n), FD)
