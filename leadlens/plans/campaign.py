@@ -97,12 +97,50 @@ def contacts(spark: SparkSession, folder: str) -> DataFrame:
     back, so that later queries prune columns and push filters into its scan."""
     if shared_folder(spark) is None:
         return build_contacts(*[table(spark, folder, name) for name in SOURCES])
-    key = (spark.sparkContext.applicationId, _fingerprint(spark, folder))
+    return _written_once(spark, folder)[1]
+
+
+def _written_once(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
+    state = _fingerprint(spark, folder)
+    key = (spark.sparkContext.applicationId, state)
     if key not in _written:
         tables = [table(spark, folder, name) for name in SOURCES]
         df = spread(build_contacts(*tables), tables[0].count())
-        _written[key] = written(df, f"contacts-{key[1]}")
-    return _written[key]
+        _written[key] = written(df, f"contacts-{state}")
+    return state, _written[key]
+
+
+def text_export(df: DataFrame) -> DataFrame:
+    """The contact table as text, with cells a careless export would hold planted by id, and with
+    its columns in another order."""
+    planted = {
+        "age": """CASE id % 40 WHEN 0 THEN 'NaN' WHEN 1 THEN concat(' ', CAST(CAST(age AS INT) AS STRING), ' ')
+            WHEN 2 THEN '12d' WHEN 3 THEN 'x' WHEN 4 THEN '1e2' WHEN 5 THEN 'None' WHEN 6 THEN NULL
+            ELSE CAST(age AS STRING) END""",
+        "job": """CASE id % 50 WHEN 0 THEN 'NA' WHEN 1 THEN concat('  ', job, '\t') WHEN 2 THEN '   ' WHEN 3 THEN 'null'
+            WHEN 4 THEN NULL WHEN 5 THEN '' ELSE job END""",
+        "subscribe": "CASE WHEN id % 30 < 10 THEN concat(' ', upper(subscribe), ' ') ELSE subscribe END",
+    }
+    cells = [f"{planted.get(c, f'CAST(`{c}` AS STRING)')} AS `{c}`" for c in reversed(df.columns)]
+    return df.selectExpr("'x' AS note", *cells)
+
+
+def export_folder(spark: SparkSession, folder: str) -> str | None:
+    """The folder that holds ``text_export`` of the contact table as ``train.csv``, written once per
+    application; None where there is no shared folder."""
+    shared = shared_folder(spark)
+    if shared is None:
+        return None
+    state, df = _written_once(spark, folder)
+    path = f"{shared}/{spark.sparkContext.applicationId}/export-{state}"
+    if path not in _exported:
+        spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        text_export(df).write.mode("overwrite").options(header=True, escape='"', **spaces).csv(f"{path}/train.csv")
+        _exported.add(path)
+    return path
+
+
+_exported: set[str] = set()
 
 
 def labelled(df: DataFrame) -> DataFrame:

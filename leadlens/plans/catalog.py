@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from leadlens.dictionary import CONTACTS, Config, FieldDictionary, FilterCriteria
 from leadlens.operators import benefit, encode, evaluate, features, filters, insights, models, profile, quality
 from leadlens.plans import training
-from leadlens.plans.campaign import contacts, labelled, table, unlabelled
+from leadlens.plans.campaign import contacts, export_folder, labelled, table, text_export, unlabelled
 from leadlens.sources import readers
 from leadlens.sources.shared import shared_folder
 from leadlens.streaming import files
@@ -64,29 +64,20 @@ def filtered_rate(spark, folder):
 # Ingest
 
 
-def raw_contacts(spark, folder) -> DataFrame:
-    """The contact table as text, with cells a careless export would hold planted by id."""
-    df = contacts(spark, folder)
-    planted = {
-        "age": """CASE id % 40 WHEN 0 THEN 'NaN' WHEN 1 THEN concat(' ', CAST(CAST(age AS INT) AS STRING), ' ')
-            WHEN 2 THEN '12d' WHEN 3 THEN 'x' WHEN 4 THEN '1e2' WHEN 5 THEN 'None' WHEN 6 THEN NULL
-            ELSE CAST(age AS STRING) END""",
-        "job": """CASE id % 50 WHEN 0 THEN 'NA' WHEN 1 THEN concat('  ', job, '\t') WHEN 2 THEN '   ' WHEN 3 THEN 'null'
-            WHEN 4 THEN NULL WHEN 5 THEN '' ELSE job END""",
-        "subscribe": "CASE WHEN id % 30 < 10 THEN concat(' ', upper(subscribe), ' ') ELSE subscribe END",
-    }
-    cells = [f"{planted.get(c, f'CAST(`{c}` AS STRING)')} AS `{c}`" for c in reversed(df.columns)]
-    return df.selectExpr("'x' AS note", *cells)
-
-
 @query
 def conformed_contacts(spark, folder):
-    return readers.conform(raw_contacts(spark, folder), CONTACTS, labelled=True)
+    """The CSV export of the contacts, read and cleaned."""
+    export = export_folder(spark, folder)
+    if export is None:
+        return readers.conform(text_export(contacts(spark, folder)), CONTACTS, labelled=True)
+    return readers.read_dataset(spark, export, "train", CONTACTS)
 
 
 @query
 def coercion_failures(spark, folder):
-    return readers.coercion_failures(raw_contacts(spark, folder), CONTACTS)
+    export = export_folder(spark, folder)
+    raw = text_export(contacts(spark, folder)) if export is None else readers.scan(spark, f"{export}/train.csv")
+    return readers.coercion_failures(raw, CONTACTS)
 
 
 @query
