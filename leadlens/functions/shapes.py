@@ -41,6 +41,20 @@ def rows_from(stats: DataFrame, rows: Sequence[Mapping[str, str]]) -> DataFrame:
     return stats.selectExpr("inline(array(" + ", ".join(f"named_struct({s})" for s in structs) + "))")
 
 
+# Calendar names in the form the tables use.
+_MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+_WEEKDAYS = ("mon", "tue", "wed", "thu", "fri", "sat", "sun")
+
+
+def month_sql(date: str) -> str:
+    """The short month name by lookup; ``monthname`` formats anew for every row."""
+    return f"element_at(array({', '.join(map(text, _MONTHS))}), month({date}))"
+
+
+def weekday_sql(date: str) -> str:
+    return f"element_at(array({', '.join(map(text, _WEEKDAYS))}), weekday({date}) + 1)"
+
+
 def long_values(df: DataFrame, columns: Sequence[str], keep: Sequence[Column] = ()) -> DataFrame:
     """(column, value) pairs of the named columns in one pass; NULL values are left out.
 

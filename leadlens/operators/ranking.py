@@ -56,7 +56,8 @@ def with_bucket(df: DataFrame, column: str, edges: Sequence[float], name: str =
         return df.withColumn(name, F.lit(0))
     splits = [-float("inf"), *edges, float("inf")]
     cut = Bucketizer(splits=splits, inputCol=column, outputCol=name, handleInvalid="keep")
-    return cut.transform(df).withColumn(name, F.col(name).cast("int"))
+    # never NULL: a NULL check inferred on one side of a join would undo the reuse of its exchange
+    return cut.transform(df).withColumn(name, F.coalesce(F.col(name).cast("int"), F.lit(-1)))
 
 
 def running_totals(

@@ -7,6 +7,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leadlens.functions.shapes import month_sql, weekday_sql
 from leadlens.operators.history import HOT_ROWS, hot_keys, with_history
 from leadlens.sources.shared import shared_folder, spread, written
 
@@ -63,8 +64,8 @@ _COLUMNS = {
     "housing": "CASE WHEN o_custkey % 25 = 0 THEN 'unknown' WHEN o_custkey % 2 = 0 THEN 'yes' ELSE 'no' END",
     "loan": "CASE WHEN o_custkey % 27 = 0 THEN 'unknown' WHEN o_custkey % 6 = 0 THEN 'yes' ELSE 'no' END",
     "contact": "CASE WHEN o_orderpriority IN ('1-URGENT','2-HIGH','3-MEDIUM') THEN 'cellular' ELSE 'telephone' END",
-    "month": "lower(monthname(o_orderdate))",
-    "day_of_week": "lower(dayname(o_orderdate))",
+    "month": month_sql("o_orderdate"),
+    "day_of_week": weekday_sql("o_orderdate"),
     "duration": "CAST(datediff(last_ship, o_orderdate) AS DOUBLE)",
     "campaign": "CAST(coalesce(n_lines, 1) AS DOUBLE)",
     "pdays": "CAST(coalesce(datediff(o_orderdate, prev_o_orderdate), 999) AS DOUBLE)",

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadlens.dictionary import CONTACTS, Config, FieldDictionary, FilterCriteria
+from leadlens.functions.shapes import month_sql, weekday_sql
 from leadlens.operators import benefit, encode, evaluate, features, filters, insights, models, profile, quality
 from leadlens.plans import training
 from leadlens.plans.campaign import contacts, export_folder, labelled, table, text_export, unlabelled
@@ -206,7 +207,7 @@ def segment_rates(spark, folder):
 
 def dated_lines(spark, folder) -> DataFrame:
     return table(spark, folder, "lineitem").withColumns(
-        {"ship_month": F.lower(F.expr("monthname(l_shipdate)")), "ship_weekday": F.lower(F.expr("dayname(l_shipdate)"))}
+        {"ship_month": F.expr(month_sql("l_shipdate")), "ship_weekday": F.expr(weekday_sql("l_shipdate"))}
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadlens.dictionary import DatasetError, FieldDictionary
-from leadlens.functions.cleaning import finite, parsed, present, stripped
+from leadlens.functions.cleaning import finite, is_token, parsed, present, stripped
 from leadlens.functions.shapes import ratio_sql, rows_from, text
 
 DATASETS = ("train", "test")
@@ -57,15 +57,19 @@ def check_columns(columns: Iterable[str], fd: FieldDictionary, labelled: bool) -
 
 def clean_category(cell: str, fd: FieldDictionary) -> str:
     """NA tokens count as missing before stripping; a blank cell strips to '' and stays."""
-    return f"coalesce({stripped(present(f'CAST({cell} AS STRING)'))}, {text(fd.unknown)})"
+    return f"coalesce({present(cell)}, {text(fd.unknown)})"
 
 
 def clean_target(cell: str) -> str:
-    return f"lower({stripped(present(f'CAST({cell} AS STRING)'))})"
+    return f"lower({present(cell)})"
+
+
+def _text(df: DataFrame, column: str) -> str:
+    return f"`{column}`" if _is_text(df, column) else f"CAST(`{column}` AS STRING)"
 
 
 def _number(df: DataFrame, column: str) -> str:
-    return parsed(present(f"`{column}`")) if _is_text(df, column) else f"CAST(`{column}` AS DOUBLE)"
+    return parsed(f"`{column}`") if _is_text(df, column) else f"CAST(`{column}` AS DOUBLE)"
 
 
 def conform(df: DataFrame, fd: FieldDictionary, labelled: bool) -> DataFrame:
@@ -77,7 +81,7 @@ def conform(df: DataFrame, fd: FieldDictionary, labelled: bool) -> DataFrame:
     names = fd.required(labelled)
     read = []
     for name in names:
-        cell = f"`{name}`"
+        cell = _text(df, name)
         if name == fd.target:
             cell = clean_target(cell)
         elif name in fd.categoricals:
@@ -85,7 +89,7 @@ def conform(df: DataFrame, fd: FieldDictionary, labelled: bool) -> DataFrame:
         elif name in fd.numerics:
             cell = _number(df, name)
         elif name == fd.id:
-            cell = f"try_cast({stripped(cell) if _is_text(df, name) else cell} AS BIGINT)"
+            cell = f"try_cast({stripped(cell) if _is_text(df, name) else f'`{name}`'} AS BIGINT)"
         read.append(f"{cell} AS `{name}`")
     checked = [f"{finite(f'`{c}`')} AS `{c}`" if c in fd.numerics else f"`{c}`" for c in names]
     return df.selectExpr(*read).selectExpr(*checked)
@@ -96,8 +100,8 @@ def coercion_failures(df: DataFrame, fd: FieldDictionary) -> DataFrame:
     names = [c for c in fd.numerics if c in df.columns]
     read = []
     for c in names:
-        cell = present(f"`{c}`") if _is_text(df, c) else f"`{c}`"
-        read += [f"({cell}) IS NOT NULL AS `there_{c}`", f"{_number(df, c)} AS `{c}`"]
+        there = f"`{c}` IS NOT NULL AND NOT ({is_token(f'`{c}`')})" if _is_text(df, c) else f"`{c}` IS NOT NULL"
+        read += [f"{there} AS `there_{c}`", f"{_number(df, c)} AS `{c}`"]
     failed = [f"count_if(`there_{c}` AND ({finite(f'`{c}`')}) IS NULL) AS `{c}`" for c in names]
     stats = df.selectExpr(*read).selectExpr(*failed)
     return rows_from(stats, [{"column": text(c), "n_failed": f"`{c}`"} for c in names])

@@ -1,4 +1,7 @@
+import contextlib
 import csv
+import io
+import re
 
 import pytest
 from conftest import EIGHT, contact_frame
@@ -82,6 +85,30 @@ def test_nan_becomes_null(spark):
     assert [tuple(r) for r in readers.conform(df, SMALL_FD, True).collect()] == [(1, None, "a"), (2, 3.0, "unknown")]
 
 
+def test_white_space_of_any_kind(spark):
+    cells = ["a\n", "\x1fa b\u2003", "\u3000", "a\nb", "x", "é ", " é", "NA\n", "~"]
+    df = spark.createDataFrame([(i, c, c) for i, c in enumerate(cells)], "id long, job string, age string")
+    got = [r["job"] for r in readers.conform(df, SMALL_FD, True).orderBy("id").collect()]
+    assert got == [c.strip() for c in cells]
+    numbers = ["7\n", "\t-1.5e1 ", "0x1p3", "1f", "Infinity", "-inf", "+", "e5", "1 2", ".", "5.", "--1", "1e-400"]
+    df = spark.createDataFrame([(i, "a", c) for i, c in enumerate(numbers)], "id long, job string, age string")
+    got = [r["age"] for r in readers.conform(df, SMALL_FD, True).orderBy("id").collect()]
+    assert got == [7.0, -15.0, None, None, None, None, None, None, None, None, 5.0, None, 0.0]
+    failed = readers.coercion_failures(df, SMALL_FD).first()["n_failed"]
+    assert failed == got.count(None)
+
+
+def test_ingest_compiles_to_small_methods(spark, tmp_path):
+    """The JVM does not compile methods above 8000 bytes, which made this projection three times slower."""
+    spark.range(10).selectExpr(*[f"'x' AS `{c}`" for c in CONTACTS.columns]).write.parquet(str(tmp_path / "text"))
+    df = readers.conform(spark.read.parquet(str(tmp_path / "text")), CONTACTS, True)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue())]
+    assert sizes and max(sizes) < 8000
+
+
 def test_target_is_lowered_and_stays_null(spark, eight):
     table = {c: list(v) for c, v in EIGHT.items()}
     table["subscribe"] = [" YES ", "No", None, "yes", "no", "NA", "no", "yes"]
