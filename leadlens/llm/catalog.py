@@ -10,11 +10,13 @@ from leadlens.llm.common import documents
 from leadlens.llm.language_id import language_id
 from leadlens.llm.packing import packing
 from leadlens.llm.sharding import sharding
+from leadlens.llm.warc import WARC_SQL, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": lambda spark, d: language_id(documents(spark, d)),
+    "op3_warc": lambda spark, d: warc(spark.read.parquet(f"{d}/pages.parquet")),
     "op5_sharding": lambda spark, d: sharding(documents(spark, d)),
     "op10_packing": lambda spark, d: packing(documents(spark, d)),
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_warc": WARC_SQL}

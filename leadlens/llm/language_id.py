@@ -191,10 +191,12 @@ def language_id(docs: DataFrame) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
-def known_language(docs: DataFrame, trees: ContextTrees | None = None, most_bits: float = 8.0) -> DataFrame:
+def known_language(docs: DataFrame, trees: ContextTrees | None = None, most_bits: float = 8.0, least_bytes: int = 100) -> DataFrame:
     """The rows of ``docs``, columns unchanged, whose text has a letter and which the best language codes in fewer
-    than ``most_bits`` bits a byte, that is better than no model at all."""
+    than ``most_bits`` bits a byte, that is better than no model at all. Texts under ``least_bytes`` are too short
+    to reject for their code length."""
     trees = trees or fit(training_rows(docs))
     names = tuple(free_name(x, docs.columns) for x in NAMES)
     scored = predict(docs, trees, names=names)
-    return scored.filter((F.col(names[0]) != "und") & (F.col(names[2]) < most_bits)).select(*docs.columns)
+    coded = (F.col(names[2]) < most_bits) | (F.octet_length("text") < least_bytes)
+    return scored.filter((F.col(names[0]) != "und") & coded).select(*docs.columns)
