@@ -10,6 +10,7 @@ from leadlens.llm.common import documents
 from leadlens.llm.language_id import language_id
 from leadlens.llm.minhash import MINHASH_SQL, near_duplicates
 from leadlens.llm.packing import packing
+from leadlens.llm.secrets import SECRETS_SQL, secrets
 from leadlens.llm.sharding import sharding
 from leadlens.llm.warc import WARC_SQL, warc
 
@@ -18,7 +19,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": lambda spark, d: warc(spark.read.parquet(f"{d}/pages.parquet")),
     "op5_sharding": lambda spark, d: sharding(documents(spark, d)),
     "op6_minhash": lambda spark, d: near_duplicates(documents(spark, d)),
+    "op7_secrets": lambda spark, d: secrets(documents(spark, d)),
     "op10_packing": lambda spark, d: packing(documents(spark, d)),
 }
 
-ORACLE: dict[str, str] = {"op3_warc": WARC_SQL, "op6_minhash": MINHASH_SQL}
+ORACLE: dict[str, str] = {
+    "op3_warc": WARC_SQL,
+    "op6_minhash": MINHASH_SQL,
+    "op7_secrets": SECRETS_SQL,
+}
