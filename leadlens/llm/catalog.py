@@ -10,6 +10,8 @@ from leadlens.llm.common import documents
 from leadlens.llm.language_id import language_id
 from leadlens.llm.minhash import MINHASH_SQL, near_duplicates
 from leadlens.llm.packing import packing
+from leadlens.llm.quality_classifier import quality_classifier
+from leadlens.llm.quality_rules import QUALITY_SQL, quality_rules
 from leadlens.llm.secrets import SECRETS_SQL, secrets
 from leadlens.llm.sharding import sharding
 from leadlens.llm.warc import WARC_SQL, warc
@@ -20,6 +22,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sharding": lambda spark, d: sharding(documents(spark, d)),
     "op6_minhash": lambda spark, d: near_duplicates(documents(spark, d)),
     "op7_secrets": lambda spark, d: secrets(documents(spark, d)),
+    "op8_quality_rules": lambda spark, d: quality_rules(documents(spark, d)),
+    "op9_quality_classifier": lambda spark, d: quality_classifier(documents(spark, d), spark.read.parquet(f"{d}/labels.parquet")),
     "op10_packing": lambda spark, d: packing(documents(spark, d)),
 }
 
@@ -27,4 +31,5 @@ ORACLE: dict[str, str] = {
     "op3_warc": WARC_SQL,
     "op6_minhash": MINHASH_SQL,
     "op7_secrets": SECRETS_SQL,
+    "op8_quality_rules": QUALITY_SQL,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +47,11 @@ def free_name(name: str, taken: list[str]) -> str:
     return name
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def remainder(doc_id: Column | str, mod: int) -> Column:
     """crc32 of the id written as text, modulo ``mod``; NULL for a NULL id."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

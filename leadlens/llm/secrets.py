@@ -19,7 +19,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadlens.llm.common import checkpointed, free_name
+from leadlens.llm.common import bound, checkpointed, free_name
 
 #: Candidate ids that may be broadcast: two numbers each, 16 MB.
 SMALL_IDS = 1_000_000
@@ -163,11 +163,6 @@ def running(lengths: Column) -> Column:
     return bound(lengths, lambda x: bound(cut(x), joined))
 
 
-def bound(value: Column, body) -> Column:
-    """``body`` of ``value``, which is computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _spans(text: Column, i: int, rule: Rule) -> Column:
     """The spans of rule ``i`` in ``text``: matches and the pieces between them give the positions."""
     matches = F.transform(F.regexp_extract_all(text, F.lit(rule.regex), F.lit(0)), F.length)
