@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from leadlens.llm.chat import CHAT_SQL, chat_format
 from leadlens.llm.common import documents
+from leadlens.llm.decontamination import decontamination
 from leadlens.llm.language_id import language_id
 from leadlens.llm.minhash import MINHASH_SQL, near_duplicates
 from leadlens.llm.packing import packing
@@ -18,7 +20,9 @@ from leadlens.llm.warc import WARC_SQL, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": lambda spark, d: language_id(documents(spark, d)),
+    "op2_decontamination": lambda spark, d: decontamination(documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet")),
     "op3_warc": lambda spark, d: warc(spark.read.parquet(f"{d}/pages.parquet")),
+    "op4_chat_format": lambda spark, d: chat_format(spark.read.parquet(f"{d}/conversations.parquet")),
     "op5_sharding": lambda spark, d: sharding(documents(spark, d)),
     "op6_minhash": lambda spark, d: near_duplicates(documents(spark, d)),
     "op7_secrets": lambda spark, d: secrets(documents(spark, d)),
@@ -29,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op3_warc": WARC_SQL,
+    "op4_chat_format": CHAT_SQL,
     "op6_minhash": MINHASH_SQL,
     "op7_secrets": SECRETS_SQL,
     "op8_quality_rules": QUALITY_SQL,
