@@ -1,7 +1,7 @@
 """Benchmark decontamination by template canonicalisation.
 
-Texts become sequences of tokens: words cut at ASCII white space, without leading and trailing punctuation, in lower
-case. Numbers, quantities (``3kg``), units after a number, and names (capitalised inside a sentence) are replaced by typed
+Texts become sequences of tokens: words cut at ASCII white space, without leading and trailing punctuation, with A-Z
+and the accented capitals of Latin-1 in lower case. Numbers, quantities (``3kg``), units after a number, and names (capitalised inside a sentence) are replaced by typed
 placeholders, whose values are kept as slots. Windows of eight tokens with at least four plain words are hashed and
 joined with those of the benchmark. Matches of a document and an item on one diagonal are an occurrence; it counts
 if its slots are consistent: each value of the item always stands for one value of the document and the other
@@ -71,7 +71,9 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     line = np.concatenate(([0], np.cumsum(data == 10)))
     opens[1:] = _STOP[last[:-1]] | (row[1:] != row[:-1]) | (line[starts[1:]] > line[ends[:-1]])
     starts, ends, opens, row = core[a[real]], core[b[real] - 1] + 1, opens[real], row[real]
-    hashes = word_hashes(_LOWER[data], starts, ends)
+    lower = _LOWER[data]
+    lower[1:][(data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)] += 32
+    hashes = word_hashes(lower, starts, ends)
 
     def count(table: np.ndarray) -> np.ndarray:
         sums = np.concatenate(([0], np.cumsum(table[data])))
