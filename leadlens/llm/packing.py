@@ -12,6 +12,7 @@ columns are ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -29,32 +30,61 @@ OPEN_WINDOWS = 16
 LEAST_CUT = 32
 END_ID = 1
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, open boolean"
-#: Cached words; beyond it the cache is emptied.
-CACHE = 400_000
+#: Cached words, and cached words without case and marks; a full cache is emptied.
+WORDS, CORES = 300_000, 600_000
+#: A word that splits into letters and marks the same way in every vocabulary: no apostrophe, no mark of a special token.
+PLAIN = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~]*)")
 _tokenizers: dict[str, TokenCache] = {}
 
 
 class TokenCache(dict):
-    """White-space separated words to their ids, as packed 32-bit numbers. The tokenizer drops white space before
-    it does anything else, so a text's ids are its words' ids in a row."""
+    """White-space separated words to their ids, as packed 32-bit numbers. For a vocabulary that drops white space and
+    case before anything else, keeps runs of letters and of marks apart, and whose last token of a run ends in
+    ``</w>``: a text's ids are its words' ids in a row, and a plain word's those of its letters and of its marks."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values()) + 2, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.cores: dict[str, bytes] = {"": b""}
 
     def ids(self, texts: list[str]) -> list[bytes]:
         words = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts]
-        new = list(set().union(*words).difference(self))
-        if len(self) + len(new) > CACHE:
+        new = set().union(*words).difference(self)
+        if len(self) + len(new) > WORDS:
             self.clear()
-            new = list(set().union(*words))
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self[word] = np.array(found.ids, "<u4").tobytes()
+            new = set().union(*words)
+        plain, other = [], []
+        for word in new:
+            if match := PLAIN.fullmatch(word):
+                plain.append((word, match[1].lower(), match[2]))
+            else:
+                other.append(word)
+        self.learn({c for _, c, _ in plain}, {m for _, _, m in plain})
+        for word, core, marks in plain:
+            self[word] = self.cores[core] + self.cores[marks]
+        for word, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
+            self[word] = np.array(found.ids, "<u4").tobytes()
         return [b"".join(map(self.__getitem__, x)) for x in words]
 
+    def learn(self, cores: set[str], marks: set[str]) -> None:
+        """Encodes new runs of letters or marks, many to a text, cut apart at the tokens that end a run."""
+        if len(self.cores) + len(cores) > CORES:
+            self.cores = {"": b""}
+        new = [*(cores - self.cores.keys()), *(marks - self.cores.keys())]
+        parts = [new[at : at + 1000] for at in range(0, len(new), 1000)]
+        for part, found in zip(parts, self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, "<u4")
+            ends = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+            if len(ends) != len(part):
+                raise ValueError("the vocabulary does not end each run of letters or marks with </w>")
+            packed = ids.tobytes()
+            for run, start, end in zip(part, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+                self.cores[run] = packed[start:end]
+
 
 def tokens(path: str) -> TokenCache:
     """The worker's tokenizer for ``path``, kept between tasks."""
