@@ -1,12 +1,15 @@
-"""WARC archives: a writer on Spark's text files and a Python data source that reads them.
+"""WARC archives: a Python data source that writes and reads them, and the revisit records of repeated pages.
 
-Writing: every record is one value of a text file whose line separator is the blank lines that end a record, so
-Spark writes and commits the files on any file system it knows. A page whose payload equals that of a page with a
-smaller id becomes a ``revisit`` record, which repeats the HTTP headers but not the payload.
+Writing: each task writes one file of records, every record a gzip member of its own, as WARC 1.1 has it. The
+member's header carries its length in the extra field ``sl``, so that a reader can jump over it. A list of the files
+of tasks that succeeded is written last; a reader takes only what is listed, so failed attempts leave no records. A page
+whose payload equals that of a page with a smaller id becomes a ``revisit`` record, which repeats the HTTP headers
+but not the payload.
 
 Reading (format ``warc``): a file is one partition. Filters on the type, id, URI, digest and the other header columns
-are taken over by the source and decided on the WARC headers alone; the block of a record that fails them is
-skipped with a seek. The payload is read only where the schema asks for it.
+are taken over by the source and decided on the WARC headers alone, for which the first kilobytes of a record are
+inflated; the rest of a record that fails them, or whose payload the schema does not ask for, is neither read nor
+inflated. Plain archives and gzip members without the extra field are read too, the latter inflated to their ends.
 
 Rows: a NULL html is an empty payload; equal payloads of at least ``least_bytes`` (0: empty ones too) are revisited.
 Rows that repeat the smallest id of their payload are all responses. A payload known only from rows without an id
@@ -15,19 +18,24 @@ has responses only. A NULL url is an empty URI. Carriage returns and line feeds
 
 from __future__ import annotations
 
+import json
+import struct
 import uuid
+import zlib
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from urllib.parse import urlsplit
 
 import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull, IsNull, StringStartsWith
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, WriterCommitMessage, EqualTo, Filter, In, InputPartition, IsNotNull, IsNull, StringStartsWith
 from pyspark.sql.types import StructType
 
-from leadlens.llm.common import shared_folder
+from leadlens.llm.common import bound_batches, shared_folder
 
-END_OF_RECORD = "\r\n\r\n"
+END_OF_RECORD = b"\r\n\r\n"
 RECORD_ID = "urn:page:"
 #: Columns of the source, in order; all but the last two come from the WARC headers.
 SCHEMA = (
@@ -67,31 +75,89 @@ def with_types(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, date: str = "1970-01-01T00:00:00Z") -> None:
-    """Writes a record for each row to uncompressed WARC 1.1 files in ``path``, a file for each task."""
+    """Writes a record for each row to archives in the folder ``path``, which must be new."""
+    bound_batches(pages.sparkSession)
+    pages.sparkSession.dataSource.register(WarcDataSource)
     rows = with_types(pages, least_bytes)
-    revisit = F.col("record_type") == "revisit"
-    http = F.concat(
-        F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: "), F.col("payload_bytes"), F.lit("\r\n\r\n")
-    )
     uri = F.replace(F.replace(F.coalesce(F.col("url"), F.lit("")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
-    rows = rows.withColumn("http", http).withColumn("body", F.when(revisit, F.lit("")).otherwise(F.col("html")))
-    record = F.concat(
-        F.lit("WARC/1.1\r\nWARC-Type: "), F.col("record_type"),
-        F.lit(f"\r\nWARC-Record-ID: <{RECORD_ID}"), F.coalesce(F.col("page_id").cast("string"), F.lit("")),
-        F.lit(">\r\nWARC-Target-URI: "), uri,
-        F.lit(f"\r\nWARC-Date: {date}\r\nWARC-Payload-Digest: sha1:"), F.col("payload_digest"),
-        F.when(
-            revisit,
-            F.concat(
-                F.lit(f"\r\nWARC-Refers-To: <{RECORD_ID}"), F.col("refers_to").cast("string"),
-                F.lit(">\r\nWARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-            ),
-        ).otherwise(F.lit("")),
-        F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "),
-        (F.octet_length("http") + F.octet_length("body")).cast("string"),
-        F.lit(END_OF_RECORD), F.col("http"), F.col("body"),
-    )
-    rows.select(record.alias("value")).write.option("lineSep", END_OF_RECORD).text(path)
+    record_id = F.concat(F.lit(RECORD_ID), F.coalesce(F.col("page_id").cast("string"), F.lit("")))
+    rows.select(
+        "record_type", record_id.alias("record_id"), uri.alias("target_uri"), F.lit(date).alias("date"),
+        F.concat(F.lit(RECORD_ID), F.col("refers_to").cast("string")).alias("refers_to"), "payload_digest",
+        F.lit("application/http; msgtype=response").alias("content_type"), F.lit(0).cast("long").alias("content_length"), "payload_bytes",
+        F.when(F.col("record_type") == "response", F.col("html").cast("binary")).alias("payload"),
+    ).write.format("warc").mode("append").save(as_uri(path))
+
+
+def as_uri(path: str) -> str:
+    return path if ":" in path else f"file://{path}"
+
+
+def open_fs(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The file system and the path in it of any URI that pyarrow knows; Hadoop's ``file:/x`` is ``file:///x``."""
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri.removeprefix("file:")
+    return pyarrow.fs.FileSystem.from_uri(uri)
+
+
+def record_bytes(row: dict) -> bytes:
+    """A WARC record of an HTTP response, ended by its blank lines."""
+    payload = row["payload"] or b""
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: {row['payload_bytes']}\r\n\r\n".encode()
+    lines = [
+        "WARC/1.1", f"WARC-Type: {row['record_type']}", f"WARC-Record-ID: <{row['record_id']}>", f"WARC-Target-URI: {row['target_uri']}",
+        f"WARC-Date: {row['date']}", f"WARC-Payload-Digest: sha1:{row['payload_digest']}",
+    ]
+    if row["refers_to"] is not None:
+        lines += [f"WARC-Refers-To: <{row['refers_to']}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
+    lines += [f"Content-Type: {row['content_type']}", f"Content-Length: {len(http) + len(payload)}"]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + http + payload + END_OF_RECORD
+
+
+def member(data: bytes, level: int = 3) -> bytes:
+    """A gzip member whose extra field ``sl`` has its length and the data's, 0 where 32 bits don't hold them."""
+    deflate = zlib.compressobj(level, zlib.DEFLATED, -15)
+    body = deflate.compress(data) + deflate.flush()
+    size = 24 + len(body) + 8
+    skip = struct.pack("<II", size, len(data)) if max(size, len(data)) < 1 << 32 else bytes(8)
+    head = b"\x1f\x8b\x08\x04" + bytes(4) + b"\x00\xff" + struct.pack("<H", 12) + b"sl" + struct.pack("<H", 8) + skip
+    return head + body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    name: str
+    records: int
+
+
+class WarcWriter(DataSourceArrowWriter):
+    def __init__(self, path: str) -> None:
+        self.path = path
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        fs, folder = open_fs(self.path)
+        fs.create_dir(folder, recursive=True)
+        name, records = f"{uuid.uuid4().hex}.warc.gz", 0
+        with fs.open_output_stream(f"{folder}/{name}", compression=None) as f:
+            for batch in iterator:
+                for row in batch.to_pylist():
+                    f.write(member(record_bytes(row)))
+                    records += 1
+        return Written(name, records)
+
+    def commit(self, messages: list[Written | None]) -> None:
+        """Lists the files of this write, under a name of its own so that several writes add up."""
+        fs, folder = open_fs(self.path)
+        fs.create_dir(folder, recursive=True)
+        files = [m.name for m in messages if m is not None and m.records]
+        with fs.open_output_stream(f"{folder}/_files-{uuid.uuid4().hex}.json", compression=None) as f:
+            f.write(json.dumps(files).encode())
+
+    def abort(self, messages: list[Written | None]) -> None:
+        fs, folder = open_fs(self.path)
+        for m in messages:
+            if m is not None:
+                fs.delete_file(f"{folder}/{m.name}")
 
 
 class ArchiveFile(InputPartition):
@@ -114,12 +180,17 @@ class WarcReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> list[ArchiveFile]:
-        """A partition for each archive below the path, which may be any URI that pyarrow can open."""
-        fs, top = pyarrow.fs.FileSystem.from_uri(self.path)
-        scheme = self.path.partition(":")[0] + "://" if not top.startswith("/") else "file://"
-        found = fs.get_file_info(pyarrow.fs.FileSelector(top, recursive=True))
-        names = sorted(f.path for f in found if f.is_file and f.size and f.base_name.endswith(self.suffix) and f.base_name[0] not in "_.")
-        return [ArchiveFile(scheme + name) for name in names]
+        """A partition for each archive below the path: those that writes have listed, or all where there is no list."""
+        fs, top = open_fs(self.path)
+        found = [f for f in fs.get_file_info(pyarrow.fs.FileSelector(top, recursive=True)) if f.is_file and f.size]
+        lists = [f.path for f in found if f.base_name.startswith("_files-")]
+        names = [f.path for f in found if f.base_name[0] not in "_." and f.base_name.endswith(self.suffix)]
+        if lists:
+            listed = {name for path in lists for name in json.loads(fs.open_input_stream(path, compression=None).read())}
+            names = [n for n in names if n.rpartition("/")[2] in listed]
+        place = urlsplit(self.path)
+        top_of = f"{place.scheme}://{place.netloc if top.startswith('/') else ''}"
+        return [ArchiveFile(top_of + name) for name in sorted(names)]
 
     def passes(self, headers: dict[str, str]) -> bool:
         for f in self.filters:
@@ -156,68 +227,89 @@ class WarcReader(DataSourceReader):
             yield as_batch(rows)
 
     def records(self, uri: str) -> Iterator[dict]:
-        fs, path = pyarrow.fs.FileSystem.from_uri(uri)
-        block = {"payload", "payload_bytes"} & set(self.columns)
-        with fs.open_input_file(path) as raw, BufferedBlocks(raw) as f:
-            while (headers := f.headers()) is not None:
-                if not headers.pop("", "").startswith("WARC/"):
-                    raise ValueError(f"no WARC record at byte {f.at} of {uri}")
+        fs, path = open_fs(uri)
+        wanted = {"payload", "payload_bytes"} & set(self.columns)
+        with fs.open_input_file(path) as f:
+            at, size = 0, f.size()
+            kind = Member if f.read_at(2, 0) == b"\x1f\x8b" else Plain
+            while at < size:
+                record = kind(f, at)
+                headers = record.headers()
+                if not headers.pop("").startswith("WARC/"):
+                    raise ValueError(f"no WARC record at byte {at} of {uri}")
                 length = int(headers["content-length"])
-                end = f.at + length
+                begin = record.used
                 if self.passes(headers):
                     row = {name: column(headers, name) for name in HEADER_OF} | {"content_length": length}
-                    if block:
-                        http = f.headers() if "http" in headers.get("content-type", "") else {}
-                        row["payload_bytes"] = int(http.get("content-length", end - f.at))
-                        if "payload" in block:
-                            row["payload"] = f.take(end - f.at)
+                    if wanted:
+                        http = record.headers() if "http" in headers.get("content-type", "") else {}
+                        rest = length - (record.used - begin)
+                        row["payload_bytes"] = int(http.get("content-length", rest))
+                        if "payload" in wanted:
+                            row["payload"] = record.take(rest)
                     yield row
-                f.seek(end + len(END_OF_RECORD))
-
+                at = record.end(begin + length + len(END_OF_RECORD))
 
-class BufferedBlocks:
-    """A file read in blocks; positions move forwards, and blocks that are skipped whole are not read."""
 
-    def __init__(self, raw: pa.NativeFile, block: int = 1 << 16) -> None:
-        self.raw, self.block, self.at, self.start, self.data = raw, block, 0, 0, b""
+class Plain:
+    """An uncompressed record that begins at a position of a file; it is read in blocks, as far as it is asked for."""
 
-    def __enter__(self) -> BufferedBlocks:
-        return self
+    def __init__(self, f: pa.NativeFile, at: int, block: int = 1 << 14) -> None:
+        self.f, self.at, self.next, self.block = f, at, at, block
+        self.data, self.used = b"", 0  # what is read of the record, and how much of it is taken
 
-    def __exit__(self, *_: object) -> None:
-        self.data = b""
-
-    def seek(self, at: int) -> None:
-        self.at = at
-        if at > self.start + len(self.data):
-            self.raw.seek(at)
-            self.start, self.data = at, b""
-
-    def _more(self, least: int) -> bool:
-        """Holds on to what follows the position and reads on."""
-        self.data, self.start = self.data[self.at - self.start :], self.at
-        new = self.raw.read(max(self.block, least))
+    def more(self) -> bool:
+        new = self.f.read_at(self.block, self.next)
+        self.next += len(new)
+        self.block = 1 << 20
         self.data += new
         return bool(new)
 
-    def headers(self) -> dict[str, str] | None:
-        """The lines up to a blank one, names in lower case, the first line under an empty name; None at the end."""
-        while (end := self.data.find(b"\r\n\r\n", self.at - self.start)) < 0:
-            if not self._more(self.block):
-                if self.data.strip():
-                    raise ValueError("the file ends inside a record's headers")
-                return None
-        first, *lines = self.data[self.at - self.start : end].decode("utf-8", "replace").split("\r\n")
-        self.at = self.start + end + 4
+    def headers(self) -> dict[str, str]:
+        """The lines up to a blank one, names in lower case, the first line under an empty name."""
+        while (end := self.data.find(b"\r\n\r\n", self.used)) < 0:
+            if not self.more():
+                raise ValueError("the file ends inside a record's headers")
+        first, *lines = self.data[self.used : end].decode("utf-8", "replace").split("\r\n")
+        self.used = end + 4
         return {"": first} | {name.strip().lower(): value.strip() for name, _, value in (x.partition(":") for x in lines)}
 
     def take(self, n: int) -> bytes:
-        while self.start + len(self.data) < self.at + n:
-            if not self._more(n):
+        while len(self.data) < self.used + n:
+            if not self.more():
                 raise ValueError("the file ends inside a record")
-        out = self.data[self.at - self.start : self.at - self.start + n]
-        self.at += n
-        return out
+        self.used += n
+        return self.data[self.used - n : self.used]
+
+    def end(self, length: int) -> int:
+        """Where the next record begins."""
+        return self.at + length
+
+
+class Member(Plain):
+    """A record in a gzip member of its own, inflated as far as it is asked for."""
+
+    def __init__(self, f: pa.NativeFile, at: int) -> None:
+        super().__init__(f, at, 1 << 11)
+        self.inflate = zlib.decompressobj(31)
+        head = f.read_at(24, at)
+        known = head[3:4] == b"\x04" and head[12:16] == b"sl\x08\x00"
+        self.size = struct.unpack("<I", head[16:20])[0] if known else 0
+
+    def more(self) -> bool:
+        most = self.at + self.size - self.next if self.size else self.block
+        new = self.f.read_at(min(self.block, most), self.next)
+        self.next += len(new)
+        self.block = 1 << 18
+        self.data += self.inflate.decompress(new)
+        return bool(new) and not (self.inflate.eof and not self.data)
+
+    def end(self, length: int) -> int:
+        if self.size:
+            return self.at + self.size
+        while not self.inflate.eof and self.more():
+            self.data = b""
+        return self.next - len(self.inflate.unused_data)
 
 
 def column(headers: dict[str, str], name: str) -> str | None:
@@ -248,13 +340,18 @@ class WarcDataSource(DataSource):
     def reader(self, schema: StructType) -> WarcReader:
         return WarcReader(self.options["path"], schema, self.options.get("suffix", ""))
 
+    def writer(self, schema: StructType, overwrite: bool) -> WarcWriter:
+        if overwrite:
+            raise ValueError("archives are only added to")
+        return WarcWriter(self.options["path"])
+
 
 def read_archives(spark: SparkSession, path: str, schema: str = SCHEMA) -> DataFrame:
     key = "spark.sql.python.filterPushdown.enabled"
     if key not in spark.conf.getAll:
         spark.conf.set(key, "true")  # Spark asks a Python source about filters only then
     spark.dataSource.register(WarcDataSource)
-    return spark.read.format("warc").schema(schema).load(path if ":" in path else f"file://{path}")
+    return spark.read.format("warc").schema(schema).load(as_uri(path))
 
 
 def warc(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
