@@ -6,8 +6,8 @@ different, a byte seen c times costs log2((n + d) / c) bits; any other costs the
 and is coded in the next shorter context, at last as one of 256 equal bytes. The counts are frozen after
 training, so a code length depends on at most four bytes and whole batches are scored by table lookups.
 
-Rows: a text that is NULL or has no letter is ``und`` with score 0. Before a text's first byte stands an
-unseen byte. Ties go to the language first in order. Without any training row every text is ``und``.
+Rows: a text that is NULL or has no letter is ``und`` with score 0. Before a text's first byte stands a
+mark of its own. Ties go to the language first in order. Without any training row every text is ``und``.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from leadlens.llm.common import bound_batches, free_name, in_parts, remainder, utf8
 
 ORDER = 3
-#: A byte that no training text has, also what stands before a text.
-UNSEEN = 0
+#: Symbols of a byte that no training text has, and of what stands before a text; byte 0 counts as the latter.
+UNSEEN, START = 0, 1
 
 
 @dataclass
@@ -56,7 +56,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = utf8(batch.column(1))
         langs = batch.column(0).to_numpy(zero_copy_only=False)
         codes, names = np.unique(langs.astype(str), return_inverse=True)
-        grams = _shifted(data, offsets)
+        grams = _shifted(data, offsets, 0)
         row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
         keys = names[row].astype(np.int64) << 32
         for k, part in enumerate(grams):
@@ -65,15 +65,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(codes[found >> 32]), pa.array(found & 0xFFFFFFFF), pa.array(n)], ["lang", "gram", "n"])
 
 
-def _shifted(symbols: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-    """The three symbols before each, and itself; before a row's first stands UNSEEN."""
+def _shifted(symbols: np.ndarray, offsets: np.ndarray, start: int) -> list[np.ndarray]:
+    """The three symbols before each, and itself; before a row's first stands ``start``."""
     out = []
     for back in range(ORDER, 0, -1):
-        before = np.full(len(symbols), UNSEEN, symbols.dtype)
+        before = np.full(len(symbols), start, symbols.dtype)
         before[back:] = symbols[:-back] if len(symbols) > back else symbols[:0]
         for k in range(back):
             at = offsets[:-1] + k
-            before[at[at < offsets[1:]]] = UNSEEN
+            before[at[at < offsets[1:]]] = start
         out.append(before)
     return [*out, symbols]
 
@@ -88,13 +88,13 @@ def fit(docs: DataFrame, sample_rows: int = 400, least: int = 2) -> ContextTrees
     grams, n = rows["gram"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
     name = np.searchsorted(languages, rows["lang"].to_numpy(str)) if languages else np.zeros(0, int)
     parts = [(grams >> 8 * (ORDER - k)) & 0xFF for k in range(ORDER + 1)]
-    used = np.unique(parts[-1][parts[-1] != UNSEEN])
-    rank = np.zeros(256, np.int64)
-    rank[used] = np.arange(1, len(used) + 1)
-    size = len(used) + 1
+    used = np.unique(parts[-1][parts[-1] != 0])
+    rank = np.full(256, UNSEEN, np.int64)
+    rank[0] = START
+    rank[used] = np.arange(2, len(used) + 2)
+    size = len(used) + 2
     symbols = [rank[p] for p in parts]
-    # Symbols have the same order as bytes; symbol 0 is never counted as a follower.
-    real = symbols[-1] != UNSEEN
+    real = symbols[-1] != START
     context = np.zeros(len(grams), np.int64)  # of order k: its last k symbols as one number
     base = np.full((1, size, len(languages)), 8.0)  # code lengths in the context below; at first all bytes cost 8 bits
     node = np.zeros(1, np.int64)  # context of the order below, as a number, to its row in base
@@ -129,7 +129,7 @@ def code_lengths(trees: ContextTrees, data: np.ndarray, offsets: np.ndarray, blo
     bits = np.zeros((len(offsets) - 1, len(trees.languages)))
     size = trees.bits.shape[1]
     flat = trees.bits.reshape(-1, len(trees.languages))
-    shifted = _shifted(trees.rank[data], offsets)
+    shifted = _shifted(trees.rank[data], offsets, START)
     full = np.flatnonzero(np.diff(offsets))
     for at in range(0, len(data), block):
         end = min(len(data), at + block)
