@@ -1,4 +1,4 @@
-"""Connected components of a graph given as edges, by alternating large and small stars."""
+"""Connected components of a graph given as edges, by alternating small and large stars."""
 
 from __future__ import annotations
 
@@ -9,28 +9,25 @@ from leadlens.llm.common import checkpointed
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Links every node's larger (``large``) or smaller-or-equal neighbours to the least node around it."""
-    both = edges.union(edges.select("b", "a")) if large else edges.select(F.greatest("a", "b"), F.least("a", "b")).toDF("a", "b")
-    least = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("least"))
-    least = least.repartition("node")  # an exchange of its own, so that the join can split a node with many edges
-    met = both.join(least, F.col("a") == F.col("node"))
+    """Links every node's larger neighbours (``large``), or the node and its smaller ones, to the least node around it.
+    Edges lead from larger to smaller nodes before and after."""
+    both = edges.union(edges.select("b", "a")) if large else edges
+    least = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
+    least = least.select("node", F.least("node", "least").alias("least")).repartition("node")  # so that the join can split a node with many edges
+    met = both.join(least, F.col("a") == F.col("node")).select("a", "b", "least")
     if large:
-        found = met.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("least").alias("b"))
-    else:
-        found = met.select(F.col("b").alias("a"), F.col("least").alias("b")).union(least.select("node", "least"))
-    return found.filter("a != b").distinct()
+        return met.filter("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    return met.filter("b > least").select(F.col("b").alias("a"), F.col("least").alias("b")).union(least.select("node", "least"))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); a component is named after its least node. Ends when
     every edge leads to the least node of its component, which takes a logarithmic number of rounds."""
-    edges = checkpointed(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    edges = edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     while True:
-        stars = checkpointed(_star(_star(edges, True), False))
-        # Done when all edges lead to roots: no node is both a root and a leaf, and none has two roots.
-        state = stars.groupBy("a").agg(F.count("*").alias("n"), F.lit(1).alias("leaf"))
-        roots = stars.select("b").distinct()
-        unsettled = state.filter("n > 1").select("a").union(state.join(roots, F.col("a") == F.col("b"), "left_semi").select("a"))
-        if unsettled.isEmpty():
-            return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots.select("b", F.col("b")))
-        edges = stars
+        edges = checkpointed(_star(_star(edges, False), True).distinct())
+        ends = edges.select(F.col("a").alias("node"), F.col("b").alias("at")).union(edges.select("b", "b"))
+        nodes = ends.groupBy("node").agg(F.min("at").alias("component"), F.max("at").alias("other"))
+        # Settled when no node has two ends: neither two roots, nor a root while it is one itself.
+        if nodes.agg(F.count_if(F.col("component") < F.col("other"))).first()[0] == 0:
+            return nodes.select("node", "component")

@@ -132,9 +132,9 @@ def sets_of(docs: DataFrame, members: DataFrame, n_members: int) -> DataFrame:
     return read.select("text", *names).mapInArrow(run, f"rep long, {schema}, shingles binary")
 
 
-def find_links(sets: list[np.ndarray], ids: list[int], probes: np.ndarray, targets: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links that connect what is connected between ``probes`` and ``targets`` (positions): pairs that are known to be
-    connected by others are not compared. ``ids`` that are equal are one node."""
+def connected(sets: list[np.ndarray], ids: list[int], probes: np.ndarray, targets: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """(id, least id of its component) for what links between ``probes`` and ``targets`` (positions) connect, without the
+    least ids themselves. ``ids`` that are equal are one node."""
     parent: dict[int, int] = {i: i for i in ids}
 
     def root(x: int) -> int:
@@ -143,38 +143,34 @@ def find_links(sets: list[np.ndarray], ids: list[int], probes: np.ndarray, targe
             x = parent[x]
         return x
 
-    links = []
-
     def link(a: int, b: int) -> None:
-        ra, rb = root(ids[a]), root(ids[b])
-        if ra != rb:
-            parent[max(ra, rb)] = min(ra, rb)
-            links.append((ids[a], ids[b]))
+        a, b = root(ids[a]), root(ids[b])
+        parent[max(a, b)] = min(a, b)
 
     sizes = np.array([len(s) for s in sets])
     if len(sets) == 2:
         both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
         if 100 * both >= percent * (sizes.sum() - both):
             link(0, 1)
-        return links
-    _, flat = np.unique(np.concatenate([sets[i] for i in targets] + [sets[i] for i in probes]), return_inverse=True)
-    ends = np.cumsum(np.concatenate((sizes[targets], sizes[probes])))
-    held, begins = flat[: ends[len(targets) - 1]], ends[: len(targets)] - sizes[targets]
-    mark = np.zeros(int(flat.max()) + 1, np.int32)
-    for k, probe in enumerate(probes):
-        end = ends[len(targets) + k]
-        own = flat[end - sizes[probe] : end]
-        mark[own] = 1
-        both = np.add.reduceat(mark[held], begins)
-        mark[own] = 0
-        for j in targets[100 * both >= percent * (sizes[probe] + sizes[targets] - both)]:
-            if j != probe:
-                link(int(j), int(probe))
-    return links
+    else:
+        _, flat = np.unique(np.concatenate([sets[i] for i in targets] + [sets[i] for i in probes]), return_inverse=True)
+        ends = np.cumsum(np.concatenate((sizes[targets], sizes[probes])))
+        held, begins = flat[: ends[len(targets) - 1]], ends[: len(targets)] - sizes[targets]
+        mark = np.zeros(int(flat.max()) + 1, np.int32)
+        for k, probe in enumerate(probes):
+            end = ends[len(targets) + k]
+            own = flat[end - sizes[probe] : end]
+            mark[own] = 1
+            both = np.add.reduceat(mark[held], begins)
+            mark[own] = 0
+            for j in targets[100 * both >= percent * (sizes[probe] + sizes[targets] - both)]:
+                if j != probe:
+                    link(int(j), int(probe))
+    return [(i, root(i)) for i in parent if root(i) != i]
 
 
 def by_group(rows: DataFrame, keys: list[str], columns: list[str], act: Callable[[dict[str, list]], list[tuple[int, int]]]) -> DataFrame:
-    """Edges (a, b) that ``act`` finds in each group of rows with equal ``keys``, one group in memory at a time."""
+    """Pairs (a, b) that ``act`` makes of each group of rows with equal ``keys``, one group in memory at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {c: [] for c in columns}
@@ -205,18 +201,18 @@ def _sets(held: dict[str, list]) -> list[np.ndarray]:
     return [np.frombuffer(s, np.uint64) for s in held["shingles"]]
 
 
-def links_in_regions(sets: DataFrame, percent: int) -> DataFrame:
-    """Links inside regions that one task compares whole."""
+def components_in_regions(sets: DataFrame, percent: int) -> DataFrame:
+    """Components of regions that one task compares whole: (a, b), b being the least id of a's component."""
 
     def act(held: dict[str, list]) -> list[tuple[int, int]]:
         everyone = np.arange(len(held["rep"]))
-        return find_links(_sets(held), held["rep"], everyone, everyone, percent) if len(everyone) > 1 else []
+        return connected(_sets(held), held["rep"], everyone, everyone, percent) if len(everyone) > 1 else []
 
     return by_group(sets, ["region"], ["rep", "shingles"], act)
 
 
-def links_in_large_regions(sets: DataFrame, percent: int) -> DataFrame:
-    """Links inside regions that are cut into ``blocks`` blocks: each block in itself and with the first, then what the
+def components_in_large_regions(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of the documents with links inside regions that are cut into ``blocks`` blocks: each block in itself and with the first, then what the
     region's largest component has not taken in with all blocks."""
     sets = checkpointed(sets.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")))
 
@@ -227,14 +223,14 @@ def links_in_large_regions(sets: DataFrame, percent: int) -> DataFrame:
             probes = np.arange(len(guest))
         if not len(probes) or not len(targets):
             return []
-        return find_links(_sets(held), held["rep"], probes, targets, percent)
+        return connected(_sets(held), held["rep"], probes, targets, percent)
 
     columns = ["rep", "shingles", "guest", "whole"]
     at_home = sets.select("region", "block", "rep", "shingles", F.lit(False).alias("guest"))
     others = F.explode(F.expr("sequence(1, CAST(blocks AS INT) - 1)")).alias("block")
     first = sets.filter("block = 0 AND blocks > 1").select("region", others, "rep", "shingles", F.lit(True).alias("guest"))
-    near = checkpointed(by_group(at_home.union(first).withColumn("whole", F.lit(True)), ["region", "block"], columns, compare))
-    found = components(near)
+    near = by_group(at_home.union(first).withColumn("whole", F.lit(True)), ["region", "block"], columns, compare)
+    found = checkpointed(components(near))
     named = sets.join(found, F.col("rep") == F.col("node"), "left").withColumn("component", F.coalesce("component", "rep")).drop("node")
     sizes = named.groupBy("region", "component").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("region").agg(F.max(F.struct("n", "component")).alias("most")).select("region", "most.component")
@@ -242,7 +238,7 @@ def links_in_large_regions(sets: DataFrame, percent: int) -> DataFrame:
     everywhere = F.explode(F.expr("sequence(0, CAST(blocks AS INT) - 1)")).alias("block")
     guests = outside.select("region", everywhere, "rep", "shingles", F.lit(True).alias("guest"))
     far = by_group(at_home.union(guests).withColumn("whole", F.lit(False)), ["region", "block"], columns, compare)
-    return near.union(far)
+    return components(found.toDF("a", "b").union(far))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, region: int = REGION) -> DataFrame:
@@ -256,12 +252,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75, region: int = REGION) ->
     members = classes.select("rep", "n").join(regions, "rep")
     totals = members.groupBy("region").agg(F.sum("n").alias("total"))
     members = members.join(totals, "region").select("rep", "region", F.ceil(F.col("total") / region).cast("long").alias("blocks"))
-    members = checkpointed(members.distinct())
+    members = checkpointed(members)
     n_members, n_large = members.agg(F.count("*"), F.count_if(F.col("blocks") > 1)).first()
-    links = links_in_regions(sets_of(docs, members.filter("blocks = 1"), n_members), percent)
+    found = components_in_regions(sets_of(docs, members.filter("blocks = 1"), n_members), percent).toDF("node", "component")
     if n_large:
-        links = links.union(links_in_large_regions(sets_of(docs, members.filter("blocks > 1"), n_large), percent))
-    found = components(links)
+        found = found.union(components_in_large_regions(sets_of(docs, members.filter("blocks > 1"), n_large), percent))
     # Only classes with copies or links need a name; all other documents stand for themselves.
     names = classes.join(found, F.col("rep") == F.col("node"), "left").filter("copies > 1 OR node IS NOT NULL")
     names = checkpointed(names.select(F.col("low").alias("l"), F.col("high").alias("h"), F.coalesce("component", "rep").alias("name")))

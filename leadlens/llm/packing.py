@@ -12,7 +12,6 @@ columns are ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -23,24 +22,33 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadlens.llm.common import bound_batches, checkpointed, in_parts
+from leadlens.llm.common import bound_batches, checkpointed, in_parts, utf8, word_hashes
 
 LENGTH = 2048
 OPEN_WINDOWS = 16
 LEAST_CUT = 32
 END_ID = 1
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, open boolean"
-#: Cached words, and cached words without case and marks; a full cache is emptied.
-WORDS, CORES = 300_000, 600_000
-#: A word that splits into letters and marks the same way in every vocabulary: no apostrophe, no mark of a special token.
-PLAIN = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([!\"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~]*)")
-_tokenizers: dict[str, TokenCache] = {}
-
-
-class TokenCache(dict):
-    """White-space separated words to their ids, as packed 32-bit numbers. For a vocabulary that drops white space and
-    case before anything else, keeps runs of letters and of marks apart, and whose last token of a run ends in
-    ``</w>``: a text's ids are its words' ids in a row, and a plain word's those of its letters and of its marks."""
+#: Places for cached runs, of 14 bytes each, and ids held for them; a full cache is emptied.
+SLOTS, HELD = 1 << 21, 1 << 23
+_tokenizers: dict[str, RunCache] = {}
+
+# Kinds of bytes: white space, letters (ASCII, and Latin-1 as two bytes), digits, marks, and what else there is. An
+# apostrophe or the beginning of a special token is left to the tokenizer.
+_SPACE, _LETTER, _DIGIT, _MARK, _ELSE = range(5)
+_KIND = np.full(256, _ELSE, np.uint8)
+_KIND[list(b" \t\n\r")] = _SPACE
+_KIND[[*range(65, 91), *range(97, 123), 0xC3]] = _LETTER
+_KIND[range(48, 58)] = _DIGIT
+_KIND[list(b"!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~")] = _MARK
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+class RunCache:
+    """The ids of runs of letters, of marks, and of single digits, by 64-bit hash. For a vocabulary that drops white space
+    and case before anything else, cuts texts into such runs, and ends each run's last token in ``</w>``: a text's
+    ids are its runs' ids in a row. Texts with other bytes go to the tokenizer as they are."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -49,50 +57,92 @@ class TokenCache(dict):
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(vocabulary.values()) + 2, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.cores: dict[str, bytes] = {"": b""}
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        words = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts]
-        new = set().union(*words).difference(self)
-        if len(self) + len(new) > WORDS:
-            self.clear()
-            new = set().union(*words)
-        plain, other = [], []
-        for word in new:
-            if match := PLAIN.fullmatch(word):
-                plain.append((word, match[1].lower(), match[2]))
+        self.empty()
+
+    def empty(self) -> None:
+        self.keys = np.zeros(SLOTS, np.uint64)
+        self.starts, self.sizes = np.zeros(SLOTS, np.int32), np.zeros(SLOTS, np.int16)
+        self.held, self.n_held = np.zeros(HELD, np.uint32), 0
+
+    def encode(self, column: pa.Array) -> list[np.ndarray]:
+        """The ids of each text; NULL is empty."""
+        data, offsets = utf8(column)
+        kinds = _KIND[data]
+        follows = np.zeros(len(data), bool)  # the second byte of a Latin-1 letter
+        follows[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        kinds[follows] = _LETTER
+        alone = (data == 0xC3) & ~np.append(follows[1:], False)
+        kinds[alone] = _ELSE
+        full = np.flatnonzero(np.diff(offsets))
+        other = np.zeros(len(column), bool)
+        if len(full):
+            other[full] = np.maximum.reduceat(kinds, offsets[full]) == _ELSE
+        out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(column)
+        rest = np.flatnonzero(other)
+        if len(rest):
+            texts = column.take(pa.array(rest)).to_pylist()
+            for i, found in zip(rest, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                out[i] = np.array(found.ids, np.uint32)
+            kinds[np.repeat(other, np.diff(offsets))] = _SPACE
+        lower = _LOWER[data]
+        lower[follows & (data <= 0x9E)] += 32
+        begins = np.ones(len(data), bool)
+        begins[1:] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == _DIGIT)
+        begins[offsets[full]] = True
+        edges = np.append(np.flatnonzero(begins), len(data))
+        real = kinds[edges[:-1]] != _SPACE
+        starts, ends = edges[:-1][real], edges[1:][real]
+        ids, at = self.runs(lower, starts, ends)
+        bounds = at[np.searchsorted(starts, offsets)]
+        for i in np.flatnonzero(~other):
+            out[i] = ids[bounds[i] : bounds[i + 1]]
+        return out
+
+    def runs(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the runs in a row, and where each run's begin, one more for the end."""
+        hashes = word_hashes(data, starts, ends) | np.uint64(1)
+        unique, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        slots = (unique >> np.uint64(43)).astype(np.int64)
+        if self.n_held + len(data) > HELD:
+            self.empty()
+        known = self.keys[slots] == unique
+        begin, size = self.starts[slots].astype(np.int64), self.sizes[slots].astype(np.int64)
+        held = self.held
+        if new := np.flatnonzero(~known).tolist():
+            raw = data.tobytes()
+            texts = [raw[a:b].decode() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]
+            some = [self.learn(texts[k : k + 1000]) for k in range(0, len(texts), 1000)]
+            fresh = np.concatenate([ids for ids, _ in some])
+            sizes = np.concatenate([n for _, n in some])
+            if self.n_held + len(fresh) > HELD:  # one text alone may be longer than the cache
+                held = np.concatenate((self.held[: self.n_held], fresh))
             else:
-                other.append(word)
-        self.learn({c for _, c, _ in plain}, {m for _, _, m in plain})
-        for word, core, marks in plain:
-            self[word] = self.cores[core] + self.cores[marks]
-        for word, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
-            self[word] = np.array(found.ids, "<u4").tobytes()
-        return [b"".join(map(self.__getitem__, x)) for x in words]
-
-    def learn(self, cores: set[str], marks: set[str]) -> None:
-        """Encodes new runs of letters or marks, many to a text, cut apart at the tokens that end a run."""
-        if len(self.cores) + len(cores) > CORES:
-            self.cores = {"": b""}
-        new = [*(cores - self.cores.keys()), *(marks - self.cores.keys())]
-        parts = [new[at : at + 1000] for at in range(0, len(new), 1000)]
-        for part, found in zip(parts, self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False), strict=True):
-            ids = np.array(found.ids, "<u4")
-            ends = 4 * (np.flatnonzero(self.ends[ids]) + 1)
-            if len(ends) != len(part):
-                raise ValueError("the vocabulary does not end each run of letters or marks with </w>")
-            packed = ids.tobytes()
-            for run, start, end in zip(part, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
-                self.cores[run] = packed[start:end]
-
-
-def tokens(path: str) -> TokenCache:
+                held[self.n_held : self.n_held + len(fresh)] = fresh
+            size[new], begin[new] = sizes, self.n_held + np.cumsum(sizes) - sizes
+            if held is self.held:
+                short = np.array(new)[sizes < 1 << 15]
+                self.keys[slots[short]], self.starts[slots[short]], self.sizes[slots[short]] = unique[short], begin[short], size[short]
+                self.n_held += len(fresh)
+        sizes = size[which]
+        at = np.concatenate(([0], np.cumsum(sizes)))
+        return held[np.arange(at[-1]) + np.repeat(begin[which] - at[:-1], sizes)], at
+
+    def learn(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of new runs and how many each has: encoded as one text, cut at the tokens that end a run."""
+        ids = np.array(self.tokenizer.encode(" ".join(runs), add_special_tokens=False).ids, np.uint32)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(runs):
+            raise ValueError("the vocabulary does not end each run of letters or marks with </w>")
+        return ids, np.diff(ends, prepend=0)
+
+
+def tokens(path: str) -> RunCache:
     """The worker's tokenizer for ``path``, kept between tasks."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if path not in _tokenizers:
-        _tokenizers[path] = TokenCache(path)
+        _tokenizers[path] = RunCache(path)
     return _tokenizers[path]
 
 
@@ -154,13 +204,12 @@ def pack_partitions(docs: DataFrame, path: str, length: int, most: int, least_cu
         base = TaskContext.get().partitionId() << 40
         waiting: dict[int, list[tuple]] = {}  # pieces of windows that are still open
         for batch in in_parts(batches, "text"):
-            texts = [x or "" for x in batch.column(1).to_pylist()]
             out = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), cache.ids(texts), strict=True):
-                ids += END_ID.to_bytes(4, "little")
-                size = len(ids) // 4
+            for doc_id, ids in zip(batch.column(0).to_pylist(), cache.encode(batch.column(1)), strict=True):
+                size = len(ids) + 1
+                packed = ids.astype("<u4").tobytes() + END_ID.to_bytes(4, "little")
                 for start, n, window, offset in cut(windows, size, least_cut):
-                    crc = zlib.crc32(ids[4 * start : 4 * (start + n)])
+                    crc = zlib.crc32(packed[4 * start : 4 * (start + n)])
                     waiting.setdefault(window, []).append((doc_id, start, n, crc, size, base | window, offset))
             still = {w for _, w in windows.fills}
             for window in [w for w in waiting if w not in still]:

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest import SMALL
 from tokenizers import Tokenizer
@@ -64,16 +65,16 @@ def test_leftovers_of_many_partitions_are_merged(spark, per_task):
     assert check(pieces, source, 64) > 0.85
 
 
-def test_word_cache_equals_the_tokenizer(monkeypatch):
+def test_run_cache_equals_the_tokenizer(monkeypatch):
     rng = random.Random(5)
     alphabet = list("abcABC  \n\t'.,!?<>|_-09") + ["É", "ß", "\x1c", "\x0b", " ", "é", "🎉", "你", "İ", "Σ", "<|endoftext|>", "'s", "'LL"]
-    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 60))) for _ in range(400)]
-    monkeypatch.setattr(packing, "WORDS", 200)
-    monkeypatch.setattr(packing, "CORES", 100)
-    cache = packing.TokenCache(PATH)
+    plain = list("abcABC  \n\t.,!?>|_-09") + ["É", "ß", "ÿ", "ÀÞ"]
+    texts = ["".join(rng.choices(rng.choice((alphabet, plain)), k=rng.randint(0, 60))) for _ in range(400)]
+    monkeypatch.setattr(packing, "HELD", 300)
+    cache = packing.RunCache(PATH)
     for at in range(0, 400, 40):
         part = texts[at : at + 40]
-        assert [np.frombuffer(x, "<u4").tolist() for x in cache.ids(part)] == [e.ids for e in TOKENIZER.encode_batch(part, add_special_tokens=False)]
+        assert [x.tolist() for x in cache.encode(pa.array(part))] == [e.ids for e in TOKENIZER.encode_batch(part, add_special_tokens=False)]
 
 
 def test_best_fit_and_emission():
