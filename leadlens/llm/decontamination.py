@@ -8,8 +8,8 @@ if its slots are consistent: each value of the item always stands for one value
 way round. Windows whose slots did not change count in any case. An item is found in a document if half of its
 windows are, or 18 of them (25 tokens).
 
-Rows: a NULL or empty text matches nothing. An item of fewer than eight tokens is one window, if it has four plain
-words; items without any window can't be found. Repeated items are reported each; repeated rows are one document, as
+Rows: a NULL or empty text matches nothing. An item of fewer than eight tokens is one window of its own width, if it
+has four plain words; items without any window can't be found. Repeated items are reported each; repeated rows are one document, as
 are rows that share id and text. Results name the id, NULL where a document has none. Other columns are ignored.
 """
 
@@ -95,24 +95,12 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return template, hashes, np.searchsorted(row, np.arange(len(offsets)))
 
 
-def _windows(column: pa.Array) -> tuple[np.ndarray, ...]:
-    """Of each row's windows: hash, row, position; which have enough plain words; and the tokens to take slots from."""
-    template, hashes, first = tokens(column)
-    keys, begins = windows(template, first, WIDTH)
-    row = np.repeat(np.arange(len(first) - 1), np.diff(begins))
-    position = np.arange(len(keys)) - begins[row]
-    plain = np.concatenate(([0], np.cumsum(template > NAME)))
-    at = first[row] + position
-    ends = np.minimum(at + WIDTH, first[row + 1]) if len(row) else at
-    return keys, row, position, plain[ends] - plain[at] >= LEAST_PLAIN, template, hashes, at, ends
+WINDOW = "hash long, position int, width int, slots array<long>"
 
 
-WINDOW = "hash long, position int, slots array<long>"
-
-
-def template_windows(docs: DataFrame, keys: list[str], wanted: np.ndarray | None = None) -> DataFrame:
-    """A row for each window of ``docs`` (text and ``keys``) with enough plain words: ``keys``, hash, position and slots;
-    only those whose hash is in ``wanted``, if given."""
+def template_windows(docs: DataFrame, keys: list[str], wanted: np.ndarray | None = None, widths: tuple[int, ...] = (WIDTH,)) -> DataFrame:
+    """A row for each window of ``docs`` (text and ``keys``) with enough plain words: ``keys``, hash, position, width and
+    slots; only those whose hash is in ``wanted``, if given. A text shorter than the first of ``widths`` is one window."""
     sifted = None
     if wanted is not None:
         bits = np.zeros(1 << 20, bool)
@@ -121,20 +109,28 @@ def template_windows(docs: DataFrame, keys: list[str], wanted: np.ndarray | None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_parts(batches, "text"):
-            hash_, row, position, usable, template, hashes, at, ends = _windows(batch.column(0))
-            if sifted is not None:
-                bits, some = sifted.value
-                usable &= bits[hash_ >> np.uint64(44)]
-                found = np.flatnonzero(usable)
-                near = np.minimum(np.searchsorted(some, hash_[found].view(np.int64)), max(len(some) - 1, 0))
-                found = found[some[near] == hash_[found].view(np.int64)] if len(some) else found[:0]
-            else:
-                found = np.flatnonzero(usable)
-            for part in np.array_split(found, len(found) // 20_000 + 1):
-                slots = [hashes[s:e][template[s:e] <= NAME].view(np.int64) for s, e in zip(at[part], ends[part], strict=True)]
-                columns = [c.take(pa.array(row[part])) for c in batch.columns[1:]]
-                columns += [pa.array(hash_[part].view(np.int64)), pa.array(position[part].astype(np.int32)), pa.array(slots, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, names=[*keys, "hash", "position", "slots"])
+            template, hashes, first = tokens(batch.column(0))
+            plain = np.concatenate(([0], np.cumsum(template > NAME)))
+            for width in widths:
+                hash_, begins = windows(template, first, width)
+                row = np.repeat(np.arange(len(first) - 1), np.diff(begins))
+                position = np.arange(len(hash_)) - begins[row]
+                at = first[row] + position
+                ends = np.minimum(at + width, first[1:][row])
+                usable = (plain[ends] - plain[at] >= LEAST_PLAIN) & ((width == widths[0]) | (ends - at == width))
+                if sifted is not None:
+                    bits, some = sifted.value
+                    found = np.flatnonzero(usable & bits[hash_ >> np.uint64(44)])
+                    near = np.minimum(np.searchsorted(some, hash_[found].view(np.int64)), max(len(some) - 1, 0))
+                    found = found[some[near] == hash_[found].view(np.int64)] if len(some) else found[:0]
+                else:
+                    found = np.flatnonzero(usable)
+                for part in np.array_split(found, len(found) // 20_000 + 1):
+                    slots = [hashes[s:e][template[s:e] <= NAME].view(np.int64) for s, e in zip(at[part], ends[part], strict=True)]
+                    columns = [c.take(pa.array(row[part])) for c in batch.columns[1:]]
+                    columns += [pa.array(hash_[part].view(np.int64)), pa.array(position[part].astype(np.int32))]
+                    columns += [pa.array((ends - at)[part].astype(np.int32)), pa.array(slots, pa.list_(pa.int64()))]
+                    yield pa.RecordBatch.from_arrays(columns, names=[*keys, "hash", "position", "width", "slots"])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*keys).schema)
     return docs.select("text", *keys).mapInArrow(run, f"{schema}, {WINDOW}")
@@ -155,9 +151,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, en
     if hashes.count() <= SMALL_WINDOWS:
         wanted = np.array([r["hash"] for r in hashes.toLocalIterator()], np.int64)
     rows = docs.select("doc_id", "text").withColumn("doc_key", document_key(docs))
-    ours = template_windows(rows, ["doc_key", "doc_id"], wanted).distinct()
+    # Items of fewer than eight tokens are looked for in windows of their own widths.
+    short = sorted(r["width"] for r in items.filter(F.col("width") < WIDTH).select("width").distinct().collect())
+    ours = template_windows(rows, ["doc_key", "doc_id"], wanted, (WIDTH, *short))
     theirs = items.select("item_key", "item_id", F.col("hash").alias("item_hash"), F.col("position").alias("item_position"), F.col("slots").alias("item_slots"))
-    met = ours.join(theirs, F.col("hash") == F.col("item_hash")).select(
+    met = ours.drop("width").distinct().join(theirs, F.col("hash") == F.col("item_hash")).select(
         "doc_key", "doc_id", "item_key", "item_id", "item_position",
         (F.col("position") - F.col("item_position")).alias("diagonal"),
         F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")).alias("pairs"),

@@ -1,0 +1,68 @@
+"""The pipeline against a brute-force version of its stages, and the registered queries against their SQL."""
+
+import pytest
+from compare import differences, open_oracle
+from conftest import SMALL
+
+import corpus_pipeline
+from leadlens.llm import common, language_id
+from leadlens.llm.catalog import ORACLE, QUERIES
+
+from . import test_minhash, test_packing, test_secrets
+from .samples import AWKWARD, frame
+
+
+@pytest.mark.parametrize("name", list(ORACLE))
+def test_query_matches_its_sql(spark, name):
+    with open_oracle(SMALL) as con:
+        assert differences(QUERIES[name](spark, SMALL), con, ORACLE[name]) is None
+
+
+def test_queries_are_named_and_complete():
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+
+
+def grams(text):
+    words = [w.strip(".,").lower() for w in (text or "").split()]
+    return {tuple(words[i : i + 8]) for i in range(len(words) - 7)}
+
+
+def test_stages_match_brute_force(spark):
+    docs = common.documents(spark, SMALL)
+    rows = {r["doc_id"]: r for r in docs.collect()}
+    stages = dict(corpus_pipeline.STAGES)
+
+    bits = {r["doc_id"]: r for r in language_id.language_id(docs).collect()}
+    first = stages["language_id"](spark, docs, SMALL)
+    assert first.schema == docs.schema
+    assert {r["doc_id"] for r in first.collect()} == {i for i, r in bits.items() if r["lang_pred"] != "und" and (r["bits_per_byte"] < 8 or len(rows[i]["text"].encode()) < 100)}
+
+    second = stages["minhash_dedup"](spark, first, SMALL)
+    source = [(r["doc_id"], r["text"]) for r in first.collect()]
+    want = {i for _, i, _, c in test_minhash.brute_force(source) if i == c}
+    assert second.schema == docs.schema and {r["doc_id"] for r in second.collect()} == want
+
+    third = stages["decontamination"](spark, second, SMALL)
+    items = [grams(r["text"]) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    leaked = {i for i in want if any(len(g & grams(rows[i]["text"])) >= 0.5 * len(g) > 0 for g in items)}
+    assert leaked and {r["doc_id"] for r in third.collect()} == want - leaked
+
+    fourth = {r["doc_id"]: r for r in stages["secret_scan"](spark, third, SMALL).collect()}
+    assert set(fourth) == want - leaked
+    for i, r in fourth.items():
+        spans = test_secrets.expected(rows[i]["text"])[-1]
+        assert (r["text"] != rows[i]["text"]) == bool(spans)
+        assert test_secrets.expected(r["text"])[-1] == "" and r["n_chars"] == len(r["text"])
+
+    pieces = corpus_pipeline.run(spark, SMALL).collect()
+    test_packing.check(pieces, [(i, r["text"]) for i, r in fourth.items()])
+
+
+def test_awkward_rows_pass_every_stage(spark, tmp_path):
+    folder = str(tmp_path)
+    spark.createDataFrame([(1, None), (2, "plain words in a benchmark item that nobody has")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    frame(spark, AWKWARD).write.parquet(f"{folder}/documents.parquet")
+    texts = {r["doc_id"] for r in corpus_pipeline.run(spark, folder).collect()}
+    assert texts <= {4, 6, 8, 9, 10, 11, None} and {6, 10} <= texts
+    frame(spark, []).write.mode("overwrite").parquet(f"{folder}/documents.parquet")
+    assert corpus_pipeline.run(spark, folder).count() == 0
