@@ -7,6 +7,7 @@ import io
 import os
 import sys
 
+import numpy as np
 import pytest
 from pyspark.sql import SparkSession
 
@@ -17,35 +18,25 @@ from leadlens.dictionary import CONTACTS  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
-# The eight contacts whose results are known by hand, one list per column in id order.
-EIGHT = {
-    "id": [1, 2, 3, 4, 5, 6, 7, 8],
-    "age": [30, 45, 62, 28, 38, 55, 24, 41],
-    "job": ["admin.", "technician", "retired", "services", "blue-collar", "management", "student", "unknown"],
-    "marital": ["single", "married", "divorced", "single", "married", "married", "single", "unknown"],
-    "education": [
-        "university.degree", "professional.course", "basic.9y", "high.school", "basic.4y", "university.degree",
-        "unknown", "basic.6y",
-    ],
-    "default": ["no", "unknown", "no", "no", "no", "no", "no", "no"],
-    "housing": ["yes", "no", "no", "yes", "yes", "no", "unknown", "yes"],
-    "loan": ["no", "yes", "no", "no", "yes", "no", "no", "unknown"],
-    "contact": ["cellular", "cellular", "telephone", "cellular", "telephone", "cellular", "cellular", "telephone"],
-    "month": ["may", "aug", "oct", "may", "jun", "mar", "dec", "jul"],
-    "day_of_week": ["mon", "tue", "wed", "thu", "fri", "mon", "tue", "wed"],
-    "duration": [120, 600, 480, 90, 200, 520, 150, 300],
-    "campaign": [1, 2, 1, 7, 3, 2, 1, 6],
-    "pdays": [999, 100, 50, 999, 999, 30, 999, 200],
-    "previous": [0, 2, 1, 0, 0, 3, 0, 1],
-    "poutcome": [
-        "nonexistent", "success", "success", "nonexistent", "nonexistent", "failure", "nonexistent", "failure",
-    ],
-    "emp_var_rate": [1.1, -1.8, -2.9, 1.4, 1.4, -0.1, -1.1, 1.4],
-    "cons_price_index": [93.0, 94.0, 92.5, 93.5, 93.9, 93.2, 94.2, 94.0],
-    "cons_conf_index": [-36.0, -40.0, -42.0, -35.0, -36.4, -38.0, -46.2, -39.0],
-    "lending_rate3m": [1.0, 1.5, 0.8, 4.0, 4.2, 2.0, 1.3, 4.5],
-    "nr_employed": [5100, 5000, 4970, 5220, 5228, 5050, 4960, 5200],
-    "subscribe": ["no", "yes", "yes", "no", "no", "yes", "no", "no"],
+# Nine contacts, four of them won; the tests state what follows from them by hand.
+FEW_COLUMNS = (
+    "id age job marital education default housing loan contact month day_of_week duration campaign pdays previous poutcome "
+    "emp_var_rate cons_price_index cons_conf_index lending_rate3m nr_employed subscribe"
+).split()
+FEW_ROWS = """
+11 33 entrepreneur married high.school no no no telephone nov fri 75 3 999 0 nonexistent 0.4 93.4 -41.5 3.1 5090 no
+12 51 housemaid divorced basic.6y unknown yes no cellular apr tue 410 1 12 2 success -1.3 92.8 -47.0 1.6 4985 yes
+13 19 student single unknown no yes yes cellular sep wed 260 2 999 0 nonexistent -0.8 94.4 -38.5 0.9 4995 yes
+14 67 retired married basic.4y no no no telephone jun mon 95 9 40 1 failure 1.2 93.8 -36.0 4.4 5190 no
+15 44 admin. single university.degree no unknown unknown cellular jul thu 130 1 999 0 nonexistent 1.3 93.9 -42.7 4.6 5225 no
+16 58 unknown married professional.course no yes no cellular mar fri 720 2 6 4 success -1.9 92.6 -50.0 1.2 5070 yes
+17 29 services single high.school unknown no yes telephone may mon 60 7 999 0 nonexistent 1.0 93.6 -37.2 4.1 5200 no
+18 36 technician divorced university.degree no yes no cellular aug tue 205 4 999 0 nonexistent 1.4 93.3 -36.3 4.9 5230 no
+19 40 management married university.degree no no no cellular oct thu 380 1 90 1 failure -0.3 92.3 -33.5 0.7 5000 yes
+"""
+FEW = {
+    c: [int(v) if c == "id" else float(v) if c in CONTACTS.numerics else v for v in values]
+    for c, values in zip(FEW_COLUMNS, zip(*(line.split() for line in FEW_ROWS.split("\n") if line)))
 }
 
 
@@ -79,47 +70,34 @@ def spark(tmp_path_factory):
 
 
 @pytest.fixture(scope="session")
-def eight(spark):
-    return contact_frame(spark, EIGHT).persist()
+def few(spark):
+    return contact_frame(spark, FEW).persist()
 
 
 @pytest.fixture(scope="session")
-def planted(spark):
-    """600 labelled contacts whose outcome leans on poutcome, month and campaign; fixed by hashing the id."""
-    pick = lambda salt, *values: (
-        f"element_at(array({', '.join(repr(v) for v in values)}), CAST(pmod(hash(id, {salt}), {len(values)}) AS INT) + 1)"
-    )
-    df = spark.range(1, 601).selectExpr(
-        "id",
-        "CAST(20 + pmod(hash(id, 1), 50) AS DOUBLE) AS age",
-        f"{pick(2, 'admin.', 'technician', 'services', 'retired', 'student', 'unknown')} AS job",
-        f"{pick(3, 'single', 'married', 'divorced')} AS marital",
-        f"{pick(4, 'high.school', 'basic.9y', 'university.degree')} AS education",
-        "'no' AS `default`",
-        f"{pick(5, 'yes', 'no')} AS housing",
-        "'no' AS loan",
-        f"{pick(6, 'cellular', 'telephone')} AS contact",
-        f"{pick(7, 'mar', 'may', 'jul', 'aug', 'oct', 'dec')} AS month",
-        f"{pick(8, 'mon', 'tue', 'wed', 'thu', 'fri')} AS day_of_week",
-        "CAST(60 + pmod(hash(id, 9), 500) AS DOUBLE) AS duration",
-        f"CAST({pick(10, '1', '2', '3', '6', '8')} AS DOUBLE) AS campaign",
-        f"{pick(11, 'nonexistent', 'nonexistent', 'failure', 'success')} AS poutcome",
-        "CAST(pmod(hash(id, 12), 5) AS DOUBLE) - 2 AS emp_var_rate",
-        "92 + CAST(pmod(hash(id, 13), 25) AS DOUBLE) / 10 AS cons_price_index",
-        "-46 + CAST(pmod(hash(id, 14), 100) AS DOUBLE) / 10 AS cons_conf_index",
-        "CAST(pmod(hash(id, 15), 40) AS DOUBLE) / 10 AS lending_rate3m",
-        "CAST(4950 + pmod(hash(id, 16), 280) AS DOUBLE) AS nr_employed",
-        "pmod(hash(id, 17), 1000) AS luck",
-    )
-    df = df.selectExpr(
-        "*",
-        "CASE WHEN poutcome = 'nonexistent' THEN 999D ELSE CAST(pmod(hash(id, 18), 200) AS DOUBLE) END AS pdays",
-        "CASE WHEN poutcome = 'nonexistent' THEN 0D ELSE 1D END AS previous",
-        """CASE WHEN luck < 80 + CASE WHEN poutcome = 'success' THEN 500 ELSE 0 END
-             + CASE WHEN month IN ('mar', 'oct', 'dec') THEN 200 ELSE 0 END - CASE WHEN campaign >= 6 THEN 150 ELSE 0 END
-           THEN 'yes' ELSE 'no' END AS subscribe""",
-    )
-    return df.select(*[f"`{c}`" for c in CONTACTS.columns]).persist()
+def leaning(spark):
+    """720 labelled contacts whose chance of a sale follows the lending rate, the channel and an earlier sale."""
+    rng = np.random.default_rng(11)
+    n = 720
+    rate = rng.uniform(0.5, 5.0, n).round(2)
+    channel = rng.choice(["cellular", "telephone"], n, p=[0.6, 0.4])
+    earlier = rng.choice(["nonexistent", "failure", "success"], n, p=[0.7, 0.2, 0.1])
+    leaning = 0.4 - 0.8 * rate + 0.9 * (channel == "cellular") + 2.5 * (earlier == "success")
+    known = {
+        "id": np.arange(5000, 5000 + n), "lending_rate3m": rate, "contact": channel, "poutcome": earlier,
+        "subscribe": np.where(rng.random(n) < 1 / (1 + np.exp(-leaning)), "yes", "no"),
+        "age": rng.integers(18, 80, n), "duration": rng.gamma(2.0, 120.0, n).round(), "campaign": rng.poisson(1.5, n) + 1,
+        "pdays": np.where(earlier == "nonexistent", 999, rng.integers(1, 60, n)), "previous": (earlier != "nonexistent") * rng.integers(1, 4, n),
+        "nr_employed": 4900 + 70 * rate.round(),
+    }
+    texts = {
+        "job": "admin. management retired services student technician unknown", "marital": "divorced married single",
+        "education": "basic.4y basic.9y high.school university.degree", "default": "no no no unknown", "housing": "no yes", "loan": "no no yes",
+        "month": " ".join(CONTACTS.orders["month"][2:]), "day_of_week": " ".join(CONTACTS.orders["day_of_week"]),
+    }
+    numbers = {"emp_var_rate": (-3.0, 1.5), "cons_price_index": (92.0, 95.0), "cons_conf_index": (-51.0, -27.0)}
+    table = known | {c: rng.choice(v.split(), n) for c, v in texts.items()} | {c: rng.uniform(*v, n).round(1) for c, v in numbers.items()}
+    return contact_frame(spark, {c: table[c].tolist() for c in CONTACTS.columns}).persist()
 
 
 def plan_of(df) -> str:

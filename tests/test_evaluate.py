@@ -116,14 +116,18 @@ def test_published_scan(spark):
 
 
 def test_benefit_arithmetic(spark):
-    row = benefit.benefit_at(scored(spark, [1, 0, 1, 0, 0], [0.1, 0.2, 0.3, 0.4, 0.5]), 0.0).first()
-    assert (row["called"], row["tp"], row["cost"], row["revenue"], row["net"], row["lift_vs_all"]) == (5, 2, 50, 200, 150, 0)
-    nobody = benefit.benefit_at(scored(spark, [1, 0, 1], [0.1, 0.2, 0.3]), 0.99).first()
-    assert (nobody["called"], nobody["net"], nobody["baseline_net"], nobody["lift_vs_all"]) == (0, 0, 170, -170)
-    assert (nobody["precision"], nobody["recall"], nobody["call_rate"]) == (0, 0, 0)
-    free = benefit.benefit_scan(scored(spark, [1, 0], [0.6, 0.7]), [0.65, 0.5, 0.5], Config(cost_per_call=0.0))
-    assert [r["tp"] for r in free.orderBy("position").collect()] == [0, 1, 1]
-    assert benefit.best_benefit(free).first()["position"] == 1
+    """Seven scores, three sales; calls cost 10 and a sale brings 100."""
+    df = scored(spark, [0, 1, 0, 1, 0, 0, 1], [0.15, 0.22, 0.31, 0.48, 0.57, 0.66, 0.93])
+    everyone = benefit.benefit_at(df, 0.0).first()
+    assert (everyone["called"], everyone["tp"], everyone["cost"], everyone["revenue"], everyone["net"], everyone["lift_vs_all"]) == (7, 3, 70, 300, 230, 0)
+    some = benefit.benefit_at(df, 0.48).first()
+    assert (some["called"], some["tp"], some["net"], some["baseline_net"], some["lift_vs_all"]) == (4, 2, 160, 230, -70)
+    assert (some["precision"], some["recall"], some["call_rate"]) == (0.5, 2 / 3, 4 / 7)
+    nobody = benefit.benefit_at(df, 0.94).first()
+    assert (nobody["called"], nobody["net"], nobody["lift_vs_all"], nobody["precision"], nobody["recall"], nobody["call_rate"]) == (0, 0, -230, 0, 0, 0)
+    free = benefit.benefit_scan(df, [0.7, 0.2, 0.2], Config(cost_per_call=0.0))
+    assert [r["tp"] for r in free.orderBy("position").collect()] == [1, 3, 3]
+    assert benefit.best_benefit(free).first()["position"] == 1  # the first of equal thresholds
     empty = benefit.benefit_at(scored(spark, [], []), 0.5).first()
     assert (empty["called"], empty["net"]) == (0, 0)
 

@@ -11,21 +11,21 @@ def ids(df):
     return sorted(r["id"] for r in df.collect())
 
 
-def test_default_criteria_keep_everything(eight):
-    criteria = filters.default_criteria(eight, CONTACTS)
-    assert criteria.numeric["age"] == (24.0, 62.0)
+def test_default_criteria_keep_everything(few):
+    criteria = filters.default_criteria(few, CONTACTS)
+    assert criteria.numeric["age"] == (19.0, 67.0)
     assert criteria.categorical["subscribe"] == ["no", "yes"]
     assert len(criteria.categorical) == 11 and len(criteria.numeric) == 10
-    assert filters.apply_filter(eight, criteria).count() == 8
+    assert filters.apply_filter(few, criteria).count() == 9
 
 
-def test_conditions(eight):
-    apply = lambda **kw: ids(filters.apply_filter(eight, FilterCriteria(**kw)))
-    assert apply(categorical={"job": ["retired", "student"]}) == [3, 7]
-    assert apply(categorical={"job": []}) == ids(eight)
-    assert apply(numeric={"age": (40, 60)}) == [2, 6, 8]
-    assert apply(numeric={"age": None}) == ids(eight)
-    assert apply(categorical={"contact": ["cellular"]}, numeric={"age": (40, 200)}) == [2, 6]
+def test_conditions(few):
+    apply = lambda **kw: ids(filters.apply_filter(few, FilterCriteria(**kw)))
+    assert apply(categorical={"job": ["services", "admin."]}) == [15, 17]
+    assert apply(categorical={"job": []}) == ids(few)
+    assert apply(numeric={"age": (29, 44)}) == [11, 15, 17, 18, 19]  # both ends belong to the range
+    assert apply(numeric={"age": None}) == ids(few)
+    assert apply(categorical={"poutcome": ["failure", "success"]}, numeric={"campaign": (2, 20)}) == [14, 16]
 
 
 def test_missing_never_matches(spark):
@@ -34,44 +34,44 @@ def test_missing_never_matches(spark):
     assert ids(filters.apply_filter(df, criteria)) == [2]
 
 
-def test_unknown_columns(eight):
+def test_unknown_columns(few):
     with pytest.raises(DatasetError, match="nope, never"):
-        filters.apply_filter(eight, FilterCriteria(categorical={"nope": ["x"]}, numeric={"never": (0, 1)}))
+        filters.apply_filter(few, FilterCriteria(categorical={"nope": ["x"]}, numeric={"never": (0, 1)}))
 
 
-def test_kpis(eight):
-    criteria = FilterCriteria(numeric={"age": (40, 60)})
-    assert tuple(filters.filter_kpis(eight, criteria, CONTACTS).first()) == (8, 3, 0.375, 2, 2 / 3)
-    empty = filters.filter_kpis(eight.limit(0), criteria, CONTACTS).first()
+def test_kpis(few):
+    criteria = FilterCriteria(numeric={"lending_rate3m": (0.5, 3.5)})
+    assert tuple(filters.filter_kpis(few, criteria, CONTACTS).first()) == (9, 5, 5 / 9, 4, 0.8)
+    empty = filters.filter_kpis(few.limit(0), criteria, CONTACTS).first()
     assert tuple(empty) == (0, 0, 0.0, 0, None)
-    unlabelled = filters.filter_kpis(eight.drop("subscribe"), criteria, CONTACTS).first()
-    assert tuple(unlabelled) == (8, 3, 0.375, None, None)
+    unlabelled = filters.filter_kpis(few.drop("subscribe"), criteria, CONTACTS).first()
+    assert tuple(unlabelled) == (9, 5, 5 / 9, None, None)
 
 
-def test_domain_order(spark, eight):
-    rows = sorted(filters.category_domain(eight, CONTACTS).collect(), key=lambda r: (r["column"], r["position"]))
+def test_domain_order(spark, few):
+    rows = sorted(filters.category_domain(few, CONTACTS).collect(), key=lambda r: (r["column"], r["position"]))
     of = lambda c: [r["value"] for r in rows if r["column"] == c]
-    assert of("month") == ["mar", "may", "jun", "jul", "aug", "oct", "dec"]
-    assert of("marital") == ["married", "single", "divorced", "unknown"]
-    weekend = eight.selectExpr("'sun' AS day_of_week").union(eight.selectExpr("'sat'")).union(eight.select("day_of_week"))
+    assert of("month") == ["mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov"]
+    assert of("marital") == ["married", "single", "divorced"]
+    weekend = few.selectExpr("'sun' AS day_of_week").union(few.selectExpr("'sat'")).union(few.select("day_of_week"))
     rows = filters.category_domain(weekend, CONTACTS).orderBy("position").collect()
     assert [r["value"] for r in rows] == ["mon", "tue", "wed", "thu", "fri", "sat", "sun"]
 
 
-def test_domain_refuses_a_column_of_many_values(spark, eight):
+def test_domain_refuses_a_column_of_many_values(spark, few):
     with pytest.raises(Exception, match="too many values"):
-        filters.category_domain(eight, CONTACTS, max_values=5).collect()
+        filters.category_domain(few, CONTACTS, max_values=5).collect()
 
 
-def test_bounds_skip_empty_columns(eight):
-    rows = filters.numeric_bounds(eight.withColumn("pdays", F.lit(None).cast("double")), CONTACTS).collect()
+def test_bounds_skip_empty_columns(few):
+    rows = filters.numeric_bounds(few.withColumn("pdays", F.lit(None).cast("double")), CONTACTS).collect()
     got = {r["column"]: (r["lo"], r["hi"]) for r in rows}
-    assert got["age"] == (24, 62) and got["id"] == (1, 8) and "pdays" not in got
+    assert got["age"] == (19, 67) and got["id"] == (11, 19) and "pdays" not in got
 
 
-def test_missing_target_is_an_error(eight):
+def test_missing_target_is_an_error(few):
     with pytest.raises(DatasetError, match="target"):
-        filters.require_target(eight.drop("subscribe"), CONTACTS)
+        filters.require_target(few.drop("subscribe"), CONTACTS)
 
 
 def test_filter_reaches_the_scan(spark):

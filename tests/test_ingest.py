@@ -4,7 +4,7 @@ import io
 import re
 
 import pytest
-from conftest import EIGHT, contact_frame
+from conftest import FEW, contact_frame
 
 from leadlens.dictionary import CONTACTS, DatasetError, FieldDictionary
 from leadlens.sources import readers
@@ -21,9 +21,9 @@ def write_csv(path, columns, rows):
 
 @pytest.fixture()
 def folder(tmp_path):
-    rows = list(zip(*EIGHT.values()))
-    write_csv(tmp_path / "train.csv", list(EIGHT), rows)
-    write_csv(tmp_path / "test.csv", list(EIGHT)[:-1], [r[:-1] for r in rows])
+    rows = list(zip(*FEW.values()))
+    write_csv(tmp_path / "train.csv", list(FEW), rows)
+    write_csv(tmp_path / "test.csv", list(FEW)[:-1], [r[:-1] for r in rows])
     return str(tmp_path)
 
 
@@ -34,33 +34,33 @@ def test_reads_both_datasets_with_types(spark, folder):
     assert tuple(test.columns) == CONTACTS.columns[:-1]
     kinds = dict(train.dtypes)
     assert kinds["id"] == "bigint" and kinds["age"] == "double" and kinds["job"] == "string"
-    assert sorted(r["age"] for r in train.collect()) == sorted(map(float, EIGHT["age"]))
+    assert sorted(r["age"] for r in train.collect()) == sorted(map(float, FEW["age"]))
     assert test.storageLevel.useMemory
     test.unpersist()
 
 
-def test_description(spark, eight):
-    row = readers.describe(eight, CONTACTS).first()
-    assert (row["n_rows"], row["n_columns"], row["n_pos"], row["n_neg"], row["positive_rate"]) == (8, 22, 3, 5, 0.375)
-    plain = readers.describe(eight.drop("subscribe"), CONTACTS).first()
+def test_description(spark, few):
+    row = readers.describe(few, CONTACTS).first()
+    assert (row["n_rows"], row["n_columns"], row["n_pos"], row["n_neg"], row["positive_rate"]) == (9, 22, 4, 5, 0.4444)
+    plain = readers.describe(few.drop("subscribe"), CONTACTS).first()
     assert (plain["has_target"], plain["n_pos"], plain["positive_rate"]) == (False, None, None)
-    none = readers.describe(eight.limit(0), CONTACTS).first()
+    none = readers.describe(few.limit(0), CONTACTS).first()
     assert (none["n_rows"], none["positive_rate"]) == (0, None)
 
 
-def test_errors_name_what_is_wrong(spark, folder, eight):
+def test_errors_name_what_is_wrong(spark, folder, few):
     with pytest.raises(DatasetError, match="valid"):
         readers.resolve_dataset("valid")
     with pytest.raises(DatasetError, match="nowhere"):
         readers.read_dataset(spark, folder + "/nowhere", "train", CONTACTS)
     with pytest.raises(DatasetError, match="age, subscribe"):
-        readers.conform(eight.drop("age", "subscribe"), CONTACTS, labelled=True)
-    assert "subscribe" not in readers.conform(eight.drop("subscribe"), CONTACTS, labelled=False).columns
+        readers.conform(few.drop("age", "subscribe"), CONTACTS, labelled=True)
+    assert "subscribe" not in readers.conform(few.drop("subscribe"), CONTACTS, labelled=False).columns
 
 
-def test_reordered_and_extra_columns(eight):
-    shuffled = eight.selectExpr("'x' AS note", *[f"`{c}`" for c in reversed(eight.columns)])
-    assert readers.conform(shuffled, CONTACTS, True).collect() == readers.conform(eight, CONTACTS, True).collect()
+def test_reordered_and_extra_columns(few):
+    shuffled = few.selectExpr("'x' AS note", *[f"`{c}`" for c in reversed(few.columns)])
+    assert readers.conform(shuffled, CONTACTS, True).collect() == readers.conform(few, CONTACTS, True).collect()
 
 
 def test_awkward_cells(spark, tmp_path):
@@ -109,14 +109,14 @@ def test_ingest_compiles_to_small_methods(spark, tmp_path):
     assert sizes and max(sizes) < 8000
 
 
-def test_target_is_lowered_and_stays_null(spark, eight):
-    table = {c: list(v) for c, v in EIGHT.items()}
-    table["subscribe"] = [" YES ", "No", None, "yes", "no", "NA", "no", "yes"]
+def test_target_is_lowered_and_stays_null(spark, few):
+    table = {c: list(v) for c, v in FEW.items()}
+    table["subscribe"] = ["no", " Yes", "NO\t", None, "yes", "NA", "no", "YES", "no"]
     got = readers.conform(contact_frame(spark, table), CONTACTS, True).orderBy("id")
-    assert [r["subscribe"] for r in got.collect()] == ["yes", "no", None, "yes", "no", None, "no", "yes"]
+    assert [r["subscribe"] for r in got.collect()] == ["no", "yes", "no", None, "yes", None, "no", "yes", "no"]
 
 
-def test_dictionary_and_preview(eight):
-    rows = readers.dictionary_table(eight.drop("job"), CONTACTS).collect()
-    assert len(rows) == 21 and all(r["title"] and r["meaning"] and r["n_rows"] == 8 for r in rows)
-    assert [r["id"] for r in readers.preview(eight, CONTACTS, 3).collect()] == [1, 2, 3]
+def test_dictionary_and_preview(few):
+    rows = readers.dictionary_table(few.drop("job"), CONTACTS).collect()
+    assert len(rows) == 21 and all(r["title"] and r["meaning"] and r["n_rows"] == 9 for r in rows)
+    assert [r["id"] for r in readers.preview(few, CONTACTS, 3).collect()] == [11, 12, 13]

@@ -13,37 +13,37 @@ QUICK = Config(forest_trees=5, boosted_a_rounds=3, boosted_b_rounds=3, logistic_
 
 
 @pytest.fixture(scope="module")
-def parts(planted):
-    train, test = encode.stratified_split(planted, CONTACTS)
+def parts(leaning):
+    train, test = encode.stratified_split(leaning, CONTACTS)
     return train.persist(), test.persist()
 
 
-def test_label_counts_and_coding(eight):
-    assert encode.label_counts(eight, CONTACTS) == {"no": 5, "yes": 3}
-    coded = encode.encode_target(eight, CONTACTS).orderBy("id")
-    assert [r["label"] for r in coded.collect()] == [0, 1, 1, 0, 0, 1, 0, 0]
-    odd = eight.withColumn("subscribe", F.when(F.col("id") == 1, "maybe").otherwise(F.col("subscribe")))
+def test_label_counts_and_coding(few):
+    assert encode.label_counts(few, CONTACTS) == {"no": 5, "yes": 4}
+    coded = encode.encode_target(few, CONTACTS).orderBy("id")
+    assert [r["label"] for r in coded.collect()] == [0, 1, 1, 0, 0, 1, 0, 0, 1]
+    odd = few.withColumn("subscribe", F.when(F.col("id") == 11, "maybe").otherwise(F.col("subscribe")))
     with pytest.raises(DatasetError, match="maybe"):
         encode.encode_target(odd, CONTACTS)
     with pytest.raises(DatasetError, match="None"):
-        encode.label_counts(eight.withColumn("subscribe", F.lit(None).cast("string")), CONTACTS)
+        encode.label_counts(few.withColumn("subscribe", F.lit(None).cast("string")), CONTACTS)
     with pytest.raises(DatasetError, match="target"):
-        encode.stratified_split(eight.drop("subscribe"), CONTACTS)
+        encode.stratified_split(few.drop("subscribe"), CONTACTS)
 
 
-def test_split_keeps_the_rate(planted, parts):
+def test_split_keeps_the_rate(leaning, parts):
     train, test = parts
     rate = lambda df: df.agg(F.avg((F.col("subscribe") == "yes").cast("double"))).first()[0]
-    assert train.count() == 480 and test.count() == 120
-    assert rate(test) == pytest.approx(rate(planted), abs=0.01)
+    assert train.count() == 576 and test.count() == 144
+    assert rate(test) == pytest.approx(rate(leaning), abs=0.01)
 
 
-def test_weights(eight):
-    rows = {r["label"]: r for r in encode.class_weights(eight, CONTACTS).collect()}
-    assert rows["no"]["balanced_weight"] == pytest.approx(0.8) and rows["yes"]["balanced_weight"] == pytest.approx(8 / 6)
-    assert (rows["no"]["positive_weight"], rows["yes"]["positive_weight"]) == (1.0, pytest.approx(5 / 3))
-    own = encode.ClassWeights(5, 3)
-    assert own.positive == pytest.approx(5 / 3) and own.balanced(True) == pytest.approx(8 / 6)
+def test_weights(few):
+    rows = {r["label"]: r for r in encode.class_weights(few, CONTACTS).collect()}
+    assert rows["no"]["balanced_weight"] == pytest.approx(0.9) and rows["yes"]["balanced_weight"] == pytest.approx(9 / 8)
+    assert (rows["no"]["positive_weight"], rows["yes"]["positive_weight"]) == (1.0, pytest.approx(5 / 4))
+    own = encode.ClassWeights(7, 2)
+    assert own.positive == pytest.approx(3.5) and own.balanced(True) == pytest.approx(9 / 4)
     assert encode.ClassWeights(5, 0).positive == 5
 
 
@@ -64,19 +64,19 @@ def test_scaling(spark):
     assert [(r["x_z"], r["c_z"]) for r in rows] == [(-1, 0), (1, 0), (0, 0)]
 
 
-def test_vector_holds_exactly_the_features(planted):
-    model = Pipeline(stages=encode.encoding_stages()).fit(planted)
-    vectors = model.transform(planted).select("features")
+def test_vector_holds_exactly_the_features(leaning):
+    model = Pipeline(stages=encode.encoding_stages()).fit(leaning)
+    vectors = model.transform(leaning).select("features")
     categorical, numeric = features.feature_lists()
-    view = features.model_view(planted)
+    view = features.model_view(leaning)
     levels = sum(view.select(c).distinct().count() for c in categorical)
     assert vectors.first()[0].size == levels + len(numeric)
 
 
-def test_pipeline_on_ready_features(planted):
-    view = features.model_view(planted).withColumn("label", encode.target_code(CONTACTS)).withColumn("w_balanced", F.lit(1.0))
+def test_pipeline_on_ready_features(leaning):
+    view = features.model_view(leaning).withColumn("label", encode.target_code(CONTACTS)).withColumn("w_balanced", F.lit(1.0))
     model = encode.build_pipeline(models.estimator("logistic_regression", config=QUICK), raw_input=False).fit(view)
-    assert len(model.stages) == 5 and models.scored(model, view).count() == 600
+    assert len(model.stages) == 5 and models.scored(model, view).count() == 720
 
 
 def test_factory():
@@ -97,7 +97,7 @@ def test_every_candidate_fits_and_scores_raw_rows(parts, name):
     model = models.fit(name, train, encode.label_counts(train, CONTACTS), config=QUICK, settings=chosen)
     raw = test.drop("subscribe").withColumn("job", F.lit("astronaut"))
     scores = [r["score"] for r in models.batch_scores(model, raw).collect()]
-    assert len(scores) == 120 and all(0 <= s <= 1 for s in scores) and len(set(scores)) > 5
+    assert len(scores) == 144 and all(0 <= s <= 1 for s in scores) and len(set(scores)) > 5
 
 
 def test_logistic_agrees_with_a_newton_solve(spark):
@@ -130,19 +130,19 @@ def test_grid_search_refits_the_best_point(parts):
     assert tuned.cv_score > base
 
 
-def test_training_job_writes_everything(spark, planted, tmp_path):
+def test_training_job_writes_everything(spark, leaning, tmp_path):
     folder = str(tmp_path)
     names = ["logistic_regression", "boosted_a"]
-    result = training.train_and_compare(planted, names, config=QUICK, quick=True, folder=folder)
+    result = training.train_and_compare(leaning, names, config=QUICK, quick=True, folder=folder)
     rows = result.comparison.collect()
     assert [r["model"] for r in rows] == names and sum(r["is_best"] for r in rows) == 1
     best = max(rows, key=lambda r: r["average_precision"])
     assert best["is_best"] and result.best.name == best["model"] and best["cv_score"] == 0.0
-    assert all(r["tn"] + r["fp"] + r["fn"] + r["tp"] == 120 for r in rows)
+    assert all(r["tn"] + r["fp"] + r["fn"] + r["tp"] == 144 for r in rows)
     assert result.thresholds.count() == 9
     model = models.load_model(f"{folder}/best_model")
-    again = sorted(models.batch_scores(model, planted.drop("subscribe")).collect())
-    assert again == sorted(models.batch_scores(result.best.model, planted.drop("subscribe")).collect())
+    again = sorted(models.batch_scores(model, leaning.drop("subscribe")).collect())
+    assert again == sorted(models.batch_scores(result.best.model, leaning.drop("subscribe")).collect())
     [part] = (tmp_path / "training_report").glob("part-*.json")
     report = json.loads(part.read_text(encoding="utf-8"))
     assert report["best_model"] == best["model"] and len(report["models"]) == 2
@@ -150,15 +150,15 @@ def test_training_job_writes_everything(spark, planted, tmp_path):
     assert (tmp_path / "field_mapping" / "_SUCCESS").exists()
 
 
-def test_threshold_from_held_out_training_rows(planted):
-    kept = training.train_and_compare(planted, ["logistic_regression"], config=QUICK, quick=True, threshold_share=0.25)
+def test_threshold_from_held_out_training_rows(leaning):
+    kept = training.train_and_compare(leaning, ["logistic_regression"], config=QUICK, quick=True, threshold_share=0.25)
     row = kept.comparison.first()
-    assert 0 <= row["threshold"] <= 1 and row["tn"] + row["fp"] + row["fn"] + row["tp"] == 120
+    assert 0 <= row["threshold"] <= 1 and row["tn"] + row["fp"] + row["fn"] + row["tp"] == 144
 
 
-def test_leakage_experiment(planted, tmp_path):
+def test_leakage_experiment(leaning, tmp_path):
     # a duration that follows the outcome, as it does after the event
-    leaking = planted.withColumn("duration", F.when(F.col("subscribe") == "yes", F.col("duration") + 300).otherwise(F.col("duration")))
+    leaking = leaning.withColumn("duration", F.when(F.col("subscribe") == "yes", F.col("duration") + 300).otherwise(F.col("duration")))
     rows = training.leakage_experiment(leaking, config=QUICK, folder=str(tmp_path)).collect()
     without, given = rows
     assert (without["variant"], given["variant"]) == ("without_duration", "with_duration")

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_points
 from leadlens.operators import evaluate, ranking
 from leadlens.plans import campaign, catalog
+from leadlens.plans.oracle import oracle_queries
 
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLE = catalog.QUERIES, oracle_queries()
 FITTED = {
     "fit_logistic", "fit_forest", "fit_boosted_a", "fit_boosted_b", "grid_search", "model_comparison",
     "leakage_experiment", "batch_scores",

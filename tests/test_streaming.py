@@ -3,13 +3,13 @@ from leadlens.operators import encode, filters, models
 from leadlens.streaming import files
 
 
-def test_stream_and_batch_agree(spark, planted, tmp_path):
+def test_stream_and_batch_agree(spark, leaning, tmp_path):
     source = str(tmp_path / "in")
-    raw = planted.drop("subscribe")
+    raw = leaning.drop("subscribe")
     raw.repartition(3).write.parquet(source)
     criteria = FilterCriteria(categorical={"contact": ["cellular"]}, numeric={"age": (30, 50)})
     model = models.fit(
-        "logistic_regression", planted, encode.label_counts(planted, CONTACTS), config=Config(logistic_iterations=10)
+        "logistic_regression", leaning, encode.label_counts(leaning, CONTACTS), config=Config(logistic_iterations=10)
     )
     stream = files.filtered_stream(files.file_stream(spark, source, raw.schema), criteria)
     files.drain(files.scored_stream(stream, model), str(tmp_path / "out"), str(tmp_path / "state"))
@@ -19,4 +19,4 @@ def test_stream_and_batch_agree(spark, planted, tmp_path):
     # new files only: a second run adds exactly the new rows
     raw.limit(10).write.mode("append").parquet(source)
     files.drain(files.scored_stream(files.file_stream(spark, source, raw.schema), model), str(tmp_path / "out2"), str(tmp_path / "state2"))
-    assert spark.read.parquet(str(tmp_path / "out2")).count() == 610
+    assert spark.read.parquet(str(tmp_path / "out2")).count() == 730
