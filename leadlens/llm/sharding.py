@@ -42,7 +42,6 @@ def in_ranges(rows: DataFrame, splitters: np.ndarray) -> DataFrame:
             frame["range"] = np.searchsorted(splitters, frame["key"].to_numpy(), "right").astype(np.int64)
             yield frame
 
-    rows = rows.drop("range")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     return rows.mapInPandas(run, f"{schema}, range long")
 
@@ -68,7 +67,7 @@ def choose_splitters(rows: DataFrame, n_rows: int, n_bytes: int, n_shards: int,
     unless it is a single key."""
     wanted = int(max(n_shards, n_rows / ROWS_PER_RANGE))
     found = pd.DataFrame({"range": [0], "n": [n_rows], "bytes": [n_bytes]})
-    splitters = np.zeros(0, np.int64)
+    splitters, records = np.zeros(0, np.int64), rows
     rows = rows.withColumn("range", F.lit(0).cast("long"))
     for _ in range(rounds):
         share = n_bytes / wanted
@@ -89,7 +88,7 @@ def choose_splitters(rows: DataFrame, n_rows: int, n_bytes: int, n_shards: int,
         before, splitters = len(splitters), np.unique(np.concatenate((splitters, *new)))
         if len(splitters) == before:
             break
-        rows = in_ranges(rows, splitters)
+        rows = in_ranges(records, splitters)
         found = sums(rows)
     return rows, splitters, found
 

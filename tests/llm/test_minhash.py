@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from leadlens.llm import minhash
+from leadlens.llm.components import components
 
 from .samples import AWKWARD, frame, prose
 
@@ -92,3 +93,26 @@ def test_signatures_estimate_similarity():
     pair = [np.unique(a[:300]), np.unique(a[100:])]  # 200 of 400 shared
     s = minhash.signatures(pair, 2000)
     assert abs((s[0] == s[1]).mean() - 0.5) < 0.05
+
+
+@pytest.mark.parametrize("piece", [7, 10_000])
+def test_components_of_paths_stars_and_rings(spark, piece):
+    """With pieces of a few edges, rounds of stars do the work."""
+    rng = random.Random(piece)
+    edges = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 560)] + [(999, i) for i in range(900, 950)]
+    edges += [(1000 + i, 1000 + (i + 1) % 37) for i in range(37)] + [(rng.randrange(2000, 2100), rng.randrange(2000, 2100)) for _ in range(60)]
+    edges += [(7, 7)] + edges[:20]
+    name = {x: x for e in edges for x in e}
+
+    def root(x):
+        while name[x] != x:
+            x = name[x]
+        return x
+
+    for a, b in edges:
+        x, y = root(a), root(b)
+        name[max(x, y)] = min(x, y)
+    touched = {x for a, b in edges if a != b for x in (a, b)}
+    df = spark.createDataFrame([(b, a) if i % 2 else (a, b) for i, (a, b) in enumerate(edges)], "a long, b long")
+    got = {r["node"]: r["component"] for r in components(df, piece).collect()}
+    assert got == {x: root(x) for x in touched}
