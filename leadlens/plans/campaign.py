@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from leadlens.functions.shapes import month_sql, weekday_sql
 from leadlens.operators.history import HOT_ROWS, hot_keys, with_history
-from leadlens.sources.shared import shared_folder, spread, written
+from leadlens.sources.shared import app_path, spread, written
 
 SOURCES = ("orders", "customer", "lineitem")
+#: Order keys that one day of a hot customer may span before it is cut.
+KEYS_PER_PERIOD = 1 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,27 +24,18 @@ def build_contacts(orders: DataFrame, customer: DataFrame, lineitem: DataFrame,
     """The 22 contact columns. A customer's earlier orders play the earlier campaign, the lines of
     an order the calls, and the shipping lag the after-the-event column.
 
-    Line items are reduced per order before the join. Orders meet the customer table on the
-    partitioning their history needs anyway; the orders of hot customers, if any, are cut by day
-    and meet only those customers' rows, which are broadcast (at most 1000 keys).
+    Line items are reduced per order before the join. A hot customer's orders are cut by date and by ranges
+    of the order key, so that neither the customer nor one of its days is a task.
     """
     orders = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority").where(
         F.col("o_custkey").isNotNull()
     )
     customer = customer.select("c_custkey", "c_nationkey", "c_mktsegment")
-    hot = hot_keys(orders, "o_custkey", hot_rows)
     history = with_history(
-        orders, "o_custkey", F.to_date("o_orderdate"), ["o_orderdate", "o_orderkey", "o_orderstatus"],
-        ["o_orderdate", "o_orderstatus"], hot,
+        orders, "o_custkey", F.struct("o_orderdate", F.floor(F.col("o_orderkey") / KEYS_PER_PERIOD)),
+        ["o_orderdate", "o_orderkey", "o_orderstatus"], ["o_orderdate", "o_orderstatus"], hot_keys(orders, "o_custkey", hot_rows),
     )
-    on = F.col("o_custkey") == F.col("c_custkey")
-    if hot:
-        is_hot = F.col("o_custkey").isin(*hot)
-        known = history.where(~is_hot).join(customer.where(~F.col("c_custkey").isin(*hot)), on).unionByName(
-            history.where(is_hot).join(F.broadcast(customer.where(F.col("c_custkey").isin(*hot))), on)
-        )
-    else:
-        known = history.join(customer, on)
+    known = history.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     lines = lineitem.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n_lines"), F.max("l_shipdate").alias("last_ship")
     )
@@ -96,8 +89,6 @@ def _fingerprint(spark: SparkSession, folder: str) -> str:
 def contacts(spark: SparkSession, folder: str) -> DataFrame:
     """The contact table of a folder, written once per application to the shared folder and read
     back, so that later queries prune columns and push filters into its scan."""
-    if shared_folder(spark) is None:
-        return build_contacts(*[table(spark, folder, name) for name in SOURCES])
     return _written_once(spark, folder)[1]
 
 
@@ -126,14 +117,11 @@ def text_export(df: DataFrame) -> DataFrame:
     return df.selectExpr("'x' AS note", *cells)
 
 
-def export_folder(spark: SparkSession, folder: str) -> str | None:
+def export_folder(spark: SparkSession, folder: str) -> str:
     """The folder that holds ``text_export`` of the contact table as ``train.csv``, written once per
-    application; None where there is no shared folder."""
-    shared = shared_folder(spark)
-    if shared is None:
-        return None
+    application."""
     state, df = _written_once(spark, folder)
-    path = f"{shared}/{spark.sparkContext.applicationId}/export-{state}"
+    path = app_path(spark, f"export-{state}")
     if path not in _exported:
         spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
         text_export(df).write.mode("overwrite").options(header=True, escape='"', **spaces).csv(f"{path}/train.csv")
@@ -143,6 +131,20 @@ def export_folder(spark: SparkSession, folder: str) -> str | None:
 
 _exported: set[str] = set()
 
+BROKEN_COLUMNS = ["id", "age", "job", "subscribe"]
+
+
+def broken_export(spark: SparkSession, folder: str) -> str:
+    """Lines of four cells without a header; every 37th id has a cell too many and every 41st one too few."""
+    state, df = _written_once(spark, folder)
+    path = app_path(spark, f"broken-{state}")
+    if path not in _exported:
+        cells = "concat_ws(',', id, CAST(age AS STRING), job, coalesce(subscribe, ''))"
+        lines = f"CASE WHEN id % 37 = 0 THEN concat({cells}, ',more') WHEN id % 41 = 0 THEN concat_ws(',', id, job) ELSE {cells} END AS value"
+        df.selectExpr(lines).write.mode("overwrite").text(path)
+        _exported.add(path)
+    return path
+
 
 def labelled(df: DataFrame) -> DataFrame:
     return df.where(F.col("subscribe").isNotNull())

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from leadlens.dictionary import Config, FieldDictionary
+from leadlens.dictionary import CONTACTS, Config, FieldDictionary
 from leadlens.operators import encode, ranking
 from leadlens.operators.history import hot_keys, with_history
 
@@ -119,7 +119,7 @@ def test_history_of_a_hot_key(spark, hot_rows):
     )
     df = spark.createDataFrame(frame).repartition(6)
     hot = hot_keys(df, "k", hot_rows)
-    assert (1 in hot) == (hot_rows == 5)
+    assert (1 in {r["hot_key"] for r in hot.collect()}) == (hot_rows == 5)
     got = with_history(df, "k", F.col("day"), ["day", "id"], ["day", "state"], hot).toPandas().sort_values("id")
     want = frame.sort_values(["k", "day", "id"])
     by = want.groupby("k")
@@ -127,3 +127,20 @@ def test_history_of_a_hot_key(spark, hot_rows):
     assert list(got.n_prev) == list(want.n_prev)
     assert list(got.prev_day.fillna(-1)) == list(want.prev_day.fillna(-1))
     assert list(got.prev_state.fillna("")) == list(want.prev_state.fillna(""))
+
+
+def test_edges_come_from_a_bounded_sample(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "SAMPLE", 200)
+    df = spark.range(40_000).selectExpr("CAST(id * 37 % 40009 AS DOUBLE) AS x")
+    span = ranking.value_range(df, "x", rows_per_bucket=4000)
+    assert span.n == 40_000 and len(span.edges) == 9
+    sizes = [r["count"] for r in ranking.with_bucket(df, "x", span.edges).groupBy("bucket").count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 8000
+    assert ranking.values_at_ranks(df, "x", [0, 19_999, 39_999], span) == [sorted(i * 37 % 40009 for i in range(40_000))[k] for k in (0, 19_999, 39_999)]
+
+
+def test_rows_without_an_id_split_exactly(spark):
+    rows = [(None if i % 3 else i, "yes" if i % 2 else "no", i) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, subscribe string, extra long")
+    _, test = encode.stratified_split(df, CONTACTS)
+    assert {r["subscribe"]: r["count"] for r in test.groupBy("subscribe").count().collect()} == {"yes": 60, "no": 60}
