@@ -11,6 +11,10 @@ from dataclasses import dataclass, field
 from types import MappingProxyType
 
 
+#: Levels a categorical column may have: their order and codes are made in one task or the driver.
+MAX_LEVELS = 10_000
+
+
 class DatasetError(ValueError):
     """The input does not have the name, columns or labels an operator needs."""
 
@@ -23,6 +27,7 @@ class FieldDictionary:
     numerics: tuple[str, ...]
     target: str | None = None
     id: str | None = None
+    id_type: str = "bigint"
     positive: str = "yes"
     negative: str = "no"
     unknown: str = "unknown"
@@ -69,6 +74,7 @@ class Config:
     boosted_a_rounds: int = 200
     boosted_b_rounds: int = 300
     parallel_fits: int = 4
+    fit_rows: int = 0  # about how many training rows a job may fit on, chosen by hash of the id; 0: all
 
 
 # Labels, tokens, column roles and declared orders of the contact table.

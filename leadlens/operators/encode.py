@@ -15,7 +15,7 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadlens.dictionary import CONTACTS, Config, DatasetError, FieldDictionary
+from leadlens.dictionary import CONTACTS, MAX_LEVELS, Config, DatasetError, FieldDictionary
 from leadlens.functions.shapes import rows_from, text
 from leadlens.operators.features import feature_lists, feature_stage
 from leadlens.operators.filters import require_target
@@ -173,7 +173,7 @@ class PopulationScaler(Estimator):
         return SQLTransformer(statement=f"SELECT *, {', '.join(scaled)} FROM __THIS__")
 
 
-def check_levels(df: DataFrame, columns: Sequence[str], limit: int = 10_000) -> None:
+def check_levels(df: DataFrame, columns: Sequence[str], limit: int = MAX_LEVELS) -> None:
     """Level lists are held by the driver, so a column that is no categorical one is refused. Well
     above the error of the sketch, the estimate is enough."""
     counts = df.selectExpr(*[f"approx_count_distinct(`{c}`) AS `{c}`" for c in columns]).first().asDict()

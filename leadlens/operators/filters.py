@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadlens.dictionary import DatasetError, FieldDictionary, FilterCriteria
+from leadlens.dictionary import MAX_LEVELS, DatasetError, FieldDictionary, FilterCriteria
 from leadlens.functions.shapes import count_if, declared_position, has_order, long_values, ratio, ratio_or_zero, rows_from, text
 
 
@@ -50,25 +50,33 @@ def filter_kpis(df: DataFrame, criteria: FilterCriteria, fd: FieldDictionary) ->
     )
 
 
-def category_domain(df: DataFrame, fd: FieldDictionary, max_values: int = 10_000) -> DataFrame:
+def of_few_levels(counts: DataFrame, max_values: int = MAX_LEVELS) -> DataFrame:
+    """``counts``, rows of (column, value, ...), if no column has more than ``max_values`` values; else the job fails.
+    The values are counted, and the counts broadcast, before any row is ordered: an order within a column is
+    made in one task, which a column that is no categorical one must not reach."""
+    levels = counts.groupBy(F.col("column").alias("of")).agg(F.count(F.lit(1)).alias("levels"))
+    too_many = F.concat(F.lit("too many values for a categorical column: "), F.col("of"))
+    levels = levels.select("of", F.when(F.col("levels") > max_values, F.raise_error(too_many).cast("long")).otherwise(F.col("levels")).alias("levels"))
+    checked = counts.join(F.broadcast(levels), F.col("column") == F.col("of")).where("levels > 0")  # a row for each column
+    return checked.select(*counts.columns)
+
+
+def category_domain(df: DataFrame, fd: FieldDictionary, max_values: int = MAX_LEVELS) -> DataFrame:
     """(column, position, value, n) for every categorical and the target, in one scan.
 
     Columns with a declared order follow it, undeclared values after it by name; the others go
     by falling count. A column with more than ``max_values`` values is not a categorical one:
-    the job fails there instead of sorting it in one task or cutting it short.
+    the job fails before anything is sorted.
     """
     names = [c for c in (*fd.categoricals, fd.target) if c in df.columns]
-    counts = long_values(df, names).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = of_few_levels(long_values(df, names).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")), max_values)
     column, value = F.col("column"), F.col("value")
     order = Window.partitionBy("column").orderBy(
         F.coalesce(declared_position(fd, column, value), F.lit(1 << 30)),
         F.when(has_order(fd, column), 0).otherwise(-F.col("n")),
         value,
     )
-    place = F.row_number().over(order)
-    too_many = F.concat(F.lit("too many values for a categorical column: "), column)
-    position = F.when(place > max_values, F.raise_error(too_many).cast("long")).otherwise(place.cast("long") - 1)
-    return counts.select("column", position.alias("position"), "value", "n")
+    return counts.select("column", (F.row_number().over(order) - 1).cast("long").alias("position"), "value", "n")
 
 
 def numeric_bounds(df: DataFrame, fd: FieldDictionary) -> DataFrame:

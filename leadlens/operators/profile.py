@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadlens.dictionary import MIN_SAMPLE, FieldDictionary
+from leadlens.dictionary import MAX_LEVELS, MIN_SAMPLE, FieldDictionary
 from leadlens.functions.shapes import (
     count_if, declared_position, has_order, long_values, ratio, ratio_sql, rows_from, text,
 )
-from leadlens.operators.filters import require_target
+from leadlens.operators.filters import of_few_levels, require_target
 from leadlens.operators.ranking import ValueRange, quantiles, value_range
 
 
@@ -31,10 +31,10 @@ def target_distribution(df: DataFrame, fd: FieldDictionary) -> DataFrame:
     )
 
 
-def categorical_distribution(df: DataFrame, columns: Sequence[str], fd: FieldDictionary) -> DataFrame:
+def categorical_distribution(df: DataFrame, columns: Sequence[str], fd: FieldDictionary, max_values: int = MAX_LEVELS) -> DataFrame:
     """(column, value, n, position) of several columns in one scan: declared order first and the
     rest by name, or falling count where no order is declared."""
-    counts = long_values(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = of_few_levels(long_values(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")), max_values)
     column, value = F.col("column"), F.col("value")
     order = Window.partitionBy("column").orderBy(
         F.coalesce(declared_position(fd, column, value), F.lit(1 << 30)),
@@ -88,7 +88,7 @@ def _segment_counts(df: DataFrame, columns: Sequence[str], fd: FieldDictionary)
     )
 
 
-def rate_by_category(df: DataFrame, columns: Sequence[str], fd: FieldDictionary) -> DataFrame:
+def rate_by_category(df: DataFrame, columns: Sequence[str], fd: FieldDictionary, max_values: int = MAX_LEVELS) -> DataFrame:
     """(column, value, n, n_pos, rate, position): rate over labelled rows, NULL without any.
     Declared order with undeclared values last, else falling rate."""
     column, value = F.col("column"), F.col("value")
@@ -97,7 +97,7 @@ def rate_by_category(df: DataFrame, columns: Sequence[str], fd: FieldDictionary)
         F.when(~has_order(fd, column), F.col("rate")).desc_nulls_last(),
         value,
     )
-    counts = _segment_counts(df, columns, fd)
+    counts = of_few_levels(_segment_counts(df, columns, fd), max_values)
     return counts.select("*", (F.row_number().over(order) - 1).cast("long").alias("position"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadlens.dictionary import CONTACTS, FieldDictionary
@@ -12,8 +12,8 @@ from leadlens.functions.shapes import count_if, ratio_sql, rows_from, text
 
 
 def missing_overview(df: DataFrame, fd: FieldDictionary) -> DataFrame:
-    """(column, kind, n_missing, share, n_null): unknown tokens per categorical, missing values per
-    numeric, over all rows. ``n_null`` counts empty cells of either kind."""
+    """(column, kind, n_missing, share, n_null, dictionary_position, rank): unknown tokens per categorical, missing
+    values per numeric, over all rows. ``n_null`` counts empty cells of either kind; ``rank`` orders by falling share."""
     names = [c for c in (*fd.categoricals, *fd.numerics) if c in df.columns]
     aggs, rows = ["count(*) AS n_rows"], []
     for i, c in enumerate(names):
@@ -30,7 +30,9 @@ def missing_overview(df: DataFrame, fd: FieldDictionary) -> DataFrame:
                 "dictionary_position": f"{i}L",
             }
         )
-    return rows_from(df.selectExpr(*aggs).where("n_rows > 0"), rows)
+    found = rows_from(df.selectExpr(*aggs).where("n_rows > 0"), rows)
+    by_share = Window.orderBy(F.desc("share"), "dictionary_position")  # a row for each column
+    return found.withColumn("rank", F.row_number().over(by_share).cast("long"))
 
 
 def contact_rules(fd: FieldDictionary = CONTACTS) -> dict[str, Column]:

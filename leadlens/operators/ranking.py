@@ -2,7 +2,7 @@
 
 Running totals, order statistics and "the k smallest" all need a total order over the rows.
 Each one here splits the value range into many buckets first, keeps one small row per bucket,
-and does the ordered work inside the buckets. The results are exact: the approximate edges
+and does the ordered work inside the buckets. The results are exact: the sampled edges
 only decide how evenly the work is spread.
 """
 
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 50_000
 MAX_BUCKETS = 16_384
-_PARTS = 256
+#: Distinct values that edges are chosen from, in expectation; all that reaches the driver.
+SAMPLE = 4 * MAX_BUCKETS
 
 
 @dataclass(frozen=True)
@@ -30,24 +31,20 @@ class ValueRange:
     edges: tuple[float, ...]
 
 
-def value_range(
-    df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET, distinct: bool = True
-) -> ValueRange:
-    """One mergeable aggregate (two for very large tables); the edges come from a quantile sketch."""
+def value_range(df: DataFrame, column: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> ValueRange:
+    """Size, and edges from a sample of the distinct values: those whose hash falls below a share that lets
+    about ``SAMPLE`` of them through. Equal values are summed before they are ordered, so buckets of
+    equally many distinct values are balanced. A table of one bucket is not sampled."""
     x = f"CAST(`{column}` AS DOUBLE)"
-    values = f"approx_count_distinct({x})" if distinct else "CAST(NULL AS BIGINT)"
-    row = df.selectExpr(f"count({x}) AS n", f"{values} AS n_distinct", f"{_sketch(x, _PARTS, 10_000)} AS at").first()
+    row = df.selectExpr(f"count({x}) AS n", f"approx_count_distinct({x}) AS n_distinct").first()
     buckets = min(max(math.ceil(row["n"] / rows_per_bucket), 1), MAX_BUCKETS)
-    if buckets <= _PARTS:
-        edges = [row["at"][round(i * _PARTS / buckets) - 1] for i in range(1, buckets)]
-    else:
-        edges = df.selectExpr(_sketch(x, buckets, 20 * buckets)).first()[0]
-    return ValueRange(row["n"], row["n_distinct"], tuple(sorted(set(edges))))
-
-
-def _sketch(x: str, parts: int, accuracy: int) -> str:
-    fractions = ", ".join(repr(i / parts) + "D" for i in range(1, parts))
-    return f"percentile_approx({x}, array({fractions}), {accuracy})"
+    if buckets == 1:
+        return ValueRange(row["n"], row["n_distinct"], ())
+    share = min(1.0, SAMPLE / max(row["n_distinct"], 1))
+    drawn = df.selectExpr(f"{x} AS v").where(f"v IS NOT NULL AND pmod(xxhash64(v), 1073741824) < {int(share * (1 << 30))}").distinct()
+    at = sorted(r["v"] for r in drawn.collect() if math.isfinite(r["v"]))
+    edges = {at[i * len(at) // buckets] for i in range(1, buckets)} if at else set()
+    return ValueRange(row["n"], row["n_distinct"], tuple(sorted(edges)))
 
 
 def with_bucket(df: DataFrame, column: str, edges: Sequence[float], name: str = "bucket") -> DataFrame:
@@ -146,11 +143,12 @@ _BOUNDARY_ROWS = 20_000
 
 
 def sort_key(df: DataFrame, column: str) -> Column:
-    """The key with a value of its own for missing keys, so that every row has a place."""
+    """The key, and for a row without one a hash of all its cells, so that every row has a place of its own."""
     col = F.col(f"`{column}`")
+    whole = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in df.columns])
     if df.schema[column].dataType.typeName() == "string":
-        return F.coalesce(col, F.lit(""))
-    return F.coalesce(col.cast("bigint"), F.lit(-(1 << 63)))
+        return F.coalesce(col, F.hex(whole))
+    return F.coalesce(col.cast("bigint"), whole)
 
 
 def hash_order(key: Column, seed: int) -> Column:

@@ -12,9 +12,9 @@ from leadlens.dictionary import CONTACTS, Config, FieldDictionary, FilterCriteri
 from leadlens.functions.shapes import month_sql, weekday_sql
 from leadlens.operators import benefit, encode, evaluate, features, filters, insights, models, profile, quality
 from leadlens.plans import training
-from leadlens.plans.campaign import contacts, export_folder, labelled, table, text_export, unlabelled
+from leadlens.plans.campaign import BROKEN_COLUMNS, broken_export, contacts, export_folder, labelled, table, unlabelled
 from leadlens.sources import readers
-from leadlens.sources.shared import shared_folder
+from leadlens.sources.shared import app_path, remove
 from leadlens.streaming import files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,14 +24,9 @@ CRITERIA = FilterCriteria(categorical={"contact": ["cellular"]}, numeric={"age":
 RATE_COLUMNS = ["poutcome", "education", "day_of_week"]
 DISTRIBUTION_COLUMNS = ["month", "day_of_week", "job"]
 
-# Fewer trees and rounds than the defaults and one point of each grid, so that a registered fit
-# ends within a minute; the rows are the whole labelled table.
-FITS = Config(forest_trees=20, boosted_a_rounds=10, boosted_b_rounds=10, logistic_iterations=100)
-POINTS = {
-    "random_forest": {"depth": 12, "leaf": 5},
-    "boosted_a": {"depth": 4, "rate": 0.1},
-    "boosted_b": {"leaves": 31, "rate": 0.1},
-}
+# Trees, rounds, iterations, points and candidates are those of the defaults; only the rows that a registered fit
+# learns from are bounded, so that its hundreds of small jobs end in minutes. Metrics are over all test rows.
+FITS = Config(fit_rows=4000)
 
 LINES = FieldDictionary(
     target="l_returnflag",
@@ -68,17 +63,18 @@ def filtered_rate(spark, folder):
 @query
 def conformed_contacts(spark, folder):
     """The CSV export of the contacts, read and cleaned."""
-    export = export_folder(spark, folder)
-    if export is None:
-        return readers.conform(text_export(contacts(spark, folder)), CONTACTS, labelled=True)
-    return readers.read_dataset(spark, export, "train", CONTACTS)
+    return readers.read_dataset(spark, export_folder(spark, folder), "train", CONTACTS)
 
 
 @query
 def coercion_failures(spark, folder):
-    export = export_folder(spark, folder)
-    raw = text_export(contacts(spark, folder)) if export is None else readers.scan(spark, f"{export}/train.csv")
-    return readers.coercion_failures(raw, CONTACTS)
+    return readers.coercion_failures(readers.scan(spark, f"{export_folder(spark, folder)}/train.csv"), CONTACTS)
+
+
+@query
+def malformed_rows(spark, folder):
+    """Rows of an export with a cell too many or too few."""
+    return readers.malformed_rows(spark, broken_export(spark, folder), BROKEN_COLUMNS)
 
 
 @query
@@ -472,7 +468,7 @@ def best_benefit(spark, folder):
 def _fitted_metrics(name: str) -> Query:
     def run(spark, folder):
         df = labelled(contacts(spark, folder))
-        return training.train_and_compare(df, [name], config=FITS, quick=True, settings=POINTS).comparison
+        return training.train_and_compare(df, [name], config=FITS, quick=True).comparison
 
     return run
 
@@ -485,21 +481,21 @@ QUERIES["fit_boosted_b"] = _fitted_metrics("boosted_b")
 
 @query
 def grid_search(spark, folder):
-    """(settings, cv_score, is_best) of the logistic grid over three stratified folds."""
-    df = labelled(contacts(spark, folder))
-    train, test = training.split_frames(df, CONTACTS, FITS)
-    tuned = models.tune("logistic_regression", train, encode.label_counts(train, CONTACTS), config=FITS)
+    """(model, settings, cv_score, is_best) of the whole logistic and forest grids over three stratified folds."""
+    train, test = training.split_frames(labelled(contacts(spark, folder)), CONTACTS, FITS)
+    counts, rows = encode.label_counts(train, CONTACTS), []
+    for name in ("logistic_regression", "random_forest"):
+        tuned = models.tune(name, train, counts, config=FITS)
+        rows += [(name, str(dict(point)), score, point == tuned.settings) for point, score in tuned.points]
     train.unpersist()
     test.unpersist()
-    rows = [(str(dict(point)), score, point == tuned.settings) for point, score in tuned.points]
-    return spark.createDataFrame(rows, "settings string, cv_score double, is_best boolean")
+    return spark.createDataFrame(rows, "model string, settings string, cv_score double, is_best boolean")
 
 
 @query
 def model_comparison(spark, folder):
-    df = labelled(contacts(spark, folder))
-    names = ["logistic_regression", "random_forest"]
-    return training.train_and_compare(df, names, config=FITS, quick=True, settings=POINTS).comparison
+    """All four candidates with their default settings on one split."""
+    return training.train_and_compare(labelled(contacts(spark, folder)), config=FITS, quick=True).comparison
 
 
 @query
@@ -511,13 +507,14 @@ def leakage_experiment(spark, folder):
 def batch_scores(spark, folder):
     """Fit, save, load, and score the rows without a label."""
     df = contacts(spark, folder)
-    train = labelled(df)
+    train, test = training.split_frames(labelled(df), CONTACTS, FITS)
     model = models.fit("logistic_regression", train, encode.label_counts(train, CONTACTS), config=FITS)
-    shared = shared_folder(spark)
-    if shared is not None:
-        path = f"{shared}/{spark.sparkContext.applicationId}/model-{uuid.uuid4().hex}"
-        models.save_model(model, path)
-        model = models.load_model(path)
+    path = app_path(spark, f"model-{uuid.uuid4().hex}")
+    models.save_model(model, path)
+    model = models.load_model(path)
+    remove(spark, path)
+    train.unpersist()
+    test.unpersist()
     return models.batch_scores(model, unlabelled(df))
 
 
@@ -528,12 +525,10 @@ def batch_scores(spark, folder):
 def stream_filtered_events(spark, folder):
     """The events of two types with a value in a range, read as a file stream until it is drained."""
     schema = table(spark, folder, "events").schema
-    stream = files.file_stream(spark, folder, schema, "events.parquet")
+    stream = files.file_stream(spark, f"{folder}/events.parquet", schema)
     wanted = FilterCriteria(categorical={"event_type": ["click", "purchase"]}, numeric={"value": (10.0, 60.0)})
     kept = files.filtered_stream(stream, wanted)
-    shared = shared_folder(spark)
-    if shared is None:
-        return filters.apply_filter(table(spark, folder, "events"), wanted)
-    path = f"{shared}/{spark.sparkContext.applicationId}/events-{uuid.uuid4().hex}"
+    path = app_path(spark, f"events-{uuid.uuid4().hex}")
     files.drain(kept, f"{path}/rows", f"{path}/checkpoint")
+    remove(spark, f"{path}/checkpoint")
     return spark.read.schema(kept.schema).parquet(f"{path}/rows")

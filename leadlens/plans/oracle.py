@@ -402,9 +402,11 @@ def oracle_queries() -> dict[str, str]:
             _union(
                 f"SELECT {_s(c)} AS \"column\", count(*) FILTER (({_present(c)}) IS NOT NULL AND TRY_CAST({_present(c)} AS DOUBLE) IS NULL) AS n_failed FROM raw"
                 for c in CONTACTS.numerics
-            ),
+            )
+            + " UNION ALL SELECT 'id', count(*) FILTER (id IS NOT NULL AND TRY_CAST(id AS BIGINT) IS NULL) FROM raw",
             _conformed(),
         ),
+        "malformed_rows": _contacts("SELECT count(*) AS n_rows, count(*) FILTER (id % 37 = 0 OR id % 41 = 0) AS n_malformed FROM contacts"),
         "dataset_description": _contacts(
             _described("train", "subscribe IS NOT NULL", True) + " UNION ALL BY NAME " + _described("test", "subscribe IS NULL", False)
         ),
@@ -442,7 +444,7 @@ def oracle_queries() -> dict[str, str]:
         "rate_by_quantile_bin_tied": _quantile_bins("contacts", "campaign", 10, "subscribe", "yes", _CONTACTS + ","),
         "rate_by_quantile_bin_lines": _quantile_bins("lineitem", "l_extendedprice", 10, "l_returnflag", "R"),
         "correlation_matrix": _contacts(_correlations()),
-        "missing_overview": _contacts(_missing()),
+        "missing_overview": _contacts(f"SELECT *, row_number() OVER (ORDER BY share DESC, dictionary_position) AS rank FROM ({_missing()})"),
         "segment_rates": _contacts("SELECT * FROM g WHERE n >= 30", _segments(CONTACTS.categoricals, "contacts", "subscribe", "yes")),
         "segment_rates_lines": _with(_LINES, _segments(("l_linestatus", "ship_month", "ship_weekday"), "dl", "l_returnflag", "R"))
         + "SELECT * FROM g WHERE n >= 30",

@@ -36,10 +36,13 @@ def scan(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
 
 
 def read_dataset(
-    spark: SparkSession, folder: str, name: str, fd: FieldDictionary, fmt: str = "csv", persist: bool = False
+    spark: SparkSession, folder: str, name: str, fd: FieldDictionary, fmt: str = "csv", persist: bool = False, strict: bool = False
 ) -> DataFrame:
-    """``<folder>/<name>.<fmt>``, checked, projected and cleaned. ``persist`` keeps it for reuse."""
+    """``<folder>/<name>.<fmt>``, checked, projected and cleaned. ``persist`` keeps it for reuse. ``strict`` counts the
+    rows of a CSV file with too many or too few cells first and refuses a file that has any."""
     dataset = resolve_dataset(name)
+    if strict and fmt == "csv" and (bad := malformed_rows(spark, f"{folder}/{dataset}.{fmt}").first()["n_malformed"]):
+        raise DatasetError(f"{bad} malformed rows in {folder}/{dataset}.{fmt}")
     df = conform(scan(spark, f"{folder}/{dataset}.{fmt}", fmt), fd, labelled=dataset == "train")
     return df.persist(StorageLevel.MEMORY_AND_DISK) if persist else df
 
@@ -72,6 +75,11 @@ def _number(df: DataFrame, column: str) -> str:
     return parsed(f"`{column}`") if _is_text(df, column) else f"CAST(`{column}` AS DOUBLE)"
 
 
+def _id(df: DataFrame, fd: FieldDictionary) -> str:
+    """The id in its declared type; a stripped text where that is ``string``."""
+    return f"try_cast({stripped(f'`{fd.id}`') if _is_text(df, fd.id) else f'`{fd.id}`'} AS {fd.id_type})"
+
+
 def conform(df: DataFrame, fd: FieldDictionary, labelled: bool) -> DataFrame:
     """The dictionary's columns in order, cleaned row by row; other columns are dropped.
 
@@ -89,22 +97,38 @@ def conform(df: DataFrame, fd: FieldDictionary, labelled: bool) -> DataFrame:
         elif name in fd.numerics:
             cell = _number(df, name)
         elif name == fd.id:
-            cell = f"try_cast({stripped(cell) if _is_text(df, name) else f'`{name}`'} AS BIGINT)"
+            cell = _id(df, fd)
         read.append(f"{cell} AS `{name}`")
     checked = [f"{finite(f'`{c}`')} AS `{c}`" if c in fd.numerics else f"`{c}`" for c in names]
     return df.selectExpr(*read).selectExpr(*checked)
 
 
 def coercion_failures(df: DataFrame, fd: FieldDictionary) -> DataFrame:
-    """(column, n_failed): cells of the raw table that hold something other than a number."""
+    """(column, n_failed): cells of the raw table that hold something other than a number, or an id of another type."""
     names = [c for c in fd.numerics if c in df.columns]
-    read = []
+    read, failed = [], []
+    if fd.id in df.columns:
+        there = f"`{fd.id}` IS NOT NULL AND NOT ({is_token(f'`{fd.id}`')})" if _is_text(df, fd.id) else f"`{fd.id}` IS NOT NULL"
+        read += [f"{there} AS `there_{fd.id}`", f"{_id(df, fd)} AS `{fd.id}`"]
+        failed.append(f"count_if(`there_{fd.id}` AND `{fd.id}` IS NULL) AS `{fd.id}`")
     for c in names:
         there = f"`{c}` IS NOT NULL AND NOT ({is_token(f'`{c}`')})" if _is_text(df, c) else f"`{c}` IS NOT NULL"
         read += [f"{there} AS `there_{c}`", f"{_number(df, c)} AS `{c}`"]
-    failed = [f"count_if(`there_{c}` AND ({finite(f'`{c}`')}) IS NULL) AS `{c}`" for c in names]
+    failed += [f"count_if(`there_{c}` AND ({finite(f'`{c}`')}) IS NULL) AS `{c}`" for c in names]
     stats = df.selectExpr(*read).selectExpr(*failed)
-    return rows_from(stats, [{"column": text(c), "n_failed": f"`{c}`"} for c in names])
+    return rows_from(stats, [{"column": text(c), "n_failed": f"`{c}`"} for c in ([fd.id] if fd.id in df.columns else []) + names])
+
+
+def malformed_rows(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """One row: n_rows and n_malformed of a CSV file, those with more or fewer cells than columns. ``columns`` names them
+    where the file has no header."""
+    names = columns or scan(spark, path).columns
+    schema = ", ".join(f"`{c}` string" for c in [*names, "_malformed"])
+    whole = {"header": columns is None, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed", "columnPruning": False}
+    rows = spark.read.schema(schema).options(**whole).csv(path)
+    # Spark wants the other columns to be read as well: their lengths, which are never below zero.
+    cells = ", ".join(f"`{c}`" for c in names)
+    return rows.selectExpr("count(*) AS n_rows", f"count_if(`_malformed` IS NOT NULL AND length(concat_ws('', {cells})) >= 0) AS n_malformed")
 
 
 def describe(df: DataFrame, fd: FieldDictionary) -> DataFrame:

@@ -2,35 +2,38 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folder: dict[str, str] = {}
 
+def shared_folder(spark: SparkSession, folder: str | None = None) -> str:
+    """``folder`` if given, else ``spark.checkpoint.dir`` of the session, else a folder beside the
+    warehouse's tables; the same on every master."""
+    folder = folder or spark.conf.get("spark.checkpoint.dir", None)
+    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared").rstrip("/")
+
+
+def app_path(spark: SparkSession, name: str) -> str:
+    """A path of this application in the shared folder."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}"
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """``spark.checkpoint.dir`` of the session; a scratch folder only where everything runs in
-    one local process; None on a cluster that names no folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        return None
-    app = context.applicationId
-    if app not in _local_folder:
-        _local_folder[app] = tempfile.mkdtemp(prefix="leadlens-")
-    return _local_folder[app]
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is one file; a table written by Spark is a folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isFile()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes what this application has written to ``path``."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Gives iterative fits a place to cut their lineage, unless the cluster has set one."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = shared_folder(spark)
-        if folder:
-            context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(spark))
 
 
 ROWS_PER_TASK = 20_000
@@ -46,11 +49,8 @@ def spread(df: DataFrame, n_rows: int) -> DataFrame:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read back; unchanged where there is none."""
+    """``df`` as a Parquet table in the shared folder, read back."""
     spark = df.sparkSession
-    folder = shared_folder(spark)
-    if folder is None:
-        return df
-    path = f"{folder}/{spark.sparkContext.applicationId}/{name}"
+    path = app_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -13,10 +13,14 @@ from pyspark.sql.types import StructType
 from leadlens.dictionary import CONTACTS, FieldDictionary, FilterCriteria
 from leadlens.operators.filters import apply_filter
 from leadlens.operators.models import batch_scores
+from leadlens.sources.shared import is_file
 
 
-def file_stream(spark: SparkSession, folder: str, schema: StructType, files: str = "*.parquet") -> DataFrame:
-    return spark.readStream.schema(schema).option("pathGlobFilter", files).parquet(folder)
+def file_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The Parquet files of a table: a folder of part files, to which more may come, or one file. A stream reads folders
+    only, so a single file is picked out of its own by name."""
+    folder, name = path.rstrip("/").rpartition("/")[::2] if is_file(spark, path) else (path, "*.parquet")
+    return spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
 
 
 def filtered_stream(stream: DataFrame, criteria: FilterCriteria) -> DataFrame:

@@ -2,6 +2,7 @@ import contextlib
 import csv
 import io
 import re
+from dataclasses import replace
 
 import pytest
 from conftest import FEW, contact_frame
@@ -77,7 +78,7 @@ def test_awkward_cells(spark, tmp_path):
         6: ("unknown", None), 7: ("unknown", 7.0), 8: ("admin.", None), 9: ("Retired", -0.5), 10: ("unknown", None),
     }
     # x, 12d, 1e400 and inf hold something that is no finite number; the NA tokens hold nothing
-    assert readers.coercion_failures(raw, SMALL_FD).collect()[0].asDict() == {"column": "age", "n_failed": 4}
+    assert {r["column"]: r["n_failed"] for r in readers.coercion_failures(raw, SMALL_FD).collect()} == {"id": 0, "age": 4}
 
 
 def test_nan_becomes_null(spark):
@@ -94,7 +95,7 @@ def test_white_space_of_any_kind(spark):
     df = spark.createDataFrame([(i, "a", c) for i, c in enumerate(numbers)], "id long, job string, age string")
     got = [r["age"] for r in readers.conform(df, SMALL_FD, True).orderBy("id").collect()]
     assert got == [7.0, -15.0, None, None, None, None, None, None, None, None, 5.0, None, 0.0]
-    failed = readers.coercion_failures(df, SMALL_FD).first()["n_failed"]
+    failed = readers.coercion_failures(df, SMALL_FD).where("column = 'age'").first()["n_failed"]
     assert failed == got.count(None)
 
 
@@ -120,3 +121,22 @@ def test_dictionary_and_preview(few):
     rows = readers.dictionary_table(few.drop("job"), CONTACTS).collect()
     assert len(rows) == 21 and all(r["title"] and r["meaning"] and r["n_rows"] == 9 for r in rows)
     assert [r["id"] for r in readers.preview(few, CONTACTS, 3).collect()] == [11, 12, 13]
+
+
+def test_malformed_rows_are_counted_or_refused(spark, tmp_path):
+    table = FEW | {"id": list(range(9))}
+    lines = [",".join(table)] + [",".join(str(table[c][i]) for c in table) for i in range(9)]
+    (tmp_path / "train.csv").write_text("\n".join(lines + [lines[3] + ",extra", lines[4].rpartition(",")[0]]) + "\n")
+    assert tuple(readers.malformed_rows(spark, str(tmp_path / "train.csv")).first()) == (11, 2)
+    with pytest.raises(DatasetError, match="2 malformed"):
+        readers.read_dataset(spark, str(tmp_path), "train", CONTACTS, strict=True)
+    assert readers.read_dataset(spark, str(tmp_path), "train", CONTACTS).count() == 11
+
+
+def test_text_ids_are_kept_or_counted(spark):
+    table = FEW | {"id": ["A17", " B18 ", "7", None, "NA", "8", "9", "10", "11"]}
+    df = spark.createDataFrame([tuple(map(lambda v: None if v is None else str(v), row)) for row in zip(*table.values())], ", ".join(f"`{c}` string" for c in table))
+    as_text = readers.conform(df, replace(CONTACTS, id_type="string"), True)
+    assert [r["id"] for r in as_text.collect()][:3] == ["A17", "B18", "7"]
+    failed = {r["column"]: r["n_failed"] for r in readers.coercion_failures(df, CONTACTS).collect()}
+    assert failed["id"] == 2 and failed["age"] == 0
