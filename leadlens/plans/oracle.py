@@ -7,7 +7,6 @@ out independently of the DataFrame code.
 from __future__ import annotations
 
 from leadlens.dictionary import CONTACTS, INSIGHT_COLUMNS, SCAN_THRESHOLDS
-from leadlens.operators.features import AGE_EDGES, AGE_LABELS, FLAGS, feature_lists
 
 _CONTACTS = """
 lines AS (SELECT l_orderkey, count(*) AS n_lines, max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_orderkey),
@@ -216,6 +215,13 @@ def _clean(c: str) -> str:
 
 _POSITIVE = "subscribe = 'yes'"
 
+# Stated here again, so that a wrong edge, label or list in the features shows up as a difference.
+_FLAGS = ("is_ever_contacted", "is_high_frequency", "was_previous_success", "contact_cellular")
+_CATEGORICAL = ["job", "marital", "education", "default", "housing", "loan", "contact", "month", "day_of_week", "poutcome", "age_bucket"]
+_NUMERIC = [
+    "age", "campaign", "pdays", "previous", "emp_var_rate", "cons_price_index", "cons_conf_index", "lending_rate3m", "nr_employed", *_FLAGS,
+]
+
 
 def _insight_report() -> str:
     return """SELECT CAST(seq AS BIGINT) AS seq, kind, category, level FROM (VALUES
@@ -245,7 +251,7 @@ _FLAG_SQL = {
 
 
 def _age_bucket(age: str) -> str:
-    ranges = zip(AGE_EDGES, AGE_EDGES[1:], AGE_LABELS)
+    ranges = ((0, 30, "<=30"), (30, 45, "31-45"), (45, 60, "46-60"), (60, 200, ">60"))
     return "CASE " + " ".join(f"WHEN {age} > {lo} AND {age} <= {hi} THEN {_s(name)}" for lo, hi, name in ranges) + " ELSE 'nan' END"
 
 
@@ -253,7 +259,7 @@ _FEATURES = "f AS (SELECT *, " + ", ".join(f"{sql} AS {c}" for c, sql in _FLAG_S
 
 
 def _mapping() -> str:
-    categorical, numeric = feature_lists()
+    categorical, numeric = _CATEGORICAL, _NUMERIC
     used = {*categorical, *numeric}
     derived = {
         "is_ever_contacted": "reached by an earlier campaign", "is_high_frequency": "called often in the running campaign",
@@ -372,13 +378,13 @@ def _kpis(keep: str) -> str:
 
 
 def _slots() -> str:
-    ranks = [f"dense_rank() OVER (ORDER BY {_q(c)}) - 1 AS {c}_slot" for c in feature_lists()[0]]
+    ranks = [f"dense_rank() OVER (ORDER BY {_q(c)}) - 1 AS {c}_slot" for c in _CATEGORICAL]
     return "SELECT id, " + ", ".join(ranks) + " FROM f"
 
 
 def _scaled() -> str:
     cells = []
-    for c in feature_lists()[1]:
+    for c in _NUMERIC:
         spread = f"(CASE WHEN min({c}) OVER () < max({c}) OVER () THEN stddev_pop({c}) OVER () ELSE 1 END)"
         cells.append(f"round(coalesce(({c} - avg({c}) OVER ()) / {spread}, 0), 6) + CAST(0 AS DOUBLE) AS {c}_z")
     return "SELECT id, " + ", ".join(cells) + " FROM f"
@@ -390,7 +396,7 @@ _COMPLETE = " AND ".join(f"{_q(c)} IS NOT NULL" for c in (*CONTACTS.categoricals
 
 
 def oracle_queries() -> dict[str, str]:
-    categorical, numeric = feature_lists()
+    categorical, numeric = _CATEGORICAL, _NUMERIC
     view = ", ".join(_q(c) for c in ("id", *categorical, *numeric, "subscribe"))
     return {
         "campaign_fixture": _contacts("SELECT * FROM contacts"),
@@ -468,7 +474,7 @@ def oracle_queries() -> dict[str, str]:
         "insight_correlation": _contacts(_top_correlations()),
         "insight_contact": _contacts(_insight_rates()),
         "insight_report": _contacts(_insight_report(), _unknown_share(), _segments(INSIGHT_COLUMNS, "contacts", "subscribe", "yes")),
-        "derived_features": _contacts("SELECT id, " + ", ".join(FLAGS) + " FROM f", _FEATURES),
+        "derived_features": _contacts("SELECT id, " + ", ".join(_FLAGS) + " FROM f", _FEATURES),
         "age_buckets": _contacts(
             f"SELECT {_age_bucket('a')} AS age_bucket, count(*) AS n, min(a) AS lo, max(a) AS hi FROM a GROUP BY 1",
             "a AS (SELECT CASE WHEN id % 50 = 0 THEN NULL ELSE (age - 18) * 4 END AS a FROM contacts)",
@@ -478,7 +484,7 @@ def oracle_queries() -> dict[str, str]:
         "field_mapping": _contacts(_mapping(), _FEATURES),
         "constraint_audit": _contacts(_audit()),
         "duplicate_keys": "SELECT l_orderkey AS key, count(*) AS n FROM lineitem GROUP BY 1 HAVING count(*) > 1",
-        "duplicate_contacts": _contacts("SELECT id AS key, count(*) AS n FROM contacts GROUP BY 1 HAVING count(*) > 1"),
+        "duplicate_contacts": _contacts("SELECT id AS key, CAST(2 AS BIGINT) AS n FROM contacts WHERE id % 29 = 0"),
         "stratified_split": _contacts(
             """SELECT id, subscribe, CASE WHEN place <= n_test THEN 'test' ELSE 'train' END AS part
             FROM (SELECT id, subscribe, row_number() OVER (PARTITION BY subscribe ORDER BY md5(concat(id, ':42')), id) AS place FROM t)
