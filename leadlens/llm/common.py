@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 #: ASCII white space that separates words: space, tab, line feed, vertical tab, form feed, return.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -19,7 +19,7 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Keeps an Arrow batch near 8 MB of rows, so that a worker's memory does not follow the
+    """Keeps an Arrow batch near 4 MB of rows, so that a worker's memory does not follow the
     length of the texts. A setting of the session's own is left alone."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if key not in spark.conf.getAll:
@@ -68,7 +68,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def in_parts(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def in_parts(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """The batches cut into parts of about ``most`` bytes of ``column``; a longer text stands alone."""
     for batch in batches:
         if not batch.num_rows:

@@ -83,10 +83,12 @@ def fit(docs: DataFrame, sample_rows: int = 400, least: int = 2) -> ContextTrees
     fewer than ``least`` times are pruned. The model's size is bounded by the sample's."""
     bound_batches(docs.sparkSession)
     counts = sample(docs, sample_rows).mapInArrow(_count, "lang string, gram long, n long")
-    rows = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-    languages = sorted(rows["lang"].unique())
-    grams, n = rows["gram"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
-    name = np.searchsorted(languages, rows["lang"].to_numpy(str)) if languages else np.zeros(0, int)
+    rows = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow().combine_chunks()
+    found = rows["lang"].unique().to_pylist()
+    languages = sorted(found)
+    grams, n = rows["gram"].to_numpy(), rows["n"].to_numpy()
+    name = rows["lang"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False) if len(rows) else np.zeros(0, int)
+    name = np.array([languages.index(x) for x in found], np.int64)[name]  # both list the languages as they come
     parts = [(grams >> 8 * (ORDER - k)) & 0xFF for k in range(ORDER + 1)]
     used = np.unique(parts[-1][parts[-1] != 0])
     rank = np.full(256, UNSEEN, np.int64)
@@ -96,32 +98,34 @@ def fit(docs: DataFrame, sample_rows: int = 400, least: int = 2) -> ContextTrees
     symbols = [rank[p] for p in parts]
     real = symbols[-1] != START
     context = np.zeros(len(grams), np.int64)  # of order k: its last k symbols as one number
-    base = np.full((1, size, len(languages)), 8.0)  # code lengths in the context below; at first all bytes cost 8 bits
+    base = np.full((1, size, len(languages)), 8.0, np.float32)  # code lengths in the context below; at first all bytes cost 8 bits
     node = np.zeros(1, np.int64)  # context of the order below, as a number, to its row in base
     for order in range(ORDER + 1):
         if order:
             context = context + symbols[ORDER - order] * size ** (order - 1)
         slots = size**order
-        totals = np.bincount(context[real] * len(languages) + name[real], n[real], slots * max(1, len(languages))).reshape(slots, -1)
-        known = totals >= (least if order >= 2 else 1)
-        kept = np.flatnonzero(known.any(axis=1))
+        pairs, which = np.unique(context[real] * len(languages) + name[real], return_inverse=True)
+        often = pairs[np.bincount(which, n[real]) >= (least if order >= 2 else 1)] if len(pairs) else pairs
+        kept = np.unique(often // max(1, len(languages)))
+        known = np.zeros((len(kept), len(languages)), bool)
+        known[np.searchsorted(kept, often // max(1, len(languages))), often % max(1, len(languages))] = True
         parent = node[np.arange(slots) % max(1, size ** (order - 1))] if order else np.zeros(1, np.int64)
-        new = np.full(slots, -1, np.int64)
+        new = np.full(slots, -1, np.int32)
         new[kept] = np.arange(len(kept))
-        seen = np.zeros((len(kept), size, len(languages)))
+        seen = np.zeros((len(kept), size, len(languages)), np.float32)
         use = real & (new[context] >= 0)
         np.add.at(seen, (new[context[use]], symbols[-1][use], name[use]), n[use])
-        seen *= known[kept][:, None, :]
+        seen *= known[:, None, :]
         total, distinct = seen.sum(axis=1, keepdims=True), (seen > 0).sum(axis=1, keepdims=True)
         below = base[parent[kept]]
         with np.errstate(divide="ignore", invalid="ignore"):
             coded = np.where(seen > 0, np.log2((total + distinct) / seen), np.log2((total + distinct) / distinct) + below)
         coded = np.where(total > 0, coded, below)
         first = len(base)
-        base = np.concatenate((base, coded))
-        node = np.where(new >= 0, first + new, parent)
+        base = np.concatenate((base, coded.astype(np.float32)))
+        node = np.where(new >= 0, first + new, parent).astype(np.int32)
     wanted, node = np.unique(node, return_inverse=True)
-    return ContextTrees(languages, rank.astype(np.uint8), node.astype(np.int32), base[wanted].astype(np.float32))
+    return ContextTrees(languages, rank.astype(np.uint8), node.astype(np.int32), base[wanted])
 
 
 def code_lengths(trees: ContextTrees, data: np.ndarray, offsets: np.ndarray, block: int = 1 << 18) -> np.ndarray:

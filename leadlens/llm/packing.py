@@ -30,7 +30,7 @@ LEAST_CUT = 32
 END_ID = 1
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, open boolean"
 #: Places for cached runs, of 14 bytes each, and ids held for them; a full cache is emptied.
-SLOTS, HELD = 1 << 21, 1 << 23
+SLOTS, HELD = 1 << 20, 1 << 22
 _tokenizers: dict[str, RunCache] = {}
 
 # Kinds of bytes: white space, letters (ASCII, and Latin-1 as two bytes), digits, marks, and what else there is. An
@@ -102,7 +102,7 @@ class RunCache:
         """The ids of the runs in a row, and where each run's begin, one more for the end."""
         hashes = word_hashes(data, starts, ends) | np.uint64(1)
         unique, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        slots = (unique >> np.uint64(43)).astype(np.int64)
+        slots = (unique >> np.uint64(44)).astype(np.int64)
         if self.n_held + len(data) > HELD:
             self.empty()
         known = self.keys[slots] == unique
