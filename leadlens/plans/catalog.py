@@ -270,8 +270,10 @@ def insight_contact(spark, folder):
 
 @query
 def insight_report(spark, folder):
+    """The findings with their texts; metrics as key=value in order of the keys."""
     items = insights.insight_items(contacts(spark, folder), CONTACTS)
-    return items.select("seq", "kind", "category", "level")
+    pairs = F.transform(F.array_sort(F.map_entries("metrics")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return items.select("seq", "kind", "category", "level", "title", "content", F.array_join(pairs, ", ").alias("metrics"))
 
 
 # Features and quality

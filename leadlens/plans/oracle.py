@@ -223,15 +223,42 @@ _NUMERIC = [
 ]
 
 
+def _share(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL THEN 'n/a' ELSE printf('%.2f%%', {x} * 100) END"
+
+
 def _insight_report() -> str:
-    return """SELECT CAST(seq AS BIGINT) AS seq, kind, category, level FROM (VALUES
-      (0, 'overall', 'business', 'info'), (2, 'sentinel', 'quality', 'suggest'), (7, 'leakage', 'modeling', 'warn'),
-      (8, 'correlation', 'feature', 'suggest')) v(seq, kind, category, level)
-    WHERE EXISTS (SELECT 1 FROM contacts)
-    UNION ALL SELECT 1, 'unknown', 'quality', CASE WHEN share > 0.1 THEN 'warn' ELSE 'info' END FROM u WHERE share > 0
-    UNION ALL SELECT CAST(list_position(['poutcome', 'month', 'contact', 'job'], "column") + 2 AS BIGINT), 'segment', 'business', 'info'
-      FROM (SELECT "column" FROM g WHERE n >= 30 GROUP BY 1 HAVING count(*) >= 2)
-    UNION ALL SELECT 9, 'over_contact', 'business', 'suggest' WHERE EXISTS (SELECT 1 FROM contacts WHERE campaign >= 6)"""
+    """The findings with their texts; metrics as key=value in order of the keys."""
+    columns = list(INSIGHT_COLUMNS)
+    return f"""SELECT CAST(seq AS BIGINT) AS seq, kind, category, level, title, content, metrics FROM (
+    SELECT 0 AS seq, 'overall' AS kind, 'business' AS category, 'info' AS level, 'Overall positive rate' AS title,
+      n_pos || ' of ' || n || ' rows are positive, a rate of ' || {_share('rate')} || '.' AS content,
+      'positives=' || n_pos || ', rate=' || {_share('rate')} || ', rows=' || n AS metrics
+      FROM (SELECT count(*) AS n, count(*) FILTER ({_POSITIVE}) AS n_pos,
+        round(CAST(count(*) FILTER ({_POSITIVE}) AS DOUBLE) / count(subscribe), 4) AS rate FROM contacts) WHERE n > 0
+    UNION ALL SELECT 1, 'unknown', 'quality', CASE WHEN share > 0.1 THEN 'warn' ELSE 'info' END, 'Most unknown values: ' || "column",
+      "column" || ' is unknown in ' || {_share('share')} || ' of the rows; keep it as a level of its own or compare an imputation.',
+      'column=' || "column" || ', share=' || {_share('share')} FROM u WHERE share > 0
+    UNION ALL SELECT 2, 'sentinel', 'quality', 'suggest', 'pdays uses 999 for people never called before',
+      {_share('share')} || ' of the rows carry the marker; derive a yes/no feature and do not read it as days.', 'share=' || {_share('share')}
+      FROM (SELECT CAST(count(*) FILTER (pdays = 999) AS DOUBLE) / count(*) AS share, count(*) AS n FROM contacts) WHERE n > 0
+    UNION ALL SELECT list_position({columns}, c) + 2, 'segment', 'business', 'info', c || ' separates the rate',
+      'highest ' || best || ', lowest ' || worst || ': ' || CASE WHEN wr > 0 THEN printf('%.1f times', br / wr) ELSE 'an unbounded factor' END || '.',
+      'best=' || best || ', worst=' || worst
+      FROM (SELECT *, bv || ' ' || {_share('br')} AS best, wv || ' ' || {_share('wr')} AS worst FROM (
+        SELECT "column" AS c, first(value ORDER BY rate DESC, value) AS bv, max(rate) AS br, first(value ORDER BY rate, value) AS wv, min(rate) AS wr
+        FROM g WHERE n >= 30 GROUP BY 1 HAVING count(*) >= 2))
+    UNION ALL SELECT 7, 'leakage', 'modeling', 'warn', 'duration is known only after the call',
+      'Leave it out of any model used before the call. Mean ' || p || ' for positives, ' || r || ' for the rest.', 'mean_positive=' || p || ', mean_rest=' || r
+      FROM (SELECT coalesce(printf('%.0f', avg(duration) FILTER (subscribe = 'yes')), 'n/a') AS p,
+        coalesce(printf('%.0f', avg(duration) FILTER (subscribe = 'no')), 'n/a') AS r, count(*) AS n FROM contacts) WHERE n > 0
+    UNION ALL SELECT 8, 'correlation', 'feature', 'suggest', 'Numerics most correlated with the outcome',
+      string_agg("column" || ' ' || printf('%+.3f', r), ', ' ORDER BY rank), string_agg("column" || '=' || printf('%+.3f', r), ', ' ORDER BY "column")
+      FROM ({_top_correlations()}) HAVING count(*) > 0
+    UNION ALL SELECT 9, 'over_contact', 'business', 'suggest', 'Rate after 6 or more calls: ' || direction,
+      {_share('rate_high')} || ' with 6 or more calls, ' || {_share('rate_low')} || ' with fewer; set a limit on calls accordingly.',
+      'direction=' || direction || ', rate_high=' || {_share('rate_high')} || ', rate_low=' || {_share('rate_low')} FROM ({_insight_rates()})
+      WHERE EXISTS (SELECT 1 FROM contacts WHERE campaign >= 6))"""
 
 
 def _unknown_share() -> str:
