@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadlens.dictionary import FieldDictionary
+from leadlens.dictionary import CONTACTS, FieldDictionary
 
 
 def ratio(num: Column, den: Column) -> Column:
@@ -42,8 +42,8 @@ def rows_from(stats: DataFrame, rows: Sequence[Mapping[str, str]]) -> DataFrame:
 
 
 # Calendar names in the form the tables use.
-_MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
-_WEEKDAYS = ("mon", "tue", "wed", "thu", "fri", "sat", "sun")
+_MONTHS = CONTACTS.orders["month"]
+_WEEKDAYS = (*CONTACTS.orders["day_of_week"], "sat", "sun")
 
 
 def month_sql(date: str) -> str:
