@@ -13,7 +13,7 @@ from leadlens.functions.shapes import month_sql, weekday_sql
 from leadlens.operators import benefit, encode, evaluate, features, filters, insights, models, profile, quality
 from leadlens.plans import training
 from leadlens.plans.campaign import BROKEN_COLUMNS, broken_export, contacts, export_folder, labelled, table, unlabelled
-from leadlens.sources import readers
+from leadlens.sources import readers, sinks
 from leadlens.sources.shared import app_path, remove
 from leadlens.streaming import files
 
@@ -276,6 +276,18 @@ def insight_report(spark, folder):
     return items.select("seq", "kind", "category", "level", "title", "content", F.array_join(pairs, ", ").alias("metrics"))
 
 
+@query
+def insight_report_written(spark, folder):
+    """The report as its JSON sink wrote it, read back; a row for each finding in the report's order."""
+    report = insights.insight_report(contacts(spark, folder), CONTACTS)
+    path = app_path(spark, f"report-{uuid.uuid4().hex}")
+    sinks.write_insight_report(report, path)
+    read = spark.read.schema(report.schema).json(path)
+    found = read.select("dataset", "n_rows", "positive_rate", F.posexplode("items").alias("position", "item"))
+    fields = [F.col(f"item.{c}").alias(c) for c in ("title", "category", "level", "content")]
+    return found.select("dataset", "n_rows", "positive_rate", F.col("position").cast("long").alias("position"), *fields)
+
+
 # Features and quality
 
 
@@ -308,6 +320,15 @@ def field_mapping(spark, folder):
     return features.field_mapping(contacts(spark, folder))
 
 
+@query
+def field_mapping_written(spark, folder):
+    """The mapping as its JSON sink wrote it, read back."""
+    mapping = features.field_mapping(contacts(spark, folder))
+    path = app_path(spark, f"mapping-{uuid.uuid4().hex}")
+    sinks.write_field_mapping(mapping, path)
+    return spark.read.schema(mapping.schema).json(path)
+
+
 @query
 def constraint_audit(spark, folder):
     return quality.constraint_audit(contacts(spark, folder), quality.contact_rules())

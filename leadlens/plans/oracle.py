@@ -501,6 +501,13 @@ def oracle_queries() -> dict[str, str]:
         "insight_correlation": _contacts(_top_correlations()),
         "insight_contact": _contacts(_insight_rates()),
         "insight_report": _contacts(_insight_report(), _unknown_share(), _segments(INSIGHT_COLUMNS, "contacts", "subscribe", "yes")),
+        "insight_report_written": _contacts(
+            f"""SELECT 'train' AS dataset, n_rows, positive_rate, row_number() OVER (ORDER BY seq) - 1 AS position, title, category, level, content
+            FROM ({_insight_report()}), (SELECT count(*) AS n_rows,
+              round(CAST(count(*) FILTER ({_POSITIVE}) AS DOUBLE) / count(subscribe), 4) AS positive_rate FROM contacts)""",
+            _unknown_share(),
+            _segments(INSIGHT_COLUMNS, "contacts", "subscribe", "yes"),
+        ),
         "derived_features": _contacts("SELECT id, " + ", ".join(_FLAGS) + " FROM f", _FEATURES),
         "age_buckets": _contacts(
             f"SELECT {_age_bucket('a')} AS age_bucket, count(*) AS n, min(a) AS lo, max(a) AS hi FROM a GROUP BY 1",
@@ -509,6 +516,7 @@ def oracle_queries() -> dict[str, str]:
         "model_view": _contacts(f"SELECT {view} FROM f", _FEATURES),
         "leakage_view": _contacts("SELECT id, duration, subscribe FROM contacts"),
         "field_mapping": _contacts(_mapping(), _FEATURES),
+        "field_mapping_written": _contacts(_mapping(), _FEATURES),
         "constraint_audit": _contacts(_audit()),
         "duplicate_keys": "SELECT l_orderkey AS key, count(*) AS n FROM lineitem GROUP BY 1 HAVING count(*) > 1",
         "duplicate_contacts": _contacts("SELECT id AS key, CAST(2 AS BIGINT) AS n FROM contacts WHERE id % 29 = 0"),
