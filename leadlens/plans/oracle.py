@@ -526,6 +526,7 @@ def oracle_queries() -> dict[str, str]:
             JOIN cut ON subscribe = label""",
             _SPLIT,
         ),
+        "split_sizes_of_text_ids": _contacts("SELECT label AS subscribe, CAST(n_test AS BIGINT) AS n FROM cut", _SPLIT),
         "stratified_folds": _contacts(
             """SELECT id, subscribe, CAST(place > ceil(CAST(own AS DOUBLE) / 3) AS BIGINT) + CAST(place > ceil(CAST(own * 2 AS DOUBLE) / 3) AS BIGINT) AS fold
             FROM (SELECT id, subscribe, count(*) OVER (PARTITION BY subscribe) AS own,
