@@ -9,8 +9,10 @@ missed with a chance of 2 in a million.
 
 Equal sets are one class from the start, so copies never meet each other. Candidate regions, the components of
 the graph that ties each class to the least class of its buckets, are compared exactly in one task each. A region of
-over REGION shingles is cut into blocks. Each block is compared in itself and with the first block; what is then
-outside the region's largest component is compared with every block. Nothing is dropped at any size.
+over REGION shingles is cut into blocks. Each block is compared in itself and with the first block. What is then
+outside the region's largest component is compared, one block with one other at a time, with the documents that share
+a shingle of its prefix: sets at 75 % must share one of the rarest quarter of their shingles, in any order that is the
+same for both, so boilerplate makes no pairs and no link is missed. Nothing is dropped at any size.
 
 Rows: a text that is NULL or has no word has an empty set, is linked with nothing and is kept. Rows that share
 an id are one document: what links to one of them links to all. A row without an id takes the component of
@@ -211,33 +213,69 @@ def components_in_regions(sets: DataFrame, percent: int) -> DataFrame:
     return by_group(sets, ["region"], ["rep", "shingles"], act)
 
 
+def prefix(own: np.ndarray, common: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The elements of a sorted set that come first by ``counts`` (of ``common``, sorted; 0 elsewhere), then by value: so
+    many that two sets at a similarity of ``percent`` share one of them."""
+    at = np.minimum(np.searchsorted(common, own), max(len(common) - 1, 0))
+    rank = np.where(common[at] == own, counts[at], 0) if len(common) else np.zeros(len(own), np.int64)
+    return own[np.argsort(rank, kind="stable")[: len(own) + 1 + -percent * len(own) // 100]]
+
+
 def components_in_large_regions(sets: DataFrame, percent: int) -> DataFrame:
     """(node, component) of the documents with links inside regions that are cut into ``blocks`` blocks: each block in itself and with the first, then what the
-    region's largest component has not taken in with all blocks."""
-    sets = checkpointed(sets.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")))
+    region's largest component has not taken in with those of other blocks that share a prefix shingle, two blocks at a time."""
+    sets = sets.withColumn("key", F.xxhash64("rep", "shingles"))
+    sets = checkpointed(sets.withColumn("block", F.pmod("key", F.col("blocks")).cast("int")))
+
+    def compare_all(held: dict[str, list]) -> list[tuple[int, int]]:
+        home = np.flatnonzero(~np.array(held["guest"], bool))
+        return connected(_sets(held), held["rep"], np.arange(len(held["rep"])), home, percent) if len(home) and len(held["rep"]) > 1 else []
 
-    def compare(held: dict[str, list]) -> list[tuple[int, int]]:
+    def compare_guests(held: dict[str, list]) -> list[tuple[int, int]]:
         guest = np.array(held["guest"], bool)
         probes, targets = np.flatnonzero(guest), np.flatnonzero(~guest)
-        if held["whole"][0]:
-            probes = np.arange(len(guest))
-        if not len(probes) or not len(targets):
-            return []
-        return connected(_sets(held), held["rep"], probes, targets, percent)
-
-    columns = ["rep", "shingles", "guest", "whole"]
-    at_home = sets.select("region", "block", "rep", "shingles", F.lit(False).alias("guest"))
-    others = F.explode(F.expr("sequence(1, CAST(blocks AS INT) - 1)")).alias("block")
-    first = sets.filter("block = 0 AND blocks > 1").select("region", others, "rep", "shingles", F.lit(True).alias("guest"))
-    near = by_group(at_home.union(first).withColumn("whole", F.lit(True)), ["region", "block"], columns, compare)
-    found = checkpointed(components(near))
-    named = sets.join(found, F.col("rep") == F.col("node"), "left").withColumn("component", F.coalesce("component", "rep")).drop("node")
+        return connected(_sets(held), held["rep"], probes, targets, percent) if len(probes) and len(targets) else []
+
+    def prefixes(held: dict[str, list]) -> list[tuple[int, int]]:
+        """(key, shingle); the first block, which every block of the region holds, tells which shingles are common."""
+        own = _sets(held)
+        guests = [s for s, guest in zip(own, held["guest"], strict=True) if guest]
+        common, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *guests]), return_counts=True)
+        common, counts = common[counts > 1], counts[counts > 1]
+        at_home = [(k, s) for k, s, guest in zip(held["key"], own, held["guest"], strict=True) if not guest]
+        return [(k, x) for k, s in at_home for x in prefix(s, common, counts, percent).view(np.int64).tolist()]
+
+    def with_first(some: DataFrame) -> DataFrame:
+        at_home = some.select("region", "block", "key", "rep", "shingles", F.lit(False).alias("guest"))
+        others = F.explode(F.expr("sequence(1, CAST(blocks AS INT) - 1)")).alias("block")
+        return at_home.union(some.filter("block = 0 AND blocks > 1").select("region", others, "key", "rep", "shingles", F.lit(True).alias("guest")))
+
+    columns = ["rep", "shingles", "guest"]
+    found = checkpointed(components(by_group(with_first(sets), ["region", "block"], columns, compare_all)))
+    named = sets.select("key", "rep", "region", "block", "blocks").distinct().join(found, F.col("rep") == F.col("node"), "left")
+    named = checkpointed(named.withColumn("component", F.coalesce("component", "rep")).drop("node", "rep"))
     sizes = named.groupBy("region", "component").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("region").agg(F.max(F.struct("n", "component")).alias("most")).select("region", "most.component")
-    outside = named.join(largest, ["region", "component"], "left_anti")
-    everywhere = F.explode(F.expr("sequence(0, CAST(blocks AS INT) - 1)")).alias("block")
-    guests = outside.select("region", everywhere, "rep", "shingles", F.lit(True).alias("guest"))
-    far = by_group(at_home.union(guests).withColumn("whole", F.lit(False)), ["region", "block"], columns, compare)
+    largest = sizes.groupBy("region").agg(F.max(F.struct("n", "component")).alias("most")).select("region", F.col("most.component").alias("main"))
+    # The first block has been compared with all; two blocks are done.
+    later = named.filter("block > 0 AND blocks > 2").join(largest, "region").withColumn("outside", F.expr("component != main"))
+    later = checkpointed(later.select("key", "region", "block", "component", "outside"))
+    unsettled = later.filter("outside").select("region").distinct()
+    if unsettled.isEmpty():
+        return found
+    postings = by_group(with_first(sets.join(unsettled, "region", "left_semi")).filter("block > 0"), ["region", "block"], ["key", *columns], prefixes)
+    postings = checkpointed(postings.select(F.col("a").alias("key"), F.col("b").alias("shingle")).distinct().join(later, "key"))
+    # A shingle matters if two components hold it and one of them is outside; its blocks are at most the region's.
+    shared = postings.groupBy(F.col("region").alias("in_region"), F.col("shingle").alias("in_shingle")).agg(
+        F.min("component").alias("least"), F.max("component").alias("most"),
+        F.collect_set("block").alias("hosts"), F.collect_set(F.when(F.col("outside"), F.col("block"))).alias("guests"),
+    )
+    shared = shared.filter("least != most AND size(guests) > 0").drop("least", "most").repartition("in_region", "in_shingle")
+    met = postings.join(shared, (F.col("region") == F.col("in_region")) & (F.col("shingle") == F.col("in_shingle")))
+    hosts = met.select("key", "region", F.col("block").alias("host_block"), F.explode("guests").alias("guest_block"), F.lit(False).alias("guest"))
+    guests = met.filter("outside").select("key", "region", F.explode("hosts").alias("host_block"), F.col("block").alias("guest_block"), F.lit(True).alias("guest"))
+    cells = checkpointed(hosts.union(guests).filter("host_block != guest_block").distinct())
+    read = cells.join(sets.select("key", "rep", "shingles"), "key")
+    far = by_group(read, ["region", "host_block", "guest_block"], columns, compare_guests)
     return components(found.toDF("a", "b").union(far))
 
 

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from leadlens.llm import minhash
 from leadlens.llm.components import components
@@ -116,3 +117,41 @@ def test_components_of_paths_stars_and_rings(spark, piece):
     df = spark.createDataFrame([(b, a) if i % 2 else (a, b) for i, (a, b) in enumerate(edges)], "a long, b long")
     got = {r["node"]: r["component"] for r in components(df, piece).collect()}
     assert got == {x: root(x) for x in touched}
+
+
+def chained(n):
+    """Pages of one source: half of each is boilerplate, every tenth is a near copy of another."""
+    rng = random.Random(11)
+    shared = [f"b{i}" for i in range(60)]
+    rows = [(i, shared[:50] + [f"p{i}x{k}" for k in range(rng.randint(35, 55))], None) for i in range(n)]
+    return [(i, " ".join(rows[i - 3][1][:-2] if i % 10 == 7 else words), None) for i, words, _ in rows]
+
+
+def test_large_regions_without_links_are_compared_two_blocks_at_a_time(spark, monkeypatch):
+    """Boilerplate ties all pages to one region, of which almost all is outside the largest component."""
+    by_group, largest = minhash.by_group, []
+
+    def measured(rows, keys, columns, act):
+        sizes = rows.groupBy(*keys).agg(F.sum(F.octet_length("shingles") / 8).alias("n"))
+        largest.append(sizes.agg(F.max("n")).first()[0] or 0)
+        return by_group(rows, keys, columns, act)
+
+    monkeypatch.setattr(minhash, "by_group", measured)
+    source = chained(300)
+    region = 2500
+    assert sum(len(shingles(t)) for _, t, _ in source) > 10 * region
+    assert got(minhash.near_duplicates(frame(spark, source).repartition(5), region=region)) == brute_force(source)
+    assert len(largest) > 2 and max(largest) < 4 * region
+
+
+def test_similar_sets_share_a_prefix_shingle():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        n, cut = int(rng.integers(1, 80)), int(rng.integers(0, 25))
+        pool = np.unique(rng.integers(0, 2**63, n + cut).astype(np.uint64))
+        a, b = np.sort(rng.permutation(pool)[: max(1, n)]), np.sort(rng.permutation(pool)[: max(1, n)])
+        common = np.sort(rng.permutation(pool)[: len(pool) // 2])
+        counts = rng.integers(2, 9, len(common))
+        both = len(np.intersect1d(a, b))
+        if 100 * both >= 75 * (len(a) + len(b) - both):
+            assert len(np.intersect1d(minhash.prefix(a, common, counts, 75), minhash.prefix(b, common, counts, 75)))
