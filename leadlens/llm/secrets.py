@@ -49,6 +49,22 @@ MORE_RULES = (
 )
 RULES = BASE_RULES + MORE_RULES
 
+# What stands between the lines of a key: white space, also escaped, quotes and comment marks.
+_GAP = r"(?:\\[nrt]|[\s\"'\\>#*|,;]|\+(?=\s))"
+_LINE_END = r"(?=[\"'`<](?![A-Za-z])|[,;]*+[\x20\t]*+(?:[\r\n\\]|\Z))"
+# A long run of base64, or a whole line of it that is no plain word.
+_KEY_LINE = rf"(?:[A-Za-z0-9+/]{{16,}}+={{0,2}}+|(?=[A-Za-z0-9+/]*[0-9+/=]|[A-Za-z]*[a-z][A-Z])[A-Za-z0-9+/]++={{0,2}}+{_LINE_END})"
+_LAST_LINE = rf"(?:{_GAP}++(?:[A-Za-z0-9+/]++={{0,2}}+|={{1,2}}+){_LINE_END})?+"
+#: A private key whole: from its first line to its END line, or, without one, over the header fields and base64 lines that follow.
+#: ``secrets`` reports the first line alone, as its SQL does.
+KEY_BLOCK = Rule(
+    "private_key",
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:[^-]|-(?!----))*+-----END [A-Z ]*PRIVATE KEY-----"
+    rf"|(?:{_GAP}*+(?:Proc-Type|DEK-Info):[^\r\n\\]*+)*+(?:(?:{_GAP}++{_KEY_LINE})++{_LAST_LINE})?+)",
+)
+#: What is taken out of texts: keys first, before other rules cut into their bodies.
+TAKEN_OUT = (KEY_BLOCK, *[r for r in RULES if r.kind != KEY_BLOCK.kind])
+
 
 def _strings(items: list) -> set[str] | None:
     """All strings, in lower case, that a piece of a regular expression can match; None if too many."""
@@ -232,9 +248,9 @@ def _redacted(rule: Rule):
     return body
 
 
-def without_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def without_secrets(docs: DataFrame, rules: tuple[Rule, ...] = TAKEN_OUT) -> DataFrame:
     """``docs``, columns unchanged, with each match replaced by its kind in brackets; n_chars follows the text.
-    Rules are applied one after another."""
+    Rules are applied one after another. Of a private key the whole block is a match."""
     spans = free_name("spans", docs.columns)
     rows = find(docs, rules, spans)
     text = F.col("text")

@@ -89,3 +89,38 @@ def test_redaction(spark, awkward):
 def test_no_python_in_the_plan(spark, awkward):
     plan = secrets.secrets(awkward)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def pem(seed, n, width=64, kind="RSA "):
+    rng = random.Random(seed)
+    body = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=n)) + "=="
+    return f"-----BEGIN {kind}PRIVATE KEY-----", [body[i : i + width] for i in range(0, len(body), width)], f"-----END {kind}PRIVATE KEY-----"
+
+
+def test_private_keys_are_taken_out_whole(spark):
+    begin, lines, end = pem(1, 1600)
+    _, second, _ = pem(2, 700)
+    _, narrow, _ = pem(3, 300, 12)
+    _, huge, _ = pem(4, 400_000)
+    fields = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n"
+    source = [
+        ("a " + "\n".join([begin, *lines, end]) + " b", "a [private_key] b"),
+        ("a " + "\r\n".join([begin, *lines]) + "\r\nplain words follow", "a [private_key]\r\nplain words follow"),
+        ("a " + "\n".join([begin, *lines[:5]]), "a [private_key]"),
+        ("k = '" + "\\n".join([begin, *lines, end]) + "'", "k = '[private_key]'"),
+        ("k = '" + "\\n".join([begin, *lines]) + "' and more", "k = '[private_key]' and more"),
+        ("a " + " ".join([begin, *lines, end]) + " b", "a [private_key] b"),
+        (begin + "\n" + fields + "\n".join([*lines, end]) + "\nb", "[private_key]\nb"),
+        (begin + "\n" + fields + "\n".join(lines) + "\n\nb c", "[private_key]\n\nb c"),
+        ("\n".join([begin, *lines[:3], begin, *second, end]) + "\nb", "[private_key]\n[private_key]\nb"),
+        ("\n".join([begin, *narrow, end]) + " b", "[private_key] b"),
+        ("\n".join(["  " + x for x in [begin, *second]]) + "\n  some prose", "  [private_key]\n  some prose"),
+        ("\n".join([begin, *huge, end]) + " b", "[private_key] b"),
+        ("\n".join([begin, *huge]) + "\nb c", "[private_key]\nb c"),
+        (f"The line {begin} opens a key, which we do not show here.", "The line [private_key] opens a key, which we do not show here."),
+        (f"{begin}\nThanks\nRegards - me", "[private_key]\nThanks\nRegards - me"),
+    ]
+    rows = {r["doc_id"]: r for r in secrets.without_secrets(frame(spark, [(i, t, None) for i, (t, _) in enumerate(source)])).collect()}
+    for i, (_, want) in enumerate(source):
+        assert rows[i]["text"] == want and rows[i]["n_chars"] == len(want)
+    assert all(line not in rows[9]["text"] for line in narrow)
