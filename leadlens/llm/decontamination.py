@@ -8,13 +8,19 @@ if its slots are consistent: each value of the item always stands for one value
 way round. Windows whose slots did not change count in any case. An item is found in a document if half of its
 windows are, or 18 of them (25 tokens).
 
-Rows: a NULL or empty text matches nothing. An item of fewer than eight tokens is one window of its own width, if it
-has four plain words; items without any window can't be found. Repeated items are reported each; repeated rows are one document, as
+Verbatim copies are also looked for as they are, whatever their case and however few plain words they have: in windows
+of eight tokens without placeholders, case-folded, with words of nothing but marks as tokens. In scripts without
+spaces (Chinese, Japanese, Thai, Lao, Burmese, Khmer) each character is a token. The same share of an item's windows makes a find.
+
+Rows: a NULL or empty text matches nothing. An item of fewer than eight tokens is one window of its own width: with
+placeholders if it has four plain words, verbatim if it has three tokens and eight characters. Shorter items stand in
+too many texts and are not looked for. Repeated items are reported each; repeated rows are one document, as
 are rows that share id and text. Results name the id, NULL where a document has none. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +32,7 @@ from leadlens.llm.common import bound_batches, checkpointed, free_name, in_parts
 
 WIDTH = 8
 LEAST_PLAIN = 4
+LEAST_TOKENS, LEAST_CHARS = 3, 8
 #: Windows whose hashes may be sent to every task to sift documents' windows: 16 MB. Beyond it all windows are joined.
 SMALL_WINDOWS = 2_000_000
 SHARE, ENOUGH = 0.5, 18
@@ -136,6 +143,89 @@ def template_windows(docs: DataFrame, keys: list[str], wanted: np.ndarray | None
     return docs.select("text", *keys).mapInArrow(run, f"{schema}, {WINDOW}")
 
 
+_BLANK = re.compile("[\u00a0\u2000-\u200a\u202f\u205f\u3000]")
+_ALONE = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u30ff\u3100-\u312f\u31a0-\u9fff\uf900-\ufaff\uff00-\uff9f\U00020000-\U0003ffff])")
+
+
+def _folded(text: str | None) -> str:
+    """Case-folded, with characters of scripts without spaces cut apart."""
+    text = (text or "").casefold()
+    return text if text.isascii() else _ALONE.sub(r" \1 ", _BLANK.sub(" ", text))
+
+
+def verbatim_tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per token the hash of its case-folded word, without marks around it unless it has nothing else, and its
+    characters; and each row's first token, one more for the end."""
+    data, offsets = utf8(pa.array([_folded(x) for x in column.to_pylist()], pa.large_string()))
+    starts, ends, first = word_bounds(data, offsets)
+    core = np.flatnonzero(_CORE[data])
+    a, b = np.searchsorted(core, starts), np.searchsorted(core, ends)
+    real = b > a
+    starts, ends = starts.copy(), ends.copy()
+    starts[real], ends[real] = core[a[real]], core[b[real] - 1] + 1
+    chars = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
+    return word_hashes(data, starts, ends), chars[ends] - chars[starts], first
+
+
+def verbatim_windows(docs: DataFrame, keys: list[str], wanted: np.ndarray | None = None, widths: tuple[int, ...] = (WIDTH,)) -> DataFrame:
+    """``keys``, hash, position and width of the windows of tokens as they stand; otherwise as ``template_windows``."""
+    sifted = None if wanted is None else docs.sparkSession.sparkContext.broadcast(np.sort(wanted))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << 20, bool)
+        if sifted is not None:
+            bits[sifted.value.view(np.uint64) >> np.uint64(44)] = True
+        for batch in in_parts(batches, "text"):
+            hashes, chars, first = verbatim_tokens(batch.column(0))
+            chars = np.concatenate(([0], np.cumsum(chars)))
+            for width in widths:
+                hash_, begins = windows(hashes, first, width)
+                row = np.repeat(np.arange(len(first) - 1), np.diff(begins))
+                position = np.arange(len(hash_)) - begins[row]
+                at = first[row] + position
+                ends = np.minimum(at + width, first[1:][row])
+                usable = (ends - at >= LEAST_TOKENS) & (chars[ends] - chars[at] >= LEAST_CHARS) & ((width == widths[0]) | (ends - at == width))
+                if sifted is not None:
+                    usable &= bits[hash_ >> np.uint64(44)]
+                found = np.flatnonzero(usable)
+                if sifted is not None:
+                    found = found[np.isin(hash_[found].view(np.int64), sifted.value)]
+                for part in np.array_split(found, len(found) // 20_000 + 1):
+                    columns = [c.take(pa.array(row[part])) for c in batch.columns[1:]]
+                    columns += [pa.array(hash_[part].view(np.int64)), pa.array(position[part].astype(np.int32)), pa.array((ends - at)[part].astype(np.int32))]
+                    yield pa.RecordBatch.from_arrays(columns, names=[*keys, "hash", "position", "width"])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.select(*keys).schema)
+    return docs.select("text", *keys).mapInArrow(run, f"{schema}, hash long, position int, width int")
+
+
+def few_hashes(items: DataFrame) -> np.ndarray | None:
+    """The distinct hashes of the items' windows, None if they are too many to broadcast."""
+    hashes = items.select("hash").distinct()
+    return np.array([r["hash"] for r in hashes.toLocalIterator()], np.int64) if hashes.count() <= SMALL_WINDOWS else None
+
+
+def all_widths(items: DataFrame) -> tuple[int, ...]:
+    """Items of fewer than eight tokens are looked for in windows of their own widths."""
+    return WIDTH, *sorted(r["width"] for r in items.filter(F.col("width") < WIDTH).select("width").distinct().collect())
+
+
+def enough_found(found: DataFrame, items: DataFrame, share: float, enough: int) -> DataFrame:
+    """The rows of ``found`` (item_key, found_windows) whose windows are enough, with item_windows."""
+    sizes = items.groupBy(F.col("item_key").alias("k")).agg(F.count("*").alias("item_windows"))
+    least = F.least(F.lit(float(enough)), F.lit(share) * F.col("item_windows"))
+    return found.join(sizes, F.col("item_key") == F.col("k")).drop("k").filter(F.col("found_windows") >= least)
+
+
+def verbatim_finds(rows: DataFrame, items: DataFrame, share: float, enough: int) -> DataFrame:
+    """What ``contaminated`` returns, with item_key, of items whose windows stand in ``rows`` as they are."""
+    items = checkpointed(verbatim_windows(items, ["item_key", "item_id"]))
+    ours = verbatim_windows(rows, ["doc_key", "doc_id"], few_hashes(items), all_widths(items)).select("doc_key", "doc_id", "hash").distinct()
+    met = ours.join(items.select("item_key", "item_id", F.col("hash").alias("item_hash")), F.col("hash") == F.col("item_hash"))
+    found = met.groupBy("doc_key", "doc_id", "item_key", "item_id").agg(F.count("*").alias("found_windows"))  # a row for each position of the item
+    return enough_found(found, items, share, enough).withColumn("changed_slots", F.lit(0).cast("long"))
+
+
 def document_key(docs: DataFrame) -> Column:
     """One number for id and text; rows that share it are the same document."""
     return F.xxhash64(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")))
@@ -144,16 +234,10 @@ def document_key(docs: DataFrame) -> Column:
 def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, enough: int = ENOUGH) -> DataFrame:
     """doc_key, doc_id, item_id, item_windows, found_windows and changed_slots of every item found in a document."""
     bound_batches(docs.sparkSession)
-    items = benchmark.select("item_id", "text").withColumn("item_key", F.xxhash64("item_id", F.coalesce("text", F.lit(""))))
-    items = checkpointed(template_windows(items.dropDuplicates(["item_key"]), ["item_key", "item_id"]))
-    hashes = items.select("hash").distinct()
-    wanted = None
-    if hashes.count() <= SMALL_WINDOWS:
-        wanted = np.array([r["hash"] for r in hashes.toLocalIterator()], np.int64)
+    texts = benchmark.select("item_id", "text").withColumn("item_key", F.xxhash64("item_id", F.coalesce("text", F.lit("")))).dropDuplicates(["item_key"])
+    items = checkpointed(template_windows(texts, ["item_key", "item_id"]))
     rows = docs.select("doc_id", "text").withColumn("doc_key", document_key(docs))
-    # Items of fewer than eight tokens are looked for in windows of their own widths.
-    short = sorted(r["width"] for r in items.filter(F.col("width") < WIDTH).select("width").distinct().collect())
-    ours = template_windows(rows, ["doc_key", "doc_id"], wanted, (WIDTH, *short))
+    ours = template_windows(rows, ["doc_key", "doc_id"], few_hashes(items), all_widths(items))
     theirs = items.select("item_key", "item_id", F.col("hash").alias("item_hash"), F.col("position").alias("item_position"), F.col("slots").alias("item_slots"))
     met = ours.drop("width").distinct().join(theirs, F.col("hash") == F.col("item_hash")).select(
         "doc_key", "doc_id", "item_key", "item_id", "item_position",
@@ -172,10 +256,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, en
         F.array_distinct(F.flatten(F.collect_set(F.col("counted.item_position")))).alias("positions"),
         F.min(F.when(consistent, changed)).cast("long").alias("changed_slots"),
     )
-    sizes = items.groupBy(F.col("item_key").alias("k")).agg(F.count("*").alias("item_windows"))
-    found = found.join(sizes, F.col("item_key") == F.col("k")).withColumn("found_windows", F.size("positions").cast("long"))
-    least = F.least(F.lit(float(enough)), F.lit(share) * F.col("item_windows"))
-    return found.filter(F.col("found_windows") >= least).select("doc_key", "doc_id", "item_id", "item_windows", "found_windows", "changed_slots")
+    found = enough_found(found.withColumn("found_windows", F.size("positions").cast("long")), items, share, enough)
+    # An item found by both keys is reported by its templates.
+    figures = ["item_windows", "found_windows", "changed_slots"]
+    keys = ["doc_key", "doc_id", "item_key", "item_id"]
+    either = found.select(*keys, F.struct(F.lit(0).alias("by"), *figures).alias("found"))
+    either = either.union(verbatim_finds(rows, texts, share, enough).select(*keys, F.struct(F.lit(1).alias("by"), *figures).alias("found")))
+    return either.groupBy(*keys).agg(F.min("found").alias("found")).select("doc_key", "doc_id", "item_id", *[F.col(f"found.{x}") for x in figures])
 
 
 def decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

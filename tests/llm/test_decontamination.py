@@ -110,3 +110,22 @@ def test_windows_match_a_word_by_word_version(spark):
         assert len(got[key][1]) == len(slots)
         for value, h in zip(slots, got[key][1], strict=True):
             assert hashes.setdefault(("slot", value), h) == h
+
+
+PLAINLESS = [
+    (1, "12 + 30 * 4 = ?"), (2, "Anna Bernard Carol Dmitri Emma Fritz Greta Hans Ida Jonas"), (3, "以下关于水的沸点的说法中，哪一项是正确的？"),
+    (4, "Die Katze sitzt auf dem Dach und der Hund im Garten sieht den Vogel am Fenster und die Maus im Keller"),
+    (5, "น้ำเดือดที่อุณหภูมิเท่าใดในระดับน้ำทะเล"), (6, "What is the boiling point of water at the height of the sea"), (7, "Столица какой страны стоит на реке Дунай и называется Вена?"),
+]
+
+
+def test_verbatim_items_of_any_script_and_case_are_found(spark):
+    items = spark.createDataFrame(PLAINLESS, "item_id long, text string")
+    hidden = [(i, f"{prose(i, 60)}. {t} {prose(i + 50, 60)}", "en") for i, t in PLAINLESS]
+    changed = [(n + i, f"{prose(i, 60)}. {f(t)} {prose(i + 50, 60)}", "en") for i, t in PLAINLESS for n, f in ((10, str.upper), (40, str.lower))]
+    titled = [(26, f"{prose(1, 60)}. {PLAINLESS[5][1].title()}", "en"), (23, "前文。" + PLAINLESS[2][1] + "后文继续。", "zh")]
+    clean = [(30, "12 - 30 / 4 = ?", "en"), (31, "水的沸点是一百度。" * 3, "zh"), (32, "12 30 4 and more of it", "en"), (33, "Anna and Carol met Emma and Hans", "en")]
+    rows = dc.decontamination(frame(spark, hidden + changed + titled + clean), items).collect()
+    want = {(i, i) for i, _ in PLAINLESS} | {(n + i, i) for i, _ in PLAINLESS for n in (10, 40)} | {(26, 6), (23, 3)}
+    assert {(r["doc_id"], r["item_id"]) for r in rows} == want
+    assert sorted(r["doc_id"] for r in dc.without_benchmark(frame(spark, hidden + clean), items).collect()) == [i for i, *_ in clean]
