@@ -2,10 +2,11 @@ r"""Quality rules, in DataFrame functions only: base rules on repetition and len
 histograms from those of the languages.
 
 For every document two histograms are counted: characters by class, and words by a fixed list of common words, the
-rest being one bin. A language's reference is the sum over all documents with its label. A document that is long
-enough is kept if some language's references are near on both histograms, by Jensen-Shannon distance (the
+rest being one bin. A language's reference is the sum over all documents with its label, whatever the label. A document
+that is long enough is kept if the nearest reference is near on each histogram, by Jensen-Shannon distance (the
 square root of the divergence in bits, 0 to 1). A histogram of too few characters or words is not judged. Without any
-labelled document nothing is judged.
+labelled document nothing is judged. Words are listed for four languages only: those of a document with another label, or
+of an unlabelled one whose characters are nearest to such a label's, are not judged.
 
 Rows: a NULL text has no words. Words are cut at ASCII white space and compared with their case. Repeated rows are
 judged each for itself; other columns are ignored.
@@ -92,16 +93,18 @@ def statistics(docs: DataFrame) -> DataFrame:
     )
 
 
-def references(rows: DataFrame) -> list[tuple[list[float], list[float]]]:
-    """Shares of each language's characters and words, over all documents labelled with it; a row for each language."""
+def references(rows: DataFrame) -> list[tuple[str, list[float], list[float] | None]]:
+    """Label and shares of each language's characters and words, over all documents labelled with it; a row for each
+    language. No words where no common ones are listed."""
     sums = [F.sum(F.col("chars")[i]).alias(f"c{i}") for i in range(len(CLASSES))]
     sums += [F.sum(F.col("common")[i]).alias(f"w{i}") for i in range(len(WORDS) + 1)]
-    found = rows.filter(F.col("lang").isin(list(COMMON))).groupBy("lang").agg(*sums).orderBy("lang").collect()
+    found = rows.filter(F.col("lang").isNotNull()).groupBy("lang").agg(*sums).orderBy("lang").collect()
     out = []
     for r in found:
         pair = [[float(r[f"{k}{i}"]) for i in range(n)] for k, n in (("c", len(CLASSES)), ("w", len(WORDS) + 1))]
         if all(sum(x) for x in pair):
-            out.append(tuple([v / sum(x) for v in x] for x in pair))
+            chars, words = ([v / sum(x) for v in x] for x in pair)
+            out.append((r["lang"], chars, words if r["lang"] in COMMON else None))
     return out
 
 
@@ -129,8 +132,19 @@ def judged(docs: DataFrame, most_chars: float = MOST_CHARS, most_words: float =
     none = F.lit(None).cast("double")
     least = lambda columns: F.array_min(F.array(*columns)) if columns else none
     rows = rows.withColumn("n_chars", n_chars)
-    rows = rows.withColumn("char_distance", F.when(F.col("n_chars") >= JUDGED_CHARS, least([distance(F.col("chars"), F.col("n_chars"), c) for c, _ in near])))
-    rows = rows.withColumn("word_distance", F.when(F.col("n_words") >= JUDGED_WORDS, least([distance(F.col("common"), F.col("n_words"), w) for _, w in near])))
+    listed = least([distance(F.col("chars"), F.col("n_chars"), c) for _, c, w in near if w])
+    unlisted = [distance(F.col("chars"), F.col("n_chars"), c) for _, c, w in near if not w]
+    words = F.col("n_words") >= JUDGED_WORDS
+    if unlisted:
+        rows = rows.withColumn("listed_distance", listed).withColumn("unlisted_distance", least(unlisted))
+        char_distance = F.least("listed_distance", "unlisted_distance")
+        # A label without a list has no words to be near to.
+        foreign = F.when(F.col("lang").isNotNull(), ~F.col("lang").isin(list(COMMON))).otherwise(F.col("unlisted_distance") < F.col("listed_distance"))
+        words = words & ~F.coalesce(foreign, F.lit(False))
+    else:
+        char_distance = listed
+    rows = rows.withColumn("char_distance", F.when(F.col("n_chars") >= JUDGED_CHARS, char_distance))
+    rows = rows.withColumn("word_distance", F.when(words, least([distance(F.col("common"), F.col("n_words"), w) for _, _, w in near if w])))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words"))
     far = F.coalesce(F.col("char_distance") > most_chars, F.lit(False)) | F.coalesce(F.col("word_distance") > most_words, F.lit(False))
     return rows.withColumn("base_failed", failed).withColumn("kept", ~failed & ~far)

@@ -58,3 +58,21 @@ def test_distances(spark):
 def test_no_python_in_the_plan(spark, awkward):
     plan = qr.quality_rules(awkward)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_references_are_made_for_every_label(spark):
+    """Cyrillic and other Latin documents are compared with their own label, broken ones with any."""
+    rng = np.random.default_rng(7)
+
+    def text(letters, n):
+        return " ".join("".join(rng.choice(list(letters), rng.integers(3, 9))) for _ in range(n))
+
+    cyrillic = [(i, text("абвгдежзиклмнопрст", 150), "ru") for i in range(20)] + [(20, text("абвгдежзиклмнопрст", 150), None)]
+    latin = [(30 + i, text("aeijklmnoprstuvyåäö", 150), "fi") for i in range(20)]
+    english = [(60 + i, "The cat of the house and a dog in it was on the mat with " + prose(i, 150).lower(), "en") for i in range(20)]
+    odd = [(90, " ".join(f"{i}|{i * 7}" for i in range(200)), "ru")]
+    by = {r["doc_id"]: r for r in qr.judged(frame(spark, cyrillic + latin + english + odd)).collect()}
+    assert all(r["kept"] for i, r in by.items() if i < 90) and not by[90]["kept"]
+    assert by[0]["word_distance"] is None and by[20]["word_distance"] is None and by[60]["word_distance"] is not None
+    only = {r["doc_id"]: r for r in qr.judged(frame(spark, cyrillic)).collect()}
+    assert all(r["kept"] and r["word_distance"] is None for r in only.values())
