@@ -120,13 +120,22 @@ def candidate_regions(classes: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, members: DataFrame, n_members: int) -> DataFrame:
-    """``members`` (rep, ...) with ``shingles``, the sorted set as bytes. The texts are read again for them alone."""
+    """``members`` (rep, ...) with ``shingles``, the sorted set as bytes. The texts are read again for them alone; of rows
+    that repeat id and text, a task passes on one."""
     some = F.broadcast(members) if n_members <= SMALL_IDS else members
     read = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(some, "rep")
     names = [c for c in read.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passed: set[tuple[int, int]] = set()
         for batch in in_parts(batches, "text"):
+            reps, texts = batch.column(names.index("rep") + 1).to_pylist(), batch.column(0).to_pylist()
+            new = []
+            for i, document in enumerate((rep, hash(text)) for rep, text in zip(reps, texts, strict=True)):
+                if document not in passed:
+                    passed.add(document)
+                    new.append(i)
+            batch = batch.take(pa.array(new, pa.int64()))
             sets = [s.tobytes() for s in shingle_sets(batch.column(0))]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(sets, pa.binary())], names=[*names, "shingles"])
 
@@ -304,18 +313,24 @@ def near_duplicates(docs: DataFrame, percent: int = 75, region: int = REGION) ->
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, columns unchanged, whose document is kept; of rows that repeat an id, one. Rows without
-    an id stay if no row with an id has their set."""
-    found = checkpointed(near_duplicates(docs))
-    kept = found.filter("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows"))
-    key = free_name("id", docs.columns)
-    rows = docs.withColumn(key, F.col("doc_id").cast("long"))
-    once = rows.join(kept.filter("_rows = 1").select(F.col("_id").alias(key)), key, "left_semi").select(*docs.columns)
-    if kept.filter("_rows > 1").isEmpty() and found.filter("doc_id IS NULL").isEmpty():
+    """A row of ``docs``, columns unchanged, of each group of near-duplicates: that with the least id, rows without an id
+    last. Rows of one id and text are one document, those of one id and other texts are others. Rows without a word all
+    differ, but for those of one id and text. Ties go by the document's hash, then by the other columns' values."""
+    key = free_name("key", docs.columns)
+    rows = docs.withColumn(key, F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
+    found = near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"))
+    found = checkpointed(found.groupBy(F.col("doc_id").alias("key")).agg(F.first("component_id").alias("component"), F.count("*").alias("n")))
+    ids = rows.groupBy(F.col(key).alias("of")).agg(F.first(F.col("doc_id").cast("long")).alias("id"))
+    first = F.min(F.struct(F.col("id").isNull(), "id", "key", "n")).alias("first")
+    kept = found.join(ids, F.col("key") == F.col("of")).groupBy("component").agg(first)
+    kept = checkpointed(kept.select(F.col("first.key").alias(key), F.col("first.n").alias("_rows")))
+    once = rows.join(kept.filter("_rows = 1").select(key), key, "left_semi").select(*docs.columns)
+    if kept.filter("_rows > 1").isEmpty():
         return once
-    again = rows.join(kept.filter("_rows > 1").select(F.col("_id").alias(key)), key, "left_semi").dropDuplicates(["doc_id"])
-    without = rows.filter("doc_id IS NULL") if not found.filter("doc_id IS NULL AND kept").isEmpty() else rows.limit(0)
-    return once.unionByName(again.select(*docs.columns)).unionByName(without.dropDuplicates(["text"]).select(*docs.columns))
+    again = rows.join(kept.filter("_rows > 1").select(key), key, "left_semi")
+    whole = F.struct(*docs.columns)
+    again = again.groupBy(key).agg(F.min_by(whole, F.to_json(whole, {"ignoreNullFields": "false"})).alias(free_name("row", docs.columns)))
+    return once.unionByName(again.select(f"{free_name('row', docs.columns)}.*"))
 
 
 #: All pairs that share a shingle, exactly, and the least id reachable.

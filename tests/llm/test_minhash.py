@@ -155,3 +155,30 @@ def test_similar_sets_share_a_prefix_shingle():
         both = len(np.intersect1d(a, b))
         if 100 * both >= 75 * (len(a) + len(b) - both):
             assert len(np.intersect1d(minhash.prefix(a, common, counts, 75), minhash.prefix(b, common, counts, 75)))
+
+
+def test_one_of_each_with_repeated_and_missing_ids(spark):
+    """One row of each near-duplicate component over all rows, whatever their ids; the same one on any partitioning."""
+    a, b, c, d = (prose(i, 120) for i in (21, 22, 23, 24))
+    near = " ".join(["other", *a.split()[1:]])
+    hot = [(7, prose(100 + i, 60), "en") for i in range(40)]
+    source = [
+        (5, a, "en"), (None, a, "de"), (None, near, "fr"), (3, near, "en"), (None, b, "en"), (None, b + " more", "en"), (None, b, "de"),
+        (9, c, "en"), (9, c, "de"), (9, c, None), (9, d, "en"), (8, c.upper(), "es"), (4, None, "en"), (4, "", "en"), (None, None, "en"),
+    ]
+    runs = [sorted(map(str, minhash.one_of_each(frame(spark, rows).repartition(n)).collect())) for n, rows in ((1, source + hot), (7, (source + hot)[::-1]))]
+    assert runs[0] == runs[1]
+    kept = [(r["doc_id"], r["text"], r["lang"]) for r in minhash.one_of_each(frame(spark, source + hot)).collect()]
+    assert sorted(t for i, t, _ in kept if i == 7) == sorted(t for _, t, _ in hot)
+    rest = [x for x in kept if x[0] != 7]
+    assert [x for x in rest if x[0] is None and x[1] and x[1].startswith(a[:20])] == []
+    texts = sorted((t or "", i or 0) for i, t, _ in rest if t is None or not t.startswith(b))
+    assert texts == sorted([(near, 3), (c.upper(), 8), (d, 9), ("", 4), ("", 4), ("", 0)])
+    assert len([t for _, t, _ in rest if t and t.startswith(b)]) == 1
+
+
+def test_copies_of_one_row_are_one_document(spark):
+    text = prose(31, 90)
+    source = [(1, text, "en"), (1, text, "de"), (1, text, "de")] * 20 + [(2, text + " x", "en")]
+    kept = minhash.one_of_each(frame(spark, source).repartition(4)).collect()
+    assert [(r["doc_id"], r["lang"]) for r in kept] == [(1, "de")]
