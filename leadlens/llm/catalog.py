@@ -11,11 +11,14 @@ from leadlens.llm.common import documents
 from leadlens.llm.decontamination import decontamination
 from leadlens.llm.language_id import language_id
 from leadlens.llm.minhash import MINHASH_SQL, near_duplicates
+from leadlens.llm.mixing import MIXING_SQL, mixing
 from leadlens.llm.packing import packing
+from leadlens.llm.phrases import PHRASES_SQL, collocations
 from leadlens.llm.quality_classifier import quality_classifier
 from leadlens.llm.quality_rules import QUALITY_SQL, quality_rules
 from leadlens.llm.secrets import SECRETS_SQL, secrets
 from leadlens.llm.sharding import sharding
+from leadlens.llm.spelling import SPELLING_SQL, spelling
 from leadlens.llm.warc import WARC_SQL, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -29,6 +32,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": lambda spark, d: quality_rules(documents(spark, d)),
     "op9_quality_classifier": lambda spark, d: quality_classifier(documents(spark, d), spark.read.parquet(f"{d}/labels.parquet")),
     "op10_packing": lambda spark, d: packing(documents(spark, d)),
+    "op11_phrases": lambda spark, d: collocations(documents(spark, d)),
+    "op12_spelling": lambda spark, d: spelling(documents(spark, d)),
+    "op13_mixing": lambda spark, d: mixing(documents(spark, d)),
 }
 
 ORACLE: dict[str, str] = {
@@ -37,4 +43,7 @@ ORACLE: dict[str, str] = {
     "op6_minhash": MINHASH_SQL,
     "op7_secrets": SECRETS_SQL,
     "op8_quality_rules": QUALITY_SQL,
+    "op11_phrases": PHRASES_SQL,
+    "op12_spelling": SPELLING_SQL,
+    "op13_mixing": MIXING_SQL,
 }
