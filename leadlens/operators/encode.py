@@ -24,16 +24,22 @@ from leadlens.operators.ranking import at_or_below, hash_order, smallest_cuts, s
 
 def label_counts(df: DataFrame, fd: FieldDictionary) -> dict[str, int]:
     """Rows per label; any other label, or none, is an error that lists up to 20 of them."""
+    return _label_state(df, fd)[0]
+
+
+def _label_state(df: DataFrame, fd: FieldDictionary) -> tuple[dict[str, int], bool]:
+    """``label_counts``, and whether every row has an id, from one scan."""
     require_target(df, fd)
     target = F.col(f"`{fd.target}`")
     known = target.isin(fd.negative, fd.positive)
-    counted = df.groupBy(target.alias("label")).agg(F.count(F.lit(1)).alias("n"), F.max(known).alias("known"))
+    unnamed = F.col(f"`{fd.id}`").isNull() if fd.id in df.columns else F.lit(False)
+    counted = df.groupBy(target.alias("label")).agg(F.count(F.lit(1)).alias("n"), F.max(known).alias("known"), F.count_if(unnamed).alias("unnamed"))
     rows = counted.orderBy(F.col("known").desc_nulls_last(), "label").limit(22).collect()
     wrong = [str(r["label"]) for r in rows if not r["known"]]
     if wrong:
         raise DatasetError(f"labels other than {fd.negative}/{fd.positive}: {', '.join(wrong[:20])}")
     found = {r["label"]: r["n"] for r in rows}
-    return {label: found.get(label, 0) for label in (fd.negative, fd.positive)}
+    return {label: found.get(label, 0) for label in (fd.negative, fd.positive)}, not any(r["unnamed"] for r in rows)
 
 
 def encode_target(df: DataFrame, fd: FieldDictionary, output: str = "label") -> DataFrame:
@@ -60,9 +66,9 @@ def test_sizes(counts: Mapping[str, int], share: float) -> dict[str, int]:
     return sizes
 
 
-def _side(df: DataFrame, fd: FieldDictionary, seed: int, cuts: Mapping[str, list[tuple[str, int]]]) -> Column:
+def _side(df: DataFrame, fd: FieldDictionary, seed: int, cuts: Mapping[str, list[tuple[str, int]]], complete: bool) -> Column:
     """Number of cuts of its label that lie before the row in hash order."""
-    key = sort_key(df, fd.id)
+    key = sort_key(df, fd.id, complete)
     hashed = hash_order(key, seed)
     out = F.lit(0)
     for label, points in cuts.items():
@@ -77,10 +83,10 @@ def stratified_split(df: DataFrame, fd: FieldDictionary, config: Config = Config
     Only the cut points are computed; membership is then a row-wise comparison, so no row is
     ranked or shuffled. Rows that share an id fall on the same side.
     """
-    counts = label_counts(df, fd)
+    counts, complete = _label_state(df, fd)
     sizes = test_sizes(counts, config.test_size)
-    cuts = smallest_cuts(df, fd.target, fd.id, config.seed, counts, {label: [k] for label, k in sizes.items()})
-    key = sort_key(df, fd.id)
+    cuts = smallest_cuts(df, fd.target, fd.id, config.seed, counts, {label: [k] for label, k in sizes.items()}, complete)
+    key = sort_key(df, fd.id, complete)
     hashed = hash_order(key, config.seed)
     is_test = F.lit(False)
     for label, points in cuts.items():
@@ -94,12 +100,12 @@ def with_folds(df: DataFrame, fd: FieldDictionary, config: Config = Config(), ou
 
     The hash uses the seed after the split's, so folds do not depend on the split.
     """
-    counts = label_counts(df, fd)
+    counts, complete = _label_state(df, fd)
     ranks = {
         label: [-(-n * i // config.folds) for i in range(1, config.folds)] if n else [] for label, n in counts.items()
     }
-    cuts = smallest_cuts(df, fd.target, fd.id, config.seed + 1, counts, ranks)
-    return df.withColumn(output, _side(df, fd, config.seed + 1, cuts))
+    cuts = smallest_cuts(df, fd.target, fd.id, config.seed + 1, counts, ranks, complete)
+    return df.withColumn(output, _side(df, fd, config.seed + 1, cuts, complete))
 
 
 @dataclass(frozen=True)

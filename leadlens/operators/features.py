@@ -6,7 +6,12 @@ saved pipeline, so that training and scoring cannot drift apart.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import SQLTransformer
+from collections.abc import Sequence
+
+from pyspark import keyword_only
+from pyspark.ml.base import Transformer
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,10 +68,51 @@ def with_features(df: DataFrame, fd: FieldDictionary = CONTACTS, config: Config
     return df.withColumns(derived).drop(*drop)
 
 
-def feature_stage(config: Config = Config()) -> SQLTransformer:
-    """First pipeline stage: raw rows in, raw and derived columns out."""
-    added = ", ".join(f"{sql} AS {name}" for name, sql in derived_sql(config).items())
-    return SQLTransformer(statement=f"SELECT *, {added} FROM __THIS__")
+#: What a training frame carries along beside the features.
+CARRIED = ("id", "subscribe", "label", "w_balanced", "w_positive", "fold")
+
+
+class FeatureStage(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """First pipeline stage: raw rows in, exactly the model's columns out, categorical ones first; of other columns only those named by
+    ``carried`` stay, in front. Raw columns that are missing are an error that names them. It saves and loads with the pipeline."""
+
+    includeDuration = Param(Params._dummy(), "includeDuration", "whether the after-the-event column is an input", TypeConverters.toBoolean)
+    highFrequency = Param(Params._dummy(), "highFrequency", "calls from which on a contact is called often", TypeConverters.toInt)
+    neverContacted = Param(Params._dummy(), "neverContacted", "days that stand for no earlier contact", TypeConverters.toInt)
+    carried = Param(Params._dummy(), "carried", "columns that stay beside the features", TypeConverters.toListString)
+
+    @keyword_only
+    def __init__(self, *, includeDuration: bool = False, highFrequency: int = 6, neverContacted: int = 999, carried: Sequence[str] = CARRIED):
+        super().__init__()
+        self._set(includeDuration=includeDuration, highFrequency=highFrequency, neverContacted=neverContacted, carried=list(carried))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        get = self.getOrDefault
+        config = Config(include_duration=get("includeDuration"), high_frequency_threshold=get("highFrequency"), never_contacted=get("neverContacted"))
+        needed = [c for c in (*CONTACTS.categoricals, *CONTACTS.numerics) if config.include_duration or c != "duration"]
+        missing = [c for c in needed if c not in dataset.columns]
+        if missing:
+            raise DatasetError(f"feature input lacks columns: {', '.join(missing)}")
+        categorical, numeric = feature_lists(CONTACTS, config)
+        derived = {name: F.expr(sql) for name, sql in derived_sql(config).items()}
+        kept = [c for c in get("carried") if c in dataset.columns]
+        return dataset.withColumns(derived).select(*[F.col(f"`{c}`") for c in (*kept, *categorical, *numeric)])
+
+
+def feature_stage(config: Config = Config(), carried: Sequence[str] = CARRIED) -> FeatureStage:
+    return FeatureStage(
+        includeDuration=config.include_duration, highFrequency=config.high_frequency_threshold, neverContacted=config.never_contacted, carried=carried
+    )
+
+
+def feature_columns(df: DataFrame, config: Config = Config()) -> DataFrame:
+    """(position, feature, type, distinct, n_missing): the columns that the feature stage gives the model, as they come out of it."""
+    out = feature_stage(config, carried=()).transform(df)
+    stats = out.selectExpr(*[e for c in out.columns for e in (f"count(DISTINCT `{c}`) AS `d_{c}`", f"count_if(`{c}` IS NULL) AS `m_{c}`")])
+    rows = [
+        {"position": f"{i}L", "feature": text(c), "type": text(t), "distinct": f"`d_{c}`", "n_missing": f"`m_{c}`"} for i, (c, t) in enumerate(out.dtypes)
+    ]
+    return rows_from(stats, rows)
 
 
 def register_views(df: DataFrame, fd: FieldDictionary = CONTACTS, config: Config = Config()) -> None:

@@ -54,10 +54,12 @@ def of_few_levels(counts: DataFrame, max_values: int = MAX_LEVELS) -> DataFrame:
     """``counts``, rows of (column, value, ...), if no column has more than ``max_values`` values; else the job fails.
     The values are counted, and the counts broadcast, before any row is ordered: an order within a column is
     made in one task, which a column that is no categorical one must not reach."""
-    levels = counts.groupBy(F.col("column").alias("of")).agg(F.count(F.lit(1)).alias("levels"))
+    # Both sides use every column, so that they share one exchange and the table is scanned once.
+    rest = F.max(F.struct(*[c for c in counts.columns if c != "column"]))
+    levels = counts.groupBy(F.col("column").alias("of")).agg(F.count(F.lit(1)).alias("levels"), rest.alias("rest"))
     too_many = F.concat(F.lit("too many values for a categorical column: "), F.col("of"))
-    levels = levels.select("of", F.when(F.col("levels") > max_values, F.raise_error(too_many).cast("long")).otherwise(F.col("levels")).alias("levels"))
-    checked = counts.join(F.broadcast(levels), F.col("column") == F.col("of")).where("levels > 0")  # a row for each column
+    levels = levels.select("of", "rest", F.when(F.col("levels") > max_values, F.raise_error(too_many).cast("long")).otherwise(F.col("levels")).alias("levels"))
+    checked = counts.join(F.broadcast(levels), F.col("column") == F.col("of")).where("levels > 0 AND rest IS NOT NULL")  # a row for each column
     return checked.select(*counts.columns)
 
 

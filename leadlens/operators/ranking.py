@@ -142,9 +142,12 @@ _DIGITS = 3
 _BOUNDARY_ROWS = 20_000
 
 
-def sort_key(df: DataFrame, column: str) -> Column:
-    """The key, and for a row without one a hash of all its cells, so that every row has a place of its own."""
+def sort_key(df: DataFrame, column: str, complete: bool = False) -> Column:
+    """The key, and for a row without one a hash of all its cells, so that every row has a place of its own. ``complete``: no row
+    lacks a key, and no other column is read."""
     col = F.col(f"`{column}`")
+    if complete:
+        return col if df.schema[column].dataType.typeName() == "string" else col.cast("bigint")
     whole = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in df.columns])
     if df.schema[column].dataType.typeName() == "string":
         return F.coalesce(col, F.hex(whole))
@@ -157,7 +160,8 @@ def hash_order(key: Column, seed: int) -> Column:
 
 
 def smallest_cuts(
-    df: DataFrame, group: str, key: str, seed: int, counts: Mapping[str, int], ranks: Mapping[str, Sequence[int]]
+    df: DataFrame, group: str, key: str, seed: int, counts: Mapping[str, int], ranks: Mapping[str, Sequence[int]],
+    complete: bool = False,
 ) -> dict[str, list[tuple[str, int]]]:
     """Per group and wanted rank k, the (hash, key) of the k-th smallest row in hash order.
 
@@ -166,7 +170,7 @@ def smallest_cuts(
     returns 4096 counts per cut; about ``_BOUNDARY_ROWS`` rows remain for the last step, where
     copies of a key are counted, not listed.
     """
-    place = sort_key(df, key)
+    place = sort_key(df, key, complete)
     rows = df.select(F.col(f"`{group}`").alias("grp"), place.alias("key"), hash_order(place, seed).alias("h"))
     todo = {(g, k): ("", k) for g, ks in ranks.items() for k in ks if 0 < k <= counts[g]}
     depth, left = 0, max(counts.values(), default=0)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from leadlens.dictionary import CONTACTS, Config, FieldDictionary, FilterCriteria
 from leadlens.functions.shapes import month_sql, weekday_sql
-from leadlens.operators import benefit, encode, evaluate, features, filters, insights, models, profile, quality
+from leadlens.operators import benefit, boosting, encode, evaluate, features, filters, forest, insights, levels, models, newton, portable, profile, quality
 from leadlens.plans import training
 from leadlens.plans.campaign import BROKEN_COLUMNS, broken_export, contacts, export_folder, labelled, table, unlabelled
 from leadlens.sources import readers, sinks
@@ -347,6 +347,26 @@ def duplicate_contacts(spark, folder):
     return quality.duplicate_keys(df.unionByName(df.where("id % 29 = 0")), "id")
 
 
+@query
+def feature_columns(spark, folder):
+    return features.feature_columns(contacts(spark, folder))
+
+
+@query
+def default_coding(spark, folder):
+    """The column that is unknown most often, as it is, filled by its main level, and as known or not."""
+    found = levels.coding_comparison(contacts(spark, folder), "default", CONTACTS, "no")
+    return found.withColumns({c: F.round(c, 9) for c in ("rate", "woe", "iv")})
+
+
+@query
+def default_held_out(spark, folder):
+    """The weights of the levels for the rows of each of three folds."""
+    df = contacts(spark, folder).withColumn("fold", F.col("id") % 3)
+    found = levels.held_out_evidence(df, ["default", "poutcome"], CONTACTS, "fold", 3)
+    return found.withColumns({"fold": F.col("fold").cast("long"), "woe": F.round("woe", 9)})
+
+
 # Splits and encodings
 
 
@@ -514,12 +534,63 @@ QUERIES["fit_boosted_a"] = _fitted_metrics("boosted_a")
 QUERIES["fit_boosted_b"] = _fitted_metrics("boosted_b")
 
 
+#: Inputs of few distinct values, whose thresholds can be listed in SQL.
+ROUND_INPUTS = (portable.Input("campaign"), portable.Input("previous"), portable.Input("contact", "cellular"))
+NEWTON_INPUTS = (portable.Input("campaign"), portable.Input("previous"))
+NEWTON_PROBLEMS = [newton.Problem(k, c) for k in range(3) for c in (0.1, 1.0, 10.0)]
+
+
+def coded_contacts(spark, folder) -> DataFrame:
+    df = labelled(contacts(spark, folder))
+    return df.withColumns({"label": encode.target_code(CONTACTS), "weight": F.lit(1.0)})
+
+
+@query
+def boosted_first_round(spark, folder):
+    """The tree of the first round: four leaves over three inputs, from all labelled rows."""
+    settings = boosting.Boosting(rounds=1, rate=0.1, leaves=4, penalty=1.0)
+    model = boosting.boost(coded_contacts(spark, folder), ROUND_INPUTS, settings)
+    parts = portable.tables(spark, model)[1]
+    return parts.selectExpr(*[f"CAST({c} AS BIGINT) AS {c}" for c in ("node", "input", "yes", "no")], "threshold", "round(value, 9) AS value")
+
+
+@query
+def newton_steps(spark, folder):
+    """Coefficients of nine problems, three folds by three penalties, after three Newton steps each, from all labelled rows."""
+    rows = coded_contacts(spark, folder).withColumn("fold", F.col("id") % 3)
+    solved = newton.solve(rows, NEWTON_INPUTS, NEWTON_PROBLEMS, fold="fold", steps=3, fixed=True)
+    out = [(s.problem.fold, s.problem.c, *[round(b, 8) + 0.0 for b in s.coefficients]) for s in solved]
+    return spark.createDataFrame(out, "fold long, c double, campaign double, previous double, intercept double")
+
+
+@query
+def bootstrap_weights(spark, folder):
+    """Sizes and label weights of the samples of 25 trees."""
+    return forest.bootstrap_sums(coded_contacts(spark, folder), "label", "id", 25)
+
+
+#: A model as tables: two small trees and a coefficient over three inputs.
+FIXED_INPUTS = [(0, "poutcome", "success", 0.0, 0.0, 1.0), (1, "lending_rate3m", None, 2.5, 2.5, 1.5), (2, "age", None, 40.0, 0.0, 1.0)]
+FIXED_PARTS = [
+    (0, 0, 0, 0.5, 1, 2, None), (0, 1, 1, -0.25, 3, 4, None), (0, 2, None, None, None, None, 0.75), (0, 3, None, None, None, None, -0.5),
+    (0, 4, None, None, None, None, -1.25), (1, 0, 2, 45.5, 1, 2, None), (1, 1, None, None, None, None, 0.125), (1, 2, None, None, None, None, -0.0625),
+    (-1, 0, 1, None, None, None, -0.3), (-1, 1, None, None, None, None, 0.2),
+]
+
+
+@query
+def portable_scores(spark, folder):
+    """A model given by two tables scores all contacts."""
+    model = portable.from_tables(spark.createDataFrame(FIXED_INPUTS, portable.INPUTS), spark.createDataFrame(FIXED_PARTS, portable.PARTS))
+    return portable.scores(contacts(spark, folder), model, keep=["id"]).select("id", F.round("score", 9).alias("score"))
+
+
 @query
 def grid_search(spark, folder):
-    """(model, settings, cv_score, is_best) of the whole logistic and forest grids over three stratified folds."""
+    """(model, settings, cv_score, is_best) of all four grids over three stratified folds."""
     train, test = training.split_frames(labelled(contacts(spark, folder)), CONTACTS, FITS)
     counts, rows = encode.label_counts(train, CONTACTS), []
-    for name in ("logistic_regression", "random_forest"):
+    for name in models.CANDIDATES:
         tuned = models.tune(name, train, counts, config=FITS)
         rows += [(name, str(dict(point)), score, point == tuned.settings) for point, score in tuned.points]
     train.unpersist()

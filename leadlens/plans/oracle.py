@@ -316,6 +316,107 @@ def _mapping() -> str:
     return _union(parts)
 
 
+def _first_round(leaves: int = 4) -> str:
+    """Best leaf first: each split takes the leaf, input and threshold of the greatest gain; children are numbered by the splits."""
+    inputs = ["campaign", "previous", "CASE WHEN contact = 'cellular' THEN 1.0 ELSE 0.0 END"]
+    x = ", ".join(f"CAST({e} AS DOUBLE) AS x{i}" for i, e in enumerate(inputs))
+    worth = "power({0}.g, 2) / ({0}.h + 1)"
+    parts = [
+        f"b0 AS (SELECT {x}, 0.5 - CAST(subscribe = 'yes' AS INT) AS g, 0.25 AS h, 0 AS node FROM contacts WHERE subscribe IS NOT NULL)",
+        "v AS (" + _union([f"SELECT DISTINCT {i} AS input, x{i} AS value FROM b0" for i in range(3)]) + ")",
+        "e AS (SELECT * FROM (SELECT input, (value + lead(value) OVER (PARTITION BY input ORDER BY value)) / 2 AS threshold FROM v) WHERE threshold IS NOT NULL)",
+    ]
+    for k in range(leaves - 1):
+        sums = _union(
+            [f"SELECT b.node, e.input, e.threshold, CAST(sum(b.g) AS DOUBLE) AS g, CAST(sum(b.h) AS DOUBLE) AS h FROM b{k} b JOIN e ON e.input = {i} AND b.x{i} <= e.threshold GROUP BY ALL" for i in range(3)]
+        )
+        chosen = " ".join(f"WHEN input = {i} THEN x{i}" for i in range(3))
+        parts += [
+            f"t{k} AS (SELECT node, CAST(sum(g) AS DOUBLE) AS g, CAST(sum(h) AS DOUBLE) AS h FROM b{k} GROUP BY node)",
+            f"l{k} AS ({sums})",
+            f"""s{k} AS (SELECT l.node, l.input, l.threshold FROM l{k} l JOIN t{k} t USING (node)
+              WHERE l.h > 0 AND t.h - l.h > 0
+              ORDER BY {worth.format('l')} + power(t.g - l.g, 2) / (t.h - l.h + 1) - {worth.format('t')} DESC, l.node, l.input, l.threshold LIMIT 1)""",
+            f"""b{k + 1} AS (SELECT x0, x1, x2, g, h, CASE WHEN b.node <> s.node THEN b.node
+              WHEN CASE {chosen} END <= threshold THEN {2 * k + 1} ELSE {2 * k + 2} END AS node FROM b{k} b, s{k} s)""",
+        ]
+    inner = [f"SELECT node, input, {2 * k + 1} AS yes, {2 * k + 2} AS no, threshold, CAST(NULL AS DOUBLE) AS value FROM s{k}" for k in range(leaves - 1)]
+    leaf = f"SELECT node, NULL, NULL, NULL, NULL, round(-sum(g) / (sum(h) + 1) * CAST(0.1 AS DOUBLE), 9) FROM b{leaves - 1} GROUP BY node"
+    rows = _union([*inner, leaf])
+    wide = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in ("node", "input", "yes", "no"))
+    return _contacts(f"SELECT {wide}, CAST(threshold AS DOUBLE) AS threshold, CAST(value AS DOUBLE) AS value FROM ({rows})", *parts)
+
+
+def _newton_steps(steps: int = 3) -> str:
+    """Newton steps of two scaled inputs and an intercept; the three equations are solved by determinants."""
+    parts = [
+        """p AS (SELECT k AS fold, CAST(c AS DOUBLE) AS c FROM (SELECT unnest(range(3)) AS k), (SELECT unnest([0.1, 1.0, 10.0]) AS c))""",
+        """t AS (SELECT id % 3 AS own, campaign AS a, previous AS b, CAST(subscribe = 'yes' AS INT) AS y FROM contacts WHERE subscribe IS NOT NULL)""",
+        """st AS (SELECT k AS fold, avg(a) AS ma, stddev_pop(a) AS sa, avg(b) AS mb, stddev_pop(b) AS sb, count(*) AS n, sum(y) AS n1
+          FROM t JOIN (SELECT unnest(range(3)) AS k) ON own <> k GROUP BY k)""",
+        """z AS (SELECT fold, (a - ma) / sa AS a, (b - mb) / sb AS b, y, CAST(n AS DOUBLE) / (2 * CASE WHEN y = 1 THEN n1 ELSE n - n1 END) AS w
+          FROM t JOIN st ON own <> fold)""",
+        "c0 AS (SELECT fold, c, CAST(0 AS DOUBLE) AS b1, CAST(0 AS DOUBLE) AS b2, CAST(0 AS DOUBLE) AS b0 FROM p)",
+    ]
+    for k in range(steps):
+        parts += [
+            f"m{k} AS (SELECT q.*, a, b, w, y, 1 / (1 + exp(-(b0 + b1 * a + b2 * b))) AS p FROM c{k} q JOIN z USING (fold))",
+            f"""h{k} AS (SELECT fold, c, b1, b2, b0, sum(w * p * (1 - p) * a * a) + 1 / c AS h11, sum(w * p * (1 - p) * a * b) AS h12,
+              sum(w * p * (1 - p) * a) AS h13, sum(w * p * (1 - p) * b * b) + 1 / c AS h22, sum(w * p * (1 - p) * b) AS h23, sum(w * p * (1 - p)) AS h33,
+              sum(w * (p - y) * a) + b1 / c AS g1, sum(w * (p - y) * b) + b2 / c AS g2, sum(w * (p - y)) AS g3 FROM m{k} GROUP BY fold, c, b1, b2, b0)""",
+            f"""d{k} AS (SELECT *, h11 * (h22 * h33 - h23 * h23) - h12 * (h12 * h33 - h23 * h13) + h13 * (h12 * h23 - h22 * h13) AS det FROM h{k})""",
+            f"""c{k + 1} AS (SELECT fold, c,
+              b1 - (g1 * (h22 * h33 - h23 * h23) - h12 * (g2 * h33 - h23 * g3) + h13 * (g2 * h23 - h22 * g3)) / det AS b1,
+              b2 - (h11 * (g2 * h33 - h23 * g3) - g1 * (h12 * h33 - h23 * h13) + h13 * (h12 * g3 - g2 * h13)) / det AS b2,
+              b0 - (h11 * (h22 * g3 - g2 * h23) - h12 * (h12 * g3 - g2 * h13) + g1 * (h12 * h23 - h22 * h13)) / det AS b0 FROM d{k})""",
+        ]
+    return _contacts(
+        f"SELECT fold, c, round(b1, 8) + 0.0 AS campaign, round(b2, 8) + 0.0 AS previous, round(b0, 8) + 0.0 AS intercept FROM c{steps}", *parts
+    )
+
+
+_BOOTSTRAP = """
+trees AS (SELECT unnest(range(25)) AS tree),
+t AS (SELECT CAST(('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8)) AS BIGINT) AS r, CAST(subscribe = 'yes' AS BIGINT) AS label FROM contacts WHERE subscribe IS NOT NULL),
+u AS (SELECT tree, label, (r % 2147483647 + (tree + 1) * 1000003 + 42 * 7919) % 2147483647 AS u FROM t, trees),
+v AS (SELECT tree, label, u, (u * u + 48271 * u) % 2147483647 AS v FROM u),
+lots AS (SELECT tree, label, (v * v + 69621 * u) % 2147483647 % 1000000 AS lot FROM v),
+sizes AS (
+  SELECT tree, label, sum(CAST(lot >= 367879 AS INT) + CAST(lot >= 735759 AS INT) + CAST(lot >= 919699 AS INT) + CAST(lot >= 981012 AS INT)
+    + CAST(lot >= 996340 AS INT) + CAST(lot >= 999406 AS INT) + CAST(lot >= 999917 AS INT) + CAST(lot >= 999990 AS INT) + CAST(lot >= 999999 AS INT)) AS n
+  FROM lots GROUP BY ALL)"""
+
+
+def _evidence(names: dict[str, str]) -> str:
+    """Weights of the levels of columns given as SQL."""
+    values = _union([f"SELECT {_s(name)} AS coding, {sql} AS value, subscribe = 'yes' AS won FROM contacts WHERE subscribe IS NOT NULL" for name, sql in names.items()])
+    return f"""n AS (SELECT coding, value, count(*) FILTER (won) AS n_pos, count(*) FILTER (NOT won) AS n_neg FROM ({values}) GROUP BY ALL),
+    sh AS (SELECT *, (n_pos + 0.5::DOUBLE) / (sum(n_pos) OVER w + 0.5::DOUBLE * count(*) OVER w) AS sp,
+      (n_neg + 0.5::DOUBLE) / (sum(n_neg) OVER w + 0.5::DOUBLE * count(*) OVER w) AS sn FROM n WINDOW w AS (PARTITION BY coding))"""
+
+
+_HELD_OUT = """
+l AS (SELECT id % 3 AS own, 'default' AS "column", "default" AS value, subscribe = 'yes' AS won FROM contacts WHERE subscribe IS NOT NULL
+  UNION ALL SELECT id % 3, 'poutcome', poutcome, subscribe = 'yes' FROM contacts WHERE subscribe IS NOT NULL),
+n AS (SELECT "column", value, k AS fold, count(*) FILTER (won AND own <> k) AS n_pos, count(*) FILTER (NOT won AND own <> k) AS n_neg
+  FROM l, (SELECT unnest(range(3)) AS k) GROUP BY ALL),
+sh AS (SELECT *, (n_pos + 0.5::DOUBLE) / (sum(n_pos) OVER w + 0.5::DOUBLE * count(*) OVER w) AS sp,
+  (n_neg + 0.5::DOUBLE) / (sum(n_neg) OVER w + 0.5::DOUBLE * count(*) OVER w) AS sn FROM n WINDOW w AS (PARTITION BY "column", fold))"""
+
+
+def _feature_columns() -> str:
+    """The model's columns in order; numbers that the table holds as doubles, flags as 32-bit integers."""
+    strings = [*CONTACTS.categoricals, "age_bucket"]
+    numbers = [c for c in CONTACTS.numerics if c != "duration"]
+    names = [*[(c, "string") for c in strings], *[(c, "double") for c in numbers], *[(c, "int") for c in _FLAGS]]
+    return _union(
+        [
+            f"SELECT CAST({i} AS BIGINT) AS position, {_s(c)} AS feature, {_s(t)} AS type, count(DISTINCT {_q(c)}) AS \"distinct\", count(*) - count({_q(c)}) AS n_missing FROM f"
+            for i, (c, t) in enumerate(names)
+        ]
+    )
+
+
 _SPLIT = """t AS (SELECT *, count(*) OVER () AS total, count(*) OVER (PARTITION BY subscribe) AS own FROM contacts WHERE subscribe IS NOT NULL),
 sizes AS (SELECT DISTINCT subscribe AS label, own, ceil(round(total * CAST(0.2 AS DOUBLE), 9)) AS wanted,
   own * ceil(round(total * CAST(0.2 AS DOUBLE), 9)) / total AS exact FROM t),
@@ -539,6 +640,26 @@ def oracle_queries() -> dict[str, str]:
         ),
         "one_hot_matrix": _contacts(_slots(), _FEATURES),
         "scaled_features": _contacts(_scaled(), _FEATURES),
+        "feature_columns": _contacts(_feature_columns(), _FEATURES),
+        "default_coding": _contacts(
+            """SELECT coding, value, n_pos, n_neg, round(n_pos / (n_pos + n_neg)::DOUBLE, 9) AS rate, round(ln(sp / sn), 9) AS woe,
+              round(sum((sp - sn) * ln(sp / sn)) OVER (PARTITION BY coding), 9) AS iv FROM sh""",
+            _evidence({
+                "own_level": _q("default"), "filled": "CASE WHEN \"default\" = 'unknown' THEN 'no' ELSE \"default\" END",
+                "gap": "CASE WHEN \"default\" = 'unknown' THEN 'unknown' ELSE 'known' END",
+            }),
+        ),
+        "default_held_out": _contacts('SELECT "column", value, fold, n_pos, n_neg, round(ln(sp / sn), 9) AS woe FROM sh', _HELD_OUT),
+        "boosted_first_round": _first_round(),
+        "newton_steps": _newton_steps(),
+        "bootstrap_weights": _contacts(
+            "SELECT tree, label, CAST(n AS BIGINT) AS n, CAST(sum(n) OVER (PARTITION BY tree) AS DOUBLE) / (2 * n) AS weight FROM sizes", _BOOTSTRAP
+        ),
+        "portable_scores": _contacts(
+            """SELECT id, round(1 / (1 + exp(-(0.2 - 0.3 * z + CASE WHEN poutcome = 'success' THEN 0.75 WHEN z <= -0.25 THEN -0.5 ELSE -1.25 END
+              + CASE WHEN age <= 45.5 THEN 0.125 ELSE -0.0625 END))), 9) AS score
+            FROM (SELECT *, (coalesce(lending_rate3m, 2.5) - 2.5) / 1.5 AS z FROM contacts)"""
+        ),
         "score_histogram": _ranked(_TIED, "SELECT score, tp, fp, cum_tp, cum_fp FROM c"),
         "score_histogram_fine": _ranked(_FINE, "SELECT score, tp, fp, cum_tp, cum_fp FROM c"),
         "roc_auc": _ranked(_TIED, f"SELECT round({_AUC}, 9) AS roc_auc FROM c"),

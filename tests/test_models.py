@@ -84,9 +84,9 @@ def test_factory():
         models.estimator("stacking")
     assert len(models.candidate("random_forest").points()) == 6
     assert models.candidate("logistic_regression").points() == [{"C": 0.1}, {"C": 1.0}, {"C": 10.0}]
-    assert models.estimator("random_forest").getMaxDepth() == models.DEEPEST
-    assert models.estimator("boosted_b", {"leaves": 31}).getMaxDepth() == 5
-    assert models.estimator("boosted_b", {"leaves": 63}).getMaxDepth() == 6
+    assert (models.estimator("random_forest").settings.trees, models.estimator("random_forest").settings.depth) == (200, None)
+    assert models.estimator("boosted_b", {"leaves": 31}).settings.leaves == 31
+    assert (models.estimator("boosted_a").settings.depth, models.estimator("boosted_a").settings.leaves) == (6, 64)
     assert models.estimator("logistic_regression", {"C": 2.0}, 100).getRegParam() == pytest.approx(1 / 200)
 
 
