@@ -74,7 +74,7 @@ class Config:
     boosted_a_rounds: int = 200
     boosted_b_rounds: int = 300
     parallel_fits: int = 4
-    fit_rows: int = 0  # about how many training rows a job may fit on, chosen by hash of the id; 0: all
+    fit_rows: int = 0  # how many training rows a job may fit on, of each label its share, chosen by hash of the id; 0: all
 
 
 # Labels, tokens, column roles and declared orders of the contact table.

@@ -6,11 +6,13 @@ third of the table is summed map-side. The ordered part runs per score bucket.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadlens.functions.shapes import count_if, ratio, ratio_or_zero, ratio_sql
-from leadlens.operators.ranking import ROWS_PER_BUCKET, running_totals, value_range
+from leadlens.operators.ranking import ROWS_PER_BUCKET, running_totals, value_range, with_bucket
 
 
 def score_counts(scored: DataFrame) -> DataFrame:
@@ -159,6 +161,54 @@ def evaluate(
     return metrics.select(F.lit(name).alias("model"), "*")
 
 
+def long_scores(df: DataFrame, scores: Sequence[str], key: str = "model") -> DataFrame:
+    """(key, label, score): a row for each of the score columns named."""
+    pairs = F.array(*[F.struct(F.lit(c).alias(key), F.col(f"`{c}`").cast("double").alias("score")) for c in scores])
+    return df.select("label", F.explode(pairs).alias("pair")).select(f"pair.{key}", "label", "pair.score")
+
+
+def keyed_histogram(scored: DataFrame, key: str = "model", rows_per_bucket: int = ROWS_PER_BUCKET, n_rows: int | None = None) -> DataFrame:
+    """``score_histogram`` within each key (a model, a segment), for all keys at once. Counts are first summed by (key, score), then by
+    (key, bucket); the ordered part runs per key and bucket, so that a large key is cut by its scores. Buckets are common to the keys."""
+    rows = scored.select(F.col(f"`{key}`").alias("key"), "label", F.col("score").cast("double").alias("score")).where("score IS NOT NULL")
+    edges = () if n_rows is not None and n_rows <= rows_per_bucket else value_range(rows, "score", rows_per_bucket).edges
+    positive = F.col("label") == 1
+    counts = with_bucket(rows, "score", edges).groupBy("key", "bucket", "score").agg(count_if(positive).alias("tp"), count_if(~positive).alias("fp"))
+    inside = Window.partitionBy("key", "bucket").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    local = counts.select("*", *[F.sum(c).over(inside).alias(f"in_{c}") for c in ("tp", "fp")])
+    before = Window.partitionBy("key").orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("key")
+    sums = counts.groupBy("key", "bucket").agg(*[F.sum(c).alias(f"sum_{c}") for c in ("tp", "fp")])  # MAX_BUCKETS rows a key at most
+    sums = sums.select(
+        "key", "bucket", *[F.coalesce(F.sum(f"sum_{c}").over(before), F.lit(0)).alias(f"off_{c}") for c in ("tp", "fp")],
+        F.sum("sum_tp").over(whole).alias("n_pos"), F.sum("sum_fp").over(whole).alias("n_neg"),
+    )
+    sums = sums.select(F.col("key").alias("of"), F.col("bucket").alias("at"), "off_tp", "off_fp", "n_pos", "n_neg")
+    joined = local.join(sums, F.col("key").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("at")))
+    cumulated = [(F.col(f"in_{c}") + F.col(f"off_{c}")).alias(f"cum_{c}") for c in ("tp", "fp")]
+    return joined.select(F.col("key").alias(key), "score", "tp", "fp", *cumulated, "n_pos", "n_neg")
+
+
+def evaluate_keyed(scored: DataFrame, key: str = "model", rows_per_bucket: int = ROWS_PER_BUCKET, n_rows: int | None = None) -> DataFrame:
+    """The evaluation record of every key in one job: (key, threshold, precision, recall, f1, accuracy, tn, fp, fn, tp, roc_auc, average_precision),
+    each at the threshold of its own best F1."""
+    hist = keyed_histogram(scored, key, rows_per_bucket, n_rows)
+    tp, fp = F.col("tp").cast("double"), F.col("fp").cast("double")
+    behind = tp * (F.col("cum_fp").cast("double") - fp / 2)
+    precision = ratio(F.col("cum_tp"), F.col("cum_tp") + F.col("cum_fp"))
+    place = F.struct(F.round(F.expr(_F1), 12).alias("f1"), (-F.col("score")).alias("low"), "score", "cum_tp", "cum_fp")
+    sums = hist.groupBy(key).agg(
+        F.max("n_pos").alias("n_pos"), F.max("n_neg").alias("n_neg"), F.sum(behind).alias("behind"), F.sum(tp * precision).alias("precise"), F.max(place).alias("best"),
+    )
+    counts = sums.select(
+        key, (F.col("n_neg") - F.col("best.cum_fp")).alias("tn"), F.col("best.cum_fp").alias("fp"),
+        (F.col("n_pos") - F.col("best.cum_tp")).alias("fn"), F.col("best.cum_tp").alias("tp"), F.col("best.score").alias("at"),
+        (1 - F.try_divide(F.col("behind"), F.col("n_pos").cast("double") * F.col("n_neg").cast("double"))).alias("roc_auc"),
+        ratio(F.col("precise"), F.col("n_pos")).alias("average_precision"),
+    )
+    return _rates(counts, F.col("at"), key, "roc_auc", "average_precision")
+
+
 def gain_table(hist: DataFrame, parts: int = 10) -> DataFrame:
     """(part, n, n_pos, rate, cum_n, cum_pos, gain, lift) by falling score.
 

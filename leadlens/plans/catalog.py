@@ -492,6 +492,20 @@ def evaluation_record(spark, folder):
     return found.select(*[c for c in found.columns if c not in ("roc_auc", "average_precision")], *rounded)
 
 
+@query
+def keyed_evaluation(spark, folder):
+    """Two scores of every line item, and the second within each line status, evaluated in one job."""
+    lines = table(spark, folder, "lineitem")
+    top = lines.agg(F.max("l_extendedprice")).first()[0]
+    wide = lines.selectExpr(
+        "CAST(l_returnflag = 'R' AS INT) AS label", "round(l_discount * 10, 6) AS tied", f"l_extendedprice / double('{top + 1!r}') AS fine", "l_linestatus"
+    )
+    by_status = wide.selectExpr("concat('fine:', l_linestatus) AS model", "label", "fine AS score")
+    found = evaluate.evaluate_keyed(evaluate.long_scores(wide, ["tied", "fine"]).unionByName(by_status))
+    rounded = [F.round(c, 9).alias(c) for c in ("roc_auc", "average_precision")]
+    return found.select(*[c for c in found.columns if c not in ("roc_auc", "average_precision")], *rounded)
+
+
 @query
 def gain_table(spark, folder):
     return evaluate.gain_table(evaluate.score_histogram(tied_scores(spark, folder)))

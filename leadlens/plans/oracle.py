@@ -680,6 +680,19 @@ def oracle_queries() -> dict[str, str]:
             "k AS (SELECT score AS threshold, n - cum_fp AS tn, cum_fp AS fp, p - cum_tp AS fn, cum_tp AS tp FROM c WHERE score = (SELECT threshold FROM best))",
             f"x AS (SELECT round({_AUC}, 9) AS roc_auc, round({_AP}, 9) AS average_precision FROM c)",
         ),
+        "keyed_evaluation": _with(
+            """s AS (SELECT 'tied' AS model, CAST(l_returnflag = 'R' AS INT) AS label, round(l_discount * 10, 6) AS score FROM lineitem
+              UNION ALL SELECT m, CAST(l_returnflag = 'R' AS INT), l_extendedprice / ((SELECT max(l_extendedprice) FROM lineitem) + 1)
+              FROM lineitem, LATERAL (SELECT unnest(['fine', 'fine:' || l_linestatus]) AS m))""",
+            """h AS (SELECT model, score, count(*) FILTER (label = 1) AS tp, count(*) FILTER (label <> 1) AS fp FROM s GROUP BY ALL)""",
+            """c AS (SELECT *, CAST(sum(tp) OVER w AS BIGINT) AS cum_tp, CAST(sum(fp) OVER w AS BIGINT) AS cum_fp,
+              CAST(sum(tp) OVER (PARTITION BY model) AS BIGINT) AS p, CAST(sum(fp) OVER (PARTITION BY model) AS BIGINT) AS n
+              FROM h WINDOW w AS (PARTITION BY model ORDER BY score DESC))""",
+            f"x AS (SELECT model, round({_AUC}, 9) AS roc_auc, round({_AP}, 9) AS average_precision FROM c GROUP BY model)",
+            f"""k AS (SELECT model, score AS threshold, n - cum_fp AS tn, cum_fp AS fp, p - cum_tp AS fn, cum_tp AS tp FROM c
+              QUALIFY row_number() OVER (PARTITION BY model ORDER BY round({_F1}, 12) DESC, score) = 1)""",
+        )
+        + f"SELECT k.model, threshold, {_RATES}, roc_auc, average_precision FROM k JOIN x USING (model)",
         "gain_table": _ranked(_TIED, _GAIN),
         "gain_table_fine": _ranked(_FINE, _GAIN),
         "benefit_at_threshold": _with(_TIED, _benefit([0.4])) + "SELECT * FROM o",

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from leadlens.dictionary import SCAN_THRESHOLDS, Config
 from leadlens.operators import benefit, evaluate
@@ -139,3 +140,18 @@ def test_gain_table(spark):
     assert [r["gain"] for r in rows][:3] == [0.5, 1.0, 1.0] and rows[0]["lift"] == 5.0
     tied = evaluate.gain_table(evaluate.score_histogram(scored(spark, [1, 0, 0, 0], [0.5, 0.5, 0.5, 0.1]))).collect()
     assert sorted((r["part"], r["n"]) for r in tied) == [(1, 3), (8, 1)]
+
+
+def test_keyed_records_equal_those_of_each_key(spark):
+    """Ties, a key of one label, a NULL key; with many buckets and with one."""
+    rng = np.random.default_rng(12)
+    rows = [(k, int(rng.random() < 0.3), float(rng.choice([rng.random(), 0.25, 0.5]))) for k in ("a", "b", "c", None) for _ in range(300)]
+    rows += [("one", 1, x / 10) for x in range(10)]
+    df = spark.createDataFrame(rows, "model string, label int, score double").repartition(5)
+    for rows_per_bucket in (20, 100_000):
+        got = {r["model"]: r.asDict() for r in evaluate.evaluate_keyed(df, rows_per_bucket=rows_per_bucket).collect()}
+        assert set(got) == {"a", "b", "c", None, "one"}
+        for key, record in got.items():
+            own = df.where(F.col("model").eqNullSafe(F.lit(key)))
+            want = evaluate.evaluate(own.select("label", "score"), "x").first().asDict()
+            assert {c: v for c, v in record.items() if c != "model"} == pytest.approx({c: v for c, v in want.items() if c != "model"}, nan_ok=True)
