@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from leadlens.dictionary import CONTACTS, Config, FieldDictionary, FilterCriteria
 from leadlens.functions.shapes import month_sql, weekday_sql
-from leadlens.operators import benefit, boosting, encode, evaluate, features, filters, forest, insights, levels, models, newton, portable, profile, quality
+from leadlens.operators import benefit, boosting, encode, evaluate, features, filters, forest, insights, levels, models, newton, portable, profile, quality, quantiles
 from leadlens.plans import training
 from leadlens.plans.campaign import BROKEN_COLUMNS, broken_export, contacts, export_folder, labelled, table, unlabelled
 from leadlens.sources import readers, sinks
@@ -186,6 +186,18 @@ def rate_by_quantile_bin_lines(spark, folder):
     return profile.rate_by_quantile_bin(table(spark, folder, "lineitem"), "l_extendedprice", flag, flag == "R", bins=10)
 
 
+@query
+def quantiles_of_all_numbers(spark, folder):
+    """Deciles of every number of the contacts, three scans in all."""
+    found = quantiles.quantile_table(contacts(spark, folder), CONTACTS.numerics, [k / 10 for k in range(11)])
+    return found.select("column", "fraction", F.round("value", 9).alias("value"))
+
+
+@query
+def rates_by_quantile_bin_all(spark, folder):
+    return quantiles.rates_by_quantile_bin(contacts(spark, folder), CONTACTS.numerics, CONTACTS)
+
+
 @query
 def correlation_matrix(spark, folder):
     df = contacts(spark, folder).withColumn("one", F.lit(1.0))

@@ -130,6 +130,21 @@ def _quantile_bins(source: str, column: str, bins: int, label: str, positive: st
     GROUP BY bin, lo, hi"""
 
 
+def _all_quantiles() -> str:
+    tenths = ", ".join(f"CAST({k / 10!r} AS DOUBLE)" for k in range(11))
+    return _union(
+        [
+            f"""SELECT {_s(c)} AS "column", unnest([{tenths}]) AS fraction, round(unnest(quantile_cont(CAST({c} AS DOUBLE), [{tenths}])), 9) AS value FROM contacts"""
+            for c in CONTACTS.numerics
+        ]
+    )
+
+
+def _all_quantile_bins() -> str:
+    parts = [f"SELECT {_s(c)} AS \"column\", * FROM ({_quantile_bins('contacts', c, 8, 'subscribe', 'yes')})" for c in CONTACTS.numerics]
+    return _contacts(_union([p.replace("WITH  q AS", "WITH q AS") for p in parts]))
+
+
 def _correlations() -> str:
     names = [*CONTACTS.numerics, "one", "subscribe"]
     values = {c: _q(c) for c in names}
@@ -640,6 +655,8 @@ def oracle_queries() -> dict[str, str]:
         ),
         "one_hot_matrix": _contacts(_slots(), _FEATURES),
         "scaled_features": _contacts(_scaled(), _FEATURES),
+        "quantiles_of_all_numbers": _contacts(_all_quantiles()),
+        "rates_by_quantile_bin_all": _all_quantile_bins(),
         "feature_columns": _contacts(_feature_columns(), _FEATURES),
         "default_coding": _contacts(
             """SELECT coding, value, n_pos, n_neg, round(n_pos / (n_pos + n_neg)::DOUBLE, 9) AS rate, round(ln(sp / sn), 9) AS woe,
