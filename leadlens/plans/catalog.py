@@ -14,7 +14,7 @@ from leadlens.functions.shapes import month_sql, weekday_sql
 from leadlens.operators import benefit, boosting, encode, evaluate, features, filters, forest, insights, levels, models, newton, portable, profile, quality, quantiles
 from leadlens.plans import training
 from leadlens.plans.campaign import BROKEN_COLUMNS, broken_export, contacts, export_folder, labelled, table, unlabelled
-from leadlens.sources import readers, sinks
+from leadlens.sources import audited, readers, sinks
 from leadlens.sources.shared import app_path, remove
 from leadlens.streaming import files
 
@@ -37,6 +37,8 @@ LINES = FieldDictionary(
     numerics=("l_quantity", "l_extendedprice", "l_discount", "l_tax"),
 )
 
+BROKEN = FieldDictionary(id="id", target="subscribe", categoricals=("job",), numerics=("age",))
+
 DOCUMENTS = FieldDictionary(
     target="toxic", positive="1", negative="0", categoricals=("lang", "source"), numerics=("n_chars",)
 )
@@ -78,6 +80,23 @@ def malformed_rows(spark, folder):
     return readers.malformed_rows(spark, broken_export(spark, folder), BROKEN_COLUMNS)
 
 
+@query
+def audited_export(spark, folder):
+    """Rows, malformed rows and failed cells of the export, counted by the scan that cleans it."""
+    path = app_path(spark, f"audited-{uuid.uuid4().hex}")
+    found = audited.read_audited(spark, f"{export_folder(spark, folder)}/train.csv", CONTACTS, path).report()
+    remove(spark, path)
+    return found
+
+
+@query
+def audited_rejects(spark, folder):
+    """The lines with a cell too many or too few, read back from beside the clean rows."""
+    path = app_path(spark, f"audited-{uuid.uuid4().hex}")
+    found = audited.read_audited(spark, broken_export(spark, folder), BROKEN, path, columns=BROKEN_COLUMNS)
+    return found.rejects.select("line", F.array_join("failed", ",").alias("failed"))
+
+
 @query
 def dataset_description(spark, folder):
     df = contacts(spark, folder)

@@ -555,6 +555,25 @@ def oracle_queries() -> dict[str, str]:
             + " UNION ALL SELECT 'id', count(*) FILTER (id IS NOT NULL AND TRY_CAST(id AS BIGINT) IS NULL) FROM raw",
             _conformed(),
         ),
+        "audited_export": _contacts(
+            _union(
+                [
+                    "SELECT 'rows' AS measure, CAST(NULL AS VARCHAR) AS \"column\", count(*) AS n FROM raw",
+                    "SELECT 'malformed', NULL, CAST(0 AS BIGINT)",
+                    "SELECT 'failed', 'id', count(*) FILTER (id IS NOT NULL AND TRY_CAST(id AS BIGINT) IS NULL) FROM raw",
+                    *[
+                        f"SELECT 'failed', {_s(c)}, count(*) FILTER (({_present(c)}) IS NOT NULL AND TRY_CAST({_present(c)} AS DOUBLE) IS NULL) FROM raw"
+                        for c in CONTACTS.numerics
+                    ],
+                ]
+            ),
+            _conformed(),
+        ),
+        "audited_rejects": _contacts(
+            """SELECT CASE WHEN id % 37 = 0 THEN concat_ws(',', id, CAST(age AS VARCHAR), job, coalesce(subscribe, '')) || ',more' ELSE concat_ws(',', id, job) END AS line,
+              CASE WHEN id % 37 = 0 THEN '' ELSE 'age' END AS failed
+            FROM contacts WHERE id % 37 = 0 OR id % 41 = 0"""
+        ),
         "malformed_rows": _contacts("SELECT count(*) AS n_rows, count(*) FILTER (id % 37 = 0 OR id % 41 = 0) AS n_malformed FROM contacts"),
         "dataset_description": _contacts(
             _described("train", "subscribe IS NOT NULL", True) + " UNION ALL BY NAME " + _described("test", "subscribe IS NULL", False)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -80,8 +80,8 @@ def _id(df: DataFrame, fd: FieldDictionary) -> str:
     return f"try_cast({stripped(f'`{fd.id}`') if _is_text(df, fd.id) else f'`{fd.id}`'} AS {fd.id_type})"
 
 
-def conform(df: DataFrame, fd: FieldDictionary, labelled: bool) -> DataFrame:
-    """The dictionary's columns in order, cleaned row by row; other columns are dropped.
+def conform(df: DataFrame, fd: FieldDictionary, labelled: bool, keep: Sequence[str] = ()) -> DataFrame:
+    """The dictionary's columns in order, cleaned row by row; other columns are dropped, but for those in ``keep``.
 
     Numbers take two projections, so that a parsed value is tested without parsing it again.
     """
@@ -100,7 +100,8 @@ def conform(df: DataFrame, fd: FieldDictionary, labelled: bool) -> DataFrame:
             cell = _id(df, fd)
         read.append(f"{cell} AS `{name}`")
     checked = [f"{finite(f'`{c}`')} AS `{c}`" if c in fd.numerics else f"`{c}`" for c in names]
-    return df.selectExpr(*read).selectExpr(*checked)
+    kept = [f"`{c}`" for c in keep]
+    return df.selectExpr(*read, *kept).selectExpr(*checked, *kept)
 
 
 def coercion_failures(df: DataFrame, fd: FieldDictionary) -> DataFrame:

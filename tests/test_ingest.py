@@ -8,7 +8,7 @@ import pytest
 from conftest import FEW, contact_frame
 
 from leadlens.dictionary import CONTACTS, DatasetError, FieldDictionary
-from leadlens.sources import readers
+from leadlens.sources import audited, readers
 
 SMALL_FD = FieldDictionary(id="id", categoricals=("job",), numerics=("age",))
 
@@ -140,3 +140,32 @@ def test_text_ids_are_kept_or_counted(spark):
     assert [r["id"] for r in as_text.collect()][:3] == ["A17", "B18", "7"]
     failed = {r["column"]: r["n_failed"] for r in readers.coercion_failures(df, CONTACTS).collect()}
     assert failed["id"] == 2 and failed["age"] == 0
+
+
+def test_one_scan_cleans_counts_and_keeps_rejects(spark, tmp_path, monkeypatch):
+    """The counts equal those of the three scans, the clean rows those of the cleaning, and rejected lines can be read back."""
+    fd = FieldDictionary(id="id", target="subscribe", categoricals=("job",), numerics=("age",))
+    lines = ["id,age,job,subscribe", "1,30,admin., YES ", "2,x,services,no", "3,41,more,no,cells", "four,22,NA,", "5", "6,NaN,  ,no", '7,"1,5",a,yes']
+    (tmp_path / "train.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    path, jobs = str(tmp_path / "train.csv"), []
+    reader = type(spark.read)
+    read = reader.csv
+    monkeypatch.setattr(reader, "csv", lambda self, *a, **k: jobs.append(self) or read(self, *a, **k))
+    found = audited.read_audited(spark, path, fd, str(tmp_path / "out"))
+    assert len(jobs) == 2  # one for the names in the header, one for the rows
+    raw = readers.scan(spark, path)
+    assert found.failures == {r["column"]: r["n_failed"] for r in readers.coercion_failures(raw, fd).collect()} == {"id": 1, "age": 2}
+    assert (found.n_rows, found.n_malformed) == tuple(readers.malformed_rows(spark, path).first()) == (7, 2)
+    assert sorted(r["line"] for r in found.rejects.collect()) == ["3,41,more,no,cells", "5"]
+    clean = sorted(map(tuple, found.clean.collect()), key=str)
+    assert clean == sorted((tuple(r) for r in readers.conform(raw, fd, True).collect() if r["id"] not in (3, 5)), key=str)
+    assert found.clean.columns == list(fd.required(True)) and found.report().count() == 4
+
+
+def test_audit_of_a_file_without_rejects_or_rows(spark, tmp_path):
+    fd = FieldDictionary(id="id", target=None, categoricals=("job",), numerics=())
+    (tmp_path / "a.csv").write_text("id,job\n", encoding="utf-8")
+    found = audited.read_audited(spark, str(tmp_path / "a.csv"), fd, str(tmp_path / "out"), labelled=False)
+    assert (found.n_rows, found.n_malformed, found.failures, found.clean.count(), found.rejects.count()) == (0, 0, {"id": 0}, 0, 0)
+    with pytest.raises(DatasetError, match="age"):
+        audited.read_audited(spark, str(tmp_path / "a.csv"), FieldDictionary(id="id", categoricals=("job",), numerics=("age",)), str(tmp_path / "o"), labelled=False)
