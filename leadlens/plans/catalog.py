@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from leadlens.dictionary import CONTACTS, Config, FieldDictionary, FilterCriteria
 from leadlens.functions.shapes import month_sql, weekday_sql
-from leadlens.operators import benefit, boosting, encode, evaluate, features, filters, forest, insights, levels, models, newton, portable, profile, quality, quantiles
+from leadlens.operators import benefit, boosting, encode, evaluate, features, filters, forest, insights, levels, models, newton, portable, profile, quality, quantiles, state
 from leadlens.plans import training
 from leadlens.plans.campaign import BROKEN_COLUMNS, broken_export, contacts, export_folder, labelled, table, unlabelled
 from leadlens.sources import audited, readers, sinks
@@ -217,6 +217,29 @@ def rates_by_quantile_bin_all(spark, folder):
     return quantiles.rates_by_quantile_bin(contacts(spark, folder), CONTACTS.numerics, CONTACTS)
 
 
+def merged_state(spark, folder) -> DataFrame:
+    """The state of the contacts, merged from those of two halves."""
+    df = contacts(spark, folder)
+    return state.merged([state.profile_state(df.where(f"id % 2 = {k}"), CONTACTS) for k in (0, 1)])
+
+
+@query
+def rates_of_merged_states(spark, folder):
+    return state.rates(merged_state(spark, folder))
+
+
+@query
+def statistics_of_merged_states(spark, folder):
+    found = state.statistics(merged_state(spark, folder))
+    return found.withColumns({c: F.round(c, 6) for c in ("mean", "deviation")})
+
+
+@query
+def correlations_of_merged_states(spark, folder):
+    found = state.correlations(merged_state(spark, folder))
+    return found.withColumn("r", F.round("r", 6) + 0.0)
+
+
 @query
 def correlation_matrix(spark, folder):
     df = contacts(spark, folder).withColumn("one", F.lit(1.0))

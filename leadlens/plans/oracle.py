@@ -676,6 +676,33 @@ def oracle_queries() -> dict[str, str]:
         "scaled_features": _contacts(_scaled(), _FEATURES),
         "quantiles_of_all_numbers": _contacts(_all_quantiles()),
         "rates_by_quantile_bin_all": _all_quantile_bins(),
+        "rates_of_merged_states": _contacts(
+            _union(
+                [
+                    f"""SELECT {_s(c)} AS "column", {_q(c)} AS value, count(subscribe) AS n, count(*) FILTER ({_POSITIVE}) AS n_pos,
+                      CAST(count(*) FILTER ({_POSITIVE}) AS DOUBLE) / nullif(count(subscribe), 0) AS rate FROM contacts GROUP BY {_q(c)}"""
+                    for c in CONTACTS.categoricals
+                ]
+            )
+        ),
+        "statistics_of_merged_states": _contacts(
+            _union(
+                [
+                    f"""SELECT {_s(c)} AS "column", count({c}) AS n, count(*) - count({c}) AS n_missing, round(avg({c}), 6) AS mean,
+                      round(stddev_pop({c}), 6) AS deviation, min({c}) AS lo, max({c}) AS hi FROM contacts"""
+                    for c in CONTACTS.numerics
+                ]
+            )
+        ),
+        "correlations_of_merged_states": _contacts(
+            _union(
+                [
+                    f"""SELECT {_s(a)} AS "column", {_s(b)} AS other, count(*) AS n, round(corr({a}, {b}), 6) + 0.0 AS r FROM contacts WHERE {a} IS NOT NULL AND {b} IS NOT NULL"""
+                    for i, a in enumerate(CONTACTS.numerics)
+                    for b in CONTACTS.numerics[i + 1 :]
+                ]
+            )
+        ),
         "feature_columns": _contacts(_feature_columns(), _FEATURES),
         "default_coding": _contacts(
             """SELECT coding, value, n_pos, n_neg, round(n_pos / (n_pos + n_neg)::DOUBLE, 9) AS rate, round(ln(sp / sn), 9) AS woe,
