@@ -6,8 +6,8 @@ can be summed in any order and rolls on from chunk to chunk of turns, so no task
 conversation goes if its whole hash is the hash of another's beginning (anti-join); of conversations with the
 same turns the one with the least id stays. What is left is rendered in segments of 64 turns.
 
-Rows: repeated rows of a conversation count once. Turns with the same number are ordered by role and text; where over
-1000 share a number, they are first dealt into parts by hash. Rows without a conversation id are one conversation
+Rows: repeated rows of a conversation count once. Turns with the same number are ordered by role and text, however many
+they are: a segment of over 1000 rows is cut into parts by a sort over all such rows, and its parts follow one another. Rows without a conversation id are one conversation
 without an id; turns without a number come first; a NULL role is shown as ``unknown``, a NULL text is empty.
 Other columns are ignored.
 """
@@ -64,10 +64,16 @@ def render(turns: DataFrame, segment: int = SEGMENT, crowd: int = CROWD) -> Data
     """conv_id, segment, part, n_turns and text: the turns of each conversation between role marks, in order. Segments in
     order, parts in order within, give the whole."""
     rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).distinct()
-    crowded = rows.groupBy(F.col("conv_id").alias("c"), F.col("turn").alias("t")).agg(F.count("*").alias("n")).filter(F.col("n") > crowd)
-    rows = rows.join(crowded, F.col("conv_id").eqNullSafe(F.col("c")) & F.col("turn").eqNullSafe(F.col("t")), "left")
-    part = F.when(F.col("n").isNull(), F.lit(0)).otherwise(1 + F.pmod(F.xxhash64("role", "text"), F.ceil(F.col("n") / crowd)) + F.pmod("turn", F.lit(segment)) * F.col("n"))
-    rows = rows.select("conv_id", F.floor(F.col("turn") / segment).alias("segment"), part.cast("long").alias("part"), "turn", "role", "text")
+    rows = rows.withColumn("segment", F.floor(F.col("turn") / segment))
+    crowded = rows.groupBy(F.col("conv_id").alias("c"), F.col("segment").alias("s")).agg(F.count("*").alias("n")).filter(F.col("n") > crowd)
+    crowded = checkpointed(crowded.select("c", "s"))
+    inside = F.col("conv_id").eqNullSafe(F.col("c")) & F.col("segment").eqNullSafe(F.col("s"))
+    order = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "role", "text")]
+    # Rows in order, in partitions of which each holds a stretch: a part is up to ``crowd`` neighbours of one partition.
+    many = checkpointed(rows.join(crowded, inside, "left_semi").orderBy(*order))
+    place = F.monotonically_increasing_id()
+    part = F.shiftright(place, 33) * (1 << 33) + F.floor(place.bitwiseAND((1 << 33) - 1) / crowd) + 1
+    rows = rows.join(crowded, inside, "left_anti").withColumn("part", F.lit(0).cast("long")).unionByName(many.withColumn("part", part))
     held = rows.groupBy("conv_id", "segment", "part").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
     shown = F.array_join(F.transform("turns", lambda t: F.concat(F.lit("<|"), t["role"], F.lit("|>\n"), t["text"], F.lit("\n<|end|>\n"))), "")
     return held.select("conv_id", "segment", "part", F.size("turns").cast("long").alias("n_turns"), shown.alias("text"))

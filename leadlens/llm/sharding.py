@@ -54,22 +54,21 @@ def sums(rows: DataFrame) -> pd.DataFrame:
 def draw(rows: DataFrame, bytes_of: dict[int, int], per_range: int) -> pd.DataFrame:
     """Size-weighted keys of the ranges in ``bytes_of``, about ``per_range`` of each: a row is drawn with a chance of
     its size over a step of bytes, decided by a hash; ``weight`` is the bytes that it stands for."""
-    step = F.create_map(*[F.lit(x) for k, b in bytes_of.items() for x in (int(k), max(1.0, b / per_range))])[F.col("range")]
-    chance = F.col("size") / step
+    steps = rows.sparkSession.createDataFrame([(int(k), float(max(1.0, b / per_range))) for k, b in bytes_of.items()], "of long, step double")
     lot = F.pmod(F.xxhash64(F.col("key"), F.col("doc_id"), F.lit("draw")), F.lit(1 << 30)) / float(1 << 30)
-    drawn = rows.filter(F.col("range").isin([int(k) for k in bytes_of])).filter(lot < chance)
-    return drawn.select("key", F.greatest(F.col("size").cast("double"), step).alias("weight")).toPandas().sort_values("key")
+    drawn = rows.join(steps, F.col("range") == F.col("of")).filter(lot < F.col("size") / F.col("step"))
+    return drawn.select("key", F.greatest(F.col("size").cast("double"), F.col("step")).alias("weight")).toPandas().sort_values("key")
 
 
-def choose_splitters(rows: DataFrame, n_rows: int, n_bytes: int, n_shards: int, rounds: int = 4) -> tuple[DataFrame, np.ndarray, pd.DataFrame]:
+def choose_splitters(rows: DataFrame, n_rows: int, n_bytes: int, n_shards: int) -> tuple[DataFrame, np.ndarray, pd.DataFrame]:
     """``rows`` in ranges, the splitters and the ranges' exact sums. At first as many ranges as shards, or one for
-    each ROWS_PER_RANGE rows if these are more; a range of over twice its share is drawn again and subdivided,
-    unless it is a single key."""
+    each ROWS_PER_RANGE rows if these are more; a range of over twice its share is drawn again and subdivided, until
+    none is left or those that are give no new splitter: a single key."""
     wanted = int(max(n_shards, n_rows / ROWS_PER_RANGE))
     found = pd.DataFrame({"range": [0], "n": [n_rows], "bytes": [n_bytes]})
     splitters, records = np.zeros(0, np.int64), rows
     rows = rows.withColumn("range", F.lit(0).cast("long"))
-    for _ in range(rounds):
+    while True:
         share = n_bytes / wanted
         over = found[(found["bytes"] > 2 * share) | (found["n"] > 2 * max(ROWS_PER_RANGE, n_rows / wanted))]
         if over.empty:
@@ -126,7 +125,7 @@ def write_shards(docs: DataFrame, path: str, n_shards: int = 24) -> None:
     """Writes ``docs`` as Parquet, a folder ``shard=N`` for each shard, rows in order of their slots where ids are
     unique. Needs a doc_id in every row."""
     placed = shard(docs, n_shards).select("doc_id", "shard", "slot").dropDuplicates(["doc_id"])
-    docs.drop("shard", "slot").join(placed, "doc_id").repartition("shard", F.col("slot") / F.lit(100_000)).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    docs.drop("shard", "slot").join(placed, "doc_id").repartition("shard", F.floor(F.col("slot") / 100_000)).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 
 def sharding(docs: DataFrame, n_shards: int = 24) -> DataFrame:

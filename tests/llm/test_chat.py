@@ -79,3 +79,15 @@ def test_long_conversation_and_crowded_turn(spark):
 def test_no_python_in_the_plan(spark):
     plan = chat.chat_format(frame(spark, logs(1, 3)))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_one_order_at_any_size(spark):
+    """Crowds at numbers beside others, and rows without a number: parts of bounded size, in the order of role and text."""
+    crowd = [(1, t, "user", f"t{i * 7919 % 3000:04}") for t, n in ((0, 3), (1, 2500), (2, 4), (70, 1)) for i in range(n)]
+    unnumbered = [(2, None, "user", f"u{i * 7919 % 5000:04}") for i in range(5000)] + [(2, 0, "user", "after")]
+    rows = chat.render(frame(spark, crowd + unnumbered).repartition(5), crowd=1000).collect()
+    assert len([r for r in rows if r["conv_id"] == 2]) > 5 and max(r["n_turns"] for r in rows) <= 1000
+    for conv, source in ((1, crowd), (2, unnumbered)):
+        own = sorted((r for r in rows if r["conv_id"] == conv), key=lambda r: (r["segment"] is not None, r["segment"] or 0, r["part"]))
+        want = sorted({(t is not None, t or 0, x) for _, t, _, x in source})
+        assert "".join(r["text"] for r in own) == "".join(f"<|user|>\n{x}\n<|end|>\n" for *_, x in want)

@@ -49,7 +49,7 @@ def test_distances(spark):
     total = np.sum([r["chars"] for r in rows], axis=0)
     for r in rows:
         p, q = np.array(r["chars"]) / sum(r["chars"]), total / total.sum()
-        half = lambda a, b: np.sum(np.where(a > 0, 0.5 * a * np.log2(np.where(a > 0, 2 * a / (a + b), 1)), 0))
+        half = lambda a, b: np.sum(np.where(a > 0, 0.5 * a * np.log2(np.where(a > 0, 2 * a / np.where(a > 0, a + b, 1), 1)), 0))
         assert r["char_distance"] == pytest.approx(np.sqrt(half(p, q) + half(q, p)), abs=1e-9)
         assert sum(r["common"]) == r["n_words"]
     assert not by[100]["kept"] and not by[100]["base_failed"] and all(by[i]["kept"] for i in range(30))

@@ -51,3 +51,15 @@ def test_query_and_files(spark, nothing, tmp_path):
     sharding.write_shards(docs, str(tmp_path / "out"), 4)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 200 and sorted(r["shard"] for r in back.select("shard").distinct().collect()) == [0, 1, 2, 3]
+
+
+def test_many_ranges_are_subdivided_until_none_is_overfull(spark, monkeypatch):
+    """More rounds than a fixed few, ranges beyond what literals could hold, a single hot key that cannot be split."""
+    monkeypatch.setattr(sharding, "ROWS_PER_RANGE", 4)
+    monkeypatch.setattr(sharding, "SAMPLE", 50)
+    source = [(i, prose(i, 3), "en") for i in range(6000)] + [(7, "hot", "en")] * 500
+    rows = sharding.records(frame(spark, source)).persist()
+    n_bytes = rows.agg({"size": "sum"}).first()[0]
+    _, splitters, found = sharding.choose_splitters(rows, 6500, n_bytes, 24)
+    assert len(splitters) > 800 and sorted(found["n"])[-2] <= 40
+    check(sharding.shard(frame(spark, source), 5).collect(), source, 5)
