@@ -82,7 +82,7 @@ def malformed_rows(spark, folder):
 
 @query
 def audited_export(spark, folder):
-    """Rows, malformed rows and failed cells of the export, counted by the scan that cleans it."""
+    """Rows, malformed rows and failed cells of the export, from what the scan that cleans it noted."""
     path = app_path(spark, f"audited-{uuid.uuid4().hex}")
     found = audited.read_audited(spark, f"{export_folder(spark, folder)}/train.csv", CONTACTS, path).report()
     remove(spark, path)

@@ -1,7 +1,8 @@
-"""A CSV file cleaned and audited in one scan.
+"""A CSV file cleaned and audited in one scan of it.
 
-The rows are written once: clean ones and, beside them, those with a cell too many or too few, which keep their line as it stood. Counts of
-rows, of rejects and of cells that are no number are taken on the way, by the job that writes.
+The rows are written once: clean ones and, beside them, those with a cell too many or too few, which keep their line as it stood. The scan
+notes in each row which of its cells are no value of their type; the counts are then read from that one column of the written table.
+(``observe`` would count while writing, but once a session has used it, Spark's logistic models can't be sent to tasks any more.)
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadlens.dictionary import FieldDictionary
@@ -50,12 +51,10 @@ def read_audited(spark: SparkSession, path: str, fd: FieldDictionary, target: st
     failed = ", ".join(f"CASE WHEN `there_{c}` AND `{c}` IS NULL THEN '{c}' END" for c in typed)
     wanted = [f"`{c}`" for c in fd.required(labelled)]
     out = cleaned.selectExpr(*wanted, f"`{RAW}` AS line", f"array_compact(array({failed})) AS failed" if typed else "CAST(array() AS ARRAY<STRING>) AS failed", f"`{RAW}` IS NOT NULL AS rejected")
-    counted = Observation()
-    measures = [F.count(F.lit(1)).alias("rows"), F.count_if("rejected").alias("malformed")]
-    out = out.observe(counted, *measures, *[F.count_if(F.array_contains("failed", c)).alias(f"failed_{i}") for i, c in enumerate(typed)])
     out.write.mode("overwrite").partitionBy("rejected").parquet(target)
-    found = counted.get
     back = spark.read.schema(out.schema).parquet(target)
+    measures = [F.count(F.lit(1)).alias("rows"), F.count_if("rejected").alias("malformed")]
+    found = back.agg(*measures, *[F.count_if(F.array_contains("failed", c)).alias(f"failed_{i}") for i, c in enumerate(typed)]).first()
     return Audited(
         back.where("NOT rejected").selectExpr(*wanted), back.where("rejected").select("line", "failed"),
         found["rows"], found["malformed"], {c: found[f"failed_{i}"] for i, c in enumerate(typed)},
