@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
+from leadlens.dictionary import DatasetError
+
 
 def shared_folder(spark: SparkSession, folder: str | None = None) -> str:
-    """``folder`` if given, else ``spark.checkpoint.dir`` of the session, else a folder beside the
-    warehouse's tables; the same on every master."""
+    """``folder`` if given, else ``spark.checkpoint.dir`` of the session, else a folder beside the warehouse's tables. A warehouse on a
+    local disk is shared with nobody: off a local master that is an error."""
     folder = folder or spark.conf.get("spark.checkpoint.dir", None)
-    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared").rstrip("/")
+    if folder is None:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+        if folder.startswith(("file:", "/")) and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise DatasetError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return folder.rstrip("/")
 
 
 def app_path(spark: SparkSession, name: str) -> str:

@@ -169,3 +169,21 @@ def test_audit_of_a_file_without_rejects_or_rows(spark, tmp_path):
     assert (found.n_rows, found.n_malformed, found.failures, found.clean.count(), found.rejects.count()) == (0, 0, {"id": 0}, 0, 0)
     with pytest.raises(DatasetError, match="age"):
         audited.read_audited(spark, str(tmp_path / "a.csv"), FieldDictionary(id="id", categoricals=("job",), numerics=("age",)), str(tmp_path / "o"), labelled=False)
+
+
+def test_shared_folder_of_a_cluster_must_be_named():
+    from types import SimpleNamespace
+
+    from leadlens.sources.shared import shared_folder
+
+    def session(master, **conf):
+        names = {"warehouse": "spark.sql.warehouse.dir", "checkpoint": "spark.checkpoint.dir"}
+        known = {names[k]: v for k, v in conf.items()}
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: known.get(k, d)), sparkContext=SimpleNamespace(master=master))
+
+    assert shared_folder(session("local[8]", warehouse="file:/w/")) == "file:/w/_shared"
+    assert shared_folder(session("spark://a:7077", warehouse="file:/w", checkpoint="hdfs://c/")) == "hdfs://c"
+    assert shared_folder(session("yarn", warehouse="hdfs://w")) == "hdfs://w/_shared"
+    for master in ("yarn", "spark://a:7077", "local-cluster[3,2,1024]"):
+        with pytest.raises(DatasetError, match="checkpoint"):
+            shared_folder(session(master, warehouse="file:/w"))
