@@ -41,14 +41,6 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 18),
     Rule("hex", r"[0-9a-f]{16,}"),  # the runs of [0-9a-f]+ that are long enough
 )
-MORE_RULES = (
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
-    Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
-    Rule("chat_app", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-)
-RULES = BASE_RULES + MORE_RULES
-
 # What stands between the lines of a key: white space, also escaped, quotes and comment marks.
 _GAP = r"(?:\\[nrt]|[\s\"'\\>#*|,;]|\+(?=\s))"
 _LINE_END = r"(?=[\"'`<](?![A-Za-z])|[,;]*+[\x20\t]*+(?:[\r\n\\]|\Z))"
@@ -56,14 +48,20 @@ _LINE_END = r"(?=[\"'`<](?![A-Za-z])|[,;]*+[\x20\t]*+(?:[\r\n\\]|\Z))"
 _KEY_LINE = rf"(?:[A-Za-z0-9+/]{{16,}}+={{0,2}}+|(?=[A-Za-z0-9+/]*[0-9+/=]|[A-Za-z]*[a-z][A-Z])[A-Za-z0-9+/]++={{0,2}}+{_LINE_END})"
 _LAST_LINE = rf"(?:{_GAP}++(?:[A-Za-z0-9+/]++={{0,2}}+|={{1,2}}+){_LINE_END})?+"
 #: A private key whole: from its first line to its END line, or, without one, over the header fields and base64 lines that follow.
-#: ``secrets`` reports the first line alone, as its SQL does.
 KEY_BLOCK = Rule(
     "private_key",
     r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:[^-]|-(?!----))*+-----END [A-Z ]*PRIVATE KEY-----"
     rf"|(?:{_GAP}*+(?:Proc-Type|DEK-Info):[^\r\n\\]*+)*+(?:(?:{_GAP}++{_KEY_LINE})++{_LAST_LINE})?+)",
 )
+MORE_RULES = (
+    KEY_BLOCK,
+    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
+    Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("chat_app", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
+)
+RULES = BASE_RULES + MORE_RULES
 #: What is taken out of texts: keys first, before other rules cut into their bodies.
-TAKEN_OUT = (KEY_BLOCK, *[r for r in RULES if r.kind != KEY_BLOCK.kind])
+TAKEN_OUT = (KEY_BLOCK, *[r for r in RULES if r is not KEY_BLOCK])
 
 
 def _strings(items: list) -> set[str] | None:
@@ -263,21 +261,39 @@ def without_secrets(docs: DataFrame, rules: tuple[Rule, ...] = TAKEN_OUT) -> Dat
     return rows.select(*docs.columns)
 
 
+# The SQL's own statement of kinds, expressions, tested groups and least lengths. The expressions of this dialect can't look
+# ahead, so of a key without an END line it states the header and the long base64 lines, without fields and short lines.
+_SQL_RULES = (
+    ("assign", r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 12),
+    ("access", r"AKIA[A-Z0-9]+", 0, 18),
+    ("hex", r"[0-9a-f]+", 0, 16),
+    (
+        "private_key",
+        r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:-{0,4}[^-])*-----END [A-Z ]*PRIVATE KEY-----|(?:\s+[A-Za-z0-9+/]{16,}={0,2})*)",
+        0,
+        1,
+    ),
+    ("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", 0, 1),
+    ("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+    ("chat_app", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
+)
+
+
 def _sql() -> str:
-    """The same in DuckDB: for each rule the pieces around its matches give the positions."""
+    """The same in DuckDB: for each expression the pieces around its matches give the positions."""
     parts = []
-    for i, rule in enumerate(RULES):
-        regex = rule.regex.replace("'", "''")
+    for i, (_, regex, group, _) in enumerate(_SQL_RULES):
+        regex = regex.replace("'", "''")
         parts.append(
             f"SELECT k, {i} AS rule, unnest(list_zip(list_transform(range(1, len(m) + 1), lambda i: CAST(coalesce(list_sum(list_transform(p[1:i], lambda x: length(x))), 0) "
             f"+ coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT)), m, g)) AS z "
-            f"FROM (SELECT k, regexp_split_to_array(text, '{regex}') AS p, regexp_extract_all(text, '{regex}') AS m, regexp_extract_all(text, '{regex}', {rule.group}) AS g FROM d)"
+            f"FROM (SELECT k, regexp_split_to_array(text, '{regex}') AS p, regexp_extract_all(text, '{regex}') AS m, regexp_extract_all(text, '{regex}', {group}) AS g FROM d)"
         )
-    kinds = ", ".join(f"'{r.kind}'" for r in RULES)
+    kinds = ", ".join(f"'{kind}'" for kind, *_ in _SQL_RULES)
     return f"""
 WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text FROM documents),
 f AS ({' UNION ALL '.join(parts)}),
-s AS (SELECT k, rule, z[1] AS b, z[1] + length(z[2]) AS e FROM f WHERE length(z[3]) >= [{', '.join(str(r.least) for r in RULES)}][rule + 1]),
+s AS (SELECT k, rule, z[1] AS b, z[1] + length(z[2]) AS e FROM f WHERE length(z[3]) >= [{', '.join(str(least) for *_, least in _SQL_RULES)}][rule + 1]),
 t AS (SELECT k, rule, b, concat_ws(':', [{kinds}][rule + 1], b, e) AS x FROM s),
 g AS (SELECT k, count(*) FILTER (WHERE rule = 0) AS n_assign, count(*) FILTER (WHERE rule = 1) AS n_access, count(*) FILTER (WHERE rule = 2) AS n_hex,
   string_agg(x, ',' ORDER BY b, rule) FILTER (WHERE rule < 3) AS base, string_agg(x, ',' ORDER BY b, rule) AS spans FROM t GROUP BY k)

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import duckdb
 import pytest
 
 from leadlens.llm import secrets
@@ -124,3 +125,22 @@ def test_private_keys_are_taken_out_whole(spark):
     for i, (_, want) in enumerate(source):
         assert rows[i]["text"] == want and rows[i]["n_chars"] == len(want)
     assert all(line not in rows[9]["text"] for line in narrow)
+
+
+def test_the_span_of_a_key_ends_at_its_end_line(spark):
+    """The whole block is one span; SQL states the same, but for short lines and fields of keys without an END line."""
+    begin, lines, end = pem(1, 1600)
+    whole, open_key = "\n".join([begin, *lines, end]), "\n".join([begin, *lines[:4]])
+    dashes = "\n".join([begin, "Proc-Type: 4,ENCRYPTED", "----", *lines, end])
+    source = [(1, f"é {whole} b {whole} c", None), (2, f"a {open_key}\nplain words", None), (3, f"a {begin} words", None), (4, f"x\n{dashes}", None)]
+    docs = frame(spark, source)
+    got = {r["doc_id"]: r["spans"] for r in secrets.secrets(docs).collect()}
+    kept = lambda i: [x for x in got[i].split(",") if x.startswith("private_key")]
+    n = len(whole)
+    assert kept(1) == [f"private_key:2:{2 + n}", f"private_key:{5 + n}:{5 + 2 * n}"]
+    assert kept(2) == [f"private_key:2:{2 + len(open_key)}"] and kept(3) == [f"private_key:2:{2 + len(begin)}"]
+    assert kept(4) == [f"private_key:2:{2 + len(dashes)}"]
+    with duckdb.connect() as db:
+        documents = docs.toPandas()
+        db.register("documents", documents)
+        assert {i: spans for i, *_, spans in db.sql(secrets.SECRETS_SQL).fetchall()} == got
