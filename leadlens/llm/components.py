@@ -15,8 +15,9 @@ PIECE = 250_000
 
 
 def forests(edges: DataFrame, n_edges: int, piece: int = PIECE) -> DataFrame:
-    """Edges of the same components, fewer and shorter: each task takes about ``piece`` edges and keeps, for every
-    node that they touch, one edge to the least node that they connect it with."""
+    """Edges of the same components, fewer and shorter: a task takes its edges about ``piece`` at a time and keeps, for
+    every node that a piece touches, one edge to the least node that the piece connects it with. A task with more edges
+    starts anew after each piece, so that its memory does not grow with them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parent: dict[int, int] = {}
@@ -29,15 +30,26 @@ def forests(edges: DataFrame, n_edges: int, piece: int = PIECE) -> DataFrame:
                 parent[x], x = top, parent.get(x, top)
             return top
 
+        def forest() -> Iterator[pa.RecordBatch]:
+            nodes = list(parent)
+            for at in range(0, len(nodes), 100_000):
+                part = nodes[at : at + 100_000]
+                yield pa.record_batch([pa.array(part, pa.int64()), pa.array([root(x) for x in part], pa.int64())], ["a", "b"])
+            parent.clear()
+
+        taken = 0
         for batch in batches:
-            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                x, y = root(a), root(b)
-                if x != y:
-                    parent[max(x, y)] = min(x, y)
-        nodes = list(parent)
-        for at in range(0, len(nodes), 100_000):
-            part = nodes[at : at + 100_000]
-            yield pa.record_batch([pa.array(part, pa.int64()), pa.array([root(x) for x in part], pa.int64())], ["a", "b"])
+            for at in range(0, batch.num_rows, piece):
+                some = batch.slice(at, piece)
+                if taken and taken + some.num_rows > piece:
+                    yield from forest()
+                    taken = 0
+                taken += some.num_rows
+                for a, b in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
+                    x, y = root(a), root(b)
+                    if x != y:
+                        parent[max(x, y)] = min(x, y)
+        yield from forest()
 
     return edges.coalesce(max(1, -(-n_edges // piece))).mapInArrow(run, "a long, b long")
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadlens.llm import minhash
-from leadlens.llm.components import components
+from leadlens.llm.components import components, forests
 
 from .samples import AWKWARD, frame, prose
 
@@ -119,6 +119,14 @@ def test_components_of_paths_stars_and_rings(spark, piece):
     assert got == {x: root(x) for x in touched}
 
 
+def test_a_task_with_many_edges_starts_anew_after_each_piece(spark):
+    """One partition can't be coalesced into more; its edges are joined a piece at a time."""
+    path = spark.createDataFrame([(i + 1, i) for i in range(1000)], "a long, b long").coalesce(1)
+    rows = forests(path, 1000, 100).collect()
+    assert all(r["a"] - r["b"] <= 100 for r in rows) and 10 <= len({r["b"] for r in rows}) <= 20
+    assert {r["component"] for r in components(path, 100).collect()} == {0}
+
+
 def chained(n):
     """Pages of one source: half of each is boilerplate, every tenth is a near copy of another."""
     rng = random.Random(11)
