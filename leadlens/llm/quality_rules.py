@@ -1,12 +1,13 @@
 r"""Quality rules, in DataFrame functions only: base rules on repetition and length, and the divergence of a document's
 histograms from those of the languages.
 
-For every document two histograms are counted: characters by class, and words by a fixed list of common words, the
-rest being one bin. A language's reference is the sum over all documents with its label, whatever the label. A document
+For every document two histograms are counted: characters by class, and words by the common words of the languages, the
+rest being one bin. A language's common words are the ``LISTED`` most frequent words with a letter in all documents with
+its label, ties by the word; its reference is the sum over the same documents. Both are made for every label. A document
 that is long enough is kept if the nearest reference is near on each histogram, by Jensen-Shannon distance (the
 square root of the divergence in bits, 0 to 1). A histogram of too few characters or words is not judged. Without any
-labelled document nothing is judged. Words are listed for four languages only: those of a document with another label, or
-of an unlabelled one whose characters are nearest to such a label's, are not judged.
+labelled document nothing is judged. The driver gets a row for each label and ``LISTED`` words of each; the work a row grows
+with the number of labels.
 
 Rows: a NULL text has no words. Words are cut at ASCII white space and compared with their case. Repeated rows are
 judged each for itself; other columns are ignored.
@@ -14,7 +15,7 @@ judged each for itself; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadlens.llm.common import bound, checkpointed
@@ -26,14 +27,8 @@ REPEATED_PERCENT = 30
 #: Classes taken out of the text one after another; what is left is the last class.
 CLASSES = {"lower": "[a-z]+", "space": SPACE + "+", "upper": "[A-Z]+", "digit": "[0-9]+", "mark": r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+", "other": ""}
 SYMBOLS = "[#*$%&|<>]+"
-# Common words of each language.
-COMMON = {
-    "de": "der die und in den von zu das mit sich des auf für ist im nicht ein eine".split(),
-    "en": "the of and to in a is that for it was on as with be by at this".split(),
-    "es": "de la que el en y a los del se las por un para con no una su".split(),
-    "fr": "de la le et les des en un une du dans est que pour qui par sur pas".split(),
-}
-WORDS = sorted({w for words in COMMON.values() for w in words})
+#: Common words of a language.
+LISTED = 20
 JUDGED_CHARS, JUDGED_WORDS = 400, 100
 MOST_CHARS, MOST_WORDS = 0.26, 0.36
 
@@ -64,20 +59,34 @@ def repeated_words(words: Column) -> Column:
     return bound(words, of)
 
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, the base counts, ``chars`` and ``common``: the two histograms, in order of CLASSES and of WORDS and
-    the other words. One pass over the texts."""
+def split_words(text: Column) -> Column:
+    return F.array_remove(F.split(text, SPACE + "+"), "")
+
+
+def common_words(docs: DataFrame, listed: int = LISTED) -> list[str]:
+    """The most frequent words of each label, in one list in order. Words are counted before the shuffle and each task
+    passes on its best alone, so that no task orders a label's whole vocabulary."""
+    words = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", F.explode(split_words(F.col("text"))).alias("word"))
+    counts = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("word").rlike(r"\p{L}"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    best = counts.withColumn("place", place).filter(F.col("place") <= listed)
+    return sorted({r["word"] for r in best.select("word").collect()}, key=str.encode)
+
+
+def statistics(docs: DataFrame, listed: list[str]) -> DataFrame:
+    """doc_id, lang, the base counts, ``chars`` and ``common``: the two histograms, in order of CLASSES and of ``listed``
+    and the other words. One pass over the texts."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split("t0", "\n"), lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]")))
     rows = docs.select("doc_id", "lang", text.alias("t0"))
-    rows = rows.select("*", F.array_remove(F.split("t0", SPACE + "+"), "").alias("words"), lines.alias("lines"))
+    rows = rows.select("*", split_words(F.col("t0")).alias("words"), lines.alias("lines"))
     names = list(CLASSES)
     for i, name in enumerate(names[:-1]):
         rows = rows.withColumn(f"t{i + 1}", F.regexp_replace(f"t{i}", CLASSES[name], ""))
     sizes = [F.length(f"t{i}") for i in range(len(names))]
     chars = F.array(*[(a - b).cast("long") for a, b in zip(sizes, [*sizes[1:], F.lit(0)], strict=True)])
-    rows = rows.withColumn("listed", F.filter("words", lambda w: w.isin(WORDS)))
-    words = [F.size("listed") - F.size(F.array_remove("listed", w)) for w in WORDS]
+    rows = rows.withColumn("listed", F.filter("words", lambda w: w.isin(listed)))
+    words = [F.size("listed") - F.size(F.array_remove("listed", w)) for w in listed]
     digits_out = f"t{names.index('digit') + 1}"
     spaces_out = f"t{names.index('space') + 1}"
     return rows.select(
@@ -93,19 +102,13 @@ def statistics(docs: DataFrame) -> DataFrame:
     )
 
 
-def references(rows: DataFrame) -> list[tuple[str, list[float], list[float] | None]]:
-    """Label and shares of each language's characters and words, over all documents labelled with it; a row for each
-    language. No words where no common ones are listed."""
+def references(rows: DataFrame, n_listed: int) -> list[tuple[list[float], list[float]]]:
+    """Shares of each language's characters and words, over all documents labelled with it."""
     sums = [F.sum(F.col("chars")[i]).alias(f"c{i}") for i in range(len(CLASSES))]
-    sums += [F.sum(F.col("common")[i]).alias(f"w{i}") for i in range(len(WORDS) + 1)]
+    sums += [F.sum(F.col("common")[i]).alias(f"w{i}") for i in range(n_listed + 1)]
     found = rows.filter(F.col("lang").isNotNull()).groupBy("lang").agg(*sums).orderBy("lang").collect()
-    out = []
-    for r in found:
-        pair = [[float(r[f"{k}{i}"]) for i in range(n)] for k, n in (("c", len(CLASSES)), ("w", len(WORDS) + 1))]
-        if all(sum(x) for x in pair):
-            chars, words = ([v / sum(x) for v in x] for x in pair)
-            out.append((r["lang"], chars, words if r["lang"] in COMMON else None))
-    return out
+    pairs = [[[float(r[f"{k}{i}"]) for i in range(n)] for k, n in (("c", len(CLASSES)), ("w", n_listed + 1))] for r in found]
+    return [tuple([v / sum(x) for v in x] for x in pair) for pair in pairs if all(sum(x) for x in pair)]
 
 
 def distance(counts: Column, total: Column, reference: list[float]) -> Column:
@@ -126,25 +129,17 @@ def _half(p: Column, both: Column) -> Column:
 def judged(docs: DataFrame, most_chars: float = MOST_CHARS, most_words: float = MOST_WORDS) -> DataFrame:
     """The statistics with char_distance and word_distance (of the nearest language; NULL if too short), base_failed
     and kept."""
-    rows = checkpointed(statistics(docs.select("doc_id", "text", docs["lang"] if "lang" in docs.columns else F.lit(None).cast("string").alias("lang"))))
+    docs = docs.select("doc_id", "text", docs["lang"] if "lang" in docs.columns else F.lit(None).cast("string").alias("lang"))
+    listed = common_words(docs)
+    rows = checkpointed(statistics(docs, listed))
     n_chars = F.aggregate("chars", F.lit(0).cast("long"), lambda a, b: a + b)
-    near = references(rows)
-    none = F.lit(None).cast("double")
-    least = lambda columns: F.array_min(F.array(*columns)) if columns else none
+    near = references(rows, len(listed))
     rows = rows.withColumn("n_chars", n_chars)
-    listed = least([distance(F.col("chars"), F.col("n_chars"), c) for _, c, w in near if w])
-    unlisted = [distance(F.col("chars"), F.col("n_chars"), c) for _, c, w in near if not w]
-    words = F.col("n_words") >= JUDGED_WORDS
-    if unlisted:
-        rows = rows.withColumn("listed_distance", listed).withColumn("unlisted_distance", least(unlisted))
-        char_distance = F.least("listed_distance", "unlisted_distance")
-        # A label without a list has no words to be near to.
-        foreign = F.when(F.col("lang").isNotNull(), ~F.col("lang").isin(list(COMMON))).otherwise(F.col("unlisted_distance") < F.col("listed_distance"))
-        words = words & ~F.coalesce(foreign, F.lit(False))
-    else:
-        char_distance = listed
+    least = lambda columns: F.array_min(F.array(*columns)) if columns else F.lit(None).cast("double")
+    char_distance = least([distance(F.col("chars"), F.col("n_chars"), c) for c, _ in near])
+    word_distance = least([distance(F.col("common"), F.col("n_words"), w) for _, w in near])
     rows = rows.withColumn("char_distance", F.when(F.col("n_chars") >= JUDGED_CHARS, char_distance))
-    rows = rows.withColumn("word_distance", F.when(words, least([distance(F.col("common"), F.col("n_words"), w) for _, _, w in near if w])))
+    rows = rows.withColumn("word_distance", F.when(F.col("n_words") >= JUDGED_WORDS, word_distance))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words"))
     far = F.coalesce(F.col("char_distance") > most_chars, F.lit(False)) | F.coalesce(F.col("word_distance") > most_words, F.lit(False))
     return rows.withColumn("base_failed", failed).withColumn("kept", ~failed & ~far)
@@ -159,7 +154,6 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def _sql() -> str:
-    words = ", ".join(f"'{w}'" for w in WORDS)
     take = lambda t, regex: f"regexp_replace({t}, '{regex}', '', 'g')"
     names = list(CLASSES)
     texts = ", ".join(f"{take(f't{i}', CLASSES[n])} AS t{i + 1}" for i, n in enumerate(names[:-1]))
@@ -169,6 +163,9 @@ def _sql() -> str:
 WITH a AS (SELECT row_number() OVER () AS k, doc_id, lang, coalesce(text, '') AS t0 FROM documents),
 b AS (SELECT *, {texts}, list_filter(regexp_split_to_array(t0, '{SPACE}+'), lambda x: x <> '') AS words,
   list_filter(string_split(t0, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM a),
+c AS (SELECT lang, w, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, w) AS place
+  FROM (SELECT lang, unnest(words) AS w FROM b WHERE lang IS NOT NULL) WHERE regexp_matches(w, '\\p{{L}}') GROUP BY lang, w),
+e AS (SELECT coalesce(list(DISTINCT w ORDER BY w), []) AS listed FROM c WHERE place <= {LISTED}),
 v AS (SELECT k, unnest(range(1, len(words) - 6)) AS i, words FROM b),
 h AS (SELECT k, i, array_to_string(words[i:i + 7], ' ') AS w FROM v),
 o AS (SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY k, w) AS n FROM h) WHERE n > 1),
@@ -177,11 +174,12 @@ s AS (SELECT k, doc_id, lang, CAST(len(words) AS BIGINT) AS n_words, length(t0)
   length(t{digits_out}) - length({take(f't{digits_out}', SYMBOLS)}) AS n_symbols,
   CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
   [{chars}] AS chars, length(t0) AS n_chars,
-  list_concat(list_transform([{words}], lambda w: len(list_filter(words, lambda x: x = w))),
-    [len(list_filter(words, lambda x: NOT list_contains([{words}], x)))]) AS common FROM b LEFT JOIN r USING (k)),
+  list_concat(list_transform(listed, lambda w: len(list_filter(words, lambda x: x = w))),
+    [len(list_filter(words, lambda x: NOT list_contains(listed, x)))]) AS common FROM b LEFT JOIN r USING (k) CROSS JOIN e),
 u AS (SELECT k, lang, 0 AS kind, unnest(range(1, len(chars) + 1)) AS i, unnest(chars) AS n FROM s
   UNION ALL SELECT k, lang, 1, unnest(range(1, len(common) + 1)), unnest(common) FROM s),
-q AS (SELECT lang, kind, i, sum(n) / sum(sum(n)) OVER (PARTITION BY lang, kind) AS q FROM u WHERE lang IN ('de', 'en', 'es', 'fr') GROUP BY lang, kind, i),
+q AS (SELECT lang, kind, i, sum(n) / sum(sum(n)) OVER (PARTITION BY lang, kind) AS q FROM u
+  WHERE lang IN (SELECT lang FROM s GROUP BY lang HAVING sum(n_words) > 0) GROUP BY lang, kind, i),
 d AS (SELECT k, kind, min(d) AS d FROM (
   SELECT k, kind, q.lang, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN 0.5 * p * log2(2 * p / (p + q)) ELSE 0 END
     + CASE WHEN q > 0 THEN 0.5 * q * log2(2 * q / (p + q)) ELSE 0 END))) AS d

@@ -3,7 +3,9 @@
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from leadlens.llm import quality_rules as qr
@@ -73,6 +75,32 @@ def test_references_are_made_for_every_label(spark):
     odd = [(90, " ".join(f"{i}|{i * 7}" for i in range(200)), "ru")]
     by = {r["doc_id"]: r for r in qr.judged(frame(spark, cyrillic + latin + english + odd)).collect()}
     assert all(r["kept"] for i, r in by.items() if i < 90) and not by[90]["kept"]
-    assert by[0]["word_distance"] is None and by[20]["word_distance"] is None and by[60]["word_distance"] is not None
+    assert all(by[i]["word_distance"] is not None for i in (0, 20, 30, 60))
     only = {r["doc_id"]: r for r in qr.judged(frame(spark, cyrillic)).collect()}
-    assert all(r["kept"] and r["word_distance"] is None for r in only.values())
+    assert all(r["kept"] and r["word_distance"] is not None for r in only.values())
+
+
+def test_common_words_are_learned_for_each_label(spark):
+    """The most frequent words with a letter, ties by the word; a document without its language's words is far from it."""
+    rng = np.random.default_rng(3)
+    common = "ja on ei se oli hän että kun joka mutta".split()
+
+    def text(share):
+        return " ".join(str(rng.choice(common)) if rng.random() < share else "".join(rng.choice(list("aeijklmnoprstuvyåäö"), 7)) + " |" for _ in range(200))
+
+    finnish = [(i, text(0.5), "fi") for i in range(30)]
+    docs = frame(spark, [*finnish, (30, text(0), "fi"), (31, text(0.5), None), (32, "zz aa aa zz bb 7 7 7", "ru"), (33, None, "ru"), (34, None, "sv")])
+    assert {"aa", "bb", "zz"} | set(common) <= set(qr.common_words(docs)) and not {"|", "7"} & set(qr.common_words(docs))
+    assert qr.common_words(docs.filter("lang = 'ru'"), 1) == ["aa"]
+    by = {r["doc_id"]: r for r in qr.judged(docs.filter("doc_id < 32")).collect()}
+    assert all(by[i]["kept"] for i in [*range(30), 31]) and not by[30]["kept"] and by[30]["word_distance"] > qr.MOST_WORDS
+
+
+def test_whole_query_against_sql(spark, awkward, nothing):
+    rows = [(i, t, "en") for i, t in enumerate(TEXTS)] + [(50 + i, "The cat of the house and a dog " * 3 + prose(i, 150), ("en", "fi", None)[i % 3]) for i in range(30)]
+    for docs in (frame(spark, rows), awkward.select("doc_id", "text", "lang"), nothing.select("doc_id", "text", "lang")):
+        got = sorted((tuple(r) for r in qr.quality_rules(docs).collect()), key=str)
+        with duckdb.connect() as db:
+            documents = pa.table({c: pa.array([r[c] for r in docs.collect()], t) for c, t in (("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()))})
+            db.register("documents", documents)
+            assert got == sorted(db.sql(qr.QUALITY_SQL).fetchall(), key=str)
