@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import inspect
+import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadlens.functions.shapes import month_sql, weekday_sql
 from leadlens.operators.history import HOT_ROWS, hot_keys, with_history
+from leadlens.sources import kept
 from leadlens.sources.shared import app_path, spread, written
 
 SOURCES = ("orders", "customer", "lineitem")
@@ -102,6 +105,19 @@ def _written_once(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
     return state, _written[key]
 
 
+def kept_contacts(spark: SparkSession, folder: str) -> DataFrame:
+    """The contact table of a folder as this or an earlier application published it, if sources and this module are the same; else it is
+    made and published. Versions over a week old are removed, except the newest."""
+    state = kept.fingerprint(spark, [f"{folder}/{name}.parquet" for name in SOURCES], inspect.getsource(sys.modules[__name__]))
+
+    def build() -> DataFrame:
+        kept.expire(spark, "contacts")
+        tables = [table(spark, folder, name) for name in SOURCES]
+        return spread(build_contacts(*tables), tables[0].count())
+
+    return kept.kept(spark, "contacts", state, build)
+
+
 def text_export(df: DataFrame) -> DataFrame:
     """The contact table as text, with cells a careless export would hold planted by id, and with
     its columns in another order."""

@@ -13,7 +13,7 @@ from leadlens.dictionary import CONTACTS, Config, FieldDictionary, FilterCriteri
 from leadlens.functions.shapes import month_sql, weekday_sql
 from leadlens.operators import benefit, boosting, encode, evaluate, features, filters, forest, insights, levels, models, newton, portable, profile, quality, quantiles, state
 from leadlens.plans import training
-from leadlens.plans.campaign import BROKEN_COLUMNS, broken_export, contacts, export_folder, labelled, table, unlabelled
+from leadlens.plans.campaign import BROKEN_COLUMNS, broken_export, contacts, export_folder, kept_contacts, labelled, table, unlabelled
 from leadlens.sources import audited, readers, sinks
 from leadlens.sources.shared import app_path, remove
 from leadlens.streaming import files
@@ -54,6 +54,12 @@ def campaign_fixture(spark, folder):
     return contacts(spark, folder)
 
 
+@query
+def contacts_kept(spark, folder):
+    """The contact table through the manifest of tables kept across applications."""
+    return kept_contacts(spark, folder)
+
+
 @query
 def filtered_rate(spark, folder):
     """Flagship: filter, then the rate by earlier outcome."""

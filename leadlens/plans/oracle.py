@@ -543,6 +543,7 @@ def oracle_queries() -> dict[str, str]:
     view = ", ".join(_q(c) for c in ("id", *categorical, *numeric, "subscribe"))
     return {
         "campaign_fixture": _contacts("SELECT * FROM contacts"),
+        "contacts_kept": _contacts("SELECT * FROM contacts"),
         "filtered_rate": _with(
             _CONTACTS, _DECLARED, f"kept AS (SELECT * FROM contacts WHERE {_KEEP})", _segments(["poutcome"], "kept", "subscribe", "yes")
         ) + _RATE_ORDER,
