@@ -73,6 +73,28 @@ def common_words(docs: DataFrame, listed: int = LISTED) -> list[str]:
     return sorted({r["word"] for r in best.select("word").collect()}, key=str.encode)
 
 
+def times_found(words: Column, listed: list[str]) -> Column:
+    """How often each word of ``listed``, which is in order, stands in ``words``, and how many other words there are: the
+    words found are sorted once, each listed one added to them, and the places where a new word begins are apart by its count
+    and one."""
+    if not listed:
+        return F.array(F.size(words).cast("long"))
+
+    def differences(begins: Column) -> Column:
+        return F.zip_with(F.slice(begins, 2, len(listed)), F.slice(begins, 1, len(listed)), lambda b, a: (b - a - 1).cast("long"))
+
+    def begins(found: Column) -> Column:
+        new = F.filter(F.transform(found, lambda x, i: F.when((i == 0) | (F.get(found, i - 1) != x), i)), lambda i: i.isNotNull())
+        return F.concat(new, F.array(F.size(found)))
+
+    def counted(found: Column) -> Column:
+        rest = (F.size(words) - (F.size(found) - len(listed))).cast("long")
+        return F.concat(bound(begins(found), differences), F.array(rest))
+
+    found = F.concat(F.filter(words, lambda w: w.isin(listed)), F.array(*[F.lit(w) for w in listed]))
+    return bound(F.sort_array(found), counted)
+
+
 def statistics(docs: DataFrame, listed: list[str]) -> DataFrame:
     """doc_id, lang, the base counts, ``chars`` and ``common``: the two histograms, in order of CLASSES and of ``listed``
     and the other words. One pass over the texts."""
@@ -85,8 +107,6 @@ def statistics(docs: DataFrame, listed: list[str]) -> DataFrame:
         rows = rows.withColumn(f"t{i + 1}", F.regexp_replace(f"t{i}", CLASSES[name], ""))
     sizes = [F.length(f"t{i}") for i in range(len(names))]
     chars = F.array(*[(a - b).cast("long") for a, b in zip(sizes, [*sizes[1:], F.lit(0)], strict=True)])
-    rows = rows.withColumn("listed", F.filter("words", lambda w: w.isin(listed)))
-    words = [F.size("listed") - F.size(F.array_remove("listed", w)) for w in listed]
     digits_out = f"t{names.index('digit') + 1}"
     spaces_out = f"t{names.index('space') + 1}"
     return rows.select(
@@ -98,7 +118,7 @@ def statistics(docs: DataFrame, listed: list[str]) -> DataFrame:
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("words")).cast("long").alias("n_repeat_words"),
         chars.alias("chars"),
-        F.array(*[w.cast("long") for w in words], (F.size("words") - F.size("listed")).cast("long")).alias("common"),
+        times_found(F.col("words"), listed).alias("common"),
     )
 
 
