@@ -4,7 +4,7 @@ Per language a context tree holds how often each byte followed each context of 0
 code length under a language comes from the longest known context: with n followers seen, d of them
 different, a byte seen c times costs log2((n + d) / c) bits; any other costs the escape, log2((n + d) / d),
 and is coded in the next shorter context, at last as one of 256 equal bytes. The counts are frozen after
-training, so a code length depends on at most four bytes and whole batches are scored by table lookups.
+training, so a code length depends on at most four bytes: each run of four bytes is looked up once a task.
 
 Rows: a text that is NULL or has no letter is ``und`` with score 0. Before a text's first byte stands a
 mark of its own. Ties go to the language first in order. Without any training row every text is ``und``.
@@ -23,19 +23,43 @@ from pyspark.sql import functions as F
 from leadlens.llm.common import bound_batches, free_name, in_parts, remainder, utf8
 
 ORDER = 3
-#: Symbols of a byte that no training text has, and of what stands before a text; byte 0 counts as the latter.
-UNSEEN, START = 0, 1
+#: Code lengths of a block of positions, and those that a task holds, whatever the number of languages: 4 and 32 MB.
+BLOCK, HELD = 1 << 20, 1 << 23
+
+
+@dataclass
+class Sparse:
+    """Values by (key, language), only those there are: sorted keys, and for key i the entries from ``at[i]`` to ``at[i + 1]``."""
+
+    keys: np.ndarray
+    at: np.ndarray
+    language: np.ndarray
+    value: np.ndarray
+
+    @classmethod
+    def of(cls, keys: np.ndarray, language: np.ndarray, value: np.ndarray) -> Sparse:
+        """From entries in order of their keys."""
+        unique, first = np.unique(keys, return_index=True)
+        return cls(unique, np.append(first, len(keys)), language.astype(np.uint16), value.astype(np.float32))
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The entries of the wanted keys: place in ``wanted``, language, value."""
+        if not len(self.keys):
+            return np.zeros(0, np.int64), self.language, self.value
+        slot = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        n = np.where(self.keys[slot] == wanted, self.at[slot + 1] - self.at[slot], 0)
+        entry = np.arange(n.sum()) + np.repeat(self.at[slot] - (np.cumsum(n) - n), n)
+        return np.repeat(np.arange(len(wanted)), n), self.language[entry], self.value[entry]
 
 
 @dataclass
 class ContextTrees:
-    """``rank``: byte to symbol. ``node``: three symbols, as one number, to the deepest context known to any
-    language. ``bits``: [context, symbol, language] to code length."""
+    """For each order, the bits of an escape by context and those of a byte by context and byte, of the languages that know
+    the context. Contexts are their bytes as one number. The size is that of the different four-byte runs of the sample."""
 
     languages: list[str]
-    rank: np.ndarray
-    node: np.ndarray
-    bits: np.ndarray
+    escapes: list[Sparse]
+    bits: list[Sparse]
 
 
 def sample(docs: DataFrame, rows: int) -> DataFrame:
@@ -56,31 +80,28 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = utf8(batch.column(1))
         langs = batch.column(0).to_numpy(zero_copy_only=False)
         codes, names = np.unique(langs.astype(str), return_inverse=True)
-        grams = _shifted(data, offsets, 0)
         row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-        keys = names[row].astype(np.int64) << 32
-        for k, part in enumerate(grams):
-            keys |= part.astype(np.int64) << (8 * (ORDER - k))
-        found, n = np.unique(keys, return_counts=True)
+        found, n = np.unique(names[row].astype(np.int64) << 32 | _grams(data, offsets), return_counts=True)
         yield pa.record_batch([pa.array(codes[found >> 32]), pa.array(found & 0xFFFFFFFF), pa.array(n)], ["lang", "gram", "n"])
 
 
-def _shifted(symbols: np.ndarray, offsets: np.ndarray, start: int) -> list[np.ndarray]:
-    """The three symbols before each, and itself; before a row's first stands ``start``."""
-    out = []
-    for back in range(ORDER, 0, -1):
-        before = np.full(len(symbols), start, symbols.dtype)
-        before[back:] = symbols[:-back] if len(symbols) > back else symbols[:0]
+def _grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Each byte and the three before it in its row as one number; before a row's first stand zeros."""
+    grams = data.astype(np.uint32)
+    for back in range(1, ORDER + 1):
+        before = np.zeros(len(data), np.uint32)
+        before[back:] = data[: max(0, len(data) - back)]
         for k in range(back):
             at = offsets[:-1] + k
-            before[at[at < offsets[1:]]] = start
-        out.append(before)
-    return [*out, symbols]
+            before[at[at < offsets[1:]]] = 0
+        grams |= before << np.uint32(8 * back)
+    return grams
 
 
 def fit(docs: DataFrame, sample_rows: int = 400, least: int = 2) -> ContextTrees:
     """Trees from a sample of about ``sample_rows`` labelled rows a language. Contexts of two or three bytes seen
-    fewer than ``least`` times are pruned. The model's size is bounded by the sample's."""
+    fewer than ``least`` times are pruned. The model has an entry for each context and follower that a language
+    has seen, none for those that it has not, so its size is bounded by the sample's."""
     bound_batches(docs.sparkSession)
     counts = sample(docs, sample_rows).mapInArrow(_count, "lang string, gram long, n long")
     rows = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow().combine_chunks()
@@ -89,62 +110,73 @@ def fit(docs: DataFrame, sample_rows: int = 400, least: int = 2) -> ContextTrees
     grams, n = rows["gram"].to_numpy(), rows["n"].to_numpy()
     name = rows["lang"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False) if len(rows) else np.zeros(0, int)
     name = np.array([languages.index(x) for x in found], np.int64)[name]  # both list the languages as they come
-    parts = [(grams >> 8 * (ORDER - k)) & 0xFF for k in range(ORDER + 1)]
-    used = np.unique(parts[-1][parts[-1] != 0])
-    rank = np.full(256, UNSEEN, np.int64)
-    rank[0] = START
-    rank[used] = np.arange(2, len(used) + 2)
-    size = len(used) + 2
-    symbols = [rank[p] for p in parts]
-    real = symbols[-1] != START
-    context = np.zeros(len(grams), np.int64)  # of order k: its last k symbols as one number
-    base = np.full((1, size, len(languages)), 8.0, np.float32)  # code lengths in the context below; at first all bytes cost 8 bits
-    node = np.zeros(1, np.int64)  # context of the order below, as a number, to its row in base
+    trees = ContextTrees(languages, [], [])
+    real = grams & 0xFF != 0  # byte 0 is the mark before a text
+    grams, n, many = grams[real], n[real], max(1, len(languages))
     for order in range(ORDER + 1):
-        if order:
-            context = context + symbols[ORDER - order] * size ** (order - 1)
-        slots = size**order
-        pairs, which = np.unique(context[real] * len(languages) + name[real], return_inverse=True)
-        often = pairs[np.bincount(which, n[real]) >= (least if order >= 2 else 1)] if len(pairs) else pairs
-        kept = np.unique(often // max(1, len(languages)))
-        known = np.zeros((len(kept), len(languages)), bool)
-        known[np.searchsorted(kept, often // max(1, len(languages))), often % max(1, len(languages))] = True
-        parent = node[np.arange(slots) % max(1, size ** (order - 1))] if order else np.zeros(1, np.int64)
-        new = np.full(slots, -1, np.int32)
-        new[kept] = np.arange(len(kept))
-        seen = np.zeros((len(kept), size, len(languages)), np.float32)
-        use = real & (new[context] >= 0)
-        np.add.at(seen, (new[context[use]], symbols[-1][use], name[use]), n[use])
-        seen *= known[:, None, :]
-        total, distinct = seen.sum(axis=1, keepdims=True), (seen > 0).sum(axis=1, keepdims=True)
-        below = base[parent[kept]]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            coded = np.where(seen > 0, np.log2((total + distinct) / seen), np.log2((total + distinct) / distinct) + below)
-        coded = np.where(total > 0, coded, below)
-        first = len(base)
-        base = np.concatenate((base, coded.astype(np.float32)))
-        node = np.where(new >= 0, first + new, parent).astype(np.int32)
-    wanted, node = np.unique(node, return_inverse=True)
-    return ContextTrees(languages, rank.astype(np.uint8), node.astype(np.int32), base[wanted])
-
-
-def code_lengths(trees: ContextTrees, data: np.ndarray, offsets: np.ndarray, block: int = 1 << 18) -> np.ndarray:
-    """Bits of each row under each language, in blocks of positions so that memory stays bounded."""
-    bits = np.zeros((len(offsets) - 1, len(trees.languages)))
-    size = trees.bits.shape[1]
-    flat = trees.bits.reshape(-1, len(trees.languages))
-    shifted = _shifted(trees.rank[data], offsets, START)
-    full = np.flatnonzero(np.diff(offsets))
-    for at in range(0, len(data), block):
-        end = min(len(data), at + block)
-        a, b, c, d = (x[at:end].astype(np.int64) for x in shifted)
-        each = flat[trees.node[(a * size + b) * size + c].astype(np.int64) * size + d]
-        lo, hi = np.searchsorted(offsets[full], at, "right") - 1, np.searchsorted(offsets[full], end, "left")
-        rows = full[lo:hi]
-        bits[rows] += np.add.reduceat(each, np.maximum(offsets[rows] - at, 0), axis=0, dtype=np.float64)
+        # Entries (context, byte, language) with their counts, then (context, language) with the sums of theirs.
+        entries, which = np.unique((grams & ((1 << 8 * (order + 1)) - 1)) * many + name[real], return_inverse=True)
+        seen = np.bincount(which, n, len(entries))
+        pair, language = entries // many, entries % many
+        contexts, which, distinct = np.unique((pair >> 8) * many + language, return_inverse=True, return_counts=True)
+        total = np.bincount(which, seen, len(contexts))
+        known = total >= (least if order >= 2 else 1)
+        kept = known[which]
+        trees.bits.append(Sparse.of(pair[kept], language[kept], np.log2((total + distinct)[which[kept]] / seen[kept])))
+        trees.escapes.append(Sparse.of(contexts[known] // many, contexts[known] % many, np.log2((total + distinct)[known] / distinct[known])))
+    return trees
+
+
+def bits_of(trees: ContextTrees, grams: np.ndarray) -> np.ndarray:
+    """Code lengths of the last bytes of ``grams`` under each language: from the shortest context up, a byte seen in
+    a context costs its bits there, any other the context's escape more than in the shorter one."""
+    bits = np.full((len(grams), len(trees.languages)), 8.0, np.float32)  # at last all bytes are equal
+    for order in range(ORDER + 1):
+        pair = grams & ((1 << 8 * (order + 1)) - 1)
+        row, language, escape = trees.escapes[order].find(pair >> 8)
+        bits[row, language] += escape
+        row, language, value = trees.bits[order].find(pair)
+        bits[row, language] = value
     return bits
 
 
+class CodeLengths:
+    """A task's code lengths of the four-byte runs that it has met; when there is no room for more, it begins anew."""
+
+    def __init__(self, trees: ContextTrees) -> None:
+        self.trees, self.many = trees, len(trees.languages)
+        self.block = max(1, BLOCK // self.many)
+        self.rows = np.empty((max(1, HELD // self.many), self.many), np.float32)
+        self.grams, self.place = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def places(self, grams: np.ndarray) -> np.ndarray:
+        """Where in ``rows`` the code lengths of different ``grams``, in ascending order, are."""
+        new = grams[~np.isin(grams, self.grams, assume_unique=True)]
+        if len(self.grams) + len(new) > len(self.rows):
+            self.grams, self.place, new = self.grams[:0], self.place[:0], grams
+        if len(new):
+            first = len(self.grams)
+            self.rows[first : first + len(new)] = bits_of(self.trees, new)
+            at = np.searchsorted(self.grams, new)
+            self.grams = np.insert(self.grams, at, new)
+            self.place = np.insert(self.place, at, np.arange(first, first + len(new)))
+        return self.place[np.searchsorted(self.grams, grams)]
+
+    def of_rows(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Bits of each row under each language, in blocks that are the shorter, the more languages there are."""
+        bits = np.zeros((len(offsets) - 1, self.many))
+        grams = _grams(data, offsets)
+        full = np.flatnonzero(np.diff(offsets))
+        for at in range(0, len(data), self.block):
+            end = min(len(data), at + self.block)
+            different, which = np.unique(grams[at:end], return_inverse=True)
+            each = self.rows[self.places(different.astype(np.int64))[which]]
+            lo, hi = np.searchsorted(offsets[full], at, "right") - 1, np.searchsorted(offsets[full], end, "left")
+            rows = full[lo:hi]
+            bits[rows] += np.add.reduceat(each, np.maximum(offsets[rows] - at, 0), axis=0, dtype=np.float64)
+        return bits
+
+
 NAMES = ("lang_pred", "score", "bits_per_byte")
 
 
@@ -160,11 +192,12 @@ def predict(docs: DataFrame, trees: ContextTrees, text: str = "text", names: tup
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = shared.value
         names = np.array([*trees.languages, "und"], dtype=object)
+        lengths = CodeLengths(trees) if trees.languages else None
         for batch in in_parts(batches, text):
             data, offsets = utf8(batch.column(batch.schema.get_field_index(text)))
             letters = batch.column(batch.schema.get_field_index(letter)).to_numpy(zero_copy_only=False).astype(bool)
-            if trees.languages:
-                bits = code_lengths(trees, data, offsets)
+            if lengths:
+                bits = lengths.of_rows(data, offsets)
                 best = bits.argmin(axis=1)
                 least = bits[np.arange(len(bits)), best]
                 score = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000.0)).sum(axis=1)

@@ -3,6 +3,7 @@
 import math
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from conftest import SMALL
 
@@ -77,3 +78,27 @@ def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     rows = li.language_id(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
     assert len(rows) > 30 and sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.97 * len(rows)
+
+
+def test_model_stays_small_with_many_labels(spark):
+    """The model has entries for what each label has seen, not for each label and context, and scores blocks of bounded size."""
+    rows = [(i, prose(i, 40 + i % 7) + f" {i % 200:03d}", f"l{i % 200:03d}") for i in range(600)]
+
+    def size(trees):
+        return sum(x.nbytes for part in (*trees.escapes, *trees.bits) for x in (part.keys, part.at, part.language, part.value))
+
+    few, many = (li.fit(frame(spark, [r for r in rows if r[2] < last]), sample_rows=100) for last in ("l004", "l999"))
+    assert len(many.languages) == 200 and size(many) < 60 * size(few) and size(many) < 50 << 20
+    got = li.predict(frame(spark, [(1000, rows[37][1], None)]), many).first()
+    assert got["lang_pred"] == rows[37][2]
+    assert got["bits_per_byte"] == pytest.approx(brute_force(rows, rows[37][1])[rows[37][2]] / len(rows[37][1]), rel=1e-4)
+
+
+def test_lengths_are_the_same_when_the_held_ones_are_dropped(spark, monkeypatch):
+    trees = li.fit(frame(spark, TRAIN), sample_rows=100)
+    data = np.frombuffer("".join(prose(i, 50) for i in range(40)).encode(), np.uint8)
+    offsets = np.array([0, 0, 7, len(data) // 2, len(data), len(data)])
+    want = li.CodeLengths(trees).of_rows(data, offsets)
+    monkeypatch.setattr(li, "BLOCK", 50)
+    monkeypatch.setattr(li, "HELD", 200)
+    assert np.allclose(li.CodeLengths(trees).of_rows(data, offsets), want) and want[1].min() > 0 and not want[[0, 4]].any()
