@@ -59,7 +59,26 @@ def test_many_ranges_are_subdivided_until_none_is_overfull(spark, monkeypatch):
     monkeypatch.setattr(sharding, "SAMPLE", 50)
     source = [(i, prose(i, 3), "en") for i in range(6000)] + [(7, "hot", "en")] * 500
     rows = sharding.records(frame(spark, source)).persist()
-    n_bytes = rows.agg({"size": "sum"}).first()[0]
+    n_bytes = sum(len(t) + 8 for _, t, _ in source)
     _, splitters, found = sharding.choose_splitters(rows, 6500, n_bytes, 24)
     assert len(splitters) > 800 and sorted(found["n"])[-2] <= 40
     check(sharding.shard(frame(spark, source), 5).collect(), source, 5)
+
+
+def test_equal_rows_are_one_record_dealt_out_by_many_tasks(spark, monkeypatch):
+    """A third of all rows equal, with and without an id: one record each, cut into parts, shards near equal."""
+    monkeypatch.setattr(sharding, "COPIES", 100)
+    source = [(i, prose(i, 20), "en") for i in range(2000)] + [(None, prose(0, 20), "en")] * 1050 + [(5, "hot", "en")] * 1000
+    assert sharding.records(frame(spark, source)).count() == 2002
+    sizes = check(sharding.shard(frame(spark, source), 6).collect(), source, 6)
+    assert max(sizes) - min(sizes) <= 2 * max(len(t) + 8 for _, t, _ in source)
+    hot = spark.createDataFrame([(7, None, 9, 0, 1050, 0, 0)], "key long, doc_id long, size long, text_crc32 long, n long, ahead long, at long")
+    got = sharding.copies(hot)
+    assert sorted((r["at"], r["ahead"]) for r in got.collect()) == [(i, 9 * i) for i in range(1050)]
+
+
+def test_written_columns_keep_their_values(spark, tmp_path):
+    docs = frame(spark, [(i, prose(i, 30), "en") for i in range(50)]).selectExpr("*", "doc_id * 2 AS slot", "'x' AS shard")
+    sharding.write_shards(docs, str(tmp_path / "out"), 3)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert all(r["_slot"] == 2 * r["doc_id"] and r["_shard"] == "x" for r in back.collect()) and back.count() == 50
