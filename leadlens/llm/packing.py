@@ -12,6 +12,7 @@ columns are ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -45,15 +46,35 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+# How a vocabulary must normalise and split texts so that runs can be encoded one by one.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def by_runs(path: str) -> bool:
+    """Whether the tokenizer in the file drops white space and case, cuts texts into runs of letters or marks and single
+    digits, and encodes each run for itself, its last token ending in ``</w>``."""
+    with open(path, encoding="utf-8") as file:
+        made = json.load(file)
+    normalizer, splitter, model = made.get("normalizer") or {}, made.get("pre_tokenizer") or {}, made["model"]
+    split, *more = splitter.get("pretokenizers") or [{}]
+    return (
+        normalizer.get("normalizers") == NORMALIZERS
+        and (split.get("type"), split.get("pattern"), split.get("behavior"), split.get("invert")) == ("Split", {"Regex": SPLIT}, "Removed", True)
+        and [(x["type"], x.get("add_prefix_space"), x.get("use_regex")) for x in more] == [("ByteLevel", False, False)]
+        and (model.get("type"), model.get("end_of_word_suffix"), model.get("dropout")) == ("BPE", "</w>", None)
+    )
+
+
 class RunCache:
-    """The ids of runs of letters, of marks, and of single digits, by 64-bit hash. For a vocabulary that drops white space
-    and case before anything else, cuts texts into such runs, and ends each run's last token in ``</w>``: a text's
-    ids are its runs' ids in a row. Texts with other bytes go to the tokenizer as they are."""
+    """The ids of runs of letters, of marks, and of single digits, by 64-bit hash. For a tokenizer that encodes such runs
+    one by one: a text's ids are its runs' ids in a row. Texts with other bytes go to the tokenizer as they are, and so
+    do all texts if it splits them otherwise."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.by_runs = Tokenizer.from_file(path), by_runs(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(vocabulary.values()) + 2, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -66,6 +87,8 @@ class RunCache:
 
     def encode(self, column: pa.Array) -> list[np.ndarray]:
         """The ids of each text; NULL is empty."""
+        if not self.by_runs:
+            return self.encoded(column)
         data, offsets = utf8(column)
         kinds = _KIND[data]
         follows = np.zeros(len(data), bool)  # the second byte of a Latin-1 letter
@@ -80,9 +103,8 @@ class RunCache:
         out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(column)
         rest = np.flatnonzero(other)
         if len(rest):
-            texts = column.take(pa.array(rest)).to_pylist()
-            for i, found in zip(rest, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-                out[i] = np.array(found.ids, np.uint32)
+            for i, found in zip(rest, self.encoded(column.take(pa.array(rest))), strict=True):
+                out[i] = found
             kinds[np.repeat(other, np.diff(offsets))] = _SPACE
         lower = _LOWER[data]
         lower[follows & (data <= 0x9E)] += 32
@@ -98,6 +120,11 @@ class RunCache:
             out[i] = ids[bounds[i] : bounds[i + 1]]
         return out
 
+    def encoded(self, column: pa.Array) -> list[np.ndarray]:
+        """The ids of each text, by the tokenizer."""
+        texts = [text or "" for text in column.to_pylist()]
+        return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def runs(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the runs in a row, and where each run's begin, one more for the end."""
         hashes = word_hashes(data, starts, ends) | np.uint64(1)

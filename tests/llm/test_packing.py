@@ -1,5 +1,6 @@
 """Packed pieces against the tokenizer itself, document by document."""
 
+import json
 import random
 import zlib
 from collections import defaultdict
@@ -85,3 +86,19 @@ def test_best_fit_and_emission():
     assert place(8) == [(0, 8, 2, 0)]
     assert place(5) == [(0, 2, 2, 8), (2, 3, 0, 6)]  # fits nowhere: fills the fullest, the rest goes on
     assert place(23) == [(0, 10, 3, 0), (10, 10, 4, 0), (20, 3, 5, 0)]
+
+
+def test_tokenizers_that_split_otherwise_are_used_alone(tmp_path):
+    """The byte vocabulary keeps case and white space; a changed split or normaliser is noticed too."""
+    texts = ["Amber  BIRCH cedar 12\n", None, "", "it's a naïve caf\u00e9", "amber_birch 3.5"]
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    assert packing.by_runs(PATH) and not packing.by_runs(other)
+    made = json.loads(open(PATH, encoding="utf-8").read())
+    made["normalizer"]["normalizers"].pop()
+    cased = tmp_path / "cased.json"
+    cased.write_text(json.dumps(made), encoding="utf-8")
+    assert not packing.by_runs(str(cased))
+    for path in (PATH, other, str(cased)):
+        tokenizer = Tokenizer.from_file(path)
+        got = packing.RunCache(path).encode(pa.array(texts, pa.string()))
+        assert [list(x) for x in got] == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
