@@ -21,30 +21,76 @@ from leadlens.functions.shapes import text
 SCHEMA = "kind string, column string, key string, n long, n_lab long, n_pos long, s1 double, s2 double, lo double, hi double"
 _KEYS = ["kind", "column", "key"]
 _SUMS, _REST = ["n", "n_lab", "n_pos", "s1", "s2"], {"lo": F.min, "hi": F.max}
+_COUNTS = ("count(1) AS n", "sum(lab) AS n_lab", "sum(pos) AS n_pos")
+#: Numbers that are summed together, by which of them are present.
+TOGETHER = 10
 
 
 def profile_state(df: DataFrame, fd: FieldDictionary, grid: Mapping[str, float] | None = None) -> DataFrame:
-    """The state of ``df``, from one scan. ``grid`` gives the bucket width of the numbers that are put on a grid."""
+    """The state of ``df``. ``grid`` gives the bucket width of the numbers that are put on a grid. Numbers, levels and buckets are an
+    aggregate each, so that a reading scans no more than the columns of its kinds."""
     labelled = fd.target in df.columns
     lab = f"CAST(`{fd.target}` IS NOT NULL AS INT)" if labelled else "0"
     pos = f"CAST(coalesce(`{fd.target}` = {text(fd.positive)}, false) AS INT)" if labelled else "0"
     numbers = [c for c in fd.numerics if c in df.columns]
-    x = {c: f"CAST(`{c}` AS DOUBLE)" for c in numbers}
-
-    def part(kind: str, column: str, key: str, keep: str, value: str = "CAST(NULL AS DOUBLE)", s1: str = "0D", s2: str = "0D") -> str:
-        fields = f"'kind', {text(kind)}, 'column', {text(column)}, 'key', {key}, 'n', 1L, 'n_lab', {lab}, 'n_pos', {pos}, 's1', {s1}, 's2', {s2}, 'lo', {value}, 'hi', {value}"
-        return f"CASE WHEN {keep} THEN named_struct({fields}) END"
-
-    each = [part("rows", "", "''", "true")]
-    each += [part("level", c, f"CAST(`{c}` AS STRING)", f"`{c}` IS NOT NULL") for c in fd.categoricals if c in df.columns]
-    each += [part("number", c, "''", f"{v} IS NOT NULL", v, v, f"{v} * {v}") for c, v in x.items()]
-    each += [part("missing", c, "''", f"{v} IS NULL") for c, v in x.items()]
-    each += [part("bucket", c, f"CAST(CAST(floor({x[c]} / double('{float(w)!r}')) AS BIGINT) AS STRING)", f"{x[c]} IS NOT NULL", x[c]) for c, w in (grid or {}).items()]
-    for a, b in combinations(numbers, 2):
-        both = f"{x[a]} IS NOT NULL AND {x[b]} IS NOT NULL"
-        each += [part("pair", a, text(b), both, s1=x[a], s2=f"{x[a]} * {x[b]}"), part("pair_of", b, text(a), both, s1=x[b], s2=f"{x[b]} * {x[b]}"), part("pair_as", a, text(b), both, s2=f"{x[a]} * {x[a]}")]
-    rows = df.selectExpr(f"inline(filter(array({', '.join(each)}), e -> e IS NOT NULL))")
-    return _added(rows)
+    categories = [c for c in fd.categoricals if c in df.columns]
+    states = [_numbers_state(df, numbers, lab, pos)]
+    if categories:
+        keys = ", ".join(f"named_struct('column', {text(c)}, 'key', CAST(`{c}` AS STRING))" for c in categories)
+        rows = df.selectExpr(f"{lab} AS lab", f"{pos} AS pos", f"inline(array({keys}))").where("key IS NOT NULL")
+        counts = rows.groupBy("column", "key").agg(*map(F.expr, _COUNTS))
+        states.append(counts.selectExpr("'level' AS kind", "column", "key", "n", "n_lab", "n_pos", "0D AS s1", "0D AS s2", "CAST(NULL AS DOUBLE) AS lo", "CAST(NULL AS DOUBLE) AS hi"))
+    if grid:
+        cells = [(text(c), f"CAST(`{c}` AS DOUBLE)", f"double('{float(w)!r}')") for c, w in grid.items()]
+        keys = ", ".join(f"named_struct('column', {c}, 'key', CAST(CAST(floor({x} / {w}) AS BIGINT) AS STRING), 'x', {x})" for c, x, w in cells)
+        rows = df.selectExpr(f"{lab} AS lab", f"{pos} AS pos", f"inline(array({keys}))").where("x IS NOT NULL")
+        counts = rows.groupBy("column", "key").agg(*map(F.expr, [*_COUNTS, "min(x) AS lo", "max(x) AS hi"]))
+        states.append(counts.selectExpr("'bucket' AS kind", "column", "key", "n", "n_lab", "n_pos", "0D AS s1", "0D AS s2", "lo", "hi"))
+    return reduce(DataFrame.unionByName, states)
+
+
+def _numbers_state(df: DataFrame, numbers: Sequence[str], lab: str, pos: str) -> DataFrame:
+    """The rows, numbers, missing values and pairs of a state. Rows are summed by which of the numbers are present, at most
+    2 ** ``TOGETHER`` ways; the sums of a pair are those of the ways that have both."""
+    if len(numbers) <= TOGETHER:
+        groups = [list(numbers)]
+    else:  # two half groups at a time, so that every pair stands in a group
+        half = [list(numbers[i : i + TOGETHER // 2]) for i in range(0, len(numbers), TOGETHER // 2)]
+        groups = [a + b for a, b in combinations(half, 2)]
+    width = max(map(len, groups))
+
+    def fields(k: int, group: Sequence[str]) -> str:
+        values = [f"CAST(`{c}` AS DOUBLE)" for c in group] + ["CAST(NULL AS DOUBLE)"] * (width - len(group))
+        return ", ".join([f"'part', {k}", *[f"'x{i}', {v}" for i, v in enumerate(values)]])
+
+    if len(groups) == 1:
+        rows = df.selectExpr(f"{lab} AS lab", f"{pos} AS pos", "0 AS part", *[f"CAST(`{c}` AS DOUBLE) AS x{i}" for i, c in enumerate(numbers)])
+    else:
+        rows = df.selectExpr(f"{lab} AS lab", f"{pos} AS pos", f"inline(array({', '.join(f'named_struct({fields(k, g)})' for k, g in enumerate(groups))}))")
+    present = " + ".join(["0", *[f"IF(x{i} IS NULL, 0, {1 << i})" for i in range(width)]])
+    rows = rows.withColumn("present", F.expr(present))
+    sums = [f"{f}(x{i}) AS {name}{i}" for i in range(width) for f, name in (("sum", "s"), ("min", "lo"), ("max", "hi"))]
+    sums += [f"sum(x{i} * x{j}) AS p{i}_{j}" for i in range(width) for j in range(i, width)]
+    found = rows.groupBy("part", "present").agg(*map(F.expr, [*_COUNTS, *sums]))
+
+    def part(kind: str, column: str, key: str, keep: str, s1: str = "0D", s2: str = "0D", lo: str = "CAST(NULL AS DOUBLE)", hi: str = "CAST(NULL AS DOUBLE)") -> str:
+        named = f"'kind', {text(kind)}, 'column', {text(column)}, 'key', {text(key)}, 'n', n, 'n_lab', n_lab, 'n_pos', n_pos, 's1', {s1}, 's2', {s2}, 'lo', {lo}, 'hi', {hi}"
+        return f"CASE WHEN {keep} THEN named_struct({named}) END"
+
+    each, seen = [part("rows", "", "", "part = 0")], set()
+    for k, group in enumerate(groups):
+        for i, a in enumerate(group):
+            if a not in seen:
+                seen.add(a)
+                each += [part("number", a, "", f"part = {k} AND present & {1 << i} > 0", f"s{i}", f"p{i}_{i}", f"lo{i}", f"hi{i}")]
+                each += [part("missing", a, "", f"part = {k} AND present & {1 << i} = 0")]
+        for (i, a), (j, b) in combinations(enumerate(group), 2):
+            if (a, b) not in seen:
+                seen.add((a, b))
+                both = f"part = {k} AND present & {1 << i | 1 << j} = {1 << i | 1 << j}"
+                each += [part("pair", a, b, both, f"s{i}", f"p{i}_{j}"), part("pair_of", b, a, both, f"s{j}", f"p{j}_{j}"), part("pair_as", a, b, both, s2=f"p{i}_{i}")]
+    rows = found.selectExpr(f"inline(filter(array({', '.join(each)}), e -> e IS NOT NULL))")
+    return _added(rows.where("kind <> 'level'"))  # true of all; stated, so that a reading of levels leaves this part out
 
 
 def _added(rows: DataFrame) -> DataFrame:
@@ -64,17 +110,19 @@ def rates(state: DataFrame) -> DataFrame:
 
 def statistics(state: DataFrame) -> DataFrame:
     """(column, n, n_missing, mean, deviation, lo, hi) of every number; deviations are those of the population."""
-    gaps = state.where("kind = 'missing'").select("column", F.col("n").alias("gaps"))
-    of = state.where("kind = 'number'").join(gaps, "column", "left")
+    of = state.where("kind IN ('number', 'missing')").groupBy("column").agg(
+        *[F.expr(f"max({c}) FILTER (WHERE kind = 'number') AS {c}") for c in ("n", "s1", "s2", "lo", "hi")],
+        F.expr("max(n) FILTER (WHERE kind = 'missing') AS gaps"),
+    ).where("n IS NOT NULL")
     return of.selectExpr("column", "n", "coalesce(gaps, 0L) AS n_missing", "s1 / n AS mean", "sqrt(greatest(s2 / n - (s1 / n) * (s1 / n), 0D)) AS deviation", "lo", "hi")
 
 
 def correlations(state: DataFrame) -> DataFrame:
     """(column, other, n, r) of every pair of numbers, over the rows that have both; NULL where one of them does not vary."""
-    a = state.where("kind = 'pair'").selectExpr("column", "key AS other", "n", "s1 AS sa", "s2 AS sab")
-    b = state.where("kind = 'pair_of'").selectExpr("key AS column", "column AS other", "s1 AS sb", "s2 AS sbb")
-    c = state.where("kind = 'pair_as'").selectExpr("column", "key AS other", "s2 AS saa")
-    joined = a.join(b, ["column", "other"]).join(c, ["column", "other"])
+    turned = "IF(kind = 'pair_of', key, column) AS column", "IF(kind = 'pair_of', column, key) AS other"
+    sums = [("n", "pair", "n"), ("s1", "pair", "sa"), ("s2", "pair", "sab"), ("s1", "pair_of", "sb"), ("s2", "pair_of", "sbb"), ("s2", "pair_as", "saa")]
+    pairs = state.where("kind IN ('pair', 'pair_of', 'pair_as')").selectExpr("kind", *turned, "n", "s1", "s2")
+    joined = pairs.groupBy("column", "other").agg(*[F.expr(f"max({c}) FILTER (WHERE kind = '{kind}') AS {name}") for c, kind, name in sums])
     va, vb = "(n * saa - sa * sa)", "(n * sbb - sb * sb)"
     varies = f"{va} > 1e-12 * n * saa AND {vb} > 1e-12 * n * sbb"
     return joined.selectExpr("column", "other", "n", f"CASE WHEN {varies} THEN (n * sab - sa * sb) / sqrt({va} * {vb}) END AS r")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from leadlens.dictionary import CONTACTS
+from leadlens.dictionary import CONTACTS, FieldDictionary
 from leadlens.operators import profile, state
 
 
@@ -50,3 +50,28 @@ def test_empty_tables_and_constant_numbers(leaning):
     flat = state.profile_state(leaning.withColumn("age", F.lit(4.0)), CONTACTS)
     assert {r["r"] for r in state.correlations(flat).where("column = 'age' OR other = 'age'").collect()} == {None}
     assert state.rates(state.profile_state(leaning.drop("subscribe"), CONTACTS)).where("rate IS NOT NULL").count() == 0
+
+
+def test_readings_scan_their_own_columns_and_sum_before_they_list(spark, leaning, tmp_path):
+    """No row is listed once per pair of numbers, and rates read no number."""
+    leaning.write.parquet(str(tmp_path / "rows"))
+    found = state.profile_state(spark.read.parquet(str(tmp_path / "rows")), CONTACTS)
+    plan = found.where("kind = 'pair'")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("Generate") < plan.rindex("Aggregate")
+    of_levels = state.rates(state.merged([found, found]))._jdf.queryExecution().executedPlan().toString()
+    assert of_levels.count("FileScan") == 2  # the levels of either state
+
+
+def test_more_numbers_than_are_summed_together(spark):
+    rng = np.random.default_rng(5)
+    names = [f"c{i}" for i in range(13)]
+    rows = [[None if rng.random() < 0.2 else float(rng.integers(0, 50)) for _ in names] for _ in range(60)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in names))
+    found = state.profile_state(df, FieldDictionary(categoricals=(), numerics=tuple(names)))
+    table = df.toPandas()
+    pairs = {(r["column"], r["other"]): (r["n"], r["r"]) for r in state.correlations(found).collect()}
+    assert len(pairs) == 78 and found.where("kind = 'rows'").first()["n"] == 60
+    for (a, b), (n, r) in pairs.items():
+        own = table[[a, b]].dropna()
+        assert n == len(own) and r == pytest.approx(np.corrcoef(own[a], own[b])[0, 1], abs=1e-9)
+    assert {r["column"]: r["n_missing"] for r in state.statistics(found).collect()} == {c: int(table[c].isna().sum()) for c in names}
