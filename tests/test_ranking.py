@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 
 from leadlens.dictionary import CONTACTS, Config, FieldDictionary
 from leadlens.operators import encode, ranking
+from leadlens.plans import training
 from leadlens.operators.history import hot_keys, with_history
 
 FD = FieldDictionary(id="id", target="y", categoricals=(), numerics=("x",))
@@ -144,3 +145,18 @@ def test_rows_without_an_id_split_exactly(spark):
     df = spark.createDataFrame(rows, "id long, subscribe string, extra long")
     _, test = encode.stratified_split(df, CONTACTS)
     assert {r["subscribe"]: r["count"] for r in test.groupBy("subscribe").count().collect()} == {"yes": 60, "no": 60}
+
+
+def test_fit_rows_are_drawn_from_labels_counted_once(spark, leaning, monkeypatch):
+    """The scan that counts the labels of the training rows serves the second split as well."""
+    scans, own = [], encode.label_state
+    monkeypatch.setattr(encode, "label_state", lambda df, fd: scans.append(1) or own(df, fd))
+    train, test = training.split_frames(leaning, CONTACTS, Config(fit_rows=100))
+    assert len(scans) == 2 and train.count() == 100 and test.count() == math.ceil(0.2 * leaning.count())
+
+
+def test_cuts_are_whole_at_equal_hashes(spark):
+    """A row is at or below a cut by its hash first, then by its key."""
+    rows = spark.createDataFrame([("a", 9), ("b", 1), ("b", 5), ("b", 6), ("c", 0), (None, 1)], "h string, k long")
+    below = rows.select(ranking.at_or_below(F.col("h"), F.col("k"), ("b", 5)).alias("x"))
+    assert [r["x"] for r in below.collect()] == [True, True, True, False, False, None]
