@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from leadlens.operators import evaluate, ranking
-from leadlens.plans import campaign, catalog
+from leadlens.plans import campaign, catalog, training
 from leadlens.plans.oracle import oracle_queries
 
 QUERIES, ORACLE = catalog.QUERIES, oracle_queries()
@@ -120,3 +120,22 @@ def test_many_buckets_keep_exact_sums(spark):
     assert few["roc_auc"] == pytest.approx(many["roc_auc"], abs=1e-12)
     assert len(ranking.value_range(scores, "score", 60).edges) > 64
     assert scores.agg(F.count(F.lit(1))).first()[0] == few["n_pos"] + few["n_neg"]
+
+
+@pytest.mark.parametrize("name", ["fit_boosted_a"])
+def test_trees_and_comparisons_learn_from_all_training_rows(spark, leaning, monkeypatch, name):
+    """On 5,760 contacts: 4,608 training rows, of which no fit takes a part."""
+    many = leaning.crossJoin(spark.range(8).select(F.col("id").alias("copy"))).withColumn("id", F.col("id") * 8 + F.col("copy")).drop("copy")
+    seen, own = [], training.split_frames
+
+    def split(df, fd, config):
+        train, test = own(df, fd, config)
+        seen.append((train.count(), test.count()))
+        train.unpersist(), test.unpersist()
+        raise StopIteration
+
+    monkeypatch.setattr(catalog, "contacts", lambda spark, folder: many)
+    monkeypatch.setattr(training, "split_frames", split)
+    with pytest.raises(StopIteration):
+        QUERIES[name](spark, SMALL)
+    assert seen == [(4608, 1152)]
