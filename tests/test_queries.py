@@ -122,7 +122,7 @@ def test_many_buckets_keep_exact_sums(spark):
     assert scores.agg(F.count(F.lit(1))).first()[0] == few["n_pos"] + few["n_neg"]
 
 
-@pytest.mark.parametrize("name", ["fit_boosted_a", "fit_boosted_b", "fit_forest", "grid_search"])
+@pytest.mark.parametrize("name", ["fit_boosted_a", "fit_boosted_b", "fit_forest", "grid_search", "model_comparison"])
 def test_trees_and_comparisons_learn_from_all_training_rows(spark, leaning, monkeypatch, name):
     """On 5,760 contacts: 4,608 training rows, of which no fit takes a part."""
     many = leaning.crossJoin(spark.range(8).select(F.col("id").alias("copy"))).withColumn("id", F.col("id") * 8 + F.col("copy")).drop("copy")
